@@ -173,4 +173,88 @@ def oracle_sql() -> dict[str, str]:
     q["avg_days_active"] = _with(
         "SELECT source, COUNT(*) AS active_jobs, CAST(SUM(last_seen - first_seen) AS DOUBLE) / COUNT(*) "
         "AS avg_days_active FROM silver WHERE is_active GROUP BY source", silver=silver_sql())
+    q.update(_sighting_queries())
+    return q
+
+
+E_SQL = """
+SELECT 'adzuna' AS source, CAST(user_id AS VARCHAR) AS job_id, CAST(ts AS DATE) AS run_date, ts, event_id,
+       props AS payload, event_type AS city, 'r' || CAST(user_id % 3 AS VARCHAR) AS role, value,
+       CASE WHEN hour(ts) < 12 THEN 0 ELSE 1 END AS run
+FROM events"""
+
+PAGE_LOG_SQL = """
+SELECT run_date, city, role, CAST(job_id AS BIGINT) AS api_count, value AS api_mean_salary, ts AS pulled_at,
+       CAST(floor(value) AS INTEGER) AS jobs_retrieved, event_id FROM e"""
+
+
+def _lifecycle_sql(last_wins: bool) -> str:
+    within = "ts DESC, event_id DESC" if last_wins else "ts, event_id"
+    return f"""
+SELECT a.source, a.job_id, a.first_seen, a.last_seen, a.times_seen, p.payload
+FROM (SELECT source, job_id, min(run_date) AS first_seen, max(run_date) AS last_seen,
+             CAST(count(DISTINCT run_date) AS INTEGER) AS times_seen FROM e GROUP BY source, job_id) a
+JOIN (SELECT source, job_id, payload,
+             row_number() OVER (PARTITION BY source, job_id ORDER BY run_date DESC, {within}) AS rn FROM e) p
+  ON a.source = p.source AND a.job_id = p.job_id AND p.rn = 1"""
+
+
+CALLS_SQL = """
+SELECT CASE WHEN b.run_date IS NOT NULL THEN b.run_date ELSE a.run_date END AS run_date,
+       CASE WHEN b.run_date IS NOT NULL THEN b.city ELSE a.city END AS city,
+       CASE WHEN b.run_date IS NOT NULL THEN b.role ELSE a.role END AS role,
+       CASE WHEN b.run_date IS NOT NULL THEN b.pages_fetched ELSE a.pages_fetched END AS pages_fetched,
+       CASE WHEN b.run_date IS NOT NULL THEN b.api_count ELSE a.api_count END AS api_count,
+       CASE WHEN b.run_date IS NOT NULL THEN b.api_mean_salary ELSE a.api_mean_salary END AS api_mean_salary,
+       CAST(coalesce(a.jobs_retrieved, 0) + coalesce(b.jobs_retrieved, 0) AS BIGINT) AS jobs_retrieved
+FROM (SELECT * FROM pulls WHERE run = 0) a
+FULL JOIN (SELECT * FROM pulls WHERE run = 1) b
+  ON a.run_date = b.run_date AND a.city = b.city AND a.role = b.role"""
+
+PULLS_SQL = """
+SELECT s.*, c.jobs_retrieved FROM (
+  SELECT run_date, run, city, role, COUNT(*) AS pages_fetched, COUNT(DISTINCT job_id) AS api_count,
+         first(value ORDER BY ts, event_id) AS api_mean_salary FROM e GROUP BY run_date, run, city, role) s
+JOIN (
+  SELECT run_date, run, city, role, COUNT(*) AS jobs_retrieved FROM (
+    SELECT run_date, run, city, role,
+           row_number() OVER (PARTITION BY source, job_id, run_date ORDER BY run, city, role) AS rn FROM e) x
+  WHERE rn = 1 GROUP BY run_date, run, city, role) c
+ON s.run_date = c.run_date AND s.run = c.run AND s.city = c.city AND s.role = c.role
+WHERE c.jobs_retrieved > 0"""
+
+
+def _sighting_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["lifecycle_batch"] = _with("SELECT * FROM life", e=E_SQL, life=_lifecycle_sql(False))
+    q["lifecycle_upsert"] = q["lifecycle_batch"]
+    q["lifecycle_refresh"] = _with("SELECT * FROM life", e=E_SQL, life=_lifecycle_sql(True))
+    q["insert_ignore"] = _with(
+        "SELECT job_id, run_date AS fetched_at, source, payload FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY job_id, run_date ORDER BY ts, event_id) AS rn FROM e) WHERE rn = 1", e=E_SQL)
+    q["latest_version"] = _with(
+        "SELECT job_id, source, payload, fetched_at FROM (SELECT job_id, source, payload, run_date AS fetched_at, "
+        "row_number() OVER (PARTITION BY job_id ORDER BY run_date DESC, ts, event_id) AS rn FROM e) x "
+        "WHERE rn = 1 AND job_id NOT IN (SELECT job_id FROM e WHERE run_date < DATE '2024-01-02')", e=E_SQL)
+    q["job_calls_upsert"] = _with("SELECT * FROM calls", e=E_SQL, pulls=PULLS_SQL, calls=CALLS_SQL)
+    q["job_calls_consolidate"] = _with(
+        "SELECT city, role, run_date, COUNT(*) AS pages_fetched, max(api_count) AS api_count, "
+        "max(api_mean_salary) AS api_mean_salary, min(pulled_at) AS pulled_at, max(jobs_retrieved) AS jobs_retrieved "
+        "FROM log GROUP BY city, role, run_date", e=E_SQL, log=PAGE_LOG_SQL)
+    q["job_calls_duplicates"] = _with(
+        "SELECT * FROM log WHERE (run_date, city, role) IN (SELECT (run_date, city, role) FROM log "
+        "GROUP BY run_date, city, role HAVING COUNT(*) > 1)", e=E_SQL, log=PAGE_LOG_SQL)
+    q["job_calls_keep_latest"] = _with(
+        "SELECT run_date, city, role, api_count, api_mean_salary, pulled_at, jobs_retrieved, event_id FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY run_date, city, role ORDER BY pulled_at DESC, event_id DESC) "
+        "AS rn FROM log) WHERE rn = 1", e=E_SQL, log=PAGE_LOG_SQL)
+    q["missing_pulls"] = _with(
+        "SELECT g.run_date, g.city, g.role FROM (SELECT DISTINCT run_date, city FROM e) d, "
+        "(SELECT unnest(['r0', 'r1', 'r2']) AS role) r, LATERAL (SELECT d.run_date, d.city, r.role) g "
+        "WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.run_date = g.run_date AND c.city = g.city "
+        "AND c.role = g.role)", e=E_SQL, pulls=PULLS_SQL, calls=CALLS_SQL)
+    q["market_size"] = _with(
+        "SELECT city, role, max(run_date) AS latest_run_date, arg_max(api_count, run_date) AS api_count, "
+        "arg_max(api_mean_salary, run_date) AS api_mean_salary, CAST(SUM(jobs_retrieved) AS BIGINT) "
+        "AS jobs_retrieved_total FROM calls GROUP BY city, role", e=E_SQL, pulls=PULLS_SQL, calls=CALLS_SQL)
     return q

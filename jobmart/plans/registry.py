@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import constants as K
-from jobmart.operators import analysis, gold
+from jobmart.operators import analysis, calls, gold, lifecycle
 from jobmart.sources import adapter
 
 RUN = K.FIXTURE_RUN_DATE
@@ -59,6 +59,82 @@ def q_avg_days_active(spark, sf_dir):
     return analysis.avg_days_active(silver(spark, sf_dir))
 
 
+# --- sightings (E) --------------------------------------------------------------------
+
+SPLIT_DAY = "2024-01-15"
+ORDER = ["ts", "event_id"]
+
+
+def q_lifecycle_batch(spark, sf_dir):
+    return lifecycle.fold_sightings(adapter.sightings(spark, sf_dir))
+
+
+def q_lifecycle_upsert(spark, sf_dir):
+    e = adapter.sightings(spark, sf_dir)
+    first = lifecycle.upsert_sightings(lifecycle.empty_target(spark), e.where(F.col("run_date") <= SPLIT_DAY), ORDER)
+    return lifecycle.upsert_sightings(first.drop("changed"), e, ORDER).drop("changed")
+
+
+def q_lifecycle_refresh(spark, sf_dir):
+    e = adapter.sightings(spark, sf_dir)
+    first = lifecycle.upsert_sightings(lifecycle.empty_target(spark), e.where(F.col("run_date") <= SPLIT_DAY),
+                                       ORDER, refresh_payload=True)
+    return lifecycle.upsert_sightings(first.drop("changed"), e, ORDER, refresh_payload=True).drop("changed")
+
+
+def _v1_batch(e):
+    return e.select("source", "job_id", F.col("run_date").alias("fetched_at"), "payload", "ts", "event_id")
+
+
+def q_insert_ignore(spark, sf_dir):
+    e = _v1_batch(adapter.sightings(spark, sf_dir))
+    empty = spark.createDataFrame([], "job_id string, fetched_at date, source string, payload string")
+    first = lifecycle.insert_ignore(empty, e.where(F.col("ts") < F.lit(SPLIT_DAY + " 12:00:00").cast("timestamp")), ORDER)
+    return lifecycle.insert_ignore(first, e, ORDER)
+
+
+def q_latest_version(spark, sf_dir):
+    e = adapter.sightings(spark, sf_dir)
+    empty = spark.createDataFrame([], "job_id string, fetched_at date, source string, payload string")
+    bronze_v1 = lifecycle.insert_ignore(empty, _v1_batch(e), ORDER)
+    enriched = lifecycle.fold_sightings(e.where(F.col("run_date") < "2024-01-02"))
+    return lifecycle.not_in_silver(lifecycle.latest_version(bronze_v1), enriched, "adzuna")
+
+
+def _calls(spark, sf_dir):
+    e = adapter.pull_runs(adapter.sightings(spark, sf_dir))
+    credited = calls.new_per_pull(e)
+    t = calls.empty_calls(spark)
+    for run in (0, 1):
+        t = calls.upsert_calls(t, calls.calls_batch(e.where(F.col("run") == run),
+                                                    credited.where(F.col("run") == run).drop("run")))
+    return t
+
+
+def q_job_calls_upsert(spark, sf_dir):
+    return _calls(spark, sf_dir)
+
+
+def q_job_calls_consolidate(spark, sf_dir):
+    return calls.consolidate(adapter.page_log(spark, sf_dir))
+
+
+def q_job_calls_duplicates(spark, sf_dir):
+    return calls.duplicate_rows(adapter.page_log(spark, sf_dir))
+
+
+def q_job_calls_keep_latest(spark, sf_dir):
+    return calls.keep_latest(adapter.page_log(spark, sf_dir), ["pulled_at", "event_id"])
+
+
+def q_missing_pulls(spark, sf_dir):
+    return calls.missing_pulls(adapter.sightings(spark, sf_dir), _calls(spark, sf_dir), list(adapter.ROLES))
+
+
+def q_market_size(spark, sf_dir):
+    return calls.market_size(_calls(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -69,4 +145,15 @@ def queries() -> dict[str, Query]:
         "salary_ranges": q_salary_ranges,
         "job_persistence": q_job_persistence,
         "avg_days_active": q_avg_days_active,
+        "lifecycle_batch": q_lifecycle_batch,
+        "lifecycle_upsert": q_lifecycle_upsert,
+        "lifecycle_refresh": q_lifecycle_refresh,
+        "insert_ignore": q_insert_ignore,
+        "latest_version": q_latest_version,
+        "job_calls_upsert": q_job_calls_upsert,
+        "job_calls_consolidate": q_job_calls_consolidate,
+        "job_calls_duplicates": q_job_calls_duplicates,
+        "job_calls_keep_latest": q_job_calls_keep_latest,
+        "missing_pulls": q_missing_pulls,
+        "market_size": q_market_size,
     }

@@ -139,3 +139,19 @@ def housing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("n_nationkey") % 6 == 5, "country").otherwise("msa").alias("RegionType"),
                     F.col("r_name").alias("StateName"),
                     *[F.col(f"`{m}`") for m in HOUSING_MONTHS]))
+
+
+def pull_runs(sightings_df: DataFrame) -> DataFrame:
+    """Two runs a day: sightings before noon belong to run 0, the rest to run 1."""
+    return sightings_df.withColumn("run", F.when(F.hour("ts") < 12, 0).otherwise(1))
+
+
+def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A one-row-per-page pull log (the pre-consolidation audit shape)."""
+    e = sightings(spark, sf_dir)
+    return e.select("run_date", "city", "role", F.col("job_id").cast("bigint").alias("api_count"),
+                    F.col("value").alias("api_mean_salary"), F.col("ts").alias("pulled_at"),
+                    F.floor("value").cast("int").alias("jobs_retrieved"), "event_id")
+
+
+ROLES = ("r0", "r1", "r2")  # role = 'r' || user_id % 3
