@@ -174,6 +174,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT source, COUNT(*) AS active_jobs, CAST(SUM(last_seen - first_seen) AS DOUBLE) / COUNT(*) "
         "AS avg_days_active FROM silver WHERE is_active GROUP BY source", silver=silver_sql())
     q.update(_sighting_queries())
+    q.update(_enrich_queries())
     return q
 
 
@@ -258,3 +259,183 @@ def _sighting_queries() -> dict[str, str]:
         "arg_max(api_mean_salary, run_date) AS api_mean_salary, CAST(SUM(jobs_retrieved) AS BIGINT) "
         "AS jobs_retrieved_total FROM calls GROUP BY city, role", e=E_SQL, pulls=PULLS_SQL, calls=CALLS_SQL)
     return q
+
+
+# --- payload enrichment ------------------------------------------------------------------
+
+def _state_case(expr: str, default: str) -> str:
+    return "CASE " + expr + " " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in K.US_STATES.items()) + \
+        f" ELSE {default} END"
+
+
+def raw_sql() -> str:
+    area = ("CASE WHEN defect = 3 THEN ['US', state] WHEN defect = 4 THEN ['US', state, 'County'] "
+            "ELSE ['US', state, 'County', city] END")
+
+    def obj(with_title: bool) -> str:
+        title = "'title', CASE WHEN defect = 1 THEN NULL ELSE title END, " if with_title else ""
+        return (f"json_object('id', job_id, {title}"
+                "'description', CASE WHEN defect = 2 THEN NULL ELSE description END, "
+                "'created', CASE WHEN defect = 5 THEN 'not-a-date' ELSE CAST(first_seen AS VARCHAR) || 'T10:00:00Z' END, "
+                "'redirect_url', 'https://jobs.example/' || job_id, "
+                "'salary_min', CAST(salary_min AS DOUBLE), 'salary_max', CAST(salary_max AS DOUBLE), "
+                "'company', json_object('display_name', company), "
+                "'category', json_object('tag', lower(category_label), 'label', category_label), "
+                "'location', CASE WHEN defect = 6 THEN NULL ELSE json_object('display_name', "
+                f"concat_ws(', ', city, state), 'area', {area}) END)")
+
+    return f"""
+SELECT source, job_id, first_seen, last_seen, times_seen,
+       CASE WHEN defect = 0 THEN left(CAST({obj(True)} AS VARCHAR), 25)
+            WHEN defect = 7 THEN CAST({obj(False)} AS VARCHAR)
+            ELSE CAST({obj(True)} AS VARCHAR) END AS payload
+FROM (SELECT *, CAST(CAST(job_id AS BIGINT) % 97 AS INTEGER) AS defect FROM ({postings_sql()}) p) x"""
+
+
+def _pj(src: str) -> str:
+    return f"SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS pj FROM {src}"
+
+
+def _s(path: str) -> str:
+    return f"coalesce(json_extract_string(pj, '{path}'), '')"
+
+
+REJECT_SQL = """CASE WHEN pj IS NULL THEN 'malformed_json'
+  WHEN json_type(pj, '$.title') = 'NULL' THEN 'null_title'
+  WHEN json_type(pj, '$.title') <> 'VARCHAR' THEN 'bad_title'
+  WHEN json_type(pj, '$.description') = 'NULL' THEN 'null_description'
+  WHEN json_type(pj, '$.description') <> 'VARCHAR' THEN 'bad_description'
+  WHEN json_type(pj, '$.location') = 'NULL' THEN 'null_location'
+  WHEN json_type(pj, '$.location.area') = 'NULL' THEN 'null_area'
+  WHEN json_type(pj, '$.company') = 'NULL' THEN 'null_company'
+  WHEN json_type(pj, '$.category') = 'NULL' THEN 'null_category' END"""
+
+
+def enrich_sql(src: str, run: str = RUN) -> str:
+    n = "coalesce(json_array_length(pj, '$.location.area'), 0)"
+    created = "json_extract_string(pj, '$.created')"
+    return f"""
+SELECT source, job_id, first_seen, last_seen, times_seen, reject_reason, title, description, company, location,
+       city, county, state, {_state_case('state', "''")} AS state_code, category, category_label,
+       salary_min, salary_max, post_date, url, last_seen = DATE '{run}' AS is_active,
+       {seniority_sql('title')} AS seniority, {remote_sql('title', 'description')} AS is_remote,
+       {job_type_sql('description')} AS job_type
+FROM (
+  SELECT source, job_id, first_seen, last_seen, times_seen, {REJECT_SQL} AS reject_reason,
+         {_s('$.title')} AS title, {_s('$.description')} AS description,
+         {_s('$.company.display_name')} AS company, {_s('$.location.display_name')} AS location,
+         CASE WHEN {n} >= 4 THEN json_extract_string(pj, '$.location.area[#-1]') ELSE '' END AS city,
+         CASE WHEN {n} >= 3 THEN json_extract_string(pj, '$.location.area[2]') ELSE '' END AS county,
+         CASE WHEN {n} >= 2 THEN json_extract_string(pj, '$.location.area[1]') ELSE '' END AS state,
+         {_s('$.category.tag')} AS category, {_s('$.category.label')} AS category_label,
+         CAST(CAST(CAST(json_extract(pj, '$.salary_min') AS DOUBLE) AS DECIMAL(12,2)) AS DOUBLE) AS salary_min,
+         CAST(CAST(CAST(json_extract(pj, '$.salary_max') AS DOUBLE) AS DECIMAL(12,2)) AS DOUBLE) AS salary_max,
+         CASE WHEN coalesce({created}, '') <> ''
+               AND try_cast(replace({created}, 'Z', '+00:00') AS TIMESTAMPTZ) IS NOT NULL
+              THEN try_cast(left({created}, 10) AS DATE) END AS post_date,
+         {_s('$.redirect_url')} AS url
+  FROM ({_pj(src)}) r) e"""
+
+
+SILVER_COLS = ("source, job_id, title, description, company, location, city, county, state, state_code, category, "
+               "category_label, salary_min, salary_max, post_date, url, first_seen, last_seen, times_seen, is_active, "
+               "seniority, is_remote, job_type")
+
+
+def seniority_v1_sql(title: str, desc: str) -> str:
+    txt = joined_sql(title, desc)
+    y = "CAST(coalesce(" + ", ".join(f"nullif(regexp_extract({txt}, '{p}', 1), '')" for p in K.YOE_PATTERNS) + \
+        ") AS DOUBLE)"
+    t = f"lower({title})"
+    lvl = f"regexp_replace(string_split({t}, 'level')[-1], '^\\s+|\\s+$', '', 'g')"
+    return (f"CASE WHEN {y} IS NOT NULL THEN (CASE WHEN {y} <= 3 THEN 'jr' WHEN {y} <= 5 THEN 'mid' ELSE 'sr' END) "
+            f"WHEN regexp_matches({t}, '{K.V1_LEVEL_PATTERN}') THEN (CASE WHEN {lvl} IN ('i', '1') THEN 'jr' "
+            f"WHEN {lvl} IN ('ii', '2') THEN 'mid' ELSE 'sr' END) "
+            f"WHEN {_any(txt, K.V1_SENIOR_TAGS)} THEN 'sr' WHEN {_any(t, K.V1_JUNIOR_TAGS)} THEN 'jr' ELSE 'mid' END")
+
+
+V1_COLS = ("source, job_id, title, company, location, city, county, state, category, description, post_date, url, "
+           "salary_min, salary_max, seniority, is_remote, job_type")
+
+
+def v1_first_sql() -> str:
+    n = "coalesce(json_array_length(pj, '$.location.area'), 0)"
+    return f"""
+SELECT {V1_COLS} FROM (
+  SELECT 'adzuna' AS source, job_id,
+         CASE WHEN {n} > 0 AND {n} < 3 THEN 'short_area' ELSE {REJECT_SQL} END AS reject_reason,
+         {_s('$.title')} AS title, {_s('$.company.display_name')} AS company,
+         {_s('$.location.display_name')} AS location,
+         CASE WHEN {n} > 0 THEN json_extract_string(pj, '$.location.area[#-1]') ELSE '' END AS city,
+         CASE WHEN {n} > 0 THEN json_extract_string(pj, '$.location.area[2]') ELSE '' END AS county,
+         CASE WHEN {n} > 0 THEN {_state_case("json_extract_string(pj, '$.location.area[1]')", "''")} ELSE '' END AS state,
+         {_s('$.category.label')} AS category, {_s('$.description')} AS description,
+         json_extract_string(pj, '$.created') AS post_date, {_s('$.redirect_url')} AS url,
+         CAST(json_extract(pj, '$.salary_min') AS DOUBLE) AS salary_min,
+         CAST(json_extract(pj, '$.salary_max') AS DOUBLE) AS salary_max,
+         {seniority_v1_sql(_s('$.title'), _s('$.description'))} AS seniority,
+         {remote_sql(_s('$.title'), _s('$.description'))} AS is_remote,
+         {job_type_sql(_s('$.description'))} AS job_type
+  FROM ({_pj("raw WHERE source = 'adzuna'")}) r) e
+WHERE reject_reason IS NULL"""
+
+
+def jsearch_raw_sql() -> str:
+    k = "CAST(job_id AS BIGINT)"
+    return f"""
+SELECT source, job_id, CAST(json_object(
+  'job_id', job_id, 'job_title', title, 'job_description', description, 'employer_name', company,
+  'job_location', CASE WHEN {k} % 3 = 0 THEN concat_ws(', ', city, 'IL') ELSE city END,
+  'job_city', city,
+  'job_state', CASE WHEN {k} % 4 = 0 THEN '' WHEN {k} % 4 = 1 THEN state ELSE state_code END,
+  'employer_company_type', category_label, 'job_apply_link', 'https://apply.example/' || job_id,
+  'job_min_salary', CAST(salary_min AS DOUBLE), 'job_max_salary', CAST(salary_max AS DOUBLE),
+  'job_posted_at_datetime_utc', CASE WHEN {k} % 6 = 0 THEN '' ELSE CAST(first_seen AS VARCHAR) || 'T00:00:00.000Z' END,
+  'job_employment_type', CASE CAST(({k} // 5) % 5 AS INTEGER) WHEN 0 THEN 'Full-time and Part-time'
+      WHEN 1 THEN 'Contract' WHEN 2 THEN '' WHEN 3 THEN 'Internship' ELSE 'Part-time' END) AS VARCHAR) AS payload
+FROM ({postings_sql()}) p WHERE source = 'jsearch'"""
+
+
+def v1_second_sql(run: str = RUN) -> str:
+    st0 = f"coalesce({_state_case(_s('$.job_state'), 'NULL')}, {_s('$.job_state')}, '')"
+    loc = _s("$.job_location")
+    parts = f"string_split({loc}, ', ')"
+    last = f"trim({parts}[-1])"
+    state = (f"CASE WHEN {st0} = '' AND {loc} <> '' THEN (CASE WHEN len({parts}) >= 2 AND length({last}) = 2 "
+             f"THEN {last} ELSE {st0} END) ELSE {st0} END")
+    raw_type = _s("$.job_employment_type")
+    posted = _s("$.job_posted_at_datetime_utc")
+    return f"""
+SELECT 'jsearch' AS source, job_id, {_s('$.job_title')} AS title, {_s('$.employer_name')} AS company,
+       {loc} AS location, {_s('$.job_city')} AS city, '' AS county, {state} AS state,
+       {_s('$.employer_company_type')} AS category, {_s('$.job_description')} AS description,
+       CASE WHEN {posted} <> '' THEN {posted} ELSE '{run}' END AS post_date, {_s('$.job_apply_link')} AS url,
+       CAST(json_extract(pj, '$.job_min_salary') AS DOUBLE) AS salary_min,
+       CAST(json_extract(pj, '$.job_max_salary') AS DOUBLE) AS salary_max,
+       {seniority_v1_sql(_s('$.job_title'), _s('$.job_description'))} AS seniority,
+       {remote_sql(_s('$.job_title'), _s('$.job_description'))} AS is_remote,
+       CASE WHEN {raw_type} <> '' THEN lower(split_part({raw_type}, ' and ', 1)) ELSE 'full-time' END AS job_type
+FROM ({_pj('jraw')}) r WHERE pj IS NOT NULL"""
+
+
+def _enrich_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = {"raw": raw_sql()}
+    enr = enrich_sql("raw WHERE source = 'adzuna'")
+    q["enrich_payload"] = _with(f"SELECT {SILVER_COLS} FROM enr WHERE reject_reason IS NULL", **base, enr=enr)
+    q["enrich_rejects"] = _with("SELECT source, job_id, reject_reason FROM enr WHERE reject_reason IS NOT NULL",
+                                **base, enr=enr)
+    prev = (f"SELECT source, job_id, first_seen, least(last_seen, DATE '2001-07-31') AS last_seen FROM raw "
+            f"WHERE source = 'adzuna' AND first_seen <= DATE '2001-07-31'")
+    prev_good = (f"SELECT p.* FROM prev p JOIN enr e ON p.source = e.source AND p.job_id = e.job_id "
+                 f"WHERE e.reject_reason IS NULL")
+    q["incremental_work_set"] = _with(
+        "SELECT r.source, r.job_id, r.first_seen, r.last_seen, r.times_seen FROM raw r LEFT JOIN prev_good s "
+        "ON r.source = s.source AND r.job_id = s.job_id WHERE r.source = 'adzuna' "
+        "AND (s.job_id IS NULL OR r.last_seen > s.last_seen)", **base, enr=enr, prev=prev, prev_good=prev_good)
+    q["silver_upsert"] = q["enrich_payload"]
+    q["adzuna_v1_enrich"] = _with("SELECT * FROM v1a", **base, v1a=v1_first_sql())
+    q["jsearch_enrich"] = _with("SELECT * FROM v1j", jraw=jsearch_raw_sql(), v1j=v1_second_sql())
+    q["silver_v1"] = _with("SELECT * FROM v1a UNION ALL SELECT * FROM v1j", **base, v1a=v1_first_sql(),
+                           jraw=jsearch_raw_sql(), v1j=v1_second_sql())
+    return q

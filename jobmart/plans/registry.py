@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from jobmart import constants as K
 from jobmart.operators import analysis, calls, gold, lifecycle
+from jobmart.operators import silver as silver_ops
 from jobmart.sources import adapter
+from jobmart.sources.tables import write_table
 
 RUN = K.FIXTURE_RUN_DATE
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +137,75 @@ def q_market_size(spark, sf_dir):
     return calls.market_size(_calls(spark, sf_dir))
 
 
+# --- payload enrichment (bronze -> silver) --------------------------------------------
+
+PREV_DAY = "2001-07-31"
+SILVER_OUT = ["source", "job_id", "title", "description", "company", "location", "city", "county", "state",
+              "state_code", "category", "category_label", "salary_min", "salary_max", "post_date", "url",
+              "first_seen", "last_seen", "times_seen", "is_active", "seniority", "is_remote", "job_type"]
+
+
+def bronze(spark, sf_dir):
+    """bronze.raw_jobs for the run date, landed once as a parquet table."""
+    return write_table(adapter.raw_jobs(spark, sf_dir, RUN), "bronze_raw_jobs", (sf_dir, RUN))
+
+
+def _silver_out(df):
+    return df.select(*[F.col(c).cast("double").alias(c) if c.startswith("salary_") else F.col(c) for c in SILVER_OUT])
+
+
+def q_enrich_payload(spark, sf_dir):
+    raw = bronze(spark, sf_dir).where(F.col("source") == "adzuna")
+    good, _ = silver_ops.split_valid(silver_ops.enrich_first_source(raw, RUN))
+    return _silver_out(good)
+
+
+def q_enrich_rejects(spark, sf_dir):
+    raw = bronze(spark, sf_dir).where(F.col("source") == "adzuna")
+    return silver_ops.split_valid(silver_ops.enrich_first_source(raw, RUN))[1]
+
+
+def _silver_prev(spark, sf_dir):
+    raw_prev = adapter.raw_jobs_as_of(bronze(spark, sf_dir), PREV_DAY).where(F.col("source") == "adzuna")
+    return silver_ops.split_valid(silver_ops.enrich_first_source(raw_prev, PREV_DAY))[0]
+
+
+def q_incremental_work_set(spark, sf_dir):
+    ws = silver_ops.work_set(bronze(spark, sf_dir), _silver_prev(spark, sf_dir))
+    return ws.select("source", "job_id", "first_seen", "last_seen", "times_seen")
+
+
+def q_silver_upsert(spark, sf_dir):
+    new, _ = silver_ops.enrich_run(bronze(spark, sf_dir), _silver_prev(spark, sf_dir), RUN)
+    return _silver_out(new)
+
+
+V1_OUT = ["source", "job_id", "title", "company", "location", "city", "county", "state", "category", "description",
+          "post_date", "url", "salary_min", "salary_max", "seniority", "is_remote", "job_type"]
+
+
+def _v1_first(spark, sf_dir):
+    raw = bronze(spark, sf_dir).where(F.col("source") == "adzuna")
+    return silver_ops.split_valid(silver_ops.enrich_first_source_v1(raw))[0].select(*V1_OUT)
+
+
+def _v1_second(spark, sf_dir):
+    return silver_ops.split_valid(silver_ops.enrich_second_source(adapter.jsearch_raw(spark, sf_dir, RUN), RUN))[0] \
+        .select(*V1_OUT)
+
+
+def q_adzuna_v1_enrich(spark, sf_dir):
+    return _v1_first(spark, sf_dir)
+
+
+def q_jsearch_enrich(spark, sf_dir):
+    return _v1_second(spark, sf_dir)
+
+
+def q_silver_v1(spark, sf_dir):
+    return silver_ops.silver_v1(_v1_first(spark, sf_dir), _v1_second(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -156,4 +227,11 @@ def queries() -> dict[str, Query]:
         "job_calls_keep_latest": q_job_calls_keep_latest,
         "missing_pulls": q_missing_pulls,
         "market_size": q_market_size,
+        "enrich_payload": q_enrich_payload,
+        "enrich_rejects": q_enrich_rejects,
+        "incremental_work_set": q_incremental_work_set,
+        "silver_upsert": q_silver_upsert,
+        "adzuna_v1_enrich": q_adzuna_v1_enrich,
+        "jsearch_enrich": q_jsearch_enrich,
+        "silver_v1": q_silver_v1,
     }

@@ -96,10 +96,77 @@ def posting_payload(j: DataFrame) -> Column:
     ))
 
 
+# Defect kinds injected into the landed payloads, chosen by o_orderkey % DEFECT_MOD:
+# 0 malformed JSON, 1 JSON-null title, 2 JSON-null description, 3 area of length 2,
+# 4 area of length 3, 5 unparsable created, 6 JSON-null location, 7 absent title.
+DEFECT_MOD = 97
+
+
+def _payload_struct(j: DataFrame, defect: Column) -> Column:
+    area_full = F.array(F.lit("US"), F.col("state"), F.lit("County"), F.col("city"))
+    area = (F.when(defect == 3, F.slice(area_full, 1, 2)).when(defect == 4, F.slice(area_full, 1, 3))
+            .otherwise(area_full))
+    created = F.when(defect == 5, F.lit("not-a-date")).otherwise(
+        F.concat(F.col("first_seen").cast("string"), F.lit("T10:00:00Z")))
+    location = F.when(defect == 6, F.lit(None)).otherwise(F.struct(
+        F.concat_ws(", ", F.col("city"), F.col("state")).alias("display_name"), area.alias("area")))
+    return F.struct(
+        F.col("job_id").alias("id"),
+        F.when(defect == 1, F.lit(None)).otherwise(F.col("title")).alias("title"),
+        F.when(defect == 2, F.lit(None)).otherwise(F.col("description")).alias("description"),
+        created.alias("created"),
+        F.concat(F.lit("https://jobs.example/"), F.col("job_id")).alias("redirect_url"),
+        F.col("salary_min").cast("double").alias("salary_min"),
+        F.col("salary_max").cast("double").alias("salary_max"),
+        F.struct(F.col("company").alias("display_name")).alias("company"),
+        F.struct(F.lower(F.col("category_label")).alias("tag"), F.col("category_label").alias("label")).alias("category"),
+        location.alias("location"),
+    )
+
+
 def raw_jobs(spark: SparkSession, sf_dir: str, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
-    """bronze.raw_jobs built from J: key, lifecycle columns and the JSON payload."""
+    """bronze.raw_jobs built from J: key, lifecycle columns and the landed JSON payload.
+
+    Defect rows carry JSON nulls, a dropped title key, or a truncated document.
+    """
     j = postings(spark, sf_dir, run_date)
-    return j.select("source", "job_id", "first_seen", "last_seen", "times_seen", posting_payload(j).alias("payload"))
+    defect = (F.col("job_id").cast("bigint") % DEFECT_MOD).cast("int")
+    j = j.select("source", "job_id", "first_seen", "last_seen", "times_seen", defect.alias("_d"),
+                 _payload_struct(j, defect).alias("_st"))
+    # One JSON writer for every row; NULLs are written as JSON null (read like absent keys
+    # for salaries), the absent-title case removes the key from the text.
+    j = j.withColumn("_js", F.to_json(F.col("_st"), {"ignoreNullFields": "false"}))
+    js, d = F.col("_js"), F.col("_d")
+    payload = (F.when(d == 0, F.substring(js, 1, 25))
+               .when(d == 7, F.regexp_replace(js, r'"title":"[^"]*",', ""))
+               .otherwise(js))
+    return j.select("source", "job_id", "first_seen", "last_seen", "times_seen", payload.alias("payload"))
+
+
+def jsearch_raw(spark: SparkSession, sf_dir: str, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
+    """Second-source bronze rows (source jsearch) with the second-source record shape."""
+    j = postings(spark, sf_dir, run_date).where(F.col("source") == "jsearch")
+    k = F.col("job_id").cast("bigint")
+    state_field = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.col("state")).otherwise(F.col("state_code"))
+    location = F.when(k % 3 == 0, F.concat_ws(", ", F.col("city"), F.lit("IL"))).otherwise(F.col("city"))
+    rec = F.struct(
+        F.col("job_id").alias("job_id"),
+        F.col("title").alias("job_title"),
+        F.col("description").alias("job_description"),
+        F.col("company").alias("employer_name"),
+        location.alias("job_location"),
+        F.col("city").alias("job_city"),
+        state_field.alias("job_state"),
+        F.col("category_label").alias("employer_company_type"),
+        F.concat(F.lit("https://apply.example/"), F.col("job_id")).alias("job_apply_link"),
+        F.col("salary_min").cast("double").alias("job_min_salary"),
+        F.col("salary_max").cast("double").alias("job_max_salary"),
+        F.when(k % 6 == 0, F.lit("")).otherwise(
+            F.concat(F.col("first_seen").cast("string"), F.lit("T00:00:00.000Z"))).alias("job_posted_at_datetime_utc"),
+        _pick(F.floor(k / 5), ("Full-time and Part-time", "Contract", "", "Internship", "Part-time"))
+        .alias("job_employment_type"),
+    )
+    return j.select("source", "job_id", F.col("last_seen").alias("fetched_at"), F.to_json(rec).alias("payload"))
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,3 +222,13 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ROLES = ("r0", "r1", "r2")  # role = 'r' || user_id % 3
+
+
+def raw_jobs_as_of(raw: DataFrame, day: str) -> DataFrame:
+    """The bronze table as it stood after ``day``'s run (rows first seen later removed,
+    a sighting after ``day`` undone)."""
+    d = F.lit(day).cast("date")
+    later = F.col("last_seen") > d
+    return (raw.where(F.col("first_seen") <= d)
+            .withColumn("times_seen", F.when(later, F.col("times_seen") - 1).otherwise(F.col("times_seen")))
+            .withColumn("last_seen", F.when(later, d).otherwise(F.col("last_seen"))))
