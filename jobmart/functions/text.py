@@ -73,9 +73,9 @@ def yoe_years(text) -> Column:
     return yoe_match(text).try_cast("bigint")
 
 
-def _years_band(text, mid_upper: int | None) -> Column:
+def _years_band(text, mid_upper: int | None, match=None) -> Column:
     # Compare as double so an over-long number still counts as "many years".
-    y = yoe_match(text).cast("double")
+    y = (_c(match) if match is not None else yoe_match(text)).cast("double")
     if mid_upper is None:  # STR-3: <=3 jr, >=7 sr, else mid
         return F.when(y.isNotNull(), F.when(y <= 3, "jr").when(y >= 7, "sr").otherwise("mid"))
     return F.when(y.isNotNull(), F.when(y <= 3, "jr").when(y <= mid_upper, "mid").otherwise("sr"))
@@ -89,19 +89,21 @@ def yoe_band(text) -> Column:
 def categorize_role_documented(title, description, salary_min, salary_max) -> Column:
     """The hierarchy as documented: title keyword -> salary band -> YOE band -> mid."""
     return F.coalesce(title_keyword_or_null(title), salary_band(salary_min, salary_max),
-                      yoe_band(F.lower(_c(description))), F.lit("mid"))
+                      yoe_band(_c(description)), F.lit("mid"))
 
 
 # --- STR-4: v1 seniority (YOE -> level N -> senior hints -> junior hints -> mid) --
 
-def seniority_v1(title, description) -> Column:
+def seniority_v1(title, description, yoe=None) -> Column:
+    """``yoe``: optional precomputed ``yoe_match(joined_lower(title, description))`` column,
+    so wide projections evaluate the four YOE regexes once per row."""
     txt = joined_lower(title, description)
     t = F.lower(_c(title))
     lvl = F.regexp_replace(F.substring_index(t, "level", -1), r"^\s+|\s+$", "")
     level = F.when(t.rlike(K.V1_LEVEL_PATTERN),
                    F.when(lvl.isin("i", "1"), "jr").when(lvl.isin("ii", "2"), "mid").otherwise("sr"))
     return F.coalesce(
-        _years_band(txt, 5),
+        _years_band(txt, 5, yoe),
         level,
         F.when(any_substring(txt, K.V1_SENIOR_TAGS), "sr"),
         F.when(any_substring(t, K.V1_JUNIOR_TAGS), "jr"),

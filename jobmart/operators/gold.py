@@ -116,9 +116,10 @@ def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame
     out = snap.join(tops, CITY_KEYS, "left").withColumn(
         "top_categories", F.coalesce(F.col("top_categories"), F.array().cast("array<string>")))
     if housing_latest is not None:
-        rent = checked_broadcast(housing_latest.select(
-            T.norm_key("region_name").alias("_rk"), F.col("state_code").alias("_rs"),
-            F.col("metric_value_latest").cast("double").alias("zori_latest"),
+        from jobmart.operators.housing import rent_lookup
+
+        rent = checked_broadcast(rent_lookup(housing_latest).select(
+            "_rk", "_rs", F.col("metric_value_latest").cast("double").alias("zori_latest"),
             F.col("date_recorded").cast("date").alias("zori_date")))
         out = (out.join(rent, (T.norm_key("city") == rent._rk) & (F.col("state_code") == rent._rs), "left")
                .drop("_rk", "_rs")

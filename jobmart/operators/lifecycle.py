@@ -141,5 +141,5 @@ def not_in_silver(latest: DataFrame, silver: DataFrame, source: str) -> DataFram
 
 def restamp_stale(df: DataFrame, ts_col: str, as_of) -> DataFrame:
     """FLT-6 / DAT-7: ``SET processed_at = now WHERE processed_at < now - 1 hour``."""
-    now = F.lit(str(as_of)).cast("timestamp")
+    now = F.lit(str(as_of)).cast(df.schema[ts_col].dataType)
     return df.withColumn(ts_col, F.when(F.col(ts_col) < now - F.expr("INTERVAL 1 HOUR"), now).otherwise(F.col(ts_col)))

@@ -175,6 +175,7 @@ def oracle_sql() -> dict[str, str]:
         "AS avg_days_active FROM silver WHERE is_active GROUP BY source", silver=silver_sql())
     q.update(_sighting_queries())
     q.update(_enrich_queries())
+    q.update(_other_queries())
     return q
 
 
@@ -439,3 +440,206 @@ def _enrich_queries() -> dict[str, str]:
     q["silver_v1"] = _with("SELECT * FROM v1a UNION ALL SELECT * FROM v1j", **base, v1a=v1_first_sql(),
                            jraw=jsearch_raw_sql(), v1j=v1_second_sql())
     return q
+
+
+# --- housing, classifiers, maintenance --------------------------------------------------------
+
+def housing_sql() -> str:
+    months = [("2001-05-31", 5), ("2001-06-30", 6), ("2001-07-31", 7)]
+    cols = ", ".join(f"round(avg(CASE WHEN year(l_shipdate) = 2001 AND month(l_shipdate) = {m} "
+                     f"THEN l_extendedprice END) / 30, 2) AS m{m}" for _, m in months)
+    return f"""
+SELECT n_nationkey + 1 AS region_id, n_nationkey AS size_rank, lower(n_name) AS region_name,
+       CASE WHEN n_nationkey % 6 = 5 THEN 'country' ELSE 'msa' END AS region_type, r_name AS state_code, m5, m6, m7
+FROM nation JOIN region ON n_regionkey = r_regionkey
+LEFT JOIN (SELECT s_nationkey, {cols} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+           GROUP BY s_nationkey) x ON x.s_nationkey = n_nationkey"""
+
+
+HLATEST_SQL = """
+SELECT CAST(region_id AS INTEGER) AS region_id, CAST(size_rank AS INTEGER) AS size_rank, region_name, state_code,
+       'zillow_zori' AS data_source, 'rent_index_latest' AS metric_type, m7 AS metric_value_latest,
+       '2001-07-31' AS date_recorded
+FROM h WHERE region_type = 'msa'"""
+
+
+def _hist_sql(first: str, last: str) -> str:
+    return f"""
+SELECT c.city, c.state_code AS state, d.run_date,
+       coalesce(l.n, 0) AS active_jobs, coalesce(f.n, 0) AS new_jobs,
+       CAST(coalesce((SELECT SUM(x.n) FROM lastc x WHERE x.city = c.city AND x.state_code = c.state_code
+                      AND x.day < d.run_date), 0) AS BIGINT) AS expired_jobs
+FROM (SELECT DISTINCT city, state_code FROM silver WHERE source = 'adzuna') c
+CROSS JOIN (SELECT CAST(t.d AS DATE) AS run_date
+            FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) t(d)) d
+LEFT JOIN lastc l ON l.city = c.city AND l.state_code = c.state_code AND l.day = d.run_date
+LEFT JOIN firstc f ON f.city = c.city AND f.state_code = c.state_code AND f.day = d.run_date"""
+
+
+LASTC = "SELECT city, state_code, last_seen AS day, COUNT(*) AS n FROM silver WHERE source = 'adzuna' GROUP BY ALL"
+FIRSTC = "SELECT city, state_code, first_seen AS day, COUNT(*) AS n FROM silver WHERE source = 'adzuna' GROUP BY ALL"
+
+
+def _yoe_sql(text: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract({text}, '{p}', 1), '')" for p in K.YOE_PATTERNS) + ")"
+
+
+def _word_sql(expr: str, pat: str) -> str:
+    return f"regexp_matches(coalesce({expr}, ''), '\\b({pat})\\b', 'i')"
+
+
+def industry_sql() -> str:
+    parts = []
+    for label, title_pat, comp_pat in K.INDUSTRY_RULES:
+        cond = _word_sql("company", comp_pat)
+        if title_pat:
+            cond = f"({_word_sql('title', title_pat)} OR {cond})"
+        parts.append(f"WHEN {cond} THEN '{label}'")
+    startup = f"WHEN {_word_sql('company', K.STARTUP_COMPANY_PATTERN)} AND company_postings < {K.STARTUP_MAX_POSTINGS} " \
+              "THEN 'startup'"
+    return "CASE " + " ".join(parts) + " " + startup + " ELSE 'other' END"
+
+
+def _other_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["housing_latest"] = _with("SELECT * FROM hl", h=housing_sql(), hl=HLATEST_SQL)
+    q["housing_long"] = _with(" UNION ALL ".join(
+        f"SELECT CAST(region_id AS INTEGER) AS region_id, region_name, state_code, 'zillow_zori' AS data_source, "
+        f"'rent_index' AS metric_type, '{d}' AS date_recorded, m{m} AS metric_value FROM h "
+        f"WHERE region_type = 'msa' AND m{m} IS NOT NULL"
+        for d, m in (("2001-05-31", 5), ("2001-06-30", 6), ("2001-07-31", 7))), h=housing_sql())
+    q["city_mapping"] = _with(
+        "SELECT DISTINCT j.city, j.state, j.state_code, hl.region_name, CAST(NULL AS VARCHAR) AS cbsa_code "
+        "FROM silver j LEFT JOIN hl ON lower(j.city) = lower(hl.region_name) AND j.state_code = hl.state_code "
+        "WHERE j.is_active", silver=silver_sql(), h=housing_sql(), hl=HLATEST_SQL)
+    q["affordability"] = _with(
+        "SELECT s.city, s.state, s.avg_salary, hl.metric_value_latest AS zori_latest, "
+        "CASE WHEN hl.region_name IS NOT NULL THEN CAST(hl.date_recorded AS DATE) END AS zori_date, "
+        "s.avg_salary / hl.metric_value_latest AS salary_to_rent_ratio, "
+        "hl.metric_value_latest * 12 <= s.avg_salary * 0.3 AS affordable "
+        "FROM snap s LEFT JOIN hl ON lower(s.city) = lower(trim(hl.region_name)) AND s.state = hl.state_code",
+        silver=silver_sql(), snap=snapshot_sql(), h=housing_sql(), hl=HLATEST_SQL)
+    q["cbsa_lookup"] = _with(
+        "SELECT j.source, j.job_id, l.code AS cbsa_code FROM j LEFT JOIN (SELECT lower(trim(lower(r_name))) AS ls, "
+        "lower(trim(' ' || n_name || ' ')) AS lc, min(lpad(CAST(n_nationkey * 37 + 10000 AS VARCHAR), 5, '0')) AS code "
+        "FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST' GROUP BY 1, 2) l "
+        "ON lower(trim(j.state_code)) = l.ls AND lower(trim(j.city)) = l.lc", j=postings_sql())
+    t = "lower(title)"
+    title_kw = (f"CASE WHEN {_any(t, K.SENIOR_TITLE_TAGS)} THEN 'sr' WHEN {_any(t, K.MID_TITLE_TAGS)} THEN 'mid' "
+                f"WHEN {_any(t, K.JUNIOR_TITLE_TAGS)} THEN 'jr' END")
+    lo, hi = "CAST(salary_min AS DOUBLE)", "CAST(salary_max AS DOUBLE)"
+    band = (f"CASE WHEN {lo} IS NOT NULL AND {hi} IS NOT NULL AND {lo} <> 0 AND {hi} <> 0 THEN "
+            f"(CASE WHEN {lo} < {K.SALARY_JUNIOR_BELOW} THEN 'jr' WHEN {lo} > {K.SALARY_SENIOR_ABOVE} THEN 'sr' "
+            f"ELSE 'mid' END) END")
+
+    def yband(text: str) -> str:
+        y = f"CAST({_yoe_sql(text)} AS DOUBLE)"
+        return f"CASE WHEN {y} IS NOT NULL THEN (CASE WHEN {y} <= 3 THEN 'jr' WHEN {y} >= 7 THEN 'sr' ELSE 'mid' END) END"
+
+    d = "lower(coalesce(description, ''))"
+    jt_doc = (f"CASE WHEN contains({t}, 'intern') THEN 'intern' WHEN contains({d}, 'part time') THEN 'part-time' "
+              f"WHEN contains({d}, 'full time') THEN 'full-time' WHEN contains({d}, 'contract') THEN 'contract' "
+              "ELSE 'full-time' END")
+    q["classify_postings"] = _with(
+        f"SELECT source, job_id, {seniority_sql('title')} AS seniority, "
+        f"coalesce({title_kw}, {band}, {yband('description')}, 'mid') AS seniority_documented, "
+        f"{seniority_v1_sql('title', 'description')} AS seniority_v1, {band} AS salary_band, "
+        f"TRY_CAST({_yoe_sql('lower(description)')} AS BIGINT) AS yoe_min, {yband('lower(description)')} AS yoe_band, "
+        f"{remote_sql('title', 'description')} AS is_remote, {job_type_sql('description')} AS job_type, "
+        f"{jt_doc} AS job_type_documented FROM j", j=postings_sql())
+    q["classify_documents"] = (
+        f"SELECT doc_id, {seniority_sql('text')} AS seniority, {remote_sql('text', 'NULL')} AS is_remote, "
+        f"TRY_CAST({_yoe_sql('lower(text)')} AS BIGINT) AS yoe_min, {job_type_sql('text')} AS job_type FROM documents")
+    q["industry"] = _with(
+        f"SELECT source, job_id, {industry_sql()} AS industry FROM (SELECT j.*, c.company_postings FROM j "
+        "LEFT JOIN (SELECT company, COUNT(*) AS company_postings FROM j GROUP BY company) c "
+        "ON j.company = c.company) x", j=postings_sql())
+    txt = joined_sql("title", "description")
+    hint = "CASE " + " ".join(f"WHEN {_any(txt, words)} THEN '{label}'" for label, words in K.INDUSTRY_HINTS) + \
+        " ELSE coalesce(category_label, '') END"
+    edu = (f"CASE WHEN regexp_matches({d}, '\\b(bachelor|ba/bs|bs/ba|b\\.s\\.|b\\.a\\.)') THEN {_q(chr(98) + 'achelor' + chr(39) + 's')} "
+           f"WHEN regexp_matches({d}, '\\b(master|ms/|m\\.s\\.|mba)') THEN {_q('master' + chr(39) + 's')} "
+           f"WHEN regexp_matches({d}, '\\b(phd|ph\\.d|doctorate)') THEN 'phd' END")
+    q["industry_hints"] = _with(f"SELECT source, job_id, {hint} AS industry_hint, {edu} AS education FROM j",
+                                j=postings_sql())
+    codes = ", ".join(_q(v) for v in K.US_STATES.values())
+    lower_map = "CASE lower(trim(state_input)) " + " ".join(
+        f"WHEN {_q(k.lower())} THEN {_q(v)}" for k, v in K.US_STATES.items()) + " END"
+    q["state_abbrev"] = _with(
+        f"SELECT state_input, CASE WHEN state_input IS NULL OR state_input = '' THEN '' "
+        f"WHEN length(lower(trim(state_input))) = 2 AND upper(lower(trim(state_input))) IN ({codes}) "
+        f"THEN upper(lower(trim(state_input))) ELSE coalesce({lower_map}, state_input) END AS state_abbrev "
+        "FROM (SELECT DISTINCT unnest([state, lower(state), upper(state), '  ' || state || ' ', substring(state, 1, 2), "
+        "upper(substring(state, 1, 2)), state_code]) AS state_input FROM j) v", j=postings_sql())
+    raw = "concat_ws(', ', city, state_code)"
+    q["location"] = _with(
+        f"SELECT source, job_id, CASE WHEN source = 'adzuna' THEN (CASE WHEN city <> '' AND state <> '' "
+        f"THEN city || ', ' || state ELSE {raw} END) WHEN source = 'jsearch' THEN {raw} END AS location, "
+        "CASE WHEN source = 'adzuna' THEN 'County' WHEN source = 'jsearch' THEN '' END AS county FROM j",
+        j=postings_sql())
+    chg = (f"SELECT source, job_id, title, CASE WHEN description <> '' THEN {seniority_v1_sql('title', 'description')} "
+           f"END AS old_s, {seniority_sql('title')} AS new_s FROM j")
+    q["seniority_backfill_matrix"] = _with(
+        "SELECT change_type, COUNT(*) AS n_jobs FROM (SELECT CASE WHEN old_s IS NULL THEN 'null_to_value' "
+        "WHEN old_s = new_s THEN 'no_change' ELSE old_s || ' → ' || new_s END AS change_type FROM chg) c "
+        "GROUP BY change_type", j=postings_sql(), chg=chg)
+    q["seniority_backfill_sample"] = _with(
+        "SELECT CASE WHEN length(job_id) > 15 THEN left(job_id, 12) || '...' ELSE job_id END AS job_id, "
+        "CASE WHEN length(title) > 40 THEN left(title, 37) || '...' ELSE title END AS title, "
+        "coalesce(old_s, 'NULL') AS old_seniority, new_s AS new_seniority FROM chg "
+        "WHERE old_s IS DISTINCT FROM new_s ORDER BY chg.job_id LIMIT 10", j=postings_sql(), chg=chg)
+    q["description_backfill"] = _with(
+        "SELECT COUNT(*) AS jobs_needing_descriptions, COUNT(*) AS updated, "
+        "COUNT(*) FILTER (WHERE description <> '') AS jobs_with_descriptions, "
+        "COUNT(*) FILTER (WHERE description IS NULL OR description = '') AS jobs_still_missing "
+        "FROM enr WHERE reject_reason IS NULL", raw=raw_sql(), enr=enrich_sql("raw WHERE source = 'adzuna'"))
+    nn_s = ["source", "job_id", "title", "first_seen", "last_seen"]
+    nn_g = ["city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs"]
+
+    def dq(table: str, src: str, keys: list[str], nn: list[str], dom: dict) -> str:
+        k = ", ".join(keys)
+        rows = [f"SELECT '{table}' AS table_name, 'duplicate_key' AS check_name, '{','.join(keys)}' AS column_name, "
+                f"CAST(coalesce((SELECT SUM(n - 1) FROM (SELECT COUNT(*) AS n FROM {src} GROUP BY {k}) x "
+                f"WHERE n > 1), 0) AS BIGINT) AS violations"]
+        rows += [f"SELECT '{table}', 'not_null', '{c}', COUNT(*) FILTER (WHERE {c} IS NULL) FROM {src}" for c in nn]
+        rows += [f"SELECT '{table}', 'domain', '{c}', COUNT(*) FILTER (WHERE NOT ({c} IN ({', '.join(map(_q, vals))}))) "
+                 f"FROM {src}" for c, vals in dom.items()]
+        return " UNION ALL ".join(rows)
+
+    q["dq_report"] = _with(
+        dq("silver.jobs_v2", "silver", ["source", "job_id"], nn_s, {"seniority": ["jr", "mid", "sr"]}) + " UNION ALL " +
+        dq("gold.city_job_stats", "stats", ["city", "state", "run_date"], nn_g, {}),
+        silver=silver_sql(), stats=stats_sql())
+    both = "salary_min IS NOT NULL AND salary_max IS NOT NULL"
+    q["posting_trends"] = _with(
+        f"SELECT first_seen AS date, city, source, COUNT(*) AS job_count, "
+        f"CAST(SUM(CASE WHEN {both} THEN salary_min + salary_max END) AS DOUBLE) "
+        f"/ NULLIF(2 * COUNT(*) FILTER (WHERE {both}), 0) AS avg_salary FROM silver GROUP BY first_seen, city, source",
+        silver=silver_sql())
+
+    def chg_pct(a: str, b: str) -> str:
+        return f"round(CAST(({a} - {b}) * 100 AS DOUBLE) / NULLIF({b}, 0), 2)"
+
+    q["wow_change"] = _with(
+        "SELECT a.city, a.state, a.run_date, a.active_jobs, w.active_jobs AS active_jobs_7d_ago, "
+        f"{chg_pct('a.active_jobs', 'w.active_jobs')} AS week_over_week_change, "
+        f"m.active_jobs AS active_jobs_30d_ago, {chg_pct('a.active_jobs', 'm.active_jobs')} AS month_over_month_change "
+        "FROM hist a LEFT JOIN hist w ON w.city = a.city AND w.state = a.state AND w.run_date = a.run_date - 7 "
+        "LEFT JOIN hist m ON m.city = a.city AND m.state = a.state AND m.run_date = a.run_date - 30",
+        silver=silver_sql(), lastc=LASTC, firstc=FIRSTC, hist=_hist_sql("2001-06-02", RUN))
+    q["city_trend"] = _with(
+        "SELECT h.city, h.state, h.run_date, s.total_jobs, h.active_jobs, h.new_jobs, s.avg_salary_min, "
+        "s.avg_salary_max, h.active_jobs - lag(h.active_jobs) OVER (PARTITION BY h.city, h.state ORDER BY h.run_date) "
+        "AS active_change FROM hist h JOIN stats s ON h.city = s.city AND h.state = s.state",
+        silver=silver_sql(), stats=stats_sql(), lastc=LASTC, firstc=FIRSTC, hist=_hist_sql("2001-07-03", RUN))
+    q["city_score_inputs"] = _with(
+        "SELECT s.city, s.state, s.total_jobs, s.avg_salary_max, "
+        "round(CAST(100 * s.remote_jobs AS DOUBLE) / NULLIF(s.total_jobs, 0), 2) AS remote_share, "
+        "hl.metric_value_latest AS rent_index FROM stats s LEFT JOIN hl "
+        "ON lower(trim(s.city)) = lower(trim(hl.region_name)) AND s.state = hl.state_code",
+        silver=silver_sql(), stats=stats_sql(), h=housing_sql(), hl=HLATEST_SQL)
+    asof = "TIMESTAMP '2024-01-15 12:00:00'"
+    stamped = f"CASE WHEN ts < {asof} - INTERVAL 1 HOUR THEN {asof} ELSE ts END"
+    q["restamp_stale"] = (f"SELECT event_id, {stamped} AS processed_at, "
+                          f"CAST({stamped} AS DATE) = DATE '2024-01-15' AS fetched_today FROM events")
+    return q

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import constants as K
-from jobmart.operators import analysis, calls, gold, lifecycle
+from jobmart.functions import text as T
+from jobmart.operators import analysis, calls, gold, housing, lifecycle, maintenance
 from jobmart.operators import silver as silver_ops
 from jobmart.sources import adapter
 from jobmart.sources.tables import write_table
@@ -21,9 +22,19 @@ RUN = K.FIXTURE_RUN_DATE
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter's postings, landed once per application as a parquet table.
+
+    Downstream jobs read it like the stored silver table they read in
+    production: the scan prunes columns, and the fixture's join/CASE projection
+    is not fused into (and recomputed by) every classifier plan.
+    """
+    return write_table(adapter.postings(spark, sf_dir, RUN), "postings", (sf_dir, RUN))
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """silver.jobs_v2 as of the fixture run date (J + observed classifications)."""
-    return gold.classify(adapter.postings(spark, sf_dir, RUN), RUN)
+    return gold.classify(postings(spark, sf_dir), RUN)
 
 
 def q_city_job_stats(spark, sf_dir):
@@ -206,6 +217,176 @@ def q_silver_v1(spark, sf_dir):
     return silver_ops.silver_v1(_v1_first(spark, sf_dir), _v1_second(spark, sf_dir))
 
 
+# --- housing ------------------------------------------------------------------------------
+
+def housing_wide(spark, sf_dir):
+    """The landed wide CSV (written once from the adapter, read back with its header)."""
+    import os
+
+    from jobmart.session import shared_dir
+
+    key = ("housing_csv", sf_dir)
+    path = _CSV.get(key)
+    if path is None:
+        import uuid
+
+        path = os.path.join(shared_dir(spark), f"zillow_wide-{uuid.uuid4().hex}")
+        adapter.housing_wide(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+        _CSV[key] = path
+    return housing.read_wide_csv(spark, path)
+
+
+_CSV: dict = {}
+
+
+def housing_latest(spark, sf_dir):
+    return housing.latest_metric(housing_wide(spark, sf_dir), "zillow_zori", "rent_index_latest")
+
+
+def q_housing_latest(spark, sf_dir):
+    return housing_latest(spark, sf_dir).drop("cbsa_code")
+
+
+def q_housing_long(spark, sf_dir):
+    return housing.long_history(housing_wide(spark, sf_dir), "zillow_zori", "rent_index")
+
+
+def q_city_mapping(spark, sf_dir):
+    return housing.city_mapping(silver(spark, sf_dir), housing_latest(spark, sf_dir))
+
+
+def q_affordability(spark, sf_dir):
+    snap = gold.latest_city_snapshot(silver(spark, sf_dir), RUN, housing_latest(spark, sf_dir))
+    return housing.affordability(snap)
+
+
+def q_cbsa_lookup(spark, sf_dir):
+    return housing.cbsa_codes(silver(spark, sf_dir), adapter.cbsa_lookup(spark, sf_dir))
+
+
+# --- classifiers ------------------------------------------------------------------------
+
+def q_classify_postings(spark, sf_dir):
+    j = postings(spark, sf_dir)
+    return j.select(
+        "source", "job_id",
+        T.title_seniority("title").alias("seniority"),
+        T.categorize_role_documented("title", "description", "salary_min", "salary_max").alias("seniority_documented"),
+        T.seniority_v1("title", "description").alias("seniority_v1"),
+        T.salary_band("salary_min", "salary_max").alias("salary_band"),
+        T.yoe_years(F.lower("description")).alias("yoe_min"),
+        T.yoe_band(F.lower("description")).alias("yoe_band"),
+        T.is_remote("title", "description").alias("is_remote"),
+        T.job_type_observed("description").alias("job_type"),
+        T.job_type_documented("title", "description").alias("job_type_documented"))
+
+
+def q_classify_documents(spark, sf_dir):
+    from jobmart.sources.tables import table
+
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    return d.select("doc_id", T.title_seniority("text").alias("seniority"),
+                    T.is_remote("text", F.lit(None)).alias("is_remote"),
+                    T.yoe_years(F.lower("text")).alias("yoe_min"),
+                    T.job_type_observed("text").alias("job_type"))
+
+
+def q_industry(spark, sf_dir):
+    from jobmart.sources.tables import checked_broadcast
+
+    j = postings(spark, sf_dir)
+    per_company = j.groupBy("company").agg(F.count("*").alias("company_postings"))
+    jj = j.join(checked_broadcast(per_company), "company", "left")
+    return jj.select("source", "job_id", T.industry("title", "company", "company_postings").alias("industry"))
+
+
+def q_industry_hints(spark, sf_dir):
+    j = postings(spark, sf_dir)
+    return j.select("source", "job_id",
+                    T.industry_hint("title", "description", "category_label").alias("industry_hint"),
+                    T.education("description").alias("education"))
+
+
+def q_state_abbrev(spark, sf_dir):
+    j = postings(spark, sf_dir)
+    vals = j.select(F.explode(F.array(
+        "state", F.lower("state"), F.upper("state"), F.concat(F.lit("  "), "state", F.lit(" ")),
+        F.substring("state", 1, 2), F.upper(F.substring("state", 1, 2)), "state_code")).alias("state_input")).distinct()
+    return vals.select("state_input", T.state_abbreviation("state_input").alias("state_abbrev"))
+
+
+def q_location(spark, sf_dir):
+    j = postings(spark, sf_dir)
+    raw = F.concat_ws(", ", "city", "state_code")
+    county = F.when(F.col("source") == "adzuna", F.lit("County")).otherwise(F.lit(None))
+    return j.select("source", "job_id",
+                    T.standardize_location("city", county, "state", raw, "source").alias("location"),
+                    T.standardize_county(county, "source").alias("county"))
+
+
+# --- maintenance / data quality ---------------------------------------------------------------
+
+def _seniority_changes(spark, sf_dir):
+    j = postings(spark, sf_dir).withColumn(
+        "_yoe", T.yoe_match(T.joined_lower("title", "description")))
+    old = F.when(F.col("description") != "", T.seniority_v1("title", "description", "_yoe"))
+    return maintenance.seniority_changes(j.withColumn("seniority", old), T.title_seniority("title"))
+
+
+def q_seniority_backfill_matrix(spark, sf_dir):
+    return maintenance.transition_matrix(_seniority_changes(spark, sf_dir))
+
+
+def q_seniority_backfill_sample(spark, sf_dir):
+    return maintenance.change_sample(_seniority_changes(spark, sf_dir))
+
+
+def q_description_backfill(spark, sf_dir):
+    raw = bronze(spark, sf_dir)
+    good, _ = silver_ops.split_valid(silver_ops.enrich_first_source(raw.where(F.col("source") == "adzuna"), RUN))
+    no_desc = good.withColumn("description", F.lit(None).cast("string"))
+    return maintenance.description_backfill(no_desc, raw)[1]
+
+
+def q_dq_report(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    stats = gold.city_job_stats(s, RUN)
+    return maintenance.dq_report(
+        {"silver.jobs_v2": (s, ["source", "job_id"], ["source", "job_id", "title", "first_seen", "last_seen"]),
+         "gold.city_job_stats": (stats, ["city", "state", "run_date"],
+                                 ["city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs"])},
+        {"silver.jobs_v2": {"seniority": ["jr", "mid", "sr"]}})
+
+
+def q_posting_trends(spark, sf_dir):
+    return maintenance.posting_trends(silver(spark, sf_dir))
+
+
+HISTORY_FROM = "2001-06-02"
+TREND_FROM = "2001-07-03"
+
+
+def q_wow_change(spark, sf_dir):
+    h = gold.city_job_stats_history(silver(spark, sf_dir), HISTORY_FROM, RUN)
+    h = h.select("city", "state", "run_date", "active_jobs")
+    h = maintenance.period_change(h, "active_jobs", 7, "week_over_week_change")
+    return maintenance.period_change(h, "active_jobs", 30, "month_over_month_change")
+
+
+def q_city_trend(spark, sf_dir):
+    return analysis.city_trend(gold.city_job_stats_history(silver(spark, sf_dir), TREND_FROM, RUN))
+
+
+def q_city_score_inputs(spark, sf_dir):
+    return maintenance.city_score_inputs(gold.city_job_stats(silver(spark, sf_dir), RUN), housing_latest(spark, sf_dir))
+
+
+def q_restamp_stale(spark, sf_dir):
+    e = adapter.sightings(spark, sf_dir).select("event_id", F.col("ts").alias("processed_at"))
+    out = lifecycle.restamp_stale(e, "processed_at", "2024-01-15 12:00:00")
+    return out.withColumn("fetched_today", F.to_date("processed_at") == F.lit("2024-01-15").cast("date"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -234,4 +415,24 @@ def queries() -> dict[str, Query]:
         "adzuna_v1_enrich": q_adzuna_v1_enrich,
         "jsearch_enrich": q_jsearch_enrich,
         "silver_v1": q_silver_v1,
+        "housing_latest": q_housing_latest,
+        "housing_long": q_housing_long,
+        "city_mapping": q_city_mapping,
+        "affordability": q_affordability,
+        "cbsa_lookup": q_cbsa_lookup,
+        "classify_postings": q_classify_postings,
+        "classify_documents": q_classify_documents,
+        "industry": q_industry,
+        "industry_hints": q_industry_hints,
+        "state_abbrev": q_state_abbrev,
+        "location": q_location,
+        "seniority_backfill_matrix": q_seniority_backfill_matrix,
+        "seniority_backfill_sample": q_seniority_backfill_sample,
+        "description_backfill": q_description_backfill,
+        "dq_report": q_dq_report,
+        "posting_trends": q_posting_trends,
+        "wow_change": q_wow_change,
+        "city_trend": q_city_trend,
+        "city_score_inputs": q_city_score_inputs,
+        "restamp_stale": q_restamp_stale,
     }

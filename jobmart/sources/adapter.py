@@ -232,3 +232,13 @@ def raw_jobs_as_of(raw: DataFrame, day: str) -> DataFrame:
     return (raw.where(F.col("first_seen") <= d)
             .withColumn("times_seen", F.when(later, F.col("times_seen") - 1).otherwise(F.col("times_seen")))
             .withColumn("last_seen", F.when(later, d).otherwise(F.col("last_seen"))))
+
+
+def cbsa_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A city -> CBSA code lookup keyed by padded, mixed-case names (one region left out)."""
+    n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    return (n.join(r, n.n_regionkey == r.r_regionkey).where(F.col("r_name") != "MIDDLE EAST")
+            .select(F.lower("r_name").alias("state_code"),
+                    F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("primary_city"),
+                    F.lpad((F.col("n_nationkey") * 37 + 10000).cast("string"), 5, "0").alias("cbsa_code")))
