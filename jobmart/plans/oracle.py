@@ -176,6 +176,7 @@ def oracle_sql() -> dict[str, str]:
     q.update(_sighting_queries())
     q.update(_enrich_queries())
     q.update(_other_queries())
+    q.update(_page_queries())
     return q
 
 
@@ -643,3 +644,27 @@ def _other_queries() -> dict[str, str]:
     q["restamp_stale"] = (f"SELECT event_id, {stamped} AS processed_at, "
                           f"CAST({stamped} AS DATE) = DATE '2024-01-15' AS fetched_today FROM events")
     return q
+
+
+def _page_queries() -> dict[str, str]:
+    k = "CAST(job_id AS BIGINT)"
+    p = (f"SELECT *, {k} // 30000 AS bucket, CAST(1 + ({k} // 500) % 24 AS INTEGER) AS page FROM j "
+         f"WHERE source = 'adzuna' AND last_seen = DATE '{RUN}'")
+    pulls = ("SELECT city, bucket, COUNT(*) AS api_count, max(CAST(salary_max AS DOUBLE)) AS api_mean_salary, "
+             "bool_or(page = 1) AS has_first FROM p GROUP BY city, bucket")
+    good = ("SELECT DISTINCT city, bucket, page FROM p WHERE page <= 20 AND NOT "
+            "(((bucket + ascii(right(city, 1))) % 3 = 0 AND page = 9) OR ((bucket + ascii(right(city, 1))) % 3 = 1 AND page = 5))")
+    cut = ("SELECT u.city, u.bucket, min(s.s) AS cutoff FROM pulls u CROSS JOIN generate_series(1, 21) s(s) "
+           "WHERE NOT EXISTS (SELECT 1 FROM good g WHERE g.city = u.city AND g.bucket = u.bucket AND g.page = s.s) "
+           "GROUP BY u.city, u.bucket")
+    kept = (f"SELECT DATE '{RUN}' AS run_date, p.city, 'r' || CAST(p.bucket AS VARCHAR) AS role, p.page, p.job_id, "
+            "c.cutoff, p.bucket FROM p JOIN cut c ON p.city = c.city AND p.bucket = c.bucket WHERE p.page < c.cutoff")
+    ctes = dict(j=postings_sql(), p=p, pulls=pulls, good=good, cut=cut, kept=kept)
+    return {
+        "page_cutoff": _with("SELECT run_date, city, role, page, job_id FROM kept", **ctes),
+        "page_pulls": _with(
+            "SELECT k.run_date, k.city, k.role, CAST(max(k.cutoff) - 1 AS INTEGER) AS pages_fetched, "
+            "max(u.api_count) AS api_count, max(u.api_mean_salary) AS api_mean_salary, COUNT(*) AS postings "
+            "FROM kept k JOIN pulls u ON k.city = u.city AND k.bucket = u.bucket GROUP BY k.run_date, k.city, k.role",
+            **ctes),
+    }

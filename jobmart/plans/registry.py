@@ -387,6 +387,37 @@ def q_restamp_stale(spark, sf_dir):
     return out.withColumn("fetched_today", F.to_date("processed_at") == F.lit("2024-01-15").cast("date"))
 
 
+# --- landed pages -----------------------------------------------------------------------------
+
+def landed(spark, sf_dir):
+    """The page log as landed files (JSON lines), read back through the page reader."""
+    import os
+    import uuid
+
+    from jobmart.session import shared_dir
+    from jobmart.sources import pages
+
+    key = ("landed_pages", sf_dir)
+    path = _CSV.get(key)
+    if path is None:
+        path = os.path.join(shared_dir(spark), f"landed_pages-{uuid.uuid4().hex}")
+        adapter.landed_pages(postings(spark, sf_dir), RUN).write.json(path)
+        _CSV[key] = path
+    return pages.read_landed(spark, path)
+
+
+def q_page_cutoff(spark, sf_dir):
+    from jobmart.sources import pages
+
+    return pages.page_records(landed(spark, sf_dir)).select("run_date", "city", "role", "page", "job_id")
+
+
+def q_page_pulls(spark, sf_dir):
+    from jobmart.sources import pages
+
+    return pages.pull_summary(landed(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -435,4 +466,6 @@ def queries() -> dict[str, Query]:
         "city_trend": q_city_trend,
         "city_score_inputs": q_city_score_inputs,
         "restamp_stale": q_restamp_stale,
+        "page_cutoff": q_page_cutoff,
+        "page_pulls": q_page_pulls,
     }

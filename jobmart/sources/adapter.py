@@ -242,3 +242,36 @@ def cbsa_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lower("r_name").alias("state_code"),
                     F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("primary_city"),
                     F.lpad((F.col("n_nationkey") * 37 + 10000).cast("string"), 5, "0").alias("cbsa_code")))
+
+
+# Landed pages: a pull = (run_date, city, role bucket); keys are bucketed so every page
+# holds records from a fixed key range (bounded size at any scale).
+PULL_KEYS_PER_ROLE = 30000
+KEYS_PER_PAGE = 500
+PAGES_PER_PULL = 24
+CORRUPT_PAGE, EMPTY_PAGE = 9, 5
+
+
+def landed_pages(postings_df: DataFrame, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
+    """Page envelopes for the postings seen on ``run_date``: one row per (pull, page).
+
+    Some pulls get an unparsable page 9 or an empty page 5; pages past the
+    page limit are landed too, so the prefix rule and the limit both apply.
+    """
+    j = postings_df.where((F.col("source") == "adzuna") & (F.col("last_seen") == F.lit(run_date).cast("date")))
+    k = F.col("job_id").cast("bigint")
+    bucket = F.floor(k / PULL_KEYS_PER_ROLE)
+    j = j.select("*", F.lit(run_date).cast("date").alias("run_date"),
+                 F.concat(F.lit("r"), bucket.cast("string")).alias("role"),
+                 (F.floor(k / KEYS_PER_PAGE) % PAGES_PER_PULL + 1).cast("int").alias("page"),
+                 ((bucket + F.ascii(F.substring("city", -1, 1))) % 3).cast("int").alias("_defect"))
+    rec = _payload_struct(j, F.lit(-1))
+    pull = ["run_date", "city", "role"]
+    meta = j.groupBy(*pull).agg(F.count("*").alias("count"), F.max(F.col("salary_max").cast("double")).alias("mean"))
+    pages = j.groupBy(*pull, "page", "_defect").agg(F.array_sort(F.collect_list(rec)).alias("results"))
+    pages = pages.join(meta, pull)
+    empty = (F.col("_defect") == 1) & (F.col("page") == EMPTY_PAGE)
+    corrupt = (F.col("_defect") == 0) & (F.col("page") == CORRUPT_PAGE)
+    body = F.to_json(F.struct("count", "mean", F.when(empty, F.array().cast(pages.schema["results"].dataType))
+                              .otherwise(F.col("results")).alias("results")))
+    return pages.select(*pull, "page", F.when(corrupt, F.substring(body, 1, 30)).otherwise(body).alias("body"))
