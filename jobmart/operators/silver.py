@@ -20,23 +20,36 @@ from pyspark.sql import functions as F
 from jobmart.functions import text as T
 from jobmart.operators.lifecycle import KEY
 
-_V = "_v"
+_S = "_s"
+# Top-level fields of a first-source record, each kept as VARIANT: an absent key
+# is SQL NULL, a JSON null is a variant null.
+FIRST_SOURCE_TOP = ("struct<title variant, description variant, company variant, category variant, "
+                    "location variant, created variant, redirect_url variant, salary_min variant, "
+                    "salary_max variant>")
+SECOND_SOURCE_TOP = ("struct<job_id variant, job_title variant, job_description variant, employer_name variant, "
+                     "job_location variant, job_city variant, job_state variant, employer_company_type variant, "
+                     "job_apply_link variant, job_min_salary variant, job_max_salary variant, "
+                     "job_posted_at_datetime_utc variant, job_employment_type variant>")
 
 
-def _get(path: str, typ: str = "string") -> Column:
-    return F.try_variant_get(F.col(_V), path, typ)
+def _field(name: str) -> Column:
+    return F.col(f"{_S}.{name}")
 
 
-def _raw(path: str) -> Column:
-    return F.expr(f"variant_get({_V}, '{path}')")
+def _get(path: str, typ: str = "string") -> Column:
+    """``path`` = ``top`` or ``top.rest``: typed value (NULL when absent, null or not castable)."""
+    top, _, rest = path.partition(".")
+    return F.try_variant_get(_field(top), "$." + rest if rest else "$", typ)
 
 
 def _is_json_null(path: str) -> Column:
-    return F.coalesce(F.is_variant_null(_raw(path)), F.lit(False))
+    top, _, rest = path.partition(".")
+    v = _field(top) if not rest else F.try_variant_get(_field(top), "$." + rest, "variant")
+    return F.coalesce(F.is_variant_null(v), F.lit(False))
 
 
-def _type_of(path: str) -> Column:
-    return F.schema_of_variant(_raw(path))
+def _type_of(top: str) -> Column:
+    return F.schema_of_variant(_field(top))
 
 
 def _text(path: str) -> Column:
@@ -44,8 +57,16 @@ def _text(path: str) -> Column:
     return F.coalesce(_get(path), F.lit(""))
 
 
-def parse_payload(raw: DataFrame) -> DataFrame:
-    return raw.withColumn(_V, F.try_parse_json(F.col("payload")))
+def parse_payload(raw: DataFrame, top: str = FIRST_SOURCE_TOP) -> DataFrame:
+    """One parse per row into a struct of top-level variants (NULL: malformed / not an object).
+
+    The struct is emitted by a one-element ``explode`` (a Generate) rather than a
+    projection: a later filter on the reject reason is then evaluated on the
+    generated column instead of being pushed below it with the parse inlined
+    once per reference (which would re-parse every document ~10 times).
+    """
+    parsed = F.try_variant_get(F.try_parse_json(F.col("payload")), "$", top)
+    return raw.select("*", F.explode(F.array(parsed)).alias(_S))
 
 
 def post_date(created: Column) -> Column:
@@ -57,15 +78,15 @@ def post_date(created: Column) -> Column:
 def reject_reason() -> Column:
     """FLT-7: why the per-row enrichment would fail, NULL when the row is good."""
     checks = [
-        (F.col(_V).isNull(), "malformed_json"),
-        (_is_json_null("$.title"), "null_title"),
-        (F.coalesce(_type_of("$.title") != "STRING", F.lit(False)), "bad_title"),
-        (_is_json_null("$.description"), "null_description"),
-        (F.coalesce(_type_of("$.description") != "STRING", F.lit(False)), "bad_description"),
-        (_is_json_null("$.location"), "null_location"),
-        (_is_json_null("$.location.area"), "null_area"),
-        (_is_json_null("$.company"), "null_company"),
-        (_is_json_null("$.category"), "null_category"),
+        (F.col(_S).isNull(), "malformed_json"),
+        (_is_json_null("title"), "null_title"),
+        (F.coalesce(_type_of("title") != "STRING", F.lit(False)), "bad_title"),
+        (_is_json_null("description"), "null_description"),
+        (F.coalesce(_type_of("description") != "STRING", F.lit(False)), "bad_description"),
+        (_is_json_null("location"), "null_location"),
+        (_is_json_null("location.area"), "null_area"),
+        (_is_json_null("company"), "null_company"),
+        (_is_json_null("category"), "null_category"),
     ]
     out = F.when(checks[0][0], checks[0][1])
     for cond, reason in checks[1:]:
@@ -84,20 +105,20 @@ def enrich_first_source(raw: DataFrame, run_date) -> DataFrame:
     fields = v.select(
         *KEY, "first_seen", "last_seen", "times_seen",
         reject_reason().alias("reject_reason"),
-        _text("$.title").alias("title"),
-        _text("$.description").alias("description"),
-        _text("$.company.display_name").alias("company"),
-        _text("$.location.display_name").alias("location"),
-        F.coalesce(_get("$.location.area", "array<string>"), F.array().cast("array<string>")).alias("_area"),
+        _text("title").alias("title"),
+        _text("description").alias("description"),
+        _text("company.display_name").alias("company"),
+        _text("location.display_name").alias("location"),
+        F.coalesce(_get("location.area", "array<string>"), F.array().cast("array<string>")).alias("_area"),
         F.lit(None).cast("string").alias("cbsa_code"),
-        _text("$.category.tag").alias("category"),
-        _text("$.category.label").alias("category_label"),
-        _get("$.salary_min", "double").cast("decimal(12,2)").alias("salary_min"),
-        _get("$.salary_max", "double").cast("decimal(12,2)").alias("salary_max"),
-        F.coalesce(_get("$.created"), F.lit("")).alias("_created"),
-        _text("$.redirect_url").alias("url"),
-        _get("$.location.latitude", "double").alias("latitude"),
-        _get("$.location.longitude", "double").alias("longitude"),
+        _text("category.tag").alias("category"),
+        _text("category.label").alias("category_label"),
+        _get("salary_min", "double").cast("decimal(12,2)").alias("salary_min"),
+        _get("salary_max", "double").cast("decimal(12,2)").alias("salary_max"),
+        F.coalesce(_get("created"), F.lit("")).alias("_created"),
+        _text("redirect_url").alias("url"),
+        _get("location.latitude", "double").alias("latitude"),
+        _get("location.longitude", "double").alias("longitude"),
     )
     # 2) ... then derive from plain columns.
     area, n = F.col("_area"), F.size("_area")
@@ -188,16 +209,16 @@ def enrich_first_source_v1(raw: DataFrame) -> DataFrame:
     fields = v.select(
         F.lit("adzuna").alias("source"), "job_id",
         reject_reason().alias("_reason"),
-        F.coalesce(_get("$.location.area", "array<string>"), F.array().cast("array<string>")).alias("_area"),
-        _text("$.title").alias("title"),
-        _text("$.company.display_name").alias("company"),
-        _text("$.location.display_name").alias("location"),
-        _text("$.category.label").alias("category"),
-        _text("$.description").alias("description"),
-        _get("$.created").alias("post_date"),
-        _text("$.redirect_url").alias("url"),
-        _get("$.salary_min", "double").alias("salary_min"),
-        _get("$.salary_max", "double").alias("salary_max"),
+        F.coalesce(_get("location.area", "array<string>"), F.array().cast("array<string>")).alias("_area"),
+        _text("title").alias("title"),
+        _text("company.display_name").alias("company"),
+        _text("location.display_name").alias("location"),
+        _text("category.label").alias("category"),
+        _text("description").alias("description"),
+        _get("created").alias("post_date"),
+        _text("redirect_url").alias("url"),
+        _get("salary_min", "double").alias("salary_min"),
+        _get("salary_max", "double").alias("salary_max"),
     )
     area, n = F.col("_area"), F.size("_area")
     title, desc = F.col("title"), F.col("description")
@@ -217,26 +238,26 @@ def enrich_first_source_v1(raw: DataFrame) -> DataFrame:
 
 def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
     """PRJ-3 (+ STR-7/8/9, DAT-5): second-source records -> v1 silver columns."""
-    v = parse_payload(raw)
-    title, desc = _text("$.job_title"), _text("$.job_description")
-    location = _text("$.job_location")
-    raw_type = _text("$.job_employment_type")
-    posted = _text("$.job_posted_at_datetime_utc")
+    v = parse_payload(raw, SECOND_SOURCE_TOP)
+    title, desc = _text("job_title"), _text("job_description")
+    location = _text("job_location")
+    raw_type = _text("job_employment_type")
+    posted = _text("job_posted_at_datetime_utc")
     return v.select(
         F.lit("jsearch").alias("source"), "job_id",
-        F.when(F.col(_V).isNull(), F.lit("malformed_json")).alias("reject_reason"),
+        F.when(F.col(_S).isNull(), F.lit("malformed_json")).alias("reject_reason"),
         title.alias("title"),
-        _text("$.employer_name").alias("company"),
+        _text("employer_name").alias("company"),
         location.alias("location"),
-        _text("$.job_city").alias("city"),
+        _text("job_city").alias("city"),
         F.lit("").alias("county"),
-        T.second_source_state(_text("$.job_state"), location).alias("state"),
-        _text("$.employer_company_type").alias("category"),
+        T.second_source_state(_text("job_state"), location).alias("state"),
+        _text("employer_company_type").alias("category"),
         desc.alias("description"),
         F.when(posted != "", posted).otherwise(F.lit(str(run_date))).alias("post_date"),
-        _text("$.job_apply_link").alias("url"),
-        _get("$.job_min_salary", "double").alias("salary_min"),
-        _get("$.job_max_salary", "double").alias("salary_max"),
+        _text("job_apply_link").alias("url"),
+        _get("job_min_salary", "double").alias("salary_min"),
+        _get("job_max_salary", "double").alias("salary_max"),
         T.seniority_v1(title, desc).alias("seniority"),
         T.is_remote(title, desc).alias("is_remote"),
         T.standardize_job_type(raw_type, desc, F.lit("jsearch")).alias("job_type"),
