@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from jobmart import constants as K
 from jobmart.functions import text as T
-from jobmart.operators.quantiles import grouped_median
+from jobmart.operators.quantiles import grouped_medians
 from jobmart.sources.tables import checked_broadcast
 
 CITY_KEYS = ["city", "state_code"]
@@ -63,9 +63,8 @@ def city_job_stats(silver: DataFrame, run_date) -> DataFrame:
         F.count_if(F.col("seniority") == "mid").alias("mid_jobs"),
         F.count_if(F.col("seniority") == "sr").alias("senior_jobs"),
     )
-    med_min = grouped_median(src, CITY_KEYS, "salary_min", "median_salary_min")
-    med_max = grouped_median(src, CITY_KEYS, "salary_max", "median_salary_max")
-    out = _null_safe_join(_null_safe_join(counts, med_min, CITY_KEYS), med_max, CITY_KEYS)
+    meds = grouped_medians(src, CITY_KEYS, {"median_salary_min": "salary_min", "median_salary_max": "salary_max"})
+    out = _null_safe_join(counts, meds, CITY_KEYS)
     return out.select(
         "city", F.col("state_code").alias("state"), d.alias("run_date"),
         "total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary",
@@ -133,7 +132,7 @@ def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame
         "top_categories")
 
 
-def city_job_stats_history(silver: DataFrame, first_date, last_date) -> DataFrame:
+def city_job_stats_history(silver: DataFrame, first_date, last_date, with_totals: bool = True) -> DataFrame:
     """Gold rows for every run date in [first_date, last_date] in one pass (backfill).
 
     Only active / new / expired depend on ``run_date``. They come from
@@ -142,8 +141,6 @@ def city_job_stats_history(silver: DataFrame, first_date, last_date) -> DataFram
     days, instead of re-scanning the postings once per date.
     """
     src = silver.where(F.col("source") == "adzuna")
-    base = city_job_stats(silver.withColumn("is_active", F.lit(False)), last_date).drop(
-        "run_date", "active_jobs", "new_jobs", "expired_jobs")
     first = src.groupBy(*CITY_KEYS, F.col("first_seen").alias("day")).agg(F.count("*").alias("new_jobs"))
     last = src.groupBy(*CITY_KEYS, F.col("last_seen").alias("day")).agg(F.count("*").alias("n_last"))
     grid = src.select(*CITY_KEYS).distinct().select(
@@ -159,6 +156,10 @@ def city_job_stats_history(silver: DataFrame, first_date, last_date) -> DataFram
                      F.coalesce("active_jobs", F.lit(0)).alias("active_jobs"),
                      F.coalesce("new_jobs", F.lit(0)).alias("new_jobs"),
                      F.col("expired_jobs"))
+    if not with_totals:
+        return per
+    base = city_job_stats(silver.withColumn("is_active", F.lit(False)), last_date).drop(
+        "run_date", "active_jobs", "new_jobs", "expired_jobs")
     out = _null_safe_join(per, base, ["city", "state"], "inner")
     return out.select(
         "city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary",

@@ -54,27 +54,43 @@ def _pick(ranked: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """One row per group with a non-NULL value: keys + exact median ``out`` (double)."""
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    band = d.groupBy(*keys).agg(
+    res = grouped_medians(df, keys, {out: value})
+    return res.where(F.col(out).isNotNull())
+
+
+def grouped_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """Exact medians of several columns per group in one pass over ``df``.
+
+    ``columns`` maps output name -> input column. The columns are stacked into
+    (metric, value) rows so one band aggregation and one tagging pass serve all
+    of them. Returns one row per group that has a non-NULL value in any column.
+    """
+    metrics = list(columns)
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns.values())
+    ])).alias("_mv")).select(*keys, "_mv._m", "_mv._v").where(F.col("_v").isNotNull())
+    gk = keys + ["_m"]
+    band = stacked.groupBy(*gk).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_v", [max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)], ACCURACY).alias("_q"))
-    band = band.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_n",
+    band = band.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(gk)], "_n",
                        F.col("_q")[0].alias("_qlo"), F.col("_q")[1].alias("_qhi"))
-
-    cond = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(keys)]
-    tagged = d.join(band, cond).select(
-        *keys, "_n",
-        F.when(F.col("_v") < F.col("_qlo"), 0).when(F.col("_v") > F.col("_qhi"), 2).otherwise(1).alias("_tier"),
-        F.col("_v"))
-    tagged = tagged.withColumn("_v", F.when(F.col("_tier") == 1, F.col("_v")))
-    counts = tagged.groupBy(*keys, "_n", "_tier", "_v").agg(F.count("*").alias("_c"))
-    first = _pick(_ranked(counts, keys), keys, out)
-
-    # Groups whose middle ranks fell outside the band: all distinct values, no band.
-    bad = first.where(~F.col("_ok")).select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
-    redo_src = d.join(bad, [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(keys)], "left_semi")
-    redo_counts = (redo_src.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-                   .withColumn("_tier", F.lit(1))
-                   .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
-    second = _pick(_ranked(redo_counts, keys), keys, out)
-    return first.where(F.col("_ok")).drop("_ok").unionByName(second.drop("_ok"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(gk)]
+    tier = F.when(F.col("_v") < F.col("_qlo"), 0).when(F.col("_v") > F.col("_qhi"), 2).otherwise(1)
+    tagged = (stacked.join(band, cond).select(*gk, "_n", tier.alias("_tier"), F.col("_v"))
+              .withColumn("_v", F.when(F.col("_tier") == 1, F.col("_v"))))
+    counts = tagged.groupBy(*gk, "_n", "_tier", "_v").agg(F.count("*").alias("_c"))
+    # One row per (group, metric): small; kept in executor memory so the check below
+    # and the final result reuse it (recomputed from lineage if an executor is lost).
+    first = _pick(_ranked(counts, gk), gk, "_med").persist()
+    bad = first.where(~F.col("_ok")).select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(gk)])
+    result = first.where(F.col("_ok")).drop("_ok")
+    if not bad.isEmpty():
+        # Groups whose middle ranks fell outside the band (tiny groups only): all distinct values.
+        redo_src = stacked.join(bad, [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(gk)], "left_semi")
+        redo_counts = (redo_src.groupBy(*gk, "_v").agg(F.count("*").alias("_c"))
+                       .withColumn("_tier", F.lit(1))
+                       .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
+        result = result.unionByName(_pick(_ranked(redo_counts, gk), gk, "_med").drop("_ok"))
+    return result.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_m") == i, F.col("_med"))).alias(name) for i, name in enumerate(metrics)])

@@ -367,7 +367,7 @@ TREND_FROM = "2001-07-03"
 
 
 def q_wow_change(spark, sf_dir):
-    h = gold.city_job_stats_history(silver(spark, sf_dir), HISTORY_FROM, RUN)
+    h = gold.city_job_stats_history(silver(spark, sf_dir), HISTORY_FROM, RUN, with_totals=False)
     h = h.select("city", "state", "run_date", "active_jobs")
     h = maintenance.period_change(h, "active_jobs", 7, "week_over_week_change")
     return maintenance.period_change(h, "active_jobs", 30, "month_over_month_change")
