@@ -47,6 +47,24 @@ def change_sample(changes: DataFrame, k: int = 10) -> DataFrame:
                     "new_seniority"))
 
 
+def backfill_seniority(silver: DataFrame, new_value: Column, dry_run: bool = True, k: int = 10) -> dict:
+    """PIP-7: recompute seniority, report the transition matrix and a sample; when not a
+    dry run also return the updated table (``updated_at`` moved on changed rows)."""
+    changes = seniority_changes(silver, new_value)
+    out = {"matrix": transition_matrix(changes), "sample": change_sample(changes, k),
+           "n_changes": changes.where(F.col("changed"))}
+    if not dry_run:
+        upd = changes.where(F.col("changed")).select(*KEY, F.col("new_seniority").alias("seniority"))
+        new = apply_column_update(silver, upd, "seniority")
+        if "updated_at" in silver.columns:
+            hit = upd.select(*KEY, F.lit(True).alias("_chg"))
+            new = (new.join(hit, KEY, "left")
+                   .withColumn("updated_at", F.when(F.col("_chg"), F.current_timestamp()).otherwise(F.col("updated_at")))
+                   .drop("_chg"))
+        out["table"] = new
+    return out
+
+
 def apply_column_update(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
     """SNK-12: keyed column update (``updates`` = key + new value); other rows unchanged."""
     u = updates.select(*KEY, F.col(column).alias("_new"), F.lit(True).alias("_hit"))

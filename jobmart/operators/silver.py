@@ -155,12 +155,18 @@ def work_set(raw: DataFrame, silver: DataFrame, source: str = "adzuna") -> DataF
     return j.where(F.col("_s_last").isNull() | (F.col("last_seen") > F.col("_s_last"))).drop("_s_last")
 
 
-def upsert_silver(target: DataFrame, updates: DataFrame, keep: tuple[str, ...] = ("first_seen",)) -> DataFrame:
+def upsert_silver(target: DataFrame, updates: DataFrame,
+                  keep: tuple[str, ...] = ("first_seen", "processed_at")) -> DataFrame:
     """SNK-7: full-row upsert on (source, job_id); ``keep`` columns stay from the target.
 
-    Unmatched target rows are kept as they are, new keys are inserted.
+    Unmatched target rows are kept as they are, new keys are inserted. If the
+    table carries ``updated_at`` / ``processed_at`` (SNK-14), ``updated_at``
+    moves to ``current_timestamp()`` on every inserted or matched row and
+    ``processed_at`` is set on insert only.
     """
     cols = target.columns
+    now = F.current_timestamp()
+    updates = updates.withColumns({c: now for c in ("updated_at", "processed_at") if c in cols})
     u = updates.select(*KEY, *[F.col(c).alias(f"_u_{c}") for c in cols if c not in KEY])
     m = target.join(u, KEY, "full")
     hit = F.col("_u_last_seen").isNotNull()
@@ -264,6 +270,17 @@ def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
     )
 
 
+def v1_enrichment_batch(bronze_v1: DataFrame, silver_v1_table: DataFrame, source: str, run_date) -> DataFrame:
+    """PIP-4 / PIP-5: latest version per job (WIN-1), minus jobs already in silver (JOIN-3),
+    enriched with the source's v1 rules; the caller appends the good rows."""
+    from jobmart.operators import lifecycle
+
+    latest = lifecycle.not_in_silver(lifecycle.latest_version(bronze_v1), silver_v1_table, source)
+    if source == "jsearch":
+        return enrich_second_source(latest, run_date)
+    return enrich_first_source_v1(latest)
+
+
 def silver_v1(first_source: DataFrame, second_source: DataFrame) -> DataFrame:
     """SET-1: both v1 enrichers land in one table (``unionByName``)."""
     return first_source.unionByName(second_source)

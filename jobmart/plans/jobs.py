@@ -108,6 +108,31 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     return {"stats": spark.read.parquet(stats_path), "snapshot": snap}
 
 
+HOUSING_SCHEMA = ("region_id int, size_rank int, region_name string, state_code string, cbsa_code string, "
+                  "data_source string, metric_type string, metric_value_latest double, date_recorded string")
+
+
+def ingest_housing(spark: SparkSession, datasets: dict[str, str], root: str) -> dict[str, DataFrame]:
+    """SRC-5 / SNK-1: each wide CSV replaces its bronze table (schema taken from the file)."""
+    from jobmart.operators import housing
+
+    out = {}
+    for name, path in datasets.items():
+        dest = os.path.join(root, f"bronze_{name}")
+        housing.read_wide_csv(spark, path).write.mode("overwrite").parquet(dest)
+        out[name] = spark.read.parquet(dest)
+    return out
+
+
+def enrich_housing(spark: SparkSession, root: str, name: str, data_source: str, metric_type: str) -> DataFrame:
+    """PIP-6: latest metric per metro region into silver.housing_metrics, keyed replace (SNK-2)."""
+    from jobmart.operators import housing
+
+    wide = spark.read.parquet(os.path.join(root, f"bronze_{name}"))
+    t = VersionedTable(spark, os.path.join(root, "silver_housing_metrics"), HOUSING_SCHEMA)
+    return t.write(housing.replace_metrics(t.read(), housing.latest_metric(wide, data_source, metric_type)))
+
+
 SILVER_SCHEMA = (
     "source string, job_id string, first_seen date, last_seen date, times_seen int, title string, description string, "
     "company string, location string, cbsa_code string, category string, category_label string, "

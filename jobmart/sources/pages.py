@@ -64,3 +64,8 @@ def pull_summary(landed: DataFrame, records_path: str = "$.results", max_pages:
     return recs.groupBy(*PULL_KEY).agg(
         F.max("pages_fetched").alias("pages_fetched"), F.max("api_count").alias("api_count"),
         F.max("api_mean_salary").alias("api_mean_salary"), F.count("*").alias("postings"))
+
+
+def to_v1_rows(records: DataFrame) -> DataFrame:
+    """PRJ-4: v1 bronze envelope ``{source, job_id, fetched_at, payload}`` per record."""
+    return records.select("source", "job_id", F.col("run_date").alias("fetched_at"), "payload", "page", "position")

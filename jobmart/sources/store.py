@@ -47,3 +47,11 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> DataFrame:
         return self.commit(self.stage(df))
+
+    def truncate(self) -> DataFrame:
+        """SNK-13: a new, empty version (older versions stay readable until cleaned up)."""
+        return self.write(self.spark.createDataFrame([], self.schema))
+
+    def delete_where(self, condition) -> DataFrame:
+        """SNK-13: ``DELETE … WHERE condition`` as a filtered new version."""
+        return self.write(self.read().where(~condition))

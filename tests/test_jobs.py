@@ -62,3 +62,35 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
     n_cities = s1.where("source = 'adzuna'").select("city", "state_code").distinct().count()
     assert per_date == {DAYS[0]: n_cities, DAYS[-1]: n_cities}
     assert g["snapshot"].count() == n_cities
+
+
+def test_housing_jobs_are_idempotent(spark, tmp_root):
+    csv_dir = os.path.join(tmp_root, "csv")
+    adapter.housing_wide(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(csv_dir)
+    root = os.path.join(tmp_root, "store")
+    jobs.ingest_housing(spark, {"zillow_zori": csv_dir}, root)
+    h1 = jobs.enrich_housing(spark, root, "zillow_zori", "zillow_zori", "rent_index_latest")
+    jobs.ingest_housing(spark, {"zillow_zori": csv_dir}, root)  # loaded twice: no duplicates
+    h2 = jobs.enrich_housing(spark, root, "zillow_zori", "zillow_zori", "rent_index_latest")
+    assert h2.count() == h1.count() > 0
+    assert h2.select("date_recorded").distinct().collect()[0][0] == "2001-07-31"
+
+
+def test_backfill_and_v1_batch(spark):
+    from jobmart.functions import text as T
+    from jobmart.operators import maintenance, silver
+
+    j = registry.postings(spark, SF_SMALL).withColumn("seniority", F.lit("mid")) \
+        .withColumn("updated_at", F.lit(None).cast("timestamp"))
+    out = maintenance.backfill_seniority(j, T.title_seniority("title"), dry_run=False)
+    assert out["table"].where(F.col("seniority") != T.title_seniority("title")).count() == 0
+    changed = out["n_changes"].count()
+    assert out["table"].where(F.col("updated_at").isNotNull()).count() == changed
+    dry = maintenance.backfill_seniority(j, T.title_seniority("title"))
+    assert "table" not in dry and dry["sample"].count() == 10
+
+    raw = registry.bronze(spark, SF_SMALL)
+    v1 = raw.select("source", "job_id", F.col("last_seen").alias("fetched_at"), "payload")
+    empty = spark.createDataFrame([], "source string, job_id string")
+    batch = silver.v1_enrichment_batch(v1.where("source = 'adzuna'"), empty, "adzuna", "2001-08-01")
+    assert batch.count() == v1.where("source = 'adzuna'").count()
