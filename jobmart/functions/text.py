@@ -68,9 +68,12 @@ def yoe_match(text) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in K.YOE_PATTERNS])
 
 
-def yoe_years(text) -> Column:
-    """STR-14: minimum years as bigint (ranges give the lower bound; overflow -> NULL)."""
-    return yoe_match(text).try_cast("bigint")
+def yoe_years(text, match=None) -> Column:
+    """STR-14: minimum years as bigint (ranges give the lower bound; overflow -> NULL).
+
+    ``match``: optional precomputed :func:`yoe_match` column (wide projections
+    then run the four regexes once per row)."""
+    return (_c(match) if match is not None else yoe_match(text)).try_cast("bigint")
 
 
 def _years_band(text, mid_upper: int | None, match=None) -> Column:
@@ -81,15 +84,17 @@ def _years_band(text, mid_upper: int | None, match=None) -> Column:
     return F.when(y.isNotNull(), F.when(y <= 3, "jr").when(y <= mid_upper, "mid").otherwise("sr"))
 
 
-def yoe_band(text) -> Column:
+def yoe_band(text, match=None) -> Column:
     """STR-3: <=3 jr, >=7 sr, else mid; no match -> NULL."""
-    return _years_band(text, None)
+    return _years_band(text, None, match)
+
 
+def categorize_role_documented(title, description, salary_min, salary_max, yoe=None) -> Column:
+    """The hierarchy as documented: title keyword -> salary band -> YOE band -> mid.
 
-def categorize_role_documented(title, description, salary_min, salary_max) -> Column:
-    """The hierarchy as documented: title keyword -> salary band -> YOE band -> mid."""
+    ``yoe``: optional precomputed ``yoe_match(description)`` column."""
     return F.coalesce(title_keyword_or_null(title), salary_band(salary_min, salary_max),
-                      yoe_band(_c(description)), F.lit("mid"))
+                      yoe_band(_c(description), yoe), F.lit("mid"))
 
 
 # --- STR-4: v1 seniority (YOE -> level N -> senior hints -> junior hints -> mid) --

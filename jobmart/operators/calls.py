@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.operators.lifecycle import KEY
-from jobmart.sources.tables import checked_broadcast
 
 CALL_KEY = ["run_date", "city", "role"]
 CALL_COLS = CALL_KEY + ["pages_fetched", "api_count", "api_mean_salary", "jobs_retrieved"]
@@ -79,10 +78,11 @@ def duplicate_keys(log: DataFrame) -> DataFrame:
 def duplicate_rows(log: DataFrame) -> DataFrame:
     """JOIN-8: every row whose key is duplicated (tuple ``IN`` sub-query as a semi-join).
 
-    The key list is broadcast only when its size is proven small; otherwise a
-    shuffled semi-join with AQE skew splitting handles a hot key.
+    The key list is derived (an aggregate), so no eager size probe: AQE sees its
+    real size after the aggregation and broadcasts it when small; otherwise the
+    shuffled semi-join's skew handling splits a hot key.
     """
-    return log.join(checked_broadcast(duplicate_keys(log).select(*CALL_KEY)), CALL_KEY, "left_semi")
+    return log.join(duplicate_keys(log).select(*CALL_KEY), CALL_KEY, "left_semi")
 
 
 def keep_latest(log: DataFrame, order: list[str]) -> DataFrame:

@@ -226,6 +226,7 @@ def enrich_first_source_v1(raw: DataFrame) -> DataFrame:
         _get("salary_min", "double").alias("salary_min"),
         _get("salary_max", "double").alias("salary_max"),
     )
+    fields = fields.withColumn("_yoe", T.yoe_match(T.joined_lower("title", "description")))
     area, n = F.col("_area"), F.size("_area")
     title, desc = F.col("title"), F.col("description")
     return fields.select(
@@ -236,7 +237,7 @@ def enrich_first_source_v1(raw: DataFrame) -> DataFrame:
         F.when(n > 0, F.get(area, 2)).otherwise(F.lit("")).alias("county"),
         F.when(n > 0, T.state_code_exact(F.get(area, 1))).otherwise(F.lit("")).alias("state"),
         "category", "description", "post_date", "url", "salary_min", "salary_max",
-        T.seniority_v1(title, desc).alias("seniority"),
+        T.seniority_v1(title, desc, "_yoe").alias("seniority"),
         T.is_remote(title, desc).alias("is_remote"),
         T.job_type_observed(desc).alias("job_type"),
     )
@@ -245,7 +246,9 @@ def enrich_first_source_v1(raw: DataFrame) -> DataFrame:
 def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
     """PRJ-3 (+ STR-7/8/9, DAT-5): second-source records -> v1 silver columns."""
     v = parse_payload(raw, SECOND_SOURCE_TOP)
-    title, desc = _text("job_title"), _text("job_description")
+    v = v.select("*", _text("job_title").alias("_title"), _text("job_description").alias("_desc"))
+    v = v.withColumn("_yoe", T.yoe_match(T.joined_lower("_title", "_desc")))
+    title, desc = F.col("_title"), F.col("_desc")
     location = _text("job_location")
     raw_type = _text("job_employment_type")
     posted = _text("job_posted_at_datetime_utc")
@@ -264,7 +267,7 @@ def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
         _text("job_apply_link").alias("url"),
         _get("job_min_salary", "double").alias("salary_min"),
         _get("job_max_salary", "double").alias("salary_max"),
-        T.seniority_v1(title, desc).alias("seniority"),
+        T.seniority_v1(title, desc, "_yoe").alias("seniority"),
         T.is_remote(title, desc).alias("is_remote"),
         T.standardize_job_type(raw_type, desc, F.lit("jsearch")).alias("job_type"),
     )

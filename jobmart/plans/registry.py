@@ -29,7 +29,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     production: the scan prunes columns, and the fixture's join/CASE projection
     is not fused into (and recomputed by) every classifier plan.
     """
-    return write_table(adapter.postings(spark, sf_dir, RUN), "postings", (sf_dir, RUN))
+    return write_table(lambda: adapter.postings(spark, sf_dir, RUN), "postings", (sf_dir, RUN), spark)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ SILVER_OUT = ["source", "job_id", "title", "description", "company", "location",
 
 def bronze(spark, sf_dir):
     """bronze.raw_jobs for the run date, landed once as a parquet table."""
-    return write_table(adapter.raw_jobs(spark, sf_dir, RUN), "bronze_raw_jobs", (sf_dir, RUN))
+    return write_table(lambda: adapter.raw_jobs(postings(spark, sf_dir)), "bronze_raw_jobs", (sf_dir, RUN), spark)
 
 
 def _silver_out(df):
@@ -201,7 +201,7 @@ def _v1_first(spark, sf_dir):
 
 
 def _v1_second(spark, sf_dir):
-    return silver_ops.split_valid(silver_ops.enrich_second_source(adapter.jsearch_raw(spark, sf_dir, RUN), RUN))[0] \
+    return silver_ops.split_valid(silver_ops.enrich_second_source(adapter.jsearch_raw(postings(spark, sf_dir)), RUN))[0] \
         .select(*V1_OUT)
 
 
@@ -267,15 +267,18 @@ def q_cbsa_lookup(spark, sf_dir):
 # --- classifiers ------------------------------------------------------------------------
 
 def q_classify_postings(spark, sf_dir):
-    j = postings(spark, sf_dir)
+    j = postings(spark, sf_dir).select(
+        "*", T.yoe_match(T.joined_lower("title", "description")).alias("_yoe_txt"),
+        T.yoe_match("description").alias("_yoe_raw"), T.yoe_match(F.lower("description")).alias("_yoe_low"))
     return j.select(
         "source", "job_id",
         T.title_seniority("title").alias("seniority"),
-        T.categorize_role_documented("title", "description", "salary_min", "salary_max").alias("seniority_documented"),
-        T.seniority_v1("title", "description").alias("seniority_v1"),
+        T.categorize_role_documented("title", "description", "salary_min", "salary_max", "_yoe_raw")
+        .alias("seniority_documented"),
+        T.seniority_v1("title", "description", "_yoe_txt").alias("seniority_v1"),
         T.salary_band("salary_min", "salary_max").alias("salary_band"),
-        T.yoe_years(F.lower("description")).alias("yoe_min"),
-        T.yoe_band(F.lower("description")).alias("yoe_band"),
+        T.yoe_years(None, "_yoe_low").alias("yoe_min"),
+        T.yoe_band(None, "_yoe_low").alias("yoe_band"),
         T.is_remote("title", "description").alias("is_remote"),
         T.job_type_observed("description").alias("job_type"),
         T.job_type_documented("title", "description").alias("job_type_documented"))
@@ -292,11 +295,9 @@ def q_classify_documents(spark, sf_dir):
 
 
 def q_industry(spark, sf_dir):
-    from jobmart.sources.tables import checked_broadcast
-
     j = postings(spark, sf_dir)
     per_company = j.groupBy("company").agg(F.count("*").alias("company_postings"))
-    jj = j.join(checked_broadcast(per_company), "company", "left")
+    jj = j.join(per_company, "company", "left")  # AQE: broadcast if small at runtime, else skew-split
     return jj.select("source", "job_id", T.industry("title", "company", "company_postings").alias("industry"))
 
 

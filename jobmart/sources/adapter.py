@@ -124,12 +124,12 @@ def _payload_struct(j: DataFrame, defect: Column) -> Column:
     )
 
 
-def raw_jobs(spark: SparkSession, sf_dir: str, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
+def raw_jobs(postings_df: DataFrame) -> DataFrame:
     """bronze.raw_jobs built from J: key, lifecycle columns and the landed JSON payload.
 
     Defect rows carry JSON nulls, a dropped title key, or a truncated document.
     """
-    j = postings(spark, sf_dir, run_date)
+    j = postings_df
     defect = (F.col("job_id").cast("bigint") % DEFECT_MOD).cast("int")
     j = j.select("source", "job_id", "first_seen", "last_seen", "times_seen", defect.alias("_d"),
                  _payload_struct(j, defect).alias("_st"))
@@ -143,9 +143,9 @@ def raw_jobs(spark: SparkSession, sf_dir: str, run_date: str = K.FIXTURE_RUN_DAT
     return j.select("source", "job_id", "first_seen", "last_seen", "times_seen", payload.alias("payload"))
 
 
-def jsearch_raw(spark: SparkSession, sf_dir: str, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
+def jsearch_raw(postings_df: DataFrame) -> DataFrame:
     """Second-source bronze rows (source jsearch) with the second-source record shape."""
-    j = postings(spark, sf_dir, run_date).where(F.col("source") == "jsearch")
+    j = postings_df.where(F.col("source") == "jsearch")
     k = F.col("job_id").cast("bigint")
     state_field = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.col("state")).otherwise(F.col("state_code"))
     location = F.when(k % 3 == 0, F.concat_ws(", ", F.col("city"), F.lit("IL"))).otherwise(F.col("city"))

@@ -34,25 +34,27 @@ def checked_broadcast(df: DataFrame, max_rows: int = K.BROADCAST_MAX_ROWS) -> Da
 _WRITTEN: dict[tuple, str] = {}
 
 
-def write_table(df: DataFrame, name: str, key: tuple = ()) -> DataFrame:
+def write_table(df, name: str, key: tuple = (), spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and return the re-read table.
 
     This is how the jobs cut lineage (never ``localCheckpoint``): the folder is
     the one the cluster names in ``spark.checkpoint.dir`` (see
     :func:`jobmart.session.shared_dir`), so a lost executor re-reads files
     instead of recomputing the plan. ``key`` lets callers reuse a table
-    written earlier in the same application.
+    written earlier in the same application; ``df`` may then be a zero-argument
+    builder, called only when the table is not written yet.
     """
     import uuid
 
     from jobmart.session import shared_dir
 
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     cache_key = (spark.sparkContext.applicationId, name, key)
     path = _WRITTEN.get(cache_key) if key else None
     if path is None:
+        frame = df() if callable(df) else df
         path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-        df.write.mode("overwrite").parquet(path)
+        frame.write.mode("overwrite").parquet(path)
         if key:
             _WRITTEN[cache_key] = path
     return spark.read.parquet(path)
