@@ -91,3 +91,13 @@ def test_insert_ignore_and_latest(spark):
     assert got == [("1", "2024-01-01", "p2"), ("1", "2024-01-02", "p3"), ("2", "2024-01-01", "q1")]
     latest = sorted((r.job_id, r.payload) for r in L.latest_version(t2).collect())
     assert latest == [("1", "p3"), ("2", "q1")]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One job id carrying a third of all sightings: same answer as the plain fold."""
+    e = adapter.sightings(spark, SF_SMALL)
+    hot = e.withColumn("job_id", F.when(F.col("event_id") % 3 == 0, F.lit("HOT")).otherwise(F.col("job_id")))
+    events = [r.asDict() for r in hot.collect()]
+    assert _as_dict(L.fold_sightings(hot)) == _py_fold(events)
+    half = L.fold_sightings(hot.where(F.col("run_date") <= dt.date(2024, 1, 12)))
+    assert _as_dict(L.upsert_sightings(half, hot, ORDER).drop("changed")) == _py_fold(events)
