@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobmart.sources.tables import write_table
+
 ACCURACY = 10_000
 _BAND = 3.0 / ACCURACY
 
@@ -80,9 +82,9 @@ def grouped_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) ->
     tagged = (stacked.join(band, cond).select(*gk, "_n", tier.alias("_tier"), F.col("_v"))
               .withColumn("_v", F.when(F.col("_tier") == 1, F.col("_v"))))
     counts = tagged.groupBy(*gk, "_n", "_tier", "_v").agg(F.count("*").alias("_c"))
-    # One row per (group, metric): small; kept in executor memory so the check below
-    # and the final result reuse it (recomputed from lineage if an executor is lost).
-    first = _pick(_ranked(counts, gk), gk, "_med").persist()
+    # One row per (group, metric): small. Written once to the shared folder, so the
+    # check below and the final result read it instead of re-running both passes.
+    first = write_table(_pick(_ranked(counts, gk), gk, "_med"), "median_groups")
     bad = first.where(~F.col("_ok")).select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(gk)])
     result = first.where(F.col("_ok")).drop("_ok")
     if not bad.isEmpty():
