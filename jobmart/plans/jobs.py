@@ -24,7 +24,12 @@ PULL_ORDER = ["city", "role", "page", "position"]
 
 
 def bronze_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, os.path.join(root, "bronze_raw_jobs"), BRONZE_SCHEMA)
+    """bronze.raw_jobs, bucketed by job_id: the daily upsert shuffles only the batch.
+
+    The bucket count is fixed per table (``jobmart.bronze.buckets``; size it so a
+    bucket of the full table is a comfortable task, e.g. ~4096 for 100 TB)."""
+    n = int(spark.conf.get("jobmart.bronze.buckets", "16"))
+    return VersionedTable(spark, os.path.join(root, "bronze_raw_jobs"), BRONZE_SCHEMA, bucket_by=("job_id", n))
 
 
 def calls_log_table(spark: SparkSession, root: str) -> VersionedTable:

@@ -94,3 +94,14 @@ def test_backfill_and_v1_batch(spark):
     empty = spark.createDataFrame([], "source string, job_id string")
     batch = silver.v1_enrichment_batch(v1.where("source = 'adzuna'"), empty, "adzuna", "2001-08-01")
     assert batch.count() == v1.where("source = 'adzuna'").count()
+
+
+def test_bucketed_bronze_is_not_reshuffled(spark, tmp_root):
+    bt = jobs.bronze_table(spark, os.path.join(tmp_root, "store"))
+    e = adapter.sightings(spark, SF_SMALL)
+    bt.write(L.fold_sightings(e).withColumn("changed", F.lit(False)))
+    up = L.upsert_sightings(bt.read().drop("changed"), e.where(F.col("run_date") == dt.date(2024, 1, 30)))
+    plan = up._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    full = [ln for ln in plan.splitlines() if "FullOuter" in ln]
+    assert full  # the target side of the full outer join is read in place (no Exchange above its scan)
