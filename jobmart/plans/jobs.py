@@ -26,10 +26,22 @@ PULL_ORDER = ["city", "role", "page", "position"]
 def bronze_table(spark: SparkSession, root: str) -> VersionedTable:
     """bronze.raw_jobs, bucketed by job_id: the daily upsert shuffles only the batch.
 
-    The bucket count is fixed per table (``jobmart.bronze.buckets``; size it so a
-    bucket of the full table is a comfortable task, e.g. ~4096 for 100 TB)."""
-    n = int(spark.conf.get("jobmart.bronze.buckets", "16"))
-    return VersionedTable(spark, os.path.join(root, "bronze_raw_jobs"), BRONZE_SCHEMA, bucket_by=("job_id", n))
+    The bucket count is fixed per table (``jobmart.buckets``; size it so a bucket
+    of the full table is a comfortable task, e.g. ~4096 for 100 TB)."""
+    return VersionedTable(spark, os.path.join(root, "bronze_raw_jobs"), BRONZE_SCHEMA, bucket_by=_buckets(spark))
+
+
+def silver_table(spark: SparkSession, root: str) -> VersionedTable:
+    """silver.jobs_v2, bucketed like bronze: the work-set join and the upsert are co-located."""
+    return VersionedTable(spark, os.path.join(root, "silver_jobs_v2"), SILVER_SCHEMA, bucket_by=_buckets(spark))
+
+
+def _buckets(spark: SparkSession) -> tuple[str, int]:
+    # Tables are bucketed by job_id while the keys are (source, job_id). job_id alone is
+    # high-cardinality, so letting a job_id partitioning serve a (source, job_id) join is
+    # skew-free, and it keeps the bronze ⋈ silver work set and the upserts shuffle-free.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return "job_id", int(spark.conf.get("jobmart.buckets", "16"))
 
 
 def calls_log_table(spark: SparkSession, root: str) -> VersionedTable:
@@ -88,10 +100,10 @@ def job_calls(spark: SparkSession, root: str) -> DataFrame:
         F.sum("jobs_retrieved").alias("jobs_retrieved"))
 
 
-def enrich(spark: SparkSession, root: str, run_date, silver_schema: str | None = None) -> dict:
+def enrich(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-2: bronze -> silver (work set, enrich, quarantine, upsert, activity flags)."""
     raw = bronze_table(spark, root).read().drop("changed")
-    st = VersionedTable(spark, os.path.join(root, "silver_jobs_v2"), silver_schema or SILVER_SCHEMA)
+    st = silver_table(spark, root)
     new, bad = silver.enrich_run(raw, st.read(), run_date)
     out = st.write(new)
     VersionedTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string") \
@@ -101,7 +113,7 @@ def enrich(spark: SparkSession, root: str, run_date, silver_schema: str | None =
 
 def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9)."""
-    s = VersionedTable(spark, os.path.join(root, "silver_jobs_v2"), SILVER_SCHEMA).read()
+    s = silver_table(spark, root).read()
     stats_path = os.path.join(root, "gold_city_job_stats")
     # Dynamic partition overwrite replaces only this run_date's partition.
     gold.city_job_stats(s, run_date).write.mode("overwrite").partitionBy("run_date").parquet(stats_path)

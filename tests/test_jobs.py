@@ -105,3 +105,23 @@ def test_bucketed_bronze_is_not_reshuffled(spark, tmp_root):
     assert "Bucketed: true" in plan
     full = [ln for ln in plan.splitlines() if "FullOuter" in ln]
     assert full  # the target side of the full outer join is read in place (no Exchange above its scan)
+
+
+def test_daily_enrichment_needs_no_shuffle(spark, tmp_root):
+    from jobmart.operators import silver as S
+
+    root = os.path.join(tmp_root, "store")
+    raw = registry.bronze(spark, SF_SMALL)
+    bt, st = jobs.bronze_table(spark, root), jobs.silver_table(spark, root)
+    bt.write(raw.withColumn("changed", F.lit(False)))
+    prev = raw.where("source = 'adzuna' and first_seen <= '2001-07-31'")
+    good, _ = S.split_valid(S.enrich_first_source(prev, "2001-07-31"))
+    st.write(good.select(*spark.createDataFrame([], jobs.SILVER_SCHEMA).columns))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shape it has at scale
+    try:
+        new, _ = S.enrich_run(bt.read().drop("changed"), st.read(), "2001-08-01")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") >= 2
