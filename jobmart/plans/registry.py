@@ -226,17 +226,17 @@ def housing_wide(spark, sf_dir):
     from jobmart.session import shared_dir
 
     key = ("housing_csv", sf_dir)
-    path = _CSV.get(key)
+    path = _LANDED_PATHS.get(key)
     if path is None:
         import uuid
 
         path = os.path.join(shared_dir(spark), f"zillow_wide-{uuid.uuid4().hex}")
         adapter.housing_wide(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
-        _CSV[key] = path
+        _LANDED_PATHS[key] = path
     return housing.read_wide_csv(spark, path)
 
 
-_CSV: dict = {}
+_LANDED_PATHS: dict = {}
 
 
 def housing_latest(spark, sf_dir):
@@ -399,11 +399,11 @@ def landed(spark, sf_dir):
     from jobmart.sources import pages
 
     key = ("landed_pages", sf_dir)
-    path = _CSV.get(key)
+    path = _LANDED_PATHS.get(key)
     if path is None:
         path = os.path.join(shared_dir(spark), f"landed_pages-{uuid.uuid4().hex}")
         adapter.landed_pages(postings(spark, sf_dir), RUN).write.json(path)
-        _CSV[key] = path
+        _LANDED_PATHS[key] = path
     return pages.read_landed(spark, path)
 
 

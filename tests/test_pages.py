@@ -25,3 +25,14 @@ def test_cutoff_rules(spark):
     assert got == sorted(exp)
     summ = {r.city: (r.pages_fetched, r.api_count, r.postings) for r in pages.pull_summary(landed).collect()}
     assert summ == {"A": (2, 99, 3), "B": (1, 99, 1), "D": (20, 99, 20)}
+
+
+def test_second_source_envelope(spark):
+    d = dt.date(2024, 1, 1)
+    body = json.dumps({"data": [{"job_id": "j1", "job_title": "Analyst"}, {"job_id": "j2"}]})
+    rows = [(d, "A", "r", 1, body), (d, "A", "r", 2, body),          # only one page per pull is used
+            (d, "B", "r", 1, "<html>error</html>")]                 # a failed call yields nothing
+    landed = spark.createDataFrame(rows, pages.LANDED_SCHEMA)
+    recs = pages.page_records(landed, records_path="$.data", max_pages=1, source="jsearch")
+    got = sorted((r.city, r.page, r.position, r.source, r.job_id) for r in recs.collect())
+    assert got == [("A", 1, 0, "jsearch", "j1"), ("A", 1, 1, "jsearch", "j2")]
