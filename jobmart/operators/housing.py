@@ -62,17 +62,27 @@ def replace_metrics(target: DataFrame, new: DataFrame) -> DataFrame:
     return target.join(new.select(*HOUSING_KEY), HOUSING_KEY, "left_anti").unionByName(new)
 
 
-def rent_lookup(housing: DataFrame) -> DataFrame:
+def region_key(region_name, strip_state_suffix: bool = False):
+    """Join key of a housing region: lower(trim(name)); optionally drop a trailing ", ST"
+    (metro names such as "Chicago, IL" — off by default, as the source data format is unknown)."""
+    name = F.col(region_name) if isinstance(region_name, str) else region_name
+    if strip_state_suffix:
+        name = F.regexp_replace(name, r",\s*[A-Za-z]{2}\s*$", "")
+    return T.norm_key(name)
+
+
+def rent_lookup(housing: DataFrame, strip_state_suffix: bool = False) -> DataFrame:
     """One row per (lower(trim(region_name)), state_code): smallest size rank wins."""
-    return (housing.groupBy(T.norm_key("region_name").alias("_rk"), F.col("state_code").alias("_rs"))
+    return (housing.groupBy(region_key("region_name", strip_state_suffix).alias("_rk"), F.col("state_code").alias("_rs"))
             .agg(F.min_by(F.struct("region_name", "cbsa_code", "metric_value_latest", "date_recorded"),
                           F.col("size_rank")).alias("_h"))
             .select("_rk", "_rs", "_h.*"))
 
 
-def city_mapping(silver: DataFrame, housing: DataFrame) -> DataFrame:
+def city_mapping(silver: DataFrame, housing: DataFrame, strip_state_suffix: bool = False) -> DataFrame:
     """JOIN-6 / AGG-15 / STR-18: DISTINCT active (city, state) x matching housing regions."""
-    h = checked_broadcast(housing.select(F.lower("region_name").alias("_rk"), F.col("state_code").alias("_rs"),
+    key = region_key("region_name", True) if strip_state_suffix else F.lower("region_name")
+    h = checked_broadcast(housing.select(key.alias("_rk"), F.col("state_code").alias("_rs"),
                                          "region_name", "cbsa_code"))
     j = silver.where(F.col("is_active")).select("city", "state", "state_code").distinct()
     return (j.join(h, (F.lower(j.city) == h._rk) & (j.state_code == h._rs), "left")

@@ -41,7 +41,7 @@ def page_records(landed: DataFrame, records_path: str = "$.results", max_pages:
     pulls = v.groupBy(*PULL_KEY).agg(
         F.array_sort(F.collect_set(F.when(good, F.col("page")))).alias("_good"),
         F.max(F.when((F.col("page") == 1) & F.col("_v").isNotNull(),
-                     F.try_variant_get("_v", "$.count", "bigint"))).alias("api_count"),
+                     F.coalesce(F.try_variant_get("_v", "$.count", "bigint"), F.lit(0)))).alias("api_count"),
         F.max(F.when((F.col("page") == 1) & F.col("_v").isNotNull(),
                      F.try_variant_get("_v", "$.mean", "double"))).alias("api_mean_salary"))
     first_gap = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(max_pages + 1)),

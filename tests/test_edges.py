@@ -74,3 +74,16 @@ def test_filter_new_and_v1_rows(spark):
     landed = spark.createDataFrame([(D, "C", "r", 1, '{"count": 1, "results": [{"id": 7}]}')], pages.LANDED_SCHEMA)
     v1 = pages.to_v1_rows(pages.page_records(landed)).collect()
     assert [(r.source, r.job_id, r.fetched_at) for r in v1] == [("adzuna", "7", D)]
+
+
+def test_region_state_suffix_normaliser(spark):
+    h = spark.createDataFrame([(1, 1, "Chicago, IL", "IL", None)],
+                              "region_id int, size_rank int, region_name string, state_code string, cbsa_code string")
+    s = _silver(spark, [("adzuna", "1", "A", "", "Chicago", "Illinois", "IL", "IT", 1, 2, D, D, 1)])
+    assert [r.region_name for r in housing.city_mapping(s, h).collect()] == [None]  # default: as the source
+    assert [r.region_name for r in housing.city_mapping(s, h, strip_state_suffix=True).collect()] == ["Chicago, IL"]
+
+
+def test_api_count_defaults_to_zero(spark):
+    landed = spark.createDataFrame([(D, "C", "r", 1, '{"results": [{"id": 1}]}')], pages.LANDED_SCHEMA)
+    assert [(r.api_count, r.api_mean_salary) for r in pages.pull_summary(landed).collect()] == [(0, None)]
