@@ -2,22 +2,28 @@
 
 The built-in ``percentile`` keeps a value→count map per group and merges it in
 a single task, so a hot group (a third of all rows) with many distinct values
-becomes one huge task. Here the exact answer is found in three distributed
-steps:
-
-1. per group: ``n`` and an approximate band ``[lo, hi]`` around the median
-   from ``percentile_approx`` (a mergeable sketch with a deterministic rank
-   error of ``n / accuracy``);
-2. every value is mapped to (tier, value): tier 0 = below the band (value
-   dropped), 1 = inside (value kept), 2 = above (value dropped), then counted
-   per (group, tier, value) — partial aggregation collapses duplicates and the
-   shuffle is spread over distinct in-band values, not over groups;
-3. a running count over that small table (≈ 6·n/accuracy + 2 rows per group)
-   gives exact ranks; the two middle ranks are read and interpolated.
-
-A group whose middle ranks are not inside the band (possible only for tiny
+becomes one huge task. Here the exact answer is found with two passes over
+the data and small follow-up steps:
+
+1. per (group, metric): ``n`` and an approximate band ``[lo, hi]`` around the
+   median from ``percentile_approx`` (a mergeable sketch with a deterministic
+   rank error of ``n / accuracy``);
+2. every value is tagged below / inside / above the band, and in-band values
+   get an equal-width sub-bucket ``b`` of the band (monotone in the value).
+   Rows are counted per (group, metric, tier, b, value): partial aggregation
+   collapses duplicates, and the shuffle spreads over distinct values, not
+   over groups;
+3. summing those counts per (tier, b) gives a histogram of at most
+   ``SUB_BUCKETS + 2`` rows per group; a running count over it finds the
+   sub-bucket and the offset of each middle rank;
+4. only the (at most two) target sub-buckets are ranked value by value, so
+   the largest window is one sub-bucket (≈ 6·n / (accuracy · SUB_BUCKETS)
+   distinct values), not the group.
+
+A group whose middle ranks fall outside its band (possible only for tiny
 groups, where the sketch and the band coincide) is recomputed over all of its
-distinct values, which is cheap exactly because such groups are tiny.
+distinct values — cheap exactly because such groups are tiny — and only when
+the small per-group result shows that such a group exists.
 """
 
 from __future__ import annotations
@@ -28,30 +34,34 @@ from pyspark.sql import functions as F
 from jobmart.sources.tables import write_table
 
 ACCURACY = 10_000
+SUB_BUCKETS = 4096
 _BAND = 3.0 / ACCURACY
 
 
-def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """counts(keys, _tier, _v, _c) -> rows carrying [_lo_rank, _hi_rank) per value."""
-    w = Window.partitionBy(*keys).orderBy("_tier", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+def _alias_keys(keys: list[str]) -> list:
+    return [F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)]
 
 
-def _pick(ranked: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """Interpolate the values at ranks floor((n-1)/2) and ceil((n-1)/2)."""
-    r1 = F.floor((F.col("_n") - 1) / 2)
-    r2 = F.ceil((F.col("_n") - 1) / 2)
-    hit1 = (F.col("_start") <= r1) & (r1 < F.col("_end"))
-    hit2 = (F.col("_start") <= r2) & (r2 < F.col("_end"))
-    agg = ranked.groupBy(*keys).agg(
-        F.max(F.when(hit1 & (F.col("_tier") == 1), F.col("_v"))).alias("_v1"),
-        F.max(F.when(hit2 & (F.col("_tier") == 1), F.col("_v"))).alias("_v2"),
-        F.max(F.when(hit1, F.col("_tier"))).alias("_t1"),
-        F.max(F.when(hit2, F.col("_tier"))).alias("_t2"),
-    )
-    ok = (F.col("_t1") == 1) & (F.col("_t2") == 1)
-    return agg.select(*keys, ok.alias("_ok"),
-                      (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias(out))
+def _on(keys: list[str]):
+    return [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(keys)]
+
+
+def _middle_ranks():
+    return F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
+
+
+def _exact_small(rows: DataFrame, gk: list[str]) -> DataFrame:
+    """Fallback for tiny groups: rank all distinct values of the group."""
+    counts = rows.groupBy(*gk, "_v").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counts.withColumn("_end", F.sum("_c").over(w))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk)))
+              .withColumn("_start", F.col("_end") - F.col("_c")))
+    r1, r2 = _middle_ranks()
+    agg = ranked.groupBy(*gk).agg(
+        F.max(F.when((F.col("_start") <= r1) & (r1 < F.col("_end")), F.col("_v"))).alias("_v1"),
+        F.max(F.when((F.col("_start") <= r2) & (r2 < F.col("_end")), F.col("_v"))).alias("_v2"))
+    return agg.select(*gk, (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("_med"))
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -61,38 +71,65 @@ def grouped_median(df: DataFrame, keys: list[str], value: str, out: str) -> Data
 
 
 def grouped_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
-    """Exact medians of several columns per group in one pass over ``df``.
+    """Exact medians of several columns per group, two passes over ``df``.
 
     ``columns`` maps output name -> input column. The columns are stacked into
-    (metric, value) rows so one band aggregation and one tagging pass serve all
-    of them. Returns one row per group that has a non-NULL value in any column.
+    (metric, value) rows so the band and the tagging pass serve all of them.
+    Returns one row per group that has a non-NULL value in any column.
     """
     metrics = list(columns)
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns.values())
     ])).alias("_mv")).select(*keys, "_mv._m", "_mv._v").where(F.col("_v").isNotNull())
     gk = keys + ["_m"]
+
+    # 1. band per (group, metric)
     band = stacked.groupBy(*gk).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_v", [max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)], ACCURACY).alias("_q"))
-    band = band.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(gk)], "_n",
-                       F.col("_q")[0].alias("_qlo"), F.col("_q")[1].alias("_qhi"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(gk)]
-    tier = F.when(F.col("_v") < F.col("_qlo"), 0).when(F.col("_v") > F.col("_qhi"), 2).otherwise(1)
-    tagged = (stacked.join(band, cond).select(*gk, "_n", tier.alias("_tier"), F.col("_v"))
-              .withColumn("_v", F.when(F.col("_tier") == 1, F.col("_v"))))
-    counts = tagged.groupBy(*gk, "_n", "_tier", "_v").agg(F.count("*").alias("_c"))
-    # One row per (group, metric): small. Written once to the shared folder, so the
-    # check below and the final result read it instead of re-running both passes.
-    first = write_table(_pick(_ranked(counts, gk), gk, "_med"), "median_groups")
-    bad = first.where(~F.col("_ok")).select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(gk)])
-    result = first.where(F.col("_ok")).drop("_ok")
+    band = band.select(*_alias_keys(gk), "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+
+    # 2. tier + sub-bucket per row, counted per distinct value
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    tier = F.when(v < lo, 0).when(v > hi, 2).otherwise(1)
+    sub = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * SUB_BUCKETS), F.lit(SUB_BUCKETS - 1))) \
+        .otherwise(F.lit(0))
+    tagged = stacked.join(band, _on(gk)).select(
+        *gk, "_n", tier.alias("_tier"),
+        F.when(tier == 1, sub).alias("_sb"), F.when(tier == 1, v).alias("_v"))
+    counts = tagged.groupBy(*gk, "_n", "_tier", "_sb", "_v").agg(F.count("*").alias("_c"))
+
+    # 3. histogram over (tier, sub-bucket): <= SUB_BUCKETS + 2 rows per group
+    hist = counts.groupBy(*gk, "_n", "_tier", "_sb").agg(F.sum("_c").alias("_hc"))
+    wh = Window.partitionBy(*gk).orderBy("_tier", "_sb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_hend", F.sum("_hc").over(wh)).withColumn("_hstart", F.col("_hend") - F.col("_hc"))
+    r1, r2 = _middle_ranks()
+    hit1 = (F.col("_hstart") <= r1) & (r1 < F.col("_hend"))
+    hit2 = (F.col("_hstart") <= r2) & (r2 < F.col("_hend"))
+    targets = hist.groupBy(*gk).agg(
+        F.max(F.when(hit1, F.col("_tier"))).alias("_t1"), F.max(F.when(hit2, F.col("_tier"))).alias("_t2"),
+        F.max(F.when(hit1, F.col("_sb"))).alias("_sb1"), F.max(F.when(hit2, F.col("_sb"))).alias("_sb2"),
+        F.max(F.when(hit1, r1 - F.col("_hstart"))).alias("_o1"),
+        F.max(F.when(hit2, r2 - F.col("_hstart"))).alias("_o2"))
+    # One row per (group, metric): small; written once so the check and the ranking reuse it.
+    targets = write_table(targets.withColumn("_ok", (F.col("_t1") == 1) & (F.col("_t2") == 1)), "median_targets")
+
+    # 4. rank values inside the target sub-buckets only
+    good = targets.where("_ok").select(*_alias_keys(gk), "_sb1", "_sb2", "_o1", "_o2")
+    inband = counts.where(F.col("_tier") == 1).join(good, _on(gk))
+    inband = inband.where((F.col("_sb") == F.col("_sb1")) | (F.col("_sb") == F.col("_sb2")))
+    wv = Window.partitionBy(*gk, "_sb").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inband.withColumn("_end", F.sum("_c").over(wv)).withColumn("_start", F.col("_end") - F.col("_c"))
+
+    def at(sb: str, off: str):
+        return (F.col("_sb") == F.col(sb)) & (F.col("_start") <= F.col(off)) & (F.col(off) < F.col("_end"))
+
+    picked = ranked.groupBy(*gk).agg(F.max(F.when(at("_sb1", "_o1"), F.col("_v"))).alias("_v1"),
+                                     F.max(F.when(at("_sb2", "_o2"), F.col("_v"))).alias("_v2"))
+    result = picked.select(*gk, (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("_med"))
+
+    bad = targets.where(~F.col("_ok")).select(*_alias_keys(gk))
     if not bad.isEmpty():
-        # Groups whose middle ranks fell outside the band (tiny groups only): all distinct values.
-        redo_src = stacked.join(bad, [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(gk)], "left_semi")
-        redo_counts = (redo_src.groupBy(*gk, "_v").agg(F.count("*").alias("_c"))
-                       .withColumn("_tier", F.lit(1))
-                       .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
-        result = result.unionByName(_pick(_ranked(redo_counts, gk), gk, "_med").drop("_ok"))
+        result = result.unionByName(_exact_small(stacked.join(bad, _on(gk), "left_semi"), gk))
     return result.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_m") == i, F.col("_med"))).alias(name) for i, name in enumerate(metrics)])

@@ -41,3 +41,26 @@ def test_stats_identities(spark):
     st = registry.q_city_job_stats(spark, SF_SMALL)
     assert st.where(F.col("junior_jobs") + F.col("mid_jobs") + F.col("senior_jobs") != F.col("total_jobs")).count() == 0
     assert st.where(F.col("active_jobs") + F.col("expired_jobs") > F.col("total_jobs")).count() == 0
+
+
+def test_grouped_median_randomized(spark):
+    rng = np.random.default_rng(11)
+    rows, exp = [], {}
+    for g in range(40):
+        n = int(rng.choice([1, 2, 3, 7, 50, 999, 6000]))
+        kind = g % 4
+        if kind == 0:
+            vals = rng.integers(-5, 5, n).astype(float)             # heavy ties around zero
+        elif kind == 1:
+            vals = np.full(n, 42.0)                                # a constant group (hi == lo)
+        elif kind == 2:
+            vals = rng.lognormal(10, 3, n)                         # extreme spread
+        else:
+            vals = rng.normal(0, 1e-6, n) + 1e9                    # tiny spread at a large magnitude
+        rows += [(f"g{g}", float(x)) for x in vals]
+        exp[f"g{g}"] = float(np.median(vals))
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.m for r in grouped_median(df, ["k"], "v", "m").collect()}
+    assert set(got) == set(exp)
+    for k, e in exp.items():
+        assert got[k] == e or abs(got[k] - e) <= 1e-9 * max(1.0, abs(e)), (k, got[k], e)
