@@ -160,3 +160,41 @@ SNAPSHOT_SCHEMA = (
     "city string, state string, active_jobs bigint, new_jobs_7d bigint, new_jobs_30d bigint, avg_salary double, "
     "job_growth_rate_7d double, job_growth_rate_30d double, zori_latest double, zori_date date, "
     "salary_to_rent_ratio double, top_categories array<string>")
+
+
+def backfill_descriptions(spark: SparkSession, root: str) -> DataFrame:
+    """PIP-8 as a job: fill missing silver descriptions from bronze; returns the report row."""
+    from jobmart.operators import maintenance
+
+    st = silver_table(spark, root)
+    new, report = maintenance.description_backfill(st.read(), bronze_table(spark, root).read().drop("changed"))
+    report = spark.createDataFrame(report.collect(), report.schema)  # one row, taken before the rewrite
+    st.write(new)
+    return report
+
+
+def backfill_seniority(spark: SparkSession, root: str, dry_run: bool = True) -> dict:
+    """PIP-7 as a job: matrix + sample always; the silver rewrite only when not a dry run."""
+    from jobmart.functions import text as T
+    from jobmart.operators import maintenance
+
+    st = silver_table(spark, root)
+    out = maintenance.backfill_seniority(st.read(), T.title_seniority("title"), dry_run=dry_run)
+    if not dry_run:
+        out["table"] = st.write(out["table"])
+    return out
+
+
+def analyses(spark: SparkSession, root: str, run_date) -> dict[str, DataFrame]:
+    """PIP-11 over the stored gold / silver tables."""
+    from jobmart.operators import analysis
+
+    stats = spark.read.parquet(os.path.join(root, "gold_city_job_stats"))
+    snap = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA).read()
+    s = silver_table(spark, root).read()
+    return {"top_cities_active": analysis.top_cities_active(snap),
+            "city_trend": analysis.city_trend(stats),
+            "remote_share": analysis.remote_share(stats, run_date),
+            "seniority_distribution": analysis.seniority_distribution(stats, run_date),
+            "job_persistence": analysis.job_persistence(s),
+            "salary_ranges": analysis.salary_ranges(stats, run_date)}

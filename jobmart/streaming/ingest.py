@@ -16,14 +16,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from jobmart.plans import jobs
-from jobmart.session import shared_dir
 from jobmart.sources.pages import LANDED_SCHEMA
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | None = None,
                       available_now: bool = True):
     stream = spark.readStream.schema(LANDED_SCHEMA).json(landing_dir)
-    checkpoint = checkpoint or os.path.join(shared_dir(spark), "streams", "page_ingest")
+    # The stream's file log lives next to the tables it feeds (the same shared root).
+    checkpoint = checkpoint or os.path.join(root, "_streams", "page_ingest")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():

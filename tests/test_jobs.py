@@ -125,3 +125,18 @@ def test_daily_enrichment_needs_no_shuffle(spark, tmp_root):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") >= 2
+
+
+def test_cli_daily_flow(spark, tmp_root):
+    from jobmart import cli
+
+    landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "store")
+    _landing_for(spark, DAYS[-1]).write.json(landing)
+    cli.main(["--root", root, "ingest-pages", landing])
+    cli.main(["--root", root, "enrich", "--run-date", DAYS[-1]])
+    cli.main(["--root", root, "gold", "--run-date", DAYS[-1]])
+    out = jobs.analyses(spark, root, DAYS[-1])
+    assert out["top_cities_active"].count() > 0 and out["remote_share"].count() > 0
+    rep = jobs.backfill_descriptions(spark, root).first()
+    assert rep.jobs_needing_descriptions >= 0
+    assert jobs.backfill_seniority(spark, root)["matrix"].count() >= 1
