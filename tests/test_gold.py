@@ -64,3 +64,18 @@ def test_grouped_median_randomized(spark):
     assert set(got) == set(exp)
     for k, e in exp.items():
         assert got[k] == e or abs(got[k] - e) <= 1e-9 * max(1.0, abs(e)), (k, got[k], e)
+
+
+def test_grouped_median_fallback_path(spark, monkeypatch):
+    """A coarse sketch and no band margin make the band miss; the exact fallback must take over."""
+    from jobmart.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "_BAND", 0.0)
+    rng = np.random.default_rng(3)
+    rows = [(f"g{g}", float(x)) for g in range(6) for x in rng.normal(g * 10, 3, 500 + g)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.m for r in quantiles.grouped_median(df, ["k"], "v", "m").collect()}
+    for g in range(6):
+        vals = [v for k, v in rows if k == f"g{g}"]
+        assert abs(got[f"g{g}"] - float(np.median(vals))) < 1e-9
