@@ -8,6 +8,7 @@
     python -m jobmart.cli --root /shared/jobmart backfill-seniority [--apply]
     python -m jobmart.cli --root /shared/jobmart backfill-descriptions
     python -m jobmart.cli --root /shared/jobmart analyses --run-date 2024-01-31
+    python -m jobmart.cli --root /shared/jobmart data-quality
 
 ``--run-date`` is always explicit (no "today" inside the jobs).
 """
@@ -36,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     s = sub.add_parser("backfill-seniority")
     s.add_argument("--apply", action="store_true")
     sub.add_parser("backfill-descriptions")
+    sub.add_parser("data-quality")
     a = p.parse_args(argv)
 
     spark = get_spark()
@@ -57,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
         out["sample"].show(truncate=False)
     elif a.cmd == "backfill-descriptions":
         jobs.backfill_descriptions(spark, a.root).show(truncate=False)
+    elif a.cmd == "data-quality":
+        jobs.data_quality(spark, a.root).show(50, truncate=False)
     elif a.cmd == "analyses":
         for name, df in jobs.analyses(spark, a.root, a.run_date).items():
             print(name)

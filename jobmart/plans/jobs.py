@@ -198,3 +198,16 @@ def analyses(spark: SparkSession, root: str, run_date) -> dict[str, DataFrame]:
             "seniority_distribution": analysis.seniority_distribution(stats, run_date),
             "job_persistence": analysis.job_persistence(s),
             "salary_ranges": analysis.salary_ranges(stats, run_date)}
+
+
+def data_quality(spark: SparkSession, root: str) -> DataFrame:
+    """DQ-1..3 over the stored silver and gold tables (one small long-format report)."""
+    from jobmart.operators import maintenance
+
+    s = silver_table(spark, root).read()
+    stats = spark.read.parquet(os.path.join(root, "gold_city_job_stats"))
+    return maintenance.dq_report(
+        {"silver.jobs_v2": (s, ["source", "job_id"], ["source", "job_id", "title", "first_seen", "last_seen"]),
+         "gold.city_job_stats": (stats, ["city", "state", "run_date"],
+                                 ["city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs"])},
+        {"silver.jobs_v2": {"seniority": ["jr", "mid", "sr"]}})

@@ -26,6 +26,15 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED_SCHEMA).json(path)
 
 
+def read_landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-1 for raw response files: one file per fetched page, the pull keys in the path
+    (``…/run_date=YYYY-MM-DD/city=…/role=…/page=N/<file>``), the file text as the body."""
+    df = spark.read.option("basePath", path).text(path, wholetext=True)
+    return df.select(F.col("run_date").cast("date").alias("run_date"), F.col("city").cast("string").alias("city"),
+                     F.col("role").cast("string").alias("role"), F.col("page").cast("int").alias("page"),
+                     F.col("value").alias("body"))
+
+
 def page_records(landed: DataFrame, records_path: str = "$.results", max_pages: int = K.MAX_PAGES,
                  source: str = "adzuna") -> DataFrame:
     """SRC-2 + ARR-3: records of the kept pages with pull metadata.

@@ -140,3 +140,6 @@ def test_cli_daily_flow(spark, tmp_root):
     rep = jobs.backfill_descriptions(spark, root).first()
     assert rep.jobs_needing_descriptions >= 0
     assert jobs.backfill_seniority(spark, root)["matrix"].count() >= 1
+    dq = {(r.table_name, r.check_name, r.column_name): r.violations for r in jobs.data_quality(spark, root).collect()}
+    assert dq[("silver.jobs_v2", "duplicate_key", "source,job_id")] == 0
+    assert dq[("gold.city_job_stats", "duplicate_key", "city,state,run_date")] == 0

@@ -36,3 +36,17 @@ def test_second_source_envelope(spark):
     recs = pages.page_records(landed, records_path="$.data", max_pages=1, source="jsearch")
     got = sorted((r.city, r.page, r.position, r.source, r.job_id) for r in recs.collect())
     assert got == [("A", 1, 0, "jsearch", "j1"), ("A", 1, 1, "jsearch", "j2")]
+
+
+def test_raw_response_files(spark, tmp_root):
+    import os
+
+    for city, page, body in [("Chicago", 1, _env([1, 2])), ("Chicago", 2, _env([])), ("Detroit", 1, _env([3]))]:
+        d = os.path.join(tmp_root, "run_date=2024-01-01", f"city={city}", "role=data analyst", f"page={page}")
+        os.makedirs(d)
+        with open(os.path.join(d, "response.json"), "w") as f:
+            f.write(json.dumps(json.loads(body), indent=2))  # multi-line raw file
+    landed = pages.read_landed_files(spark, tmp_root)
+    got = sorted((r.city, r.role, r.page, r.job_id) for r in pages.page_records(landed).collect())
+    assert got == [("Chicago", "data analyst", 1, "1"), ("Chicago", "data analyst", 1, "2"),
+                   ("Detroit", "data analyst", 1, "3")]
