@@ -66,8 +66,11 @@ def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: in
     batch_id, merged with ``greatest``) are committed, then the bronze pointer
     flips. A replay after the flip computes zero new jobs and keeps the audit.
     """
+    from jobmart.sources.tables import write_table
+
     bronze, log = bronze_table(spark, root), calls_log_table(spark, root)
-    recs = pages.page_records(landed)
+    # Parsed once: the upsert, the pull summary and the credits all read this (daily-sized) table.
+    recs = write_table(pages.page_records(landed), "landed_records")
     batch = recs.select(*lifecycle.KEY, "run_date", "payload", *PULL_ORDER)
     target = bronze.read().drop("changed")
     staged = bronze.stage(lifecycle.upsert_sightings(target, batch, PULL_ORDER))
@@ -102,9 +105,15 @@ def job_calls(spark: SparkSession, root: str) -> DataFrame:
 
 def enrich(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-2: bronze -> silver (work set, enrich, quarantine, upsert, activity flags)."""
+    from jobmart.sources.tables import write_table
+
     raw = bronze_table(spark, root).read().drop("changed")
     st = silver_table(spark, root)
-    new, bad = silver.enrich_run(raw, st.read(), run_date)
+    current = st.read()
+    # The day's work set, parsed and classified once; silver and the rejects both read it.
+    enriched = write_table(silver.enrich_first_source(silver.work_set(raw, current), run_date), "enriched_work")
+    good, bad = silver.split_valid(enriched)
+    new = silver.mark_active(silver.upsert_silver(current, good.select(*current.columns)), run_date)
     out = st.write(new)
     VersionedTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string") \
         .write(bad)
