@@ -220,3 +220,18 @@ def data_quality(spark: SparkSession, root: str) -> DataFrame:
          "gold.city_job_stats": (stats, ["city", "state", "run_date"],
                                  ["city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs"])},
         {"silver.jobs_v2": {"seniority": ["jr", "mid", "sr"]}})
+
+
+V1_BRONZE_SCHEMA = "job_id string, fetched_at date, source string, payload string"
+
+
+def ingest_v1(spark: SparkSession, landed: DataFrame, root: str, source: str,
+              records_path: str = "$.results", max_pages: int | None = None) -> DataFrame:
+    """v1 ingest (SRC-3 / PRJ-4 / SNK-3): page records -> bronze.<source>_jobs, insert-ignore
+    on (job_id, fetched_at); a replay of the same pages adds nothing."""
+    from jobmart import constants as K
+
+    t = VersionedTable(spark, os.path.join(root, f"bronze_{source}_jobs"), V1_BRONZE_SCHEMA)
+    recs = pages.page_records(landed, records_path, max_pages or K.MAX_PAGES, source)
+    rows = pages.to_v1_rows(recs)
+    return t.write(lifecycle.insert_ignore(t.read(), rows, ["page", "position"]))

@@ -143,3 +143,16 @@ def test_cli_daily_flow(spark, tmp_root):
     dq = {(r.table_name, r.check_name, r.column_name): r.violations for r in jobs.data_quality(spark, root).collect()}
     assert dq[("silver.jobs_v2", "duplicate_key", "source,job_id")] == 0
     assert dq[("gold.city_job_stats", "duplicate_key", "city,state,run_date")] == 0
+
+
+def test_v1_second_source_ingest_is_insert_only(spark, tmp_root):
+    import json
+
+    d = dt.date(2024, 1, 1)
+    body = json.dumps({"data": [{"job_id": "a", "job_title": "Analyst"}, {"job_id": "b"}, {"job_id": "a"}]})
+    landed = spark.createDataFrame([(d, "Chicago", "r", 1, body)], pages.LANDED_SCHEMA)
+    root = os.path.join(tmp_root, "store")
+    t1 = jobs.ingest_v1(spark, landed, root, "jsearch", "$.data", 1)
+    t2 = jobs.ingest_v1(spark, landed, root, "jsearch", "$.data", 1)
+    assert sorted((r.job_id, str(r.fetched_at)) for r in t2.collect()) == [("a", "2024-01-01"), ("b", "2024-01-01")]
+    assert t1.count() == t2.count() == 2
