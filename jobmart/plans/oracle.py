@@ -661,6 +661,12 @@ def _page_queries() -> dict[str, str]:
             "c.cutoff, p.bucket FROM p JOIN cut c ON p.city = c.city AND p.bucket = c.bucket WHERE p.page < c.cutoff")
     ctes = dict(j=postings_sql(), p=p, pulls=pulls, good=good, cut=cut, kept=kept)
     return {
+        "v1_envelope": _with(
+            "SELECT 'adzuna' AS source, job_id, run_date AS fetched_at, page, "
+            "CAST(row_number() OVER (PARTITION BY city, bucket, page ORDER BY job_id) - 1 AS INTEGER) AS position "
+            "FROM kept", **ctes),
+        "seen_today": _with(f"SELECT job_id FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}'",
+                            j=postings_sql()),
         "page_cutoff": _with("SELECT run_date, city, role, page, job_id FROM kept", **ctes),
         "page_pulls": _with(
             "SELECT k.run_date, k.city, k.role, CAST(max(k.cutoff) - 1 AS INTEGER) AS pages_fetched, "

@@ -419,6 +419,16 @@ def q_page_pulls(spark, sf_dir):
     return pages.pull_summary(landed(spark, sf_dir))
 
 
+def q_seen_today(spark, sf_dir):
+    return lifecycle.seen_on(bronze(spark, sf_dir), "adzuna", RUN)
+
+
+def q_v1_envelope(spark, sf_dir):
+    from jobmart.sources import pages
+
+    return pages.to_v1_rows(pages.page_records(landed(spark, sf_dir))).drop("payload")
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -469,4 +479,6 @@ def queries() -> dict[str, Query]:
         "restamp_stale": q_restamp_stale,
         "page_cutoff": q_page_cutoff,
         "page_pulls": q_page_pulls,
+        "seen_today": q_seen_today,
+        "v1_envelope": q_v1_envelope,
     }
