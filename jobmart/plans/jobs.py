@@ -235,3 +235,13 @@ def ingest_v1(spark: SparkSession, landed: DataFrame, root: str, source: str,
     recs = pages.page_records(landed, records_path, max_pages or K.MAX_PAGES, source)
     rows = pages.to_v1_rows(recs)
     return t.write(lifecycle.insert_ignore(t.read(), rows, ["page", "position"]))
+
+
+def backfill_gold_history(spark: SparkSession, root: str, first_date, last_date) -> DataFrame:
+    """city_job_stats for every run date in a range, one pass over silver (per-day histograms
+    + running sums), written as run_date partitions; dynamic overwrite touches only those dates."""
+    s = silver_table(spark, root).read()
+    stats_path = os.path.join(root, "gold_city_job_stats")
+    hist = gold.city_job_stats_history(s, first_date, last_date)
+    hist.write.mode("overwrite").partitionBy("run_date").parquet(stats_path)
+    return spark.read.parquet(stats_path)

@@ -63,6 +63,14 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
     assert per_date == {DAYS[0]: n_cities, DAYS[-1]: n_cities}
     assert g["snapshot"].count() == n_cities
 
+    # History backfill over a range equals the daily refresh for the last date, keeps other dates.
+    cols = ["city", "state", "total_jobs", "active_jobs", "new_jobs", "expired_jobs", "median_salary_min"]
+    day = lambda df, d: sorted(map(tuple, df.where(F.col("run_date") == d).select(*cols).collect()))
+    expected = day(g["stats"], DAYS[-1])  # read before the backfill replaces those files
+    h = jobs.backfill_gold_history(spark, root, DAYS[1], DAYS[-1])
+    assert day(h, DAYS[-1]) == expected
+    assert sorted(str(r.run_date) for r in h.select("run_date").distinct().collect()) == DAYS
+
 
 def test_housing_jobs_are_idempotent(spark, tmp_root):
     csv_dir = os.path.join(tmp_root, "csv")
