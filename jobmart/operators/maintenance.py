@@ -159,3 +159,14 @@ def city_score_inputs(stats: DataFrame, housing: DataFrame | None) -> DataFrame:
     return (base.join(rent, (T.norm_key("city") == F.col("_rk")) & (F.col("state") == F.col("_rs")), "left")
             .select("city", "state", "total_jobs", "avg_salary_max", "remote_share",
                     F.col("metric_value_latest").alias("rent_index")))
+
+
+def run_report(bronze: DataFrame, v1_bronze: DataFrame, call_log: DataFrame, run_date, source: str = "adzuna"):
+    """AGG-13 / DQ-4: post-run verification counts for one run date, in one row."""
+    d = F.lit(str(run_date)).cast("date")
+    a = bronze.where((F.col("source") == source) & (F.col("last_seen") == d)).agg(F.count("*").alias("raw_jobs_seen"))
+    b = v1_bronze.where(F.to_date("fetched_at") == d).agg(F.count("*").alias("v1_rows_fetched"))
+    c = call_log.where(F.col("run_date") == d).agg(F.count("*").alias("calls_recorded"))
+    # three one-row aggregates side by side (joined on a constant key, no cross product)
+    k = F.lit(1).alias("_k")
+    return a.select(k, "*").join(b.select(k, "*"), "_k").join(c.select(k, "*"), "_k").drop("_k")

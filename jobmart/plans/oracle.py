@@ -665,6 +665,10 @@ def _page_queries() -> dict[str, str]:
             "SELECT 'adzuna' AS source, job_id, run_date AS fetched_at, page, "
             "CAST(row_number() OVER (PARTITION BY city, bucket, page ORDER BY job_id) - 1 AS INTEGER) AS position "
             "FROM kept", **ctes),
+        "run_report": _with(
+            f"SELECT (SELECT COUNT(*) FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}') AS raw_jobs_seen, "
+            "(SELECT COUNT(*) FROM kept) AS v1_rows_fetched, "
+            "(SELECT COUNT(*) FROM (SELECT DISTINCT city, bucket FROM kept) x) AS calls_recorded", **ctes),
         "seen_today": _with(f"SELECT job_id FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}'",
                             j=postings_sql()),
         "page_cutoff": _with("SELECT run_date, city, role, page, job_id FROM kept", **ctes),

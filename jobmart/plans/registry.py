@@ -429,6 +429,14 @@ def q_v1_envelope(spark, sf_dir):
     return pages.to_v1_rows(pages.page_records(landed(spark, sf_dir))).drop("payload")
 
 
+def q_run_report(spark, sf_dir):
+    from jobmart.sources import pages
+
+    recs = pages.page_records(landed(spark, sf_dir))
+    return maintenance.run_report(bronze(spark, sf_dir), pages.to_v1_rows(recs),
+                                  recs.select("run_date", "city", "role").distinct(), RUN)
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -481,4 +489,5 @@ def queries() -> dict[str, Query]:
         "page_pulls": q_page_pulls,
         "seen_today": q_seen_today,
         "v1_envelope": q_v1_envelope,
+        "run_report": q_run_report,
     }
