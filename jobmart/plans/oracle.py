@@ -177,6 +177,10 @@ def oracle_sql() -> dict[str, str]:
     q.update(_enrich_queries())
     q.update(_other_queries())
     q.update(_page_queries())
+    from jobmart.plans.registry import SUBSETS
+
+    for name, (base, cols) in SUBSETS.items():
+        q[name] = f"SELECT {', '.join(cols)} FROM ({q[base]}) b"
     return q
 
 

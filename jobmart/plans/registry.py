@@ -437,6 +437,24 @@ def q_run_report(spark, sf_dir):
                                   recs.select("run_date", "city", "role").distinct(), RUN)
 
 
+# SURVEY §7.3 names for single classifier families (projections of the operators above).
+SUBSETS = {
+    "classify_titles": ("classify_postings", ["source", "job_id", "seniority", "seniority_documented", "seniority_v1"]),
+    "classify_yoe": ("classify_postings", ["source", "job_id", "yoe_min", "yoe_band"]),
+    "classify_salary": ("classify_postings", ["source", "job_id", "salary_band"]),
+    "job_type": ("classify_postings", ["source", "job_id", "job_type", "job_type_documented"]),
+    "is_remote": ("classify_postings", ["source", "job_id", "is_remote"]),
+    "education": ("industry_hints", ["source", "job_id", "education"]),
+    "mark_inactive": ("silver_upsert", ["source", "job_id", "last_seen", "is_active"]),
+}
+
+
+def _subset(base: str, cols: list[str]) -> Query:
+    def q(spark, sf_dir):
+        return _BASES[base](spark, sf_dir).select(*cols)
+    return q
+
+
 def queries() -> dict[str, Query]:
     return {
         "city_job_stats": q_city_job_stats,
@@ -490,4 +508,9 @@ def queries() -> dict[str, Query]:
         "seen_today": q_seen_today,
         "v1_envelope": q_v1_envelope,
         "run_report": q_run_report,
+        **{name: _subset(base, cols) for name, (base, cols) in SUBSETS.items()},
     }
+
+
+_BASES = {"classify_postings": q_classify_postings, "industry_hints": q_industry_hints,
+          "silver_upsert": q_silver_upsert}
