@@ -9,6 +9,7 @@
     python -m jobmart.cli --root /shared/jobmart backfill-descriptions
     python -m jobmart.cli --root /shared/jobmart analyses --run-date 2024-01-31
     python -m jobmart.cli --root /shared/jobmart data-quality
+    python -m jobmart.cli --root /shared/jobmart compact
     python -m jobmart.cli --root /shared/jobmart gold-history --from-date 2024-01-01 --to-date 2024-01-31
 
 ``--run-date`` is always explicit (no "today" inside the jobs).
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--apply", action="store_true")
     sub.add_parser("backfill-descriptions")
     sub.add_parser("data-quality")
+    sub.add_parser("compact")
     s = sub.add_parser("gold-history")
     s.add_argument("--from-date", required=True)
     s.add_argument("--to-date", required=True)
@@ -65,6 +67,9 @@ def main(argv: list[str] | None = None) -> None:
         jobs.backfill_descriptions(spark, a.root).show(truncate=False)
     elif a.cmd == "gold-history":
         jobs.backfill_gold_history(spark, a.root, a.from_date, a.to_date)
+    elif a.cmd == "compact":
+        jobs.compact_bronze(spark, a.root)
+        jobs.compact_silver(spark, a.root)
     elif a.cmd == "data-quality":
         jobs.data_quality(spark, a.root).show(50, truncate=False)
     elif a.cmd == "analyses":

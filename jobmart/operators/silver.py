@@ -185,8 +185,8 @@ def upsert_silver(target: DataFrame, updates: DataFrame,
 def mark_active(silver: DataFrame, run_date, source: str = "adzuna") -> DataFrame:
     """SNK-11: ``is_active`` = seen on the run date, for every row of ``source``."""
     d = F.lit(str(run_date)).cast("date")
-    return silver.withColumn("is_active", F.when(F.col("source") == source, F.col("last_seen") == d)
-                             .otherwise(F.col("is_active")))
+    other = F.col("is_active") if "is_active" in silver.columns else F.lit(None).cast("boolean")
+    return silver.withColumn("is_active", F.when(F.col("source") == source, F.col("last_seen") == d).otherwise(other))
 
 
 def enrich_run(raw: DataFrame, silver: DataFrame, run_date) -> tuple[DataFrame, DataFrame]:

@@ -1,47 +1,105 @@
 """Job wrappers: the daily ingest, enrichment and gold refresh as writes.
 
 Only these functions write; everything they call is DataFrame -> DataFrame.
-All state lives in versioned parquet tables under one root (on a cluster: a
-shared folder), so each job is a re-runnable function of (inputs, run_date).
+All state lives under one root (on a cluster: a shared folder), so each job is
+a re-runnable function of (inputs, run_date).
+
+Bronze and silver are *log + snapshot* tables, so a day never rewrites them:
+
+* bronze: every ingest batch appends its page records to ``bronze_log`` (one
+  partition per batch, replay = overwrite of that partition only). The current
+  lifecycle table is ``upsert_sightings(snapshot, log after watermark)`` — the
+  same exact fold the daily upsert performs — evaluated on read, or only for
+  the keys a job touches;
+* silver: each enrichment appends the rows it (re)built to ``silver_log``;
+  current silver is the snapshot upserted with the newest row per key, and
+  ``is_active`` is evaluated for the requested run date on read (no daily
+  bulk flag rewrite);
+* ``compact_bronze`` / ``compact_silver`` fold the log into a new bucketed
+  snapshot version now and then (the only full rewrite, amortised).
 """
 
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators import calls, gold, lifecycle, silver
 from jobmart.sources import pages
-from jobmart.sources.store import VersionedTable
+from jobmart.sources.store import LogTable, VersionedTable
+from jobmart.sources.tables import write_table
 
-BRONZE_SCHEMA = ("source string, job_id string, first_seen date, last_seen date, times_seen int, payload string, "
-                 "changed boolean")
+KEY = lifecycle.KEY
+PULL_ORDER = ["city", "role", "page", "position"]
+LOG_ORDER = ["batch_id", *PULL_ORDER]
+
+BRONZE_SCHEMA = "source string, job_id string, first_seen date, last_seen date, times_seen int, payload string"
+BRONZE_LOG_SCHEMA = ("source string, job_id string, run_date date, payload string, city string, role string, "
+                     "page int, position int")
 CALLS_LOG_SCHEMA = ("run_date date, city string, role string, batch_id bigint, pages_fetched bigint, "
                     "api_count bigint, api_mean_salary double, jobs_retrieved bigint")
-PULL_ORDER = ["city", "role", "page", "position"]
+SILVER_ROW_SCHEMA = (
+    "source string, job_id string, first_seen date, last_seen date, times_seen int, title string, description string, "
+    "company string, location string, cbsa_code string, category string, category_label string, "
+    "salary_min decimal(12,2), salary_max decimal(12,2), url string, latitude double, longitude double, city string, "
+    "county string, state string, state_code string, post_date date, seniority string, "
+    "is_remote boolean, industry string, job_type string, yoe_min int, education string")
+SILVER_COLS = [c.split()[0] for c in SILVER_ROW_SCHEMA.split(", ")]
+SNAPSHOT_SCHEMA = (
+    "city string, state string, active_jobs bigint, new_jobs_7d bigint, new_jobs_30d bigint, avg_salary double, "
+    "job_growth_rate_7d double, job_growth_rate_30d double, zori_latest double, zori_date date, "
+    "salary_to_rent_ratio double, top_categories array<string>")
+HOUSING_SCHEMA = ("region_id int, size_rank int, region_name string, state_code string, cbsa_code string, "
+                  "data_source string, metric_type string, metric_value_latest double, date_recorded string")
+V1_BRONZE_SCHEMA = "job_id string, fetched_at date, source string, payload string"
 
 
-def bronze_table(spark: SparkSession, root: str) -> VersionedTable:
-    """bronze.raw_jobs, bucketed by job_id: the daily upsert shuffles only the batch.
+def _buckets(spark: SparkSession) -> tuple[str, int]:
+    # Snapshots are bucketed by job_id while the keys are (source, job_id). job_id alone is
+    # high-cardinality, so letting a job_id partitioning serve a (source, job_id) join is
+    # skew-free, and it keeps the snapshot side of every daily join in place.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return "job_id", int(spark.conf.get("jobmart.buckets", "16"))
 
-    The bucket count is fixed per table (``jobmart.buckets``; size it so a bucket
-    of the full table is a comfortable task, e.g. ~4096 for 100 TB)."""
-    return VersionedTable(spark, os.path.join(root, "bronze_raw_jobs"), BRONZE_SCHEMA, bucket_by=_buckets(spark))
 
+def _watermark(t: VersionedTable) -> int:
+    return int(t.meta() or -1)
 
-def silver_table(spark: SparkSession, root: str) -> VersionedTable:
-    """silver.jobs_v2, bucketed like bronze: the work-set join and the upsert are co-located."""
-    return VersionedTable(spark, os.path.join(root, "silver_jobs_v2"), SILVER_SCHEMA, bucket_by=_buckets(spark))
 
+# --- bronze --------------------------------------------------------------------------------
 
-def _buckets(spark: SparkSession) -> tuple[str, int]:
-    # Tables are bucketed by job_id while the keys are (source, job_id). job_id alone is
-    # high-cardinality, so letting a job_id partitioning serve a (source, job_id) join is
-    # skew-free, and it keeps the bronze ⋈ silver work set and the upserts shuffle-free.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return "job_id", int(spark.conf.get("jobmart.buckets", "16"))
+def bronze_snapshot(spark: SparkSession, root: str) -> VersionedTable:
+    """The compacted lifecycle table, bucketed by job_id (``jobmart.buckets``; ~4096 for 100 TB)."""
+    return VersionedTable(spark, os.path.join(root, "bronze_snapshot"), BRONZE_SCHEMA, bucket_by=_buckets(spark))
+
+
+def bronze_log(spark: SparkSession, root: str) -> LogTable:
+    return LogTable(spark, os.path.join(root, "bronze_log"), BRONZE_LOG_SCHEMA)
+
+
+def bronze_current(spark: SparkSession, root: str, keys: DataFrame | None = None,
+                   exclude_batch: int | None = None) -> DataFrame:
+    """bronze.raw_jobs as of now: snapshot + the log after its watermark, folded exactly.
+
+    ``keys`` restricts the work to some job keys (semi-joins on both sides), which is
+    how a daily job reads the state of just the postings it touches.
+    """
+    snap = bronze_snapshot(spark, root)
+    base, log = snap.read(), bronze_log(spark, root).read(after=_watermark(snap), exclude=exclude_batch)
+    if keys is not None:
+        base, log = base.join(keys, KEY, "left_semi"), log.join(keys, KEY, "left_semi")
+    return lifecycle.upsert_sightings(base, log, LOG_ORDER).drop("changed")
+
+
+def compact_bronze(spark: SparkSession, root: str) -> DataFrame | None:
+    """Fold the log into a new snapshot version (the watermark moves to the last batch)."""
+    last = bronze_log(spark, root).max_batch()
+    if last is None:
+        return None
+    return bronze_snapshot(spark, root).write(bronze_current(spark, root), meta=str(last))
 
 
 def calls_log_table(spark: SparkSession, root: str) -> VersionedTable:
@@ -51,34 +109,33 @@ def calls_log_table(spark: SparkSession, root: str) -> VersionedTable:
 def credited_pulls(batch: DataFrame, target: DataFrame) -> DataFrame:
     """New sightings per pull: for every (job, day) newer than the table, the first pull
     (in pull order) that saw it — exactly the rows the day-by-day upsert reports as changed."""
-    t_last = target.select(*lifecycle.KEY, F.col("last_seen").alias("_t_last"))
-    days = (batch.join(t_last, lifecycle.KEY, "left")
+    t_last = target.select(*KEY, F.col("last_seen").alias("_t_last"))
+    days = (batch.join(t_last, KEY, "left")
             .where(F.col("_t_last").isNull() | (F.col("run_date") > F.col("_t_last"))))
-    first = days.groupBy(*lifecycle.KEY, "run_date").agg(F.min(F.struct(*PULL_ORDER)).alias("_p"))
+    first = days.groupBy(*KEY, "run_date").agg(F.min(F.struct(*PULL_ORDER)).alias("_p"))
     return (first.groupBy("run_date", F.col("_p.city").alias("city"), F.col("_p.role").alias("role"))
             .agg(F.count("*").alias("jobs_retrieved")))
 
 
 def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: int) -> dict:
-    """PIP-1: landed pages -> bronze lifecycle upsert (SNK-4) + pull audit (SNK-6).
+    """PIP-1: landed pages -> bronze sightings log (SNK-4) + pull audit (SNK-6).
 
-    Replay-safe: the bronze version is staged, the audit rows (keyed by
-    batch_id, merged with ``greatest``) are committed, then the bronze pointer
-    flips. A replay after the flip computes zero new jobs and keeps the audit.
+    The write is the batch itself (one log partition), never the table. Replay-safe:
+    the audit rows (keyed by batch_id, merged with ``greatest``) are committed before
+    the log partition; the pre-state excludes this batch, and a replay after the
+    log write finds nothing new and keeps the audit.
     """
-    from jobmart.sources.tables import write_table
-
-    bronze, log = bronze_table(spark, root), calls_log_table(spark, root)
-    # Parsed once: the upsert, the pull summary and the credits all read this (daily-sized) table.
+    log = calls_log_table(spark, root)
+    # Parsed once: the pre-state, the credits, the summary and the log all read this table.
     recs = write_table(pages.page_records(landed), "landed_records")
-    batch = recs.select(*lifecycle.KEY, "run_date", "payload", *PULL_ORDER)
-    target = bronze.read().drop("changed")
-    staged = bronze.stage(lifecycle.upsert_sightings(target, batch, PULL_ORDER))
+    batch = recs.select(*KEY, "run_date", "payload", *PULL_ORDER)
+    keys = batch.select(*KEY).distinct()
+    target = bronze_current(spark, root, keys=keys, exclude_batch=batch_id)
 
     summary = recs.groupBy("run_date", "city", "role").agg(
         F.max("pages_fetched").cast("bigint").alias("pages_fetched"), F.max("api_count").alias("api_count"),
         F.max("api_mean_salary").alias("api_mean_salary"))
-    credit = credited_pulls(batch, target)
+    credit = write_table(credited_pulls(batch, target), "pull_credit")
     audit = (summary.join(credit, ["run_date", "city", "role"])
              .where(F.col("jobs_retrieved") > 0).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
     key = ["run_date", "city", "role", "batch_id"]
@@ -89,8 +146,9 @@ def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: in
                 *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) for c in ("pages_fetched", "api_count", "api_mean_salary")],
                 F.greatest(F.coalesce("jobs_retrieved", F.lit(0)), F.coalesce("_new", F.lit(0))).alias("jobs_retrieved")))
     log.write(merged)
-    new_bronze = bronze.commit(staged)
-    return {"bronze": new_bronze, "n_new": new_bronze.where("changed").count()}
+    bronze_log(spark, root).write_batch(batch, batch_id)
+    n_new = credit.agg(F.coalesce(F.sum("jobs_retrieved"), F.lit(0))).first()[0]
+    return {"n_new": n_new}
 
 
 def job_calls(spark: SparkSession, root: str) -> DataFrame:
@@ -103,29 +161,58 @@ def job_calls(spark: SparkSession, root: str) -> DataFrame:
         F.sum("jobs_retrieved").alias("jobs_retrieved"))
 
 
-def enrich(spark: SparkSession, root: str, run_date) -> dict:
-    """PIP-2: bronze -> silver (work set, enrich, quarantine, upsert, activity flags)."""
-    from jobmart.sources.tables import write_table
+# --- silver --------------------------------------------------------------------------------
+
+def silver_snapshot(spark: SparkSession, root: str) -> VersionedTable:
+    return VersionedTable(spark, os.path.join(root, "silver_snapshot"), SILVER_ROW_SCHEMA, bucket_by=_buckets(spark))
+
+
+def silver_log(spark: SparkSession, root: str) -> LogTable:
+    return LogTable(spark, os.path.join(root, "silver_log"), SILVER_ROW_SCHEMA, part_col="seq")
+
+
+def silver_current(spark: SparkSession, root: str, run_date=None) -> DataFrame:
+    """silver.jobs_v2 as of now: the snapshot upserted with the newest logged row per key.
 
-    raw = bronze_table(spark, root).read().drop("changed")
-    st = silver_table(spark, root)
-    current = st.read()
+    With ``run_date``, ``is_active`` is evaluated for that date (SNK-11 on read).
+    """
+    snap = silver_snapshot(spark, root)
+    log = silver_log(spark, root).read(after=_watermark(snap)).drop("seq")
+    newest = lifecycle.last_per_key(log, KEY, ["last_seen"], [c for c in SILVER_COLS if c not in KEY])
+    cur = silver.upsert_silver(snap.read(), newest.select(*SILVER_COLS), keep=())
+    return silver.mark_active(cur, run_date) if run_date is not None else cur
+
+
+def compact_silver(spark: SparkSession, root: str, table: DataFrame | None = None) -> DataFrame:
+    """Fold the silver log (or write a rebuilt table, e.g. after a backfill) as a new snapshot."""
+    last = silver_log(spark, root).max_batch()
+    cur = table if table is not None else silver_current(spark, root)
+    return silver_snapshot(spark, root).write(cur.select(*SILVER_COLS), meta=str(last if last is not None else -1))
+
+
+def enrich(spark: SparkSession, root: str, run_date) -> dict:
+    """PIP-2: bronze -> silver (work set, enrich, quarantine; rows appended to the silver log)."""
+    raw = bronze_current(spark, root)
+    current = silver_current(spark, root)
     # The day's work set, parsed and classified once; silver and the rejects both read it.
     enriched = write_table(silver.enrich_first_source(silver.work_set(raw, current), run_date), "enriched_work")
     good, bad = silver.split_valid(enriched)
-    new = silver.mark_active(silver.upsert_silver(current, good.select(*current.columns)), run_date)
-    out = st.write(new)
-    VersionedTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string") \
-        .write(bad)
-    return {"silver": out}
+    seq = time.time_ns()
+    silver_log(spark, root).write_batch(good.select(*SILVER_COLS), seq)
+    LogTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string",
+             part_col="seq").write_batch(bad, seq)
+    return {"silver": silver_current(spark, root, run_date)}
+
 
+# --- gold ----------------------------------------------------------------------------------
 
 def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9)."""
-    s = silver_table(spark, root).read()
+    s = silver_current(spark, root, run_date)
     stats_path = os.path.join(root, "gold_city_job_stats")
     # Dynamic partition overwrite replaces only this run_date's partition.
-    gold.city_job_stats(s, run_date).write.mode("overwrite").partitionBy("run_date").parquet(stats_path)
+    (gold.city_job_stats(s, run_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").parquet(stats_path))
     snap_t = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA)
     new = gold.latest_city_snapshot(s, run_date)
     old = snap_t.read()
@@ -134,9 +221,17 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     return {"stats": spark.read.parquet(stats_path), "snapshot": snap}
 
 
-HOUSING_SCHEMA = ("region_id int, size_rank int, region_name string, state_code string, cbsa_code string, "
-                  "data_source string, metric_type string, metric_value_latest double, date_recorded string")
+def backfill_gold_history(spark: SparkSession, root: str, first_date, last_date) -> DataFrame:
+    """city_job_stats for every run date in a range, one pass over silver (per-day histograms
+    + running sums), written as run_date partitions; dynamic overwrite touches only those dates."""
+    s = silver_current(spark, root, last_date)
+    stats_path = os.path.join(root, "gold_city_job_stats")
+    hist = gold.city_job_stats_history(s, first_date, last_date)
+    hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(stats_path)
+    return spark.read.parquet(stats_path)
+
 
+# --- housing -------------------------------------------------------------------------------
 
 def ingest_housing(spark: SparkSession, datasets: dict[str, str], root: str) -> dict[str, DataFrame]:
     """SRC-5 / SNK-1: each wide CSV replaces its bronze table (schema taken from the file)."""
@@ -159,26 +254,15 @@ def enrich_housing(spark: SparkSession, root: str, name: str, data_source: str,
     return t.write(housing.replace_metrics(t.read(), housing.latest_metric(wide, data_source, metric_type)))
 
 
-SILVER_SCHEMA = (
-    "source string, job_id string, first_seen date, last_seen date, times_seen int, title string, description string, "
-    "company string, location string, cbsa_code string, category string, category_label string, "
-    "salary_min decimal(12,2), salary_max decimal(12,2), url string, latitude double, longitude double, city string, "
-    "county string, state string, state_code string, post_date date, is_active boolean, seniority string, "
-    "is_remote boolean, industry string, job_type string, yoe_min int, education string")
-SNAPSHOT_SCHEMA = (
-    "city string, state string, active_jobs bigint, new_jobs_7d bigint, new_jobs_30d bigint, avg_salary double, "
-    "job_growth_rate_7d double, job_growth_rate_30d double, zori_latest double, zori_date date, "
-    "salary_to_rent_ratio double, top_categories array<string>")
-
+# --- maintenance ---------------------------------------------------------------------------
 
 def backfill_descriptions(spark: SparkSession, root: str) -> DataFrame:
     """PIP-8 as a job: fill missing silver descriptions from bronze; returns the report row."""
     from jobmart.operators import maintenance
 
-    st = silver_table(spark, root)
-    new, report = maintenance.description_backfill(st.read(), bronze_table(spark, root).read().drop("changed"))
+    new, report = maintenance.description_backfill(silver_current(spark, root), bronze_current(spark, root))
     report = spark.createDataFrame(report.collect(), report.schema)  # one row, taken before the rewrite
-    st.write(new)
+    compact_silver(spark, root, new)
     return report
 
 
@@ -187,10 +271,9 @@ def backfill_seniority(spark: SparkSession, root: str, dry_run: bool = True) ->
     from jobmart.functions import text as T
     from jobmart.operators import maintenance
 
-    st = silver_table(spark, root)
-    out = maintenance.backfill_seniority(st.read(), T.title_seniority("title"), dry_run=dry_run)
+    out = maintenance.backfill_seniority(silver_current(spark, root), T.title_seniority("title"), dry_run=dry_run)
     if not dry_run:
-        out["table"] = st.write(out["table"])
+        out["table"] = compact_silver(spark, root, out["table"])
     return out
 
 
@@ -200,7 +283,7 @@ def analyses(spark: SparkSession, root: str, run_date) -> dict[str, DataFrame]:
 
     stats = spark.read.parquet(os.path.join(root, "gold_city_job_stats"))
     snap = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA).read()
-    s = silver_table(spark, root).read()
+    s = silver_current(spark, root, run_date)
     return {"top_cities_active": analysis.top_cities_active(snap),
             "city_trend": analysis.city_trend(stats),
             "remote_share": analysis.remote_share(stats, run_date),
@@ -213,7 +296,7 @@ def data_quality(spark: SparkSession, root: str) -> DataFrame:
     """DQ-1..3 over the stored silver and gold tables (one small long-format report)."""
     from jobmart.operators import maintenance
 
-    s = silver_table(spark, root).read()
+    s = silver_current(spark, root)
     stats = spark.read.parquet(os.path.join(root, "gold_city_job_stats"))
     return maintenance.dq_report(
         {"silver.jobs_v2": (s, ["source", "job_id"], ["source", "job_id", "title", "first_seen", "last_seen"]),
@@ -222,9 +305,6 @@ def data_quality(spark: SparkSession, root: str) -> DataFrame:
         {"silver.jobs_v2": {"seniority": ["jr", "mid", "sr"]}})
 
 
-V1_BRONZE_SCHEMA = "job_id string, fetched_at date, source string, payload string"
-
-
 def ingest_v1(spark: SparkSession, landed: DataFrame, root: str, source: str,
               records_path: str = "$.results", max_pages: int | None = None) -> DataFrame:
     """v1 ingest (SRC-3 / PRJ-4 / SNK-3): page records -> bronze.<source>_jobs, insert-ignore
@@ -235,13 +315,3 @@ def ingest_v1(spark: SparkSession, landed: DataFrame, root: str, source: str,
     recs = pages.page_records(landed, records_path, max_pages or K.MAX_PAGES, source)
     rows = pages.to_v1_rows(recs)
     return t.write(lifecycle.insert_ignore(t.read(), rows, ["page", "position"]))
-
-
-def backfill_gold_history(spark: SparkSession, root: str, first_date, last_date) -> DataFrame:
-    """city_job_stats for every run date in a range, one pass over silver (per-day histograms
-    + running sums), written as run_date partitions; dynamic overwrite touches only those dates."""
-    s = silver_table(spark, root).read()
-    stats_path = os.path.join(root, "gold_city_job_stats")
-    hist = gold.city_job_stats_history(s, first_date, last_date)
-    hist.write.mode("overwrite").partitionBy("run_date").parquet(stats_path)
-    return spark.read.parquet(stats_path)

@@ -27,12 +27,24 @@ class VersionedTable:
         self.spark, self.root, self.schema, self.bucket_by = spark, root, schema, bucket_by
         self._pointer = os.path.join(root, "_current")
 
-    def current(self) -> str | None:
+    def _pointer_row(self) -> tuple[str, str] | None:
         try:
             row = self.spark.read.text(self._pointer).first()
         except AnalysisException:
             return None
-        return row[0] if row else None
+        if not row:
+            return None
+        path, _, meta = row[0].partition("\t")
+        return path, meta
+
+    def current(self) -> str | None:
+        p = self._pointer_row()
+        return p[0] if p else None
+
+    def meta(self) -> str:
+        """Free-form metadata committed with the current version (e.g. a log watermark)."""
+        p = self._pointer_row()
+        return p[1] if p else ""
 
     def _load(self, path: str) -> DataFrame:
         if not self.bucket_by:
@@ -63,13 +75,14 @@ class VersionedTable:
             df.write.parquet(path)
         return path
 
-    def commit(self, path: str) -> DataFrame:
-        """Make a staged version current."""
-        self.spark.createDataFrame([(path,)], "p string").coalesce(1).write.mode("overwrite").text(self._pointer)
+    def commit(self, path: str, meta: str = "") -> DataFrame:
+        """Make a staged version current (with optional metadata, e.g. a log watermark)."""
+        line = f"{path}\t{meta}" if meta else path
+        self.spark.createDataFrame([(line,)], "p string").coalesce(1).write.mode("overwrite").text(self._pointer)
         return self._load(path)
 
-    def write(self, df: DataFrame) -> DataFrame:
-        return self.commit(self.stage(df))
+    def write(self, df: DataFrame, meta: str = "") -> DataFrame:
+        return self.commit(self.stage(df), meta)
 
     def truncate(self) -> DataFrame:
         """SNK-13: a new, empty version (older versions stay readable until cleaned up)."""
@@ -78,3 +91,39 @@ class VersionedTable:
     def delete_where(self, condition) -> DataFrame:
         """SNK-13: ``DELETE … WHERE condition`` as a filtered new version."""
         return self.write(self.read().where(~condition))
+
+
+class LogTable:
+    """Append-only parquet log, one directory partition per batch (``batch_id``).
+
+    Writing a batch replaces only that batch's partition (dynamic partition
+    overwrite), so a replayed batch is idempotent and the write costs the size
+    of the batch, never the size of the table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: str, part_col: str = "batch_id"):
+        self.spark, self.root, self.schema, self.part_col = spark, root, schema, part_col
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import functions as F
+
+        (df.withColumn(self.part_col, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.root))
+
+    def read(self, after: int | None = None, exclude: int | None = None) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        try:
+            df = self.spark.read.schema(f"{self.schema}, {self.part_col} bigint").parquet(self.root)
+        except AnalysisException:
+            return self.spark.createDataFrame([], f"{self.schema}, {self.part_col} bigint")
+        if after is not None:
+            df = df.where(F.col(self.part_col) > after)  # partition pruning
+        if exclude is not None:
+            df = df.where(F.col(self.part_col) != exclude)
+        return df
+
+    def max_batch(self) -> int | None:
+        from pyspark.sql import functions as F
+
+        return self.read().agg(F.max(self.part_col)).first()[0]

@@ -31,7 +31,7 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
         _landing_for(spark, day).write.json(os.path.join(landing, f"day={day}"))
     q = start_page_ingest(spark, os.path.join(landing, "*"), root, ckpt)
     q.awaitTermination(300)
-    bronze = jobs.bronze_table(spark, root).read().drop("changed")
+    bronze = jobs.bronze_current(spark, root)
     # Same result as folding the landed records as one multi-day batch.
     recs = pages.page_records(pages.read_landed(spark, os.path.join(landing, "*")))
     batch = recs.select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
@@ -41,17 +41,29 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
     total_new = calls.agg(F.sum("jobs_retrieved")).first()[0]
     assert total_new == bronze.agg(F.sum("times_seen")).first()[0]
 
-    # Replaying the last day's pages changes nothing and keeps the audit counts.
+    # A later re-pull of the last day (a new batch) finds nothing new and adds no audit counts.
+    last_batch = jobs.bronze_log(spark, root).max_batch()
     last = pages.read_landed(spark, os.path.join(landing, f"day={DAYS[-1]}"))
-    out = jobs.ingest_pages(spark, last, root, batch_id=0)
+    out = jobs.ingest_pages(spark, last, root, batch_id=last_batch + 1)
     assert out["n_new"] == 0
     assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == total_new
+    # Replaying the stream's own last batch (same id, same files) is idempotent.
+    if last_batch == 0:
+        jobs.ingest_pages(spark, pages.read_landed(spark, os.path.join(landing, "*")), root, batch_id=0)
+        assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == total_new
+        assert sorted(map(tuple, jobs.bronze_current(spark, root).collect())) == sorted(map(tuple, bronze.collect()))
+
+    # Compaction folds the log into a snapshot without changing what readers see.
+    jobs.compact_bronze(spark, root)
+    assert sorted(map(tuple, jobs.bronze_current(spark, root).collect())) == sorted(map(tuple, bronze.collect()))
 
     # Enrichment twice on the same day: identical silver.
     s1 = jobs.enrich(spark, root, DAYS[-1])["silver"]
     rows1 = sorted(map(tuple, s1.collect()))
     s2 = jobs.enrich(spark, root, DAYS[-1])["silver"]
     assert sorted(map(tuple, s2.collect())) == rows1
+    jobs.compact_silver(spark, root)
+    assert sorted(map(tuple, jobs.silver_current(spark, root, DAYS[-1]).collect())) == rows1
     assert s1.where(F.col("is_active") != (F.col("last_seen") == F.lit(DAYS[-1]).cast("date"))).count() == 0
 
     # Gold: one partition per run date; re-running a date replaces only that date.
@@ -105,10 +117,10 @@ def test_backfill_and_v1_batch(spark):
 
 
 def test_bucketed_bronze_is_not_reshuffled(spark, tmp_root):
-    bt = jobs.bronze_table(spark, os.path.join(tmp_root, "store"))
+    bt = jobs.bronze_snapshot(spark, os.path.join(tmp_root, "store"))
     e = adapter.sightings(spark, SF_SMALL)
-    bt.write(L.fold_sightings(e).withColumn("changed", F.lit(False)))
-    up = L.upsert_sightings(bt.read().drop("changed"), e.where(F.col("run_date") == dt.date(2024, 1, 30)))
+    bt.write(L.fold_sightings(e))
+    up = L.upsert_sightings(bt.read(), e.where(F.col("run_date") == dt.date(2024, 1, 30)))
     plan = up._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
     full = [ln for ln in plan.splitlines() if "FullOuter" in ln]
@@ -120,15 +132,15 @@ def test_daily_enrichment_needs_no_shuffle(spark, tmp_root):
 
     root = os.path.join(tmp_root, "store")
     raw = registry.bronze(spark, SF_SMALL)
-    bt, st = jobs.bronze_table(spark, root), jobs.silver_table(spark, root)
-    bt.write(raw.withColumn("changed", F.lit(False)))
+    bt, st = jobs.bronze_snapshot(spark, root), jobs.silver_snapshot(spark, root)
+    bt.write(raw)
     prev = raw.where("source = 'adzuna' and first_seen <= '2001-07-31'")
     good, _ = S.split_valid(S.enrich_first_source(prev, "2001-07-31"))
-    st.write(good.select(*spark.createDataFrame([], jobs.SILVER_SCHEMA).columns))
+    st.write(good.select(*jobs.SILVER_COLS))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shape it has at scale
     try:
-        new, _ = S.enrich_run(bt.read().drop("changed"), st.read(), "2001-08-01")
+        new, _ = S.enrich_run(bt.read(), st.read(), "2001-08-01")
         plan = new._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -143,6 +155,7 @@ def test_cli_daily_flow(spark, tmp_root):
     cli.main(["--root", root, "ingest-pages", landing])
     cli.main(["--root", root, "enrich", "--run-date", DAYS[-1]])
     cli.main(["--root", root, "gold", "--run-date", DAYS[-1]])
+    cli.main(["--root", root, "compact"])
     out = jobs.analyses(spark, root, DAYS[-1])
     assert out["top_cities_active"].count() > 0 and out["remote_share"].count() > 0
     rep = jobs.backfill_descriptions(spark, root).first()
