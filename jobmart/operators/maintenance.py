@@ -162,11 +162,14 @@ def city_score_inputs(stats: DataFrame, housing: DataFrame | None) -> DataFrame:
 
 
 def run_report(bronze: DataFrame, v1_bronze: DataFrame, call_log: DataFrame, run_date, source: str = "adzuna"):
-    """AGG-13 / DQ-4: post-run verification counts for one run date, in one row."""
+    """AGG-13 / DQ-4: post-run verification counts for one run date, in one row.
+
+    The three inputs are tagged and unioned, then counted in a single aggregate.
+    """
     d = F.lit(str(run_date)).cast("date")
-    a = bronze.where((F.col("source") == source) & (F.col("last_seen") == d)).agg(F.count("*").alias("raw_jobs_seen"))
-    b = v1_bronze.where(F.to_date("fetched_at") == d).agg(F.count("*").alias("v1_rows_fetched"))
-    c = call_log.where(F.col("run_date") == d).agg(F.count("*").alias("calls_recorded"))
-    # three one-row aggregates side by side (joined on a constant key, no cross product)
-    k = F.lit(1).alias("_k")
-    return a.select(k, "*").join(b.select(k, "*"), "_k").join(c.select(k, "*"), "_k").drop("_k")
+    tagged = (bronze.where((F.col("source") == source) & (F.col("last_seen") == d)).select(F.lit(1).alias("_k"))
+              .unionByName(v1_bronze.where(F.to_date("fetched_at") == d).select(F.lit(2).alias("_k")))
+              .unionByName(call_log.where(F.col("run_date") == d).select(F.lit(3).alias("_k"))))
+    return tagged.agg(F.count_if(F.col("_k") == 1).alias("raw_jobs_seen"),
+                      F.count_if(F.col("_k") == 2).alias("v1_rows_fetched"),
+                      F.count_if(F.col("_k") == 3).alias("calls_recorded"))
