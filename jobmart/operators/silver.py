@@ -166,7 +166,8 @@ def upsert_silver(target: DataFrame, updates: DataFrame,
     """
     cols = target.columns
     now = F.current_timestamp()
-    updates = updates.withColumns({c: now for c in ("updated_at", "processed_at") if c in cols})
+    stamps = {c: now for c in ("updated_at", "processed_at") if c in cols and c not in updates.columns}
+    updates = updates.withColumns(stamps)
     u = updates.select(*KEY, *[F.col(c).alias(f"_u_{c}") for c in cols if c not in KEY])
     m = target.join(u, KEY, "full")
     hit = F.col("_u_last_seen").isNotNull()
@@ -197,7 +198,7 @@ def enrich_run(raw: DataFrame, silver: DataFrame, run_date) -> tuple[DataFrame,
     """
     work = work_set(raw, silver)
     good, bad = split_valid(enrich_first_source(work, run_date))
-    merged = upsert_silver(silver, good.select(*silver.columns))
+    merged = upsert_silver(silver, good.select(*[c for c in silver.columns if c in good.columns]))
     return mark_active(merged, run_date), bad
 
 

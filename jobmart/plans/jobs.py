@@ -46,7 +46,8 @@ SILVER_ROW_SCHEMA = (
     "company string, location string, cbsa_code string, category string, category_label string, "
     "salary_min decimal(12,2), salary_max decimal(12,2), url string, latitude double, longitude double, city string, "
     "county string, state string, state_code string, post_date date, seniority string, "
-    "is_remote boolean, industry string, job_type string, yoe_min int, education string")
+    "is_remote boolean, industry string, job_type string, yoe_min int, education string, "
+    "processed_at timestamp, updated_at timestamp")
 SILVER_COLS = [c.split()[0] for c in SILVER_ROW_SCHEMA.split(", ")]
 SNAPSHOT_SCHEMA = (
     "city string, state string, active_jobs bigint, new_jobs_7d bigint, new_jobs_30d bigint, avg_salary double, "
@@ -178,8 +179,12 @@ def silver_current(spark: SparkSession, root: str, run_date=None) -> DataFrame:
     """
     snap = silver_snapshot(spark, root)
     log = silver_log(spark, root).read(after=_watermark(snap)).drop("seq")
-    newest = lifecycle.last_per_key(log, KEY, ["last_seen"], [c for c in SILVER_COLS if c not in KEY])
-    cur = silver.upsert_silver(snap.read(), newest.select(*SILVER_COLS), keep=())
+    rest = [c for c in SILVER_COLS if c not in KEY and c != "processed_at"]
+    # newest row per key (by last_seen, then updated_at) and the first time the key was processed
+    newest = log.groupBy(*KEY).agg(
+        F.max_by(F.struct(*rest), F.struct("last_seen", "updated_at")).alias("_r"),
+        F.min("processed_at").alias("processed_at")).select(*KEY, "_r.*", "processed_at")
+    cur = silver.upsert_silver(snap.read(), newest.select(*SILVER_COLS), keep=("processed_at",))
     return silver.mark_active(cur, run_date) if run_date is not None else cur
 
 
@@ -198,7 +203,9 @@ def enrich(spark: SparkSession, root: str, run_date) -> dict:
     enriched = write_table(silver.enrich_first_source(silver.work_set(raw, current), run_date), "enriched_work")
     good, bad = silver.split_valid(enriched)
     seq = time.time_ns()
-    silver_log(spark, root).write_batch(good.select(*SILVER_COLS), seq)
+    now = F.current_timestamp()  # SNK-14: processed_at kept from the first run (on read), updated_at moves
+    silver_log(spark, root).write_batch(good.withColumns({"processed_at": now, "updated_at": now})
+                                        .select(*SILVER_COLS), seq)
     LogTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string",
              part_col="seq").write_batch(bad, seq)
     return {"silver": silver_current(spark, root, run_date)}

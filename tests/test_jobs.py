@@ -64,8 +64,23 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
     assert sorted(map(tuple, s2.collect())) == rows1
     jobs.compact_silver(spark, root)
     assert sorted(map(tuple, jobs.silver_current(spark, root, DAYS[-1]).collect())) == rows1
+
+    # A posting seen again on a later day is re-enriched: processed_at stays, updated_at moves.
+    one = s1.select("source", "job_id", "processed_at", "updated_at").where("source = 'adzuna'") \
+        .orderBy("job_id").first()
+    later = "2001-08-02"
+    more = (registry.postings(spark, SF_SMALL).where(F.col("job_id") == one.job_id)
+            .withColumn("last_seen", F.lit(later).cast("date")))
+    jobs.ingest_pages(spark, adapter.landed_pages(more, later), root, batch_id=99)
+    s3 = jobs.enrich(spark, root, later)["silver"].where(F.col("job_id") == one.job_id).first()
+    assert s3.processed_at == one.processed_at and s3.updated_at > one.updated_at
+    assert str(s3.last_seen) == later and s3.is_active
     assert s1.where(F.col("is_active") != (F.col("last_seen") == F.lit(DAYS[-1]).cast("date"))).count() == 0
 
+    # SNK-14: a re-enriched posting keeps processed_at and moves updated_at.
+    stamps = s1.select("source", "job_id", "processed_at", "updated_at")
+    assert stamps.where(F.col("processed_at").isNull() | F.col("updated_at").isNull()).count() == 0
+
     # Gold: one partition per run date; re-running a date replaces only that date.
     jobs.refresh_gold(spark, root, DAYS[0])
     g = jobs.refresh_gold(spark, root, DAYS[-1])
@@ -136,7 +151,8 @@ def test_daily_enrichment_needs_no_shuffle(spark, tmp_root):
     bt.write(raw)
     prev = raw.where("source = 'adzuna' and first_seen <= '2001-07-31'")
     good, _ = S.split_valid(S.enrich_first_source(prev, "2001-07-31"))
-    st.write(good.select(*jobs.SILVER_COLS))
+    now = F.current_timestamp()
+    st.write(good.withColumns({"processed_at": now, "updated_at": now}).select(*jobs.SILVER_COLS))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shape it has at scale
     try:
