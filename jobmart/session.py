@@ -47,14 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
     global _LOCAL_DIR
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(a machine-local scratch folder is not visible to other executors)")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="jobmart-ckpt-")
         d = _LOCAL_DIR
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd"))
     return d
 
 

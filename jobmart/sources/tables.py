@@ -49,7 +49,7 @@ def write_table(df, name: str, key: tuple = (), spark: SparkSession | None = Non
     from jobmart.session import shared_dir
 
     spark = spark or df.sparkSession
-    cache_key = (spark.sparkContext.applicationId, name, key)
+    cache_key = (spark.conf.get("spark.app.id", None) or id(spark), name, key)
     path = _WRITTEN.get(cache_key) if key else None
     if path is None:
         frame = df() if callable(df) else df
