@@ -33,12 +33,13 @@ from jobmart.sources.store import LogTable, VersionedTable
 from jobmart.sources.tables import write_table
 
 KEY = lifecycle.KEY
-PULL_ORDER = ["city", "role", "page", "position"]
+# Pulls run one after another: order by when they ran (if landed), then city and role.
+PULL_ORDER = ["pulled_at", "city", "role", "page", "position"]
 LOG_ORDER = ["batch_id", *PULL_ORDER]
 
 BRONZE_SCHEMA = "source string, job_id string, first_seen date, last_seen date, times_seen int, payload string"
-BRONZE_LOG_SCHEMA = ("source string, job_id string, run_date date, payload string, city string, role string, "
-                     "page int, position int")
+BRONZE_LOG_SCHEMA = ("source string, job_id string, run_date date, payload string, pulled_at timestamp, "
+                     "city string, role string, page int, position int")
 CALLS_LOG_SCHEMA = ("run_date date, city string, role string, batch_id bigint, pages_fetched bigint, "
                     "api_count bigint, api_mean_salary double, jobs_retrieved bigint")
 SILVER_ROW_SCHEMA = (

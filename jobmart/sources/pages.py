@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from jobmart import constants as K
 
 LANDED_SCHEMA = "run_date date, city string, role string, page int, body string"
+# Optional landing field: when the pull ran. Pulls run one after another, so it orders them.
+LANDED_READ_SCHEMA = LANDED_SCHEMA + ", pulled_at timestamp"
 PULL_KEY = ["run_date", "city", "role"]
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """SRC-1 / SRC-3: the landed page log (explicit schema, no inference pass)."""
-    return spark.read.schema(LANDED_SCHEMA).json(path)
+    return spark.read.schema(LANDED_READ_SCHEMA).json(path)
 
 
 def read_landed_files(spark: SparkSession, path: str) -> DataFrame:
@@ -39,29 +41,33 @@ def page_records(landed: DataFrame, records_path: str = "$.results", max_pages:
                  source: str = "adzuna") -> DataFrame:
     """SRC-2 + ARR-3: records of the kept pages with pull metadata.
 
-    Output: pull keys, page, position, job_id, payload (raw record JSON),
-    api_count / api_mean_salary (from page 1 when it parsed), pages_fetched.
+    Output: pull keys, pulled_at (when the pull ran, if landed), page, position,
+    job_id, payload (raw record JSON), api_count / api_mean_salary (from page 1
+    when it parsed), pages_fetched.
     The per-pull state is a set of at most ``max_pages`` page numbers.
     """
+    if "pulled_at" not in landed.columns:
+        landed = landed.withColumn("pulled_at", F.lit(None).cast("timestamp"))
     v = landed.where(F.col("page").between(1, max_pages)).withColumn("_v", F.try_parse_json("body"))
     recs = F.try_variant_get(F.col("_v"), records_path, "array<variant>")
     v = v.withColumn("_recs", recs)
     good = F.col("_v").isNotNull() & (F.coalesce(F.size("_recs"), F.lit(0)) > 0)
     pulls = v.groupBy(*PULL_KEY).agg(
         F.array_sort(F.collect_set(F.when(good, F.col("page")))).alias("_good"),
+        F.min("pulled_at").alias("pulled_at"),
         F.max(F.when((F.col("page") == 1) & F.col("_v").isNotNull(),
                      F.coalesce(F.try_variant_get("_v", "$.count", "bigint"), F.lit(0)))).alias("api_count"),
         F.max(F.when((F.col("page") == 1) & F.col("_v").isNotNull(),
                      F.try_variant_get("_v", "$.mean", "double"))).alias("api_mean_salary"))
     first_gap = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(max_pages + 1)),
                                      lambda p: ~F.array_contains(F.col("_good"), p)))
-    pulls = pulls.select(*PULL_KEY, "api_count", "api_mean_salary", first_gap.alias("_cutoff"))
-    kept = v.where(good).join(pulls, PULL_KEY).where(F.col("page") < F.col("_cutoff"))
-    out = kept.select(*PULL_KEY, "page", "api_count", "api_mean_salary",
+    pulls = pulls.select(*PULL_KEY, "pulled_at", "api_count", "api_mean_salary", first_gap.alias("_cutoff"))
+    kept = v.where(good).drop("pulled_at").join(pulls, PULL_KEY).where(F.col("page") < F.col("_cutoff"))
+    out = kept.select(*PULL_KEY, "pulled_at", "page", "api_count", "api_mean_salary",
                       (F.col("_cutoff") - 1).alias("pages_fetched"),
                       F.posexplode("_recs").alias("position", "_rec"))
     id_path = "$.id" if records_path == "$.results" else "$.job_id"
-    return out.select(*PULL_KEY, "page", "position", F.lit(source).alias("source"),
+    return out.select(*PULL_KEY, "pulled_at", "page", "position", F.lit(source).alias("source"),
                       F.try_variant_get("_rec", id_path, "string").alias("job_id"),
                       F.to_json("_rec").alias("payload"),
                       "api_count", "api_mean_salary", "pages_fetched")

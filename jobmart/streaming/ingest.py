@@ -16,12 +16,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from jobmart.plans import jobs
-from jobmart.sources.pages import LANDED_SCHEMA
+from jobmart.sources.pages import LANDED_READ_SCHEMA
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | None = None,
                       available_now: bool = True):
-    stream = spark.readStream.schema(LANDED_SCHEMA).json(landing_dir)
+    stream = spark.readStream.schema(LANDED_READ_SCHEMA).json(landing_dir)
     # The stream's file log lives next to the tables it feeds (the same shared root).
     checkpoint = checkpoint or os.path.join(root, "_streams", "page_ingest")
 

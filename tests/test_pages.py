@@ -50,3 +50,17 @@ def test_raw_response_files(spark, tmp_root):
     got = sorted((r.city, r.role, r.page, r.job_id) for r in pages.page_records(landed).collect())
     assert got == [("Chicago", "data analyst", 1, "1"), ("Chicago", "data analyst", 1, "2"),
                    ("Detroit", "data analyst", 1, "3")]
+
+
+def test_pull_order_follows_pulled_at(spark):
+    """A posting found by two pulls on one day is credited to the pull that ran first."""
+    from jobmart.operators import lifecycle as L
+    from jobmart.plans import jobs
+
+    d = dt.date(2024, 1, 1)
+    rows = [(d, "Zeta", "r", 1, _env([1]), dt.datetime(2024, 1, 1, 8)),    # ran first, sorts last by name
+            (d, "Alpha", "r", 1, _env([1]), dt.datetime(2024, 1, 1, 9))]
+    landed = spark.createDataFrame(rows, pages.LANDED_READ_SCHEMA)
+    batch = pages.page_records(landed).select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
+    credit = jobs.credited_pulls(batch, L.empty_target(spark)).collect()
+    assert [(r.city, r.jobs_retrieved) for r in credit] == [("Zeta", 1)]
