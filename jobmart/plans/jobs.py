@@ -224,7 +224,8 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     snap_t = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA)
     new = gold.latest_city_snapshot(s, run_date)
     old = snap_t.read()
-    keep = old.join(new.select("city", "state"), ["city", "state"], "left_anti")  # vanished cities keep their row
+    nk = new.select(F.col("city").alias("_c"), F.col("state").alias("_s"))
+    keep = old.join(nk, old.city.eqNullSafe(nk._c) & old.state.eqNullSafe(nk._s), "left_anti")  # vanished cities stay
     snap = snap_t.write(keep.unionByName(new))
     return {"stats": spark.read.parquet(stats_path), "snapshot": snap}
 
