@@ -20,8 +20,13 @@ from jobmart.sources.pages import LANDED_READ_SCHEMA
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | None = None,
-                      available_now: bool = True):
-    stream = spark.readStream.schema(LANDED_READ_SCHEMA).json(landing_dir)
+                      available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Start the ingest stream; ``max_files_per_trigger`` bounds each micro-batch
+    (a run's files should still land in one batch for the page prefix rule)."""
+    reader = spark.readStream.schema(LANDED_READ_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(landing_dir)
     # The stream's file log lives next to the tables it feeds (the same shared root).
     checkpoint = checkpoint or os.path.join(root, "_streams", "page_ingest")
 

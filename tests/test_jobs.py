@@ -212,3 +212,21 @@ def test_batches_with_compaction_equal_the_fold(spark, tmp_root):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
     audited = jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0]
     assert audited == got.agg(F.sum("times_seen")).first()[0]
+
+
+def test_stream_in_several_micro_batches(spark, tmp_root):
+    """One landed file per day, one file per micro-batch: same bronze and audit as the plain fold."""
+    landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "store")
+    for day in DAYS:
+        _landing_for(spark, day).coalesce(1).write.json(os.path.join(landing, f"day={day}"))
+    q = start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "ckpt"),
+                          max_files_per_trigger=1)
+    q.awaitTermination(600)
+    assert jobs.bronze_log(spark, root).max_batch() == len(DAYS) - 1  # three micro-batches
+    recs = pages.page_records(pages.read_landed(spark, os.path.join(landing, "*")))
+    batch = recs.select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
+    exp = L.upsert_sightings(L.empty_target(spark), batch, jobs.PULL_ORDER).drop("changed")
+    got = jobs.bronze_current(spark, root)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == \
+        got.agg(F.sum("times_seen")).first()[0]
