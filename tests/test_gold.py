@@ -79,3 +79,14 @@ def test_grouped_median_fallback_path(spark, monkeypatch):
     for g in range(6):
         vals = [v for k, v in rows if k == f"g{g}"]
         assert abs(got[f"g{g}"] - float(np.median(vals))) < 1e-9
+
+
+def test_grouped_median_single_hot_group(spark):
+    """All postings in one group (the hot-key case): exact medians of both salary columns."""
+    from conftest import SF_MID
+    from jobmart.operators.quantiles import grouped_medians
+
+    j = registry.postings(spark, SF_MID).withColumn("city", F.lit("HOT"))
+    got = grouped_medians(j, ["city"], {"mn": "salary_min", "mx": "salary_max"}).collect()[0]
+    vals = j.select(F.col("salary_min").cast("double").alias("a"), F.col("salary_max").cast("double").alias("b")).toPandas()
+    assert got.mn == float(np.median(vals.a.dropna())) and got.mx == float(np.median(vals.b.dropna()))
