@@ -45,11 +45,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def city_job_stats(silver: DataFrame, run_date) -> DataFrame:
-    """AGG-1..5: one row per (city, state) for ``run_date`` over first-source postings."""
-    d = _date(run_date)
-    src = silver.where(F.col("source") == "adzuna")
-    counts = src.groupBy(*CITY_KEYS).agg(
+def _stats_aggs(d: Column) -> list[Column]:
+    return [
         F.count("*").alias("total_jobs"),
         F.count_if(F.col("is_active")).alias("active_jobs"),
         F.count_if(F.col("first_seen") == d).alias("new_jobs"),
@@ -62,7 +59,53 @@ def city_job_stats(silver: DataFrame, run_date) -> DataFrame:
         F.count_if(F.col("seniority") == "jr").alias("junior_jobs"),
         F.count_if(F.col("seniority") == "mid").alias("mid_jobs"),
         F.count_if(F.col("seniority") == "sr").alias("senior_jobs"),
-    )
+    ]
+
+
+STATS_COUNTS = ["total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary", "avg_salary_min",
+                "avg_salary_max", "remote_jobs", "fulltime_jobs", "junior_jobs", "mid_jobs", "senior_jobs"]
+
+
+def _snapshot_aggs(d: Column) -> list[Column]:
+    """Snapshot aggregates except ``active_jobs`` (shared with the stats)."""
+    w7, w30 = (F.date_sub(d, n) for n in K.NEW_WINDOWS_DAYS)
+    both = F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull()
+
+    def growth(cut: Column) -> Column:
+        new, old = F.count_if(F.col("first_seen") >= cut), F.count_if(F.col("first_seen") < cut)
+        return F.when(old > 0, new.cast("double") / old * 100).otherwise(F.lit(0.0))
+
+    return [
+        F.count_if(F.col("first_seen") >= w7).alias("new_jobs_7d"),
+        F.count_if(F.col("first_seen") >= w30).alias("new_jobs_30d"),
+        F.try_divide(F.sum(F.when(both, F.col("salary_min") + F.col("salary_max"))).cast("double"),
+                     F.count_if(both) * 2).alias("avg_salary"),
+        growth(w7).alias("job_growth_rate_7d"),
+        growth(w30).alias("job_growth_rate_30d"),
+    ]
+
+
+SNAPSHOT_COUNTS = ["active_jobs", "new_jobs_7d", "new_jobs_30d", "avg_salary", "job_growth_rate_7d",
+                   "job_growth_rate_30d"]
+
+
+def city_aggregates(silver: DataFrame, run_date) -> DataFrame:
+    """Every per-city count of both gold tables in one aggregation (one scan of silver)."""
+    d = _date(run_date)
+    return (silver.where(F.col("source") == "adzuna").groupBy(*CITY_KEYS)
+            .agg(*_stats_aggs(d), *_snapshot_aggs(d)))
+
+
+def city_job_stats(silver: DataFrame, run_date, counts: DataFrame | None = None) -> DataFrame:
+    """AGG-1..5: one row per (city, state) for ``run_date`` over first-source postings.
+
+    ``counts``: precomputed :func:`city_aggregates` (shared with the snapshot).
+    """
+    d = _date(run_date)
+    src = silver.where(F.col("source") == "adzuna")
+    if counts is None:
+        counts = src.groupBy(*CITY_KEYS).agg(*_stats_aggs(d))
+    counts = counts.select(*CITY_KEYS, *STATS_COUNTS)
     meds = grouped_medians(src, CITY_KEYS, {"median_salary_min": "salary_min", "median_salary_max": "salary_max"})
     out = _null_safe_join(counts, meds, CITY_KEYS)
     return out.select(
@@ -87,30 +130,19 @@ def top_categories(silver: DataFrame, k: int = K.TOP_CATEGORIES) -> DataFrame:
                     lambda x: x["category_label"]).alias("top_categories"))
 
 
-def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame | None = None) -> DataFrame:
+def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame | None = None,
+                         counts: DataFrame | None = None) -> DataFrame:
     """AGG-6..8: current state per (city, state) with 7/30-day growth and top categories.
 
     With ``housing_latest`` (``housing.latest_metric``) the declared rent columns
     ``zori_latest``, ``zori_date`` and ``salary_to_rent_ratio`` are filled (JOIN-13).
+    ``counts``: precomputed :func:`city_aggregates` (shared with the stats).
     """
     d = _date(run_date)
-    w7, w30 = (F.date_sub(d, n) for n in K.NEW_WINDOWS_DAYS)
-    src = silver.where(F.col("source") == "adzuna")
-    both = F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull()
-
-    def growth(cut: Column) -> Column:
-        new, old = F.count_if(F.col("first_seen") >= cut), F.count_if(F.col("first_seen") < cut)
-        return F.when(old > 0, new.cast("double") / old * 100).otherwise(F.lit(0.0))
-
-    snap = src.groupBy(*CITY_KEYS).agg(
-        F.count_if(F.col("is_active")).alias("active_jobs"),
-        F.count_if(F.col("first_seen") >= w7).alias("new_jobs_7d"),
-        F.count_if(F.col("first_seen") >= w30).alias("new_jobs_30d"),
-        F.try_divide(F.sum(F.when(both, F.col("salary_min") + F.col("salary_max"))).cast("double"),
-                     F.count_if(both) * 2).alias("avg_salary"),
-        growth(w7).alias("job_growth_rate_7d"),
-        growth(w30).alias("job_growth_rate_30d"),
-    )
+    if counts is None:
+        counts = (silver.where(F.col("source") == "adzuna").groupBy(*CITY_KEYS)
+                  .agg(F.count_if(F.col("is_active")).alias("active_jobs"), *_snapshot_aggs(d)))
+    snap = counts.select(*CITY_KEYS, *SNAPSHOT_COUNTS)
     tops = top_categories(silver)
     out = snap.join(tops, CITY_KEYS, "left").withColumn(
         "top_categories", F.coalesce(F.col("top_categories"), F.array().cast("array<string>")))

@@ -217,12 +217,14 @@ def enrich(spark: SparkSession, root: str, run_date) -> dict:
 def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9)."""
     s = silver_current(spark, root, run_date)
+    # All per-city counts of both tables in one scan of silver (small: one row per city).
+    counts = write_table(gold.city_aggregates(s, run_date), "gold_city_aggregates")
     stats_path = os.path.join(root, "gold_city_job_stats")
     # Dynamic partition overwrite replaces only this run_date's partition.
-    (gold.city_job_stats(s, run_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (gold.city_job_stats(s, run_date, counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").parquet(stats_path))
     snap_t = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA)
-    new = gold.latest_city_snapshot(s, run_date)
+    new = gold.latest_city_snapshot(s, run_date, counts=counts)
     old = snap_t.read()
     nk = new.select(F.col("city").alias("_c"), F.col("state").alias("_s"))
     keep = old.join(nk, old.city.eqNullSafe(nk._c) & old.state.eqNullSafe(nk._s), "left_anti")  # vanished cities stay
