@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     sub = p.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("ingest-pages")
     s.add_argument("landing")
+    s.add_argument("--layout", choices=["log", "files"], default="log",
+                   help="log: JSON-lines page log; files: one raw response file per page, keys in the path")
     for name in ("enrich", "gold", "analyses"):
         sub.add_parser(name).add_argument("--run-date", required=True)
     s = sub.add_parser("ingest-housing")
@@ -50,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "ingest-pages":
         from jobmart.streaming.ingest import start_page_ingest
 
-        start_page_ingest(spark, a.landing, a.root).awaitTermination()
+        start_page_ingest(spark, a.landing, a.root, layout=a.layout).awaitTermination()
     elif a.cmd == "enrich":
         jobs.enrich(spark, a.root, a.run_date)
     elif a.cmd == "gold":

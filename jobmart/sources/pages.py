@@ -28,13 +28,25 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED_READ_SCHEMA).json(path)
 
 
+FILES_SCHEMA = "value string, run_date date, city string, role string, page int"
+
+
+def _from_files(df: DataFrame) -> DataFrame:
+    return df.select("run_date", "city", "role", "page", F.col("value").alias("body"))
+
+
 def read_landed_files(spark: SparkSession, path: str) -> DataFrame:
     """SRC-1 for raw response files: one file per fetched page, the pull keys in the path
     (``…/run_date=YYYY-MM-DD/city=…/role=…/page=N/<file>``), the file text as the body."""
-    df = spark.read.option("basePath", path).text(path, wholetext=True)
-    return df.select(F.col("run_date").cast("date").alias("run_date"), F.col("city").cast("string").alias("city"),
-                     F.col("role").cast("string").alias("role"), F.col("page").cast("int").alias("page"),
-                     F.col("value").alias("body"))
+    return _from_files(spark.read.schema(FILES_SCHEMA).option("basePath", path).text(path, wholetext=True))
+
+
+def stream_landed_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The same layout as a stream (new response files become new rows)."""
+    reader = spark.readStream.schema(FILES_SCHEMA).option("basePath", path)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return _from_files(reader.text(path, wholetext=True))
 
 
 def page_records(landed: DataFrame, records_path: str = "$.results", max_pages: int = K.MAX_PAGES,

@@ -16,17 +16,26 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from jobmart.plans import jobs
-from jobmart.sources.pages import LANDED_READ_SCHEMA
+from jobmart.sources.pages import LANDED_READ_SCHEMA, stream_landed_files
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | None = None,
-                      available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the ingest stream; ``max_files_per_trigger`` bounds each micro-batch
-    (a run's files should still land in one batch for the page prefix rule)."""
-    reader = spark.readStream.schema(LANDED_READ_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing_dir)
+                      available_now: bool = True, max_files_per_trigger: int | None = None,
+                      layout: str = "log"):
+    """Start the ingest stream.
+
+    ``layout``: ``"log"`` = JSON-lines page log, ``"files"`` = one raw response file
+    per page with the pull keys in the path. ``max_files_per_trigger`` bounds each
+    micro-batch (a run's files should still land in one batch for the page prefix rule).
+    """
+    opts = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
+    if layout == "files":
+        stream = stream_landed_files(spark, landing_dir, **opts)
+    else:
+        reader = spark.readStream.schema(LANDED_READ_SCHEMA)
+        for k, v in opts.items():
+            reader = reader.option(k, v)
+        stream = reader.json(landing_dir)
     # The stream's file log lives next to the tables it feeds (the same shared root).
     checkpoint = checkpoint or os.path.join(root, "_streams", "page_ingest")
 

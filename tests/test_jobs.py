@@ -230,3 +230,19 @@ def test_stream_in_several_micro_batches(spark, tmp_root):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
     assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == \
         got.agg(F.sum("times_seen")).first()[0]
+
+
+def test_stream_raw_response_files(spark, tmp_root):
+    import json
+
+    landing, root = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "store")
+    body = {"count": 2, "mean": 1.0, "results": [{"id": "a", "title": "Senior Analyst"}, {"id": "b", "title": "x"}]}
+    d = os.path.join(landing, "run_date=2024-01-02", "city=Chicago", "role=data analyst", "page=1")
+    os.makedirs(d)
+    with open(os.path.join(d, "response.json"), "w") as f:
+        json.dump(body, f, indent=2)
+    q = start_page_ingest(spark, landing, root, os.path.join(tmp_root, "ckpt"), layout="files")
+    q.awaitTermination(300)
+    got = sorted((r.job_id, str(r.first_seen), r.times_seen) for r in jobs.bronze_current(spark, root).collect())
+    assert got == [("a", "2024-01-02", 1), ("b", "2024-01-02", 1)]
+    assert jobs.job_calls(spark, root).first().jobs_retrieved == 2
