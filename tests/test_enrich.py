@@ -74,3 +74,10 @@ def test_enrich_run_is_idempotent(spark):
     assert S.work_set(raw, s1).count() == 0
     s2, _ = S.enrich_run(raw, s1, RUN)
     assert sorted(map(tuple, s2.collect())) == sorted(map(tuple, s1.collect()))
+
+
+def test_area_of_length_five(spark):
+    area = ["US", "Illinois", "Cook County", "Chicago", "Loop"]
+    out = S.enrich_first_source(_raw(spark, [_rec(location={"display_name": "x", "area": area})]), RUN).first()
+    assert (out.city, out.county, out.state, out.state_code, out.reject_reason) == (
+        "Loop", "Cook County", "Illinois", "IL", None)
