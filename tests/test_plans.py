@@ -43,3 +43,21 @@ def test_pushdown_and_pruning(spark):
 def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "median_salary_min" in df.columns
+
+
+# One-row global reports (their final aggregate is one task by nature) and top-k/limit reports.
+SINGLE_PARTITION_OK = {"description_backfill", "dq_report", "run_report", "top_cities_active", "remote_share",
+                       "seniority_backfill_sample"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_scale_shapes(spark, name):
+    """No all-pairs joins, no per-group exact percentile maps, no single-task exchanges
+    except for global one-row aggregates and top-k reports."""
+    df = E.queries()[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()  # final (adaptive) plan
+    plan = _plan(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "percentile(" not in plan.replace("percentile_approx(", "")
+    if name not in SINGLE_PARTITION_OK:
+        assert "SinglePartition" not in plan, name
