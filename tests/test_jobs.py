@@ -236,6 +236,12 @@ def test_stream_in_several_micro_batches(spark, tmp_root):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
     assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == \
         got.agg(F.sum("times_seen")).first()[0]
+    # Restarting on the same checkpoint (e.g. after a lost driver) finds nothing new.
+    before = sorted(map(tuple, got.collect()))
+    start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "ckpt"),
+                      max_files_per_trigger=1).awaitTermination(300)
+    assert jobs.bronze_log(spark, root).max_batch() == len(DAYS) - 1
+    assert sorted(map(tuple, jobs.bronze_current(spark, root).collect())) == before
 
 
 def test_stream_raw_response_files(spark, tmp_root):
