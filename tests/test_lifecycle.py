@@ -101,3 +101,25 @@ def test_hot_key_third_of_rows(spark):
     assert _as_dict(L.fold_sightings(hot)) == _py_fold(events)
     half = L.fold_sightings(hot.where(F.col("run_date") <= dt.date(2024, 1, 12)))
     assert _as_dict(L.upsert_sightings(half, hot, ORDER).drop("changed")) == _py_fold(events)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+EVENTS = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1, 6), st.integers(0, 86399)),
+                  min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None)
+@given(EVENTS, st.integers(1, 6))
+def test_upsert_fold_property(spark, events, split_day):
+    """Random sighting logs: batch fold == two-batch upsert == the plain day-by-day fold."""
+    rows = [{"source": "adzuna", "job_id": k, "run_date": dt.date(2024, 1, d),
+             "ts": dt.datetime(2024, 1, d) + dt.timedelta(seconds=s), "event_id": i, "payload": f"p{i}"}
+            for i, (k, d, s) in enumerate(events)]
+    df = spark.createDataFrame(rows, "source string, job_id string, run_date date, ts timestamp, "
+                                     "event_id long, payload string")
+    expected = _py_fold(rows)
+    assert _as_dict(L.fold_sightings(df)) == expected
+    first = L.upsert_sightings(L.empty_target(spark), df.where(F.col("run_date") <= dt.date(2024, 1, split_day)))
+    assert _as_dict(L.upsert_sightings(first.drop("changed"), df).drop("changed")) == expected
