@@ -64,3 +64,33 @@ def test_pull_order_follows_pulled_at(spark):
     batch = pages.page_records(landed).select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
     credit = jobs.credited_pulls(batch, L.empty_target(spark)).collect()
     assert [(r.city, r.jobs_retrieved) for r in credit] == [("Zeta", 1)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+STATUS = st.sampled_from(["ok", "ok", "ok", "empty", "corrupt", "missing"])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(STATUS, min_size=1, max_size=23), min_size=1, max_size=4))
+def test_prefix_rule_property(spark, pulls):
+    """Kept pages == plain statement of the rule: stop at the first missing / empty / corrupt
+    page, never beyond page 20."""
+    d = dt.date(2024, 1, 1)
+    rows, expected = [], set()
+    for c, statuses in enumerate(pulls):
+        stopped = False
+        for p, status in enumerate(statuses, start=1):
+            rid = c * 100 + p
+            if status != "missing":
+                body = _env([rid]) if status == "ok" else _env([]) if status == "empty" else "{nope"
+                rows.append((d, f"C{c}", "r", p, body))
+            if not stopped and status == "ok" and p <= 20:
+                expected.add((f"C{c}", p))
+            else:
+                stopped = True
+    if not rows:
+        return
+    got = {(r.city, r.page) for r in pages.page_records(spark.createDataFrame(rows, pages.LANDED_SCHEMA)).collect()}
+    assert got == expected
