@@ -205,7 +205,7 @@ def state_code_exact(state_full) -> Column:
 def state_abbreviation(x) -> Column:
     """'' for empty/NULL; valid 2-letter code -> upper; full name (any case) -> code; else input."""
     raw = _c(x)
-    norm = F.lower(F.trim(raw))
+    norm = F.lower(F.regexp_replace(raw, r"^\s+|\s+$", ""))  # strip all surrounding whitespace
     codes = F.array(*[F.lit(v) for v in K.US_STATES.values()])
     return (F.when(raw.isNull() | (raw == ""), F.lit(""))
             .when((F.length(norm) == 2) & F.array_contains(codes, F.upper(norm)), F.upper(norm))
