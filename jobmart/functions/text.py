@@ -216,7 +216,7 @@ def second_source_state(job_state, job_location) -> Column:
     """Name -> code with pass-through; if empty, a 2-char last ', ' part of the location."""
     st = F.coalesce(state_map()[_c(job_state)], _c(job_state), F.lit(""))
     parts = F.split(F.coalesce(_c(job_location), F.lit("")), ", ")
-    last = F.trim(F.element_at(parts, -1))
+    last = F.regexp_replace(F.element_at(parts, -1), r"^\s+|\s+$", "")  # str.strip()
     fallback = F.when((F.size(parts) >= 2) & (F.length(last) == 2), last).otherwise(st)
     return F.when((st == "") & (F.coalesce(_c(job_location), F.lit("")) != ""), fallback).otherwise(st)
 

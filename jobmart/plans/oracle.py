@@ -406,7 +406,7 @@ def v1_second_sql(run: str = RUN) -> str:
     st0 = f"coalesce({_state_case(_s('$.job_state'), 'NULL')}, {_s('$.job_state')}, '')"
     loc = _s("$.job_location")
     parts = f"string_split({loc}, ', ')"
-    last = f"trim({parts}[-1])"
+    last = f"regexp_replace({parts}[-1], '^\\s+|\\s+$', '', 'g')"
     state = (f"CASE WHEN {st0} = '' AND {loc} <> '' THEN (CASE WHEN len({parts}) >= 2 AND length({last}) = 2 "
              f"THEN {last} ELSE {st0} END) ELSE {st0} END")
     raw_type = _s("$.job_employment_type")
