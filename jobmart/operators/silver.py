@@ -69,10 +69,18 @@ def parse_payload(raw: DataFrame, top: str = FIRST_SOURCE_TOP) -> DataFrame:
     return raw.select("*", F.explode(F.array(parsed)).alias(_S))
 
 
+# ISO-8601 as accepted by datetime.fromisoformat: extended (2001-07-31T10:00:00+00:00) or
+# basic (20010731T100000) form; the date is read in the timestamp's own offset.
+_ISO_BASIC = r"^\d{8}(T\d{2}(\d{2}(\d{2}(\.\d{1,6})?)?)?([+-]\d{2}(:?\d{2})?|Z)?)?$"
+
+
 def post_date(created: Column) -> Column:
     """DAT-1: the calendar date in the timestamp's own offset; unparsable -> NULL."""
-    ok = F.try_to_timestamp(F.replace(created, F.lit("Z"), F.lit("+00:00"))).isNotNull()
-    return F.when((created != "") & ok, F.try_to_date(F.substring(created, 1, 10)))
+    extended = created.rlike(r"^\d{4}-\d{2}-\d{2}") & \
+        F.try_to_timestamp(F.replace(created, F.lit("Z"), F.lit("+00:00"))).isNotNull()
+    basic = created.rlike(_ISO_BASIC)
+    return (F.when(extended, F.try_to_date(F.substring(created, 1, 10)))
+            .when(basic, F.try_to_date(F.substring(created, 1, 8), "yyyyMMdd")))
 
 
 def reject_reason() -> Column:

@@ -81,3 +81,21 @@ def test_area_of_length_five(spark):
     out = S.enrich_first_source(_raw(spark, [_rec(location={"display_name": "x", "area": area})]), RUN).first()
     assert (out.city, out.county, out.state, out.state_code, out.reject_reason) == (
         "Loop", "Cook County", "Illinois", "IL", None)
+
+
+def test_post_date_matches_fromisoformat(spark):
+    cases = ["2001-07-31T10:00:00Z", "2001-07-31", "2001-07-31T23:30:00-05:00", "not-a-date", "2001-13-01",
+             "2001-07-31 10:00:00", "2001-07-31T10:00:00.123456Z", "2001-07-31T10:00", "20010731T100000", "",
+             "2001-02-29T00:00:00Z", "2001-07-31T24:00:00Z", "2001-7-31", "20010731", "20010230", "20010731T1000Z"]
+
+    def py(c):
+        if not c:
+            return None
+        try:
+            return dt.datetime.fromisoformat(c.replace("Z", "+00:00")).date()
+        except ValueError:
+            return None
+
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in cases], "c string")
+           .select(S.post_date(S.F.col("c"))).collect()]
+    assert got == [py(c) for c in cases]
