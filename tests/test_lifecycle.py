@@ -126,3 +126,7 @@ def test_upsert_fold_property(spark, events, split_day):
     # SNK-5 (same-day re-pull refreshes the payload): the whole log as one batch == the plain refresh fold
     refreshed = L.upsert_sightings(L.empty_target(spark), df, refresh_payload=True).drop("changed")
     assert _as_dict(refreshed) == _py_fold(rows, refresh=True)
+    part = L.upsert_sightings(L.empty_target(spark), df.where(F.col("run_date") <= dt.date(2024, 1, split_day)),
+                              refresh_payload=True).drop("changed")
+    again = L.upsert_sightings(part, df, refresh_payload=True).drop("changed")
+    assert _as_dict(again) == _py_fold(rows, refresh=True)
