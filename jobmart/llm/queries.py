@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmart.llm import mixing, packing, quality
+from jobmart.llm import chat, html, mixing, packing, pii, quality, warc
 from jobmart.llm.common import read
 
 
@@ -12,6 +12,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_public(read(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read(spark, sf_dir, "documents"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.with_probe(read(spark, sf_dir, "conversations")))
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.revisits_report(read(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
@@ -20,5 +32,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op6_quality_rules, op7_mixing)}
+    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op6_quality_rules, op7_mixing, op10_html_extraction)}
