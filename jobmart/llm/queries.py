@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmart.llm import chat, html, mixing, packing, pii, quality, warc
+from jobmart.llm import ann, chat, html, mixing, packing, pii, quality, simhash, warc
 from jobmart.llm.common import read
 
 
@@ -32,9 +32,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op6_quality_rules, op7_mixing, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction)}
