@@ -6,7 +6,7 @@
 * Indexing: every row is routed to its leaf in every tree. Equal vectors are one entry with its smallest ids:
   no more than ``k + 1`` ids of one vector can be in any answer, so the rest need no entry (exact).
 * Searching: one priority queue over the nodes of all trees, ordered by the smallest margin on the way, gives a
-  query its leaves until they hold ``SEARCH`` sample vectors.
+  query its leaves until, over all trees, they hold ``SHARE`` times as many vectors as the sample.
 * Reranking: leaf members and the queries that chose the leaf meet in one group; leaves of more than ``BLOCK``
   members are dealt out in blocks, with the queries sent to each block. Scores are inner products of the original
   vectors in double precision; each group passes on its best, and the best of all are kept.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import staged
 
-TREES, LEAF, SAMPLE, SEARCH, BLOCK, SEED = 10, 64, 50_000, 5000, 8192, 7
+TREES, LEAF, SAMPLE, SHARE, BLOCK, SEED = 10, 256, 50_000, 0.9, 8192, 7
 K = 20
 
 
@@ -110,7 +110,7 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return v.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0).cast("float"))).dropDuplicates(["vec_id", "embedding"])
 
 
-def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, enough: int = SEARCH, block: int = BLOCK) -> DataFrame:
+def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row whose id is divisible by ``every``."""
     v = staged(_valid(vectors), "vectors")
     dims = v.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
@@ -133,6 +133,7 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES,
     chosen = entries.select("embedding", F.xxhash64("entry", F.lit(SEED)).alias("h")).where(
         F.pmod("h", F.lit(1_000_000)) < int(min(1.0, 1.2 * sample / max(total, 1)) * 1_000_000) + 1).orderBy("h").limit(sample).select("embedding").toPandas()
     forest = Forest(lifted(np.array(chosen["embedding"].tolist(), dtype=np.float64)), trees, leaf, SEED)
+    enough = int(share * len(chosen))
     shared = vectors.sparkSession.sparkContext.broadcast(forest)
 
     def route(batches):
