@@ -6,7 +6,7 @@ copies are prefix-summed, one offset per source is added, and a document is emit
 integer boundary its interval crosses. Since the expectation is the same for all documents of a source,
 the prefix sum is the expectation times the document's rank, so only ranks are distributed work:
 
-* order: size, then a hash-free bucket of the id, then the id - by size, so that every stretch of sizes is
+* order: size, then the id modulo ``BUCKETS``, then the id - by size, so that every stretch of sizes is
   sampled evenly and the taken words come near the target, not just the taken documents;
 * the rank is built from three small windows (sizes of a source, buckets of a size, rows of a bucket), so a
   source or a group of equal sizes with a third of all rows never meets in one window.
@@ -20,6 +20,8 @@ is derived from the source's name.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +32,15 @@ CAP = 3.0
 BUCKETS = 1024
 
 
+def content_hash(docs: DataFrame) -> Column:
+    """A hash of a whole row; rows that agree in it and in doc_id are copies of each other."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not re.search("map<|variant", kind)])
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size in words); the only pass over the texts."""
-    return docs.select("doc_id", "source", F.size(F.regexp_extract_all(text_or_empty(), F.lit(f"({WORD})"), F.lit(1))).cast("long").alias("size"))
+    """(doc_id, source, row hash, size in words); the only pass over the texts."""
+    return docs.select("doc_id", "source", content_hash(docs).alias("row"),
+                       F.size(F.regexp_extract_all(text_or_empty(), F.lit(f"({WORD})"), F.lit(1))).cast("long").alias("size"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -78,10 +86,10 @@ def ranks(sizes: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     second = small.select("source", "size", "_b", ahead(before("source", "size").orderBy("_b")).alias("_c"))
     start = (second.join(first, F.col("source").eqNullSafe(F.col("_s1")) & (F.col("size") == F.col("_z1")))
              .select(F.col("source").alias("_s2"), F.col("size").alias("_z2"), F.col("_b").alias("_b2"), (F.col("_a") + F.col("_c")).alias("_start")))
-    inner = F.row_number().over(Window.partitionBy("source", "size", "_b").orderBy("doc_id")) - 1
+    inner = F.row_number().over(Window.partitionBy("source", "size", "_b").orderBy("doc_id", "row")) - 1
     return (d.withColumn("_i", inner)
             .join(start, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("size") == F.col("_z2")) & (F.col("_b") == F.col("_b2")))
-            .select("doc_id", "source", "size", (F.col("_start") + F.col("_i")).alias("rank")))
+            .select("doc_id", "source", "row", "size", (F.col("_start") + F.col("_i")).alias("rank")))
 
 
 def copies_table(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -91,7 +99,7 @@ def copies_table(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFram
     per = t.select(F.col("source").alias("_s"), "source_size", "target", "rate", "offset")
     r = ranks(sizes).join(per, F.col("source").eqNullSafe(F.col("_s")))
     crossed = F.floor(F.col("offset") + F.col("rate") * (F.col("rank") + 1)) - F.floor(F.col("offset") + F.col("rate") * F.col("rank"))
-    return r.select("doc_id", "source", "size", "source_size", "target", F.least(crossed, F.floor(F.lit(cap))).cast("long").alias("copies"))
+    return r.select("doc_id", "source", "row", "size", "source_size", "target", F.least(crossed, F.floor(F.lit(cap))).cast("long").alias("copies"))
 
 
 def mix_report(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -102,19 +110,15 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """The mixed corpus: every document repeated as often as it was taken, with the columns of ``docs``.
 
-    Rows are matched to their copies by (doc_id, source, size); rows that agree in all three (repeated
-    rows) share their copies, dealt out in a fixed order of their content hash.
+    Rows are matched to their copies by doc_id and content. Identical rows are interchangeable: one of them stands for
+    all and is repeated as often as all of them were taken.
     """
     cols = docs.columns
     c = copies_table(docs, weights, cap)
-    key = ["doc_id", "source", "size"]
-    shared = c.groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    shared = shared.select(*[F.col(k).alias(f"_{k}") for k in key], "_copies", "_rows")
-    d = docs.select(F.struct("*").alias("_d"), F.size(F.regexp_extract_all(text_or_empty(), F.lit(f"({WORD})"), F.lit(1))).cast("long").alias("_n"))
-    j = d.join(shared, F.col("_d.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("_d.source").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")))
-    once = j.where("_rows = 1").select("_d", F.col("_copies").alias("_k"))
-    order = Window.partitionBy("_d.doc_id", "_d.source", "_n").orderBy(F.xxhash64(F.col("_d")))
-    i = F.row_number().over(order) - 1
-    many = j.where("_rows > 1").withColumn("_i", i).select("_d", (F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_i") < F.col("_copies") % F.col("_rows")).cast("long")).alias("_k"))
-    out = once.unionByName(many).where("_k > 0").select("_d", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy"))
-    return out.select(*[F.col(f"_d.`{x}`") for x in cols])
+    shared = staged(c.groupBy("doc_id", "row").agg(F.sum("copies").alias("_k"), F.count(F.lit(1)).alias("_n")).where("_k > 0")
+                    .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "_k", "_n"), "copies")
+    d = docs.withColumn("_of", content_hash(docs))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_row"))
+    one, many = d.join(shared.where("_n = 1"), same), d.join(shared.where("_n > 1"), same).dropDuplicates(["doc_id", "_of"])
+    out = one.unionByName(many).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))))
+    return out.select(*[F.col(f"`{x}`") for x in cols])

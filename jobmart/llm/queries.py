@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmart.llm import ann, chat, html, mixing, packing, pii, quality, simhash, warc
+from jobmart.llm import ann, chat, html, mixing, packing, pii, quality, repeats, simhash, warc
 from jobmart.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisits_report(read(spark, sf_dir, "pages"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
@@ -45,4 +49,4 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op5_repeated_passages, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction)}
