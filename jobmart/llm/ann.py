@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by largest inner product: a forest of random-projection trees.
 
 * Fitting: a bounded sample (``SAMPLE`` vectors) is split again and again by the plane between two random members,
-  until a leaf has at most ``LEAF`` of them. The forest's size is bounded by the sample, so it may be sent
-  to every task. An extra coordinate makes the largest inner product the nearest point.
+  until a leaf has at most a ``LEAVES``-th of the sample (at least ``LEAST_LEAF``). The forest's size is bounded, so it may
+  be sent to every task, and a query visits as many leaves whatever the number of rows. An extra coordinate makes the largest inner product the nearest point.
 * Indexing: every row is routed to its leaf in every tree. Equal vectors are one entry with its smallest ids:
   no more than ``k + 1`` ids of one vector can be in any answer, so the rest need no entry (exact).
 * Searching: one priority queue over the nodes of all trees, ordered by the smallest margin on the way, gives a
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import staged
 
-TREES, LEAF, SAMPLE, SHARE, BLOCK, SEED = 10, 256, 50_000, 0.9, 8192, 7
+TREES, LEAVES, LEAST_LEAF, SAMPLE, SHARE, BLOCK, SEED = 10, 64, 32, 50_000, 0.9, 8192, 7
 K = 20
 
 
@@ -110,7 +110,7 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return v.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0).cast("float"))).dropDuplicates(["vec_id", "embedding"])
 
 
-def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, share: float = SHARE, block: int = BLOCK) -> DataFrame:
+def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES, leaves: int = LEAVES, sample: int = SAMPLE, share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row whose id is divisible by ``every``."""
     v = staged(_valid(vectors), "vectors")
     dims = v.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
@@ -132,7 +132,7 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES,
 
     chosen = entries.select("embedding", F.xxhash64("entry", F.lit(SEED)).alias("h")).where(
         F.pmod("h", F.lit(1_000_000)) < int(min(1.0, 1.2 * sample / max(total, 1)) * 1_000_000) + 1).orderBy("h").limit(sample).select("embedding").toPandas()
-    forest = Forest(lifted(np.array(chosen["embedding"].tolist(), dtype=np.float64)), trees, leaf, SEED)
+    forest = Forest(lifted(np.array(chosen["embedding"].tolist(), dtype=np.float64)), trees, max(LEAST_LEAF, len(chosen) // leaves), SEED)
     enough = int(share * len(chosen))
     shared = vectors.sparkSession.sparkContext.broadcast(forest)
 
