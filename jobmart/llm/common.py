@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +25,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def content_hash(docs: DataFrame) -> Column:
+    """A hash of a whole row; rows that agree in it and in doc_id are copies of each other."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not re.search("map<|variant", kind)])

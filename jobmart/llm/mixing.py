@@ -20,23 +20,16 @@ is derived from the source's name.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import WORD, staged, text_or_empty
+from jobmart.llm.common import WORD, content_hash, staged, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 BUCKETS = 1024
 
 
-def content_hash(docs: DataFrame) -> Column:
-    """A hash of a whole row; rows that agree in it and in doc_id are copies of each other."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not re.search("map<|variant", kind)])
-
-
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, row hash, size in words); the only pass over the texts."""
     return docs.select("doc_id", "source", content_hash(docs).alias("row"),
@@ -113,12 +106,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     Rows are matched to their copies by doc_id and content. Identical rows are interchangeable: one of them stands for
     all and is repeated as often as all of them were taken.
     """
-    cols = docs.columns
     c = copies_table(docs, weights, cap)
-    shared = staged(c.groupBy("doc_id", "row").agg(F.sum("copies").alias("_k"), F.count(F.lit(1)).alias("_n")).where("_k > 0")
-                    .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "_k", "_n"), "copies")
-    d = docs.withColumn("_of", content_hash(docs))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_row"))
-    one, many = d.join(shared.where("_n = 1"), same), d.join(shared.where("_n > 1"), same).dropDuplicates(["doc_id", "_of"])
-    out = one.unionByName(many).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))))
-    return out.select(*[F.col(f"`{x}`") for x in cols])
+    shared = staged(c.groupBy("doc_id", "row").agg(F.sum("copies").alias("k"), F.count(F.lit(1)).alias("n")).where("k > 0")
+                    .withColumnsRenamed({"doc_id": "id"}), "copies")
+    d = docs.select(F.struct("*").alias("d"), F.col("doc_id").alias("of_id"), content_hash(docs).alias("of"))
+    same = F.col("of_id").eqNullSafe(F.col("id")) & (F.col("of") == F.col("row"))
+    one, many = d.join(shared.where("n = 1"), same), d.join(shared.where("n > 1"), same).dropDuplicates(["of_id", "of"])
+    return one.unionByName(many).select("d", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k")))).select("d.*")

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import BLANKS, WORD
+from jobmart.llm.common import BLANKS, WORD, fresh
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent function words of the languages served.
@@ -126,5 +126,6 @@ def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
     threshold would bring its own copy of the measures.
     """
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    q = measures(docs, into="_q").withColumn("_p", F.spark_partition_id())
-    return q.where(~base_failed("_q") & verdict(rules, "_q") & (F.col("_p") >= 0)).select(*cols)
+    into, part = fresh(docs, "_q"), fresh(docs, "_p")
+    q = measures(docs, into=into).withColumn(part, F.spark_partition_id())
+    return q.where(~base_failed(into) & verdict(rules, into) & (F.col(part) >= 0)).select(*cols)
