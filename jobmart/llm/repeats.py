@@ -17,7 +17,8 @@ A gram in very many buckets (``HOT``) is asked by single strings instead of segm
 group holds more than one entry per bucket and different string; the number of entries of a gram is so
 bounded by the number of buckets, however many documents hold it.
 
-Texts travel compressed, one blob per input batch and bucket; a task holds one bucket (about ``BUCKET_BYTES``). Nothing
+Texts travel compressed, one blob per input batch and bucket; a task holds one bucket (about ``BUCKET_BYTES`` of text) or one
+directory (the shared segments of about ``DIRECTORY_BYTES``). Nothing
 is collected to the driver but the total size. Equality is by bytes inside a directory; grams, and the strings of
 hot grams, are told apart by 64-bit hashes.
 
@@ -36,7 +37,9 @@ from pyspark.sql import functions as F
 from jobmart.llm.common import staged
 
 LENGTH, GRAM = 50, 20
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES, DIRECTORY_BYTES = 4_000_000, 32_000_000
+#: Strings handled at a time while anchors are chosen.
+STEP = 1 << 18
 HOT = 2000
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK48 = np.uint64((1 << 48) - 1)
@@ -87,26 +90,34 @@ def anchors(data: np.ndarray, doc: np.ndarray, p: np.ndarray, length: int = LENG
     ``doc`` numbers the document of every byte; strings that cross documents represent nothing. The strings
     are given by their starts, ends inclusive.
     """
-    n = len(data) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.arange(len(data) - gram + 1, dtype=np.int64)
-    h = _mixed((p[gram:] - p[:-gram]) * _powers(len(at))[1])
-    value, place, width, target = h, at, 1, length - gram + 1
-    while width < target:  # smallest of a doubling window, the leftmost where equal
-        s = min(width, target - width)
-        left = value[:-s] <= value[s:]
-        value, place = np.where(left, value[:-s], value[s:]), np.where(left, place[:-s], place[s:])
-        width += s
-    inside = doc[:n] == doc[length - 1:]
-    new = np.empty(n, dtype=bool)
-    new[0] = True
-    new[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1]) | (doc[1:n] != doc[:n - 1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], n) - 1
-    ok = inside[first]
-    first, last = first[ok], last[ok]
-    return h[place[first]], first, last
+    n, target = len(data) - length + 1, length - gram + 1
+    grams, firsts, places, ends = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for s in range(0, n, STEP):  # a stretch of strings at a time: the working arrays are many times the text
+        e = min(s + STEP, n)
+        stop = e + length - 1
+        at = np.arange(s, stop - gram + 1, dtype=np.int64)
+        h = _mixed((p[s + gram:stop + 1] - p[s:stop - gram + 1]) * _powers(stop)[1][s:stop - gram + 1])
+        value, place, width = h, at, 1
+        while width < target:  # smallest of a doubling window, the leftmost where equal
+            w = min(width, target - width)
+            left = value[:-w] <= value[w:]
+            value, place = np.where(left, value[:-w], value[w:]), np.where(left, place[:-w], place[w:])
+            width += w
+        inside = np.flatnonzero(doc[s:e] == doc[s + length - 1:stop])
+        if len(inside):
+            place = place[inside]
+            new = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (np.diff(inside) != 1)))
+            firsts.append(inside[new] + s)
+            ends.append(inside[np.append(new[1:], len(inside)) - 1] + s)
+            places.append(place[new])
+            grams.append(h[place[new] - s])
+    gram_of, first, place, last = (np.concatenate(x) for x in (grams, firsts, places, ends))
+    if not len(first):
+        return gram_of, first, last
+    # a gram's strings may go on in the next stretch
+    on = np.append(False, (place[1:] == place[:-1]) & (first[1:] == last[:-1] + 1))
+    begin = np.flatnonzero(~on)
+    return gram_of[begin], first[begin], last[np.append(begin[1:], len(first)) - 1]
 
 
 class Bucket:
@@ -442,11 +453,12 @@ def _remove(parts, length, gram):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, directory_bytes: int = DIRECTORY_BYTES, hot: int = HOT) -> DataFrame:
     """One row per document: its bytes, the bytes covered by a string of ``length`` that a smaller doc_id has, their runs, a digest of the rest."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // bucket_bytes))
-    blobs = docs.select(F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(parts)).cast("int").alias("b"), F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_pack_docs, _SCHEMA)
+    buckets = max(1, -(-size // bucket_bytes))
+    parts = max(-(-size // directory_bytes), min(buckets, 32))
+    blobs = docs.select(F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(buckets)).cast("int").alias("b"), F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_pack_docs, _SCHEMA)
     by = lambda df, key: df.repartition(key).sortWithinPartitions(key, "kind", "b", "g")
     asked = by(blobs, "b").mapInArrow(_ask_grams(parts, length, gram), _SCHEMA)
     flags = staged(by(asked, "g").mapInArrow(_answer_grams(hot), _SCHEMA), "flags")
