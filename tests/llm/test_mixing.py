@@ -26,17 +26,17 @@ def plain_targets(sizes, weights=mixing.WEIGHTS, cap=mixing.CAP):
 def table(docs, seed=2):
     r = random.Random(seed)
     rows = [(i, "w " * r.choice((0, 1, 5, 40, 41, 300)), r.choice(["a"] * 12 + ["b", "c", "d", "é", None])) for i in range(1500)]
-    return docs(rows + [(None, "null id", "a"), (7, None, "zz")])
+    return docs(rows + [(None, "null id", "a"), (7777, None, "zz")])
 
 
 def test_targets_and_copies(spark, docs):
     df = table(docs)
     rows = mixing.mix_report(df).collect()
     assert len(rows) == df.count() and sorted(map(str, rows)) == sorted(map(str, mixing.mix_report(df).collect()))
-    source = {r.doc_id: r.source for r in df.collect() if r.doc_id != 7}
+    source = {r.doc_id: r.source for r in df.collect() if r.doc_id != 7777}
     sizes, taken, target, largest = defaultdict(int), defaultdict(int), {}, defaultdict(int)
     for r in rows:
-        if r.doc_id == 7:
+        if r.doc_id == 7777:
             continue
         s = source[r.doc_id]
         sizes[s] += r.size
@@ -44,7 +44,7 @@ def test_targets_and_copies(spark, docs):
         target[s] = r.target
         largest[s] = max(largest[s], r.size)
         assert r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
-    want = plain_targets({**{s: next(r.source_size for r in rows if r.doc_id != 7 and source[r.doc_id] == s) for s in sizes}, "zz": 0})
+    want = plain_targets({**{s: next(r.source_size for r in rows if r.doc_id != 7777 and source[r.doc_id] == s) for s in sizes}, "zz": 0})
     for s in sizes:
         assert target[s] == pytest.approx(want[s]) and abs(taken[s] - target[s]) <= 2 * largest[s] + 3
 

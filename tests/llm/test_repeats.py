@@ -76,6 +76,15 @@ def test_maximal_repeats_equal_brute_force(strings):
     assert {(size, tuple(sorted(at))) for size, at in repeats.maximal_repeats(strings, n)} == want
 
 
+def test_anchors_in_stretches(monkeypatch):
+    r = np.random.default_rng(6)
+    data = r.integers(97, 99, 5000, dtype=np.uint8)
+    doc = np.sort(r.integers(0, 20, 5000)).astype(np.int32)
+    whole = repeats.anchors(data, doc, repeats.sums(data))
+    monkeypatch.setattr(repeats, "STEP", 97)
+    assert all((a == b).all() for a, b in zip(whole, repeats.anchors(data, doc, repeats.sums(data))))
+
+
 def test_anchors_depend_on_the_string_only():
     r = np.random.default_rng(2)
     middle = r.integers(97, 101, 300, dtype=np.uint8)
