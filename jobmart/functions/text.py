@@ -198,7 +198,7 @@ def lower_state_map() -> Column:
 
 
 def state_code_exact(state_full) -> Column:
-    """US_STATE_ABBREV.get(state, '')."""
+    """The abbreviation of an exactly written state name, else the empty string."""
     return F.coalesce(state_map()[_c(state_full)], F.lit(""))
 
 

@@ -96,10 +96,18 @@ def city_aggregates(silver: DataFrame, run_date) -> DataFrame:
             .agg(*_stats_aggs(d), *_snapshot_aggs(d)))
 
 
+def city_counts(silver: DataFrame, run_date) -> DataFrame:
+    """AGG-1..4: the gold row without its medians; nothing runs while the plan is built."""
+    d = _date(run_date)
+    counts = silver.where(F.col("source") == "adzuna").groupBy(*CITY_KEYS).agg(*_stats_aggs(d))
+    return counts.select("city", F.col("state_code").alias("state"), d.alias("run_date"), *STATS_COUNTS)
+
+
 def city_job_stats(silver: DataFrame, run_date, counts: DataFrame | None = None) -> DataFrame:
     """AGG-1..5: one row per (city, state) for ``run_date`` over first-source postings.
 
-    ``counts``: precomputed :func:`city_aggregates` (shared with the snapshot).
+    ``counts``: precomputed :func:`city_aggregates` (shared with the snapshot). Readers that
+    need no median take :func:`city_counts`.
     """
     d = _date(run_date)
     src = silver.where(F.col("source") == "adzuna")
@@ -164,36 +172,62 @@ def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame
         "top_categories")
 
 
-def city_job_stats_history(silver: DataFrame, first_date, last_date, with_totals: bool = True) -> DataFrame:
-    """Gold rows for every run date in [first_date, last_date] in one pass (backfill).
-
-    Only active / new / expired depend on ``run_date``. They come from
-    per-(city, state, day) histograms of last_seen / first_seen (pre-aggregated,
-    so a hot city contributes one row per calendar day) and a running sum over
-    days, instead of re-scanning the postings once per date.
+def _history_sums() -> dict[str, Column]:
+    """What a posting adds to its city while it stands: counts and exact salary sums."""
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
+    return {
+        "total_jobs": F.lit(1).cast("bigint"),
+        "jobs_with_salary": F.col("salary_min").isNotNull().cast("bigint"),
+        "_max_n": F.col("salary_max").isNotNull().cast("bigint"),
+        "_min_sum": F.coalesce(F.col("salary_min"), F.lit(0)),
+        "_max_sum": F.coalesce(F.col("salary_max"), F.lit(0)),
+        "remote_jobs": flag(F.col("is_remote")),
+        "fulltime_jobs": flag(F.col("job_type") == "full-time"),
+        "junior_jobs": flag(F.col("seniority") == "jr"),
+        "mid_jobs": flag(F.col("seniority") == "mid"),
+        "senior_jobs": flag(F.col("seniority") == "sr"),
+    }
+
+
+def city_history(versions: DataFrame, first_date, last_date, medians: bool = False) -> DataFrame:
+    """The gold row of every (city, state, day) in a range, as it stood on that day.
+
+    ``versions``: one row per posting and day it was sighted (``last_seen`` = that day), with the attributes
+    it then had. A version stands from its day until the posting's next one, so each adds its counts and sums
+    to its city on one day and takes them back on another; a running sum over the days of a city (one row per
+    day) gives the state. Active are the versions of the day, new those whose first sighting it is.
+    ``medians`` also ranks the salaries standing on each day (work: postings x days of the range).
     """
-    src = silver.where(F.col("source") == "adzuna")
-    first = src.groupBy(*CITY_KEYS, F.col("first_seen").alias("day")).agg(F.count("*").alias("new_jobs"))
-    last = src.groupBy(*CITY_KEYS, F.col("last_seen").alias("day")).agg(F.count("*").alias("n_last"))
-    grid = src.select(*CITY_KEYS).distinct().select(
-        *CITY_KEYS, F.explode(F.sequence(_date(first_date), _date(last_date))).alias("day"))
-    # Calendar rows sort before data rows of the same day: their running sum = last_seen < day.
-    ev = (last.withColumn("_o", F.lit(1))
-          .unionByName(grid.withColumn("n_last", F.lit(0).cast("bigint")).withColumn("_o", F.lit(0))))
-    w = Window.partitionBy(*CITY_KEYS).orderBy("day", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    expired = ev.withColumn("expired_jobs", F.sum("n_last").over(w)).where(F.col("_o") == 0).drop("n_last", "_o")
-    active = last.withColumnRenamed("n_last", "active_jobs")
-    per = _null_safe_join(_null_safe_join(expired, active, CITY_KEYS + ["day"]), first, CITY_KEYS + ["day"])
-    per = per.select("city", F.col("state_code").alias("state"), F.col("day").alias("run_date"),
-                     F.coalesce("active_jobs", F.lit(0)).alias("active_jobs"),
-                     F.coalesce("new_jobs", F.lit(0)).alias("new_jobs"),
-                     F.col("expired_jobs"))
-    if not with_totals:
-        return per
-    base = city_job_stats(silver.withColumn("is_active", F.lit(False)), last_date).drop(
-        "run_date", "active_jobs", "new_jobs", "expired_jobs")
-    out = _null_safe_join(per, base, ["city", "state"], "inner")
-    return out.select(
-        "city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary",
-        "avg_salary_min", "avg_salary_max", "median_salary_min", "median_salary_max",
-        "remote_jobs", "fulltime_jobs", "junior_jobs", "mid_jobs", "senior_jobs")
+    v = versions.where(F.col("source") == "adzuna")
+    nxt = F.lead("last_seen").over(Window.partitionBy("source", "job_id").orderBy("last_seen"))
+    v = v.withColumn("_until", nxt)
+    sums = _history_sums()
+    here = F.struct(F.col("last_seen").alias("day"), F.lit(1).alias("sign"))
+    gone = F.when(F.col("_until").isNotNull(), F.struct(F.col("_until").alias("day"), F.lit(-1).alias("sign")))
+    moves = v.select("*", F.explode(F.filter(F.array(here, gone), lambda x: x.isNotNull())).alias("_m"))
+    starts = F.col("_m.sign") == 1
+    days = moves.groupBy(*CITY_KEYS, F.col("_m.day").alias("run_date")).agg(
+        *[F.sum(x * F.col("_m.sign")).alias(n) for n, x in sums.items()],
+        F.count_if(starts).alias("active_jobs"),
+        F.count_if(starts & (F.col("first_seen") == F.col("last_seen"))).alias("new_jobs"))
+    first, last = _date(first_date), _date(last_date)
+    grid = days.select(*CITY_KEYS).distinct().select(*CITY_KEYS, F.explode(F.sequence(first, last)).alias("run_date"))
+    zero = [F.lit(0).cast(t).alias(n) for n, t in days.dtypes if n not in (*CITY_KEYS, "run_date")]
+    every = days.unionByName(grid.select(*CITY_KEYS, "run_date", *zero)).groupBy(*CITY_KEYS, "run_date").agg(
+        *[F.sum(n).alias(n) for n in (*sums, "active_jobs", "new_jobs")])
+    w = Window.partitionBy(*CITY_KEYS).orderBy("run_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = every.withColumns({n: F.sum(n).over(w) for n in sums})
+    state = state.where((F.col("run_date") >= first) & (F.col("run_date") <= last) & (F.col("total_jobs") > 0))
+    out = state.withColumns({
+        "expired_jobs": F.col("total_jobs") - F.col("active_jobs"),
+        "avg_salary_min": F.try_divide(F.col("_min_sum").cast("double"), F.col("jobs_with_salary")),
+        "avg_salary_max": F.try_divide(F.col("_max_sum").cast("double"), F.col("_max_n"))})
+    if medians:
+        until = F.least(F.coalesce(F.date_sub("_until", 1), last), last)
+        stands = v.where((F.col("last_seen") <= last) & (F.coalesce("_until", F.date_add(last, 1)) > first)).select(
+            *CITY_KEYS, "salary_min", "salary_max", F.explode(F.sequence(F.greatest("last_seen", first), until)).alias("run_date"))
+        meds = grouped_medians(stands, [*CITY_KEYS, "run_date"], {"median_salary_min": "salary_min", "median_salary_max": "salary_max"})
+        out = _null_safe_join(out, meds, [*CITY_KEYS, "run_date"])
+    cols = ["total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary", "avg_salary_min", "avg_salary_max",
+            *(["median_salary_min", "median_salary_max"] if medians else []), "remote_jobs", "fulltime_jobs", "junior_jobs", "mid_jobs", "senior_jobs"]
+    return out.select("city", F.col("state_code").alias("state"), "run_date", *cols)

@@ -4,8 +4,9 @@ The payload is parsed once into a ``VARIANT`` (``try_parse_json``), which keeps
 the three cases the original code treats differently apart:
 
 * key absent      -> default (``''``, ``{}``, ``[]``);
-* key = JSON null -> the row is rejected (the per-row enrich step would raise);
-* malformed text  -> rejected.
+* key = JSON null -> NULL for a leaf; the row is rejected where the value is worked on (a text to
+  search, an object to look into: the per-row enrich step would raise);
+* malformed text, values of the wrong type, missing ids, salaries no column can hold -> rejected by name.
 
 Everything is a projection over the scan (no UDF), so enrichment, validity
 split, classification and the keyed upsert run in whole-stage codegen, and the
@@ -53,8 +54,22 @@ def _type_of(top: str) -> Column:
 
 
 def _text(path: str) -> Column:
-    """A string field with ``''`` for an absent key (JSON null handled by the reject rule)."""
-    return F.coalesce(_get(path), F.lit(""))
+    """A string field: ``''`` for an absent key, NULL for a JSON null."""
+    return F.when(~_is_json_null(path), F.coalesce(_get(path), F.lit("")))
+
+
+SALARY_TYPE = "decimal(24,6)"
+
+
+def _salary(path: str) -> Column:
+    return _get(path, "double").try_cast(SALARY_TYPE)
+
+
+def _not(kind: str, path: str) -> Column:
+    """Present, not JSON null, and not of the given kind (``OBJECT`` / ``ARRAY`` / ``STRING``)."""
+    top, _, rest = path.partition(".")
+    v = _field(top) if not rest else F.try_variant_get(_field(top), "$." + rest, "variant")
+    return v.isNotNull() & ~F.is_variant_null(v) & ~F.schema_of_variant(v).startswith(kind)
 
 
 def parse_payload(raw: DataFrame, top: str = FIRST_SOURCE_TOP) -> DataFrame:
@@ -92,9 +107,15 @@ def reject_reason() -> Column:
         (_is_json_null("description"), "null_description"),
         (F.coalesce(_type_of("description") != "STRING", F.lit(False)), "bad_description"),
         (_is_json_null("location"), "null_location"),
+        (_not("OBJECT", "location"), "bad_location"),
         (_is_json_null("location.area"), "null_area"),
+        (_not("ARRAY", "location.area"), "bad_area"),
         (_is_json_null("company"), "null_company"),
+        (_not("OBJECT", "company"), "bad_company"),
         (_is_json_null("category"), "null_category"),
+        (_not("OBJECT", "category"), "bad_category"),
+        (F.col("job_id").isNull(), "null_id"),
+        *[(_get(s, "double").isNotNull() & _salary(s).isNull(), "salary_overflow") for s in ("salary_min", "salary_max")],
     ]
     out = F.when(checks[0][0], checks[0][1])
     for cond, reason in checks[1:]:
@@ -121,9 +142,9 @@ def enrich_first_source(raw: DataFrame, run_date) -> DataFrame:
         F.lit(None).cast("string").alias("cbsa_code"),
         _text("category.tag").alias("category"),
         _text("category.label").alias("category_label"),
-        _get("salary_min", "double").cast("decimal(12,2)").alias("salary_min"),
-        _get("salary_max", "double").cast("decimal(12,2)").alias("salary_max"),
-        F.coalesce(_get("created"), F.lit("")).alias("_created"),
+        _salary("salary_min").alias("salary_min"),
+        _salary("salary_max").alias("salary_max"),
+        F.when(_type_of("created") == "STRING", _get("created")).alias("_created"),  # a number is no date
         _text("redirect_url").alias("url"),
         _get("location.latitude", "double").alias("latitude"),
         _get("location.longitude", "double").alias("longitude"),
@@ -263,7 +284,8 @@ def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
     posted = _text("job_posted_at_datetime_utc")
     return v.select(
         F.lit("jsearch").alias("source"), "job_id",
-        F.when(F.col(_S).isNull(), F.lit("malformed_json")).alias("reject_reason"),
+        F.when(F.col(_S).isNull(), F.lit("malformed_json")).when(_is_json_null("job_title"), F.lit("null_title"))
+        .when(F.col("job_id").isNull(), F.lit("null_id")).alias("reject_reason"),
         title.alias("title"),
         _text("employer_name").alias("company"),
         location.alias("location"),

@@ -45,7 +45,7 @@ CALLS_LOG_SCHEMA = ("run_date date, city string, role string, batch_id bigint, p
 SILVER_ROW_SCHEMA = (
     "source string, job_id string, first_seen date, last_seen date, times_seen int, title string, description string, "
     "company string, location string, cbsa_code string, category string, category_label string, "
-    "salary_min decimal(12,2), salary_max decimal(12,2), url string, latitude double, longitude double, city string, "
+    "salary_min decimal(24,6), salary_max decimal(24,6), url string, latitude double, longitude double, city string, "
     "county string, state string, state_code string, post_date date, seniority string, "
     "is_remote boolean, industry string, job_type string, yoe_min int, education string, "
     "processed_at timestamp, updated_at timestamp")

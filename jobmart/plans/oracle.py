@@ -290,10 +290,13 @@ def raw_sql() -> str:
                 "'location', CASE WHEN defect = 6 THEN NULL ELSE json_object('display_name', "
                 f"concat_ws(', ', city, state), 'area', {area}) END)")
 
+    texts = " ".join(f"WHEN defect = {n} THEN regexp_replace(CAST({obj(True)} AS VARCHAR), {_q(p)}, {_q(t)}, 'g')"
+                     for n, (p, t) in A.TEXT_DEFECTS.items())
     return f"""
 SELECT source, job_id, first_seen, last_seen, times_seen,
        CASE WHEN defect = 0 THEN left(CAST({obj(True)} AS VARCHAR), 25)
             WHEN defect = 7 THEN CAST({obj(False)} AS VARCHAR)
+            {texts}
             ELSE CAST({obj(True)} AS VARCHAR) END AS payload
 FROM (SELECT *, CAST(CAST(job_id AS BIGINT) % 97 AS INTEGER) AS defect FROM ({postings_sql()}) p) x"""
 
@@ -303,7 +306,7 @@ def _pj(src: str) -> str:
 
 
 def _s(path: str) -> str:
-    return f"coalesce(json_extract_string(pj, '{path}'), '')"
+    return f"CASE WHEN json_type(pj, '{path}') IS DISTINCT FROM 'NULL' THEN coalesce(json_extract_string(pj, '{path}'), '') END"
 
 
 REJECT_SQL = """CASE WHEN pj IS NULL THEN 'malformed_json'
@@ -312,14 +315,20 @@ REJECT_SQL = """CASE WHEN pj IS NULL THEN 'malformed_json'
   WHEN json_type(pj, '$.description') = 'NULL' THEN 'null_description'
   WHEN json_type(pj, '$.description') <> 'VARCHAR' THEN 'bad_description'
   WHEN json_type(pj, '$.location') = 'NULL' THEN 'null_location'
+  WHEN json_type(pj, '$.location') <> 'OBJECT' THEN 'bad_location'
   WHEN json_type(pj, '$.location.area') = 'NULL' THEN 'null_area'
+  WHEN json_type(pj, '$.location.area') <> 'ARRAY' THEN 'bad_area'
   WHEN json_type(pj, '$.company') = 'NULL' THEN 'null_company'
-  WHEN json_type(pj, '$.category') = 'NULL' THEN 'null_category' END"""
+  WHEN json_type(pj, '$.company') <> 'OBJECT' THEN 'bad_company'
+  WHEN json_type(pj, '$.category') = 'NULL' THEN 'null_category'
+  WHEN json_type(pj, '$.category') <> 'OBJECT' THEN 'bad_category'
+  WHEN job_id IS NULL THEN 'null_id'
+  WHEN abs(CAST(json_extract(pj, '$.salary_min') AS DOUBLE)) >= 1e18 OR abs(CAST(json_extract(pj, '$.salary_max') AS DOUBLE)) >= 1e18 THEN 'salary_overflow' END"""
 
 
 def enrich_sql(src: str, run: str = RUN) -> str:
     n = "coalesce(json_array_length(pj, '$.location.area'), 0)"
-    created = "json_extract_string(pj, '$.created')"
+    created = "CASE WHEN json_type(pj, '$.created') = 'VARCHAR' THEN json_extract_string(pj, '$.created') END"
     return f"""
 SELECT source, job_id, first_seen, last_seen, times_seen, reject_reason, title, description, company, location,
        city, county, state, {_state_case('state', "''")} AS state_code, category, category_label,
@@ -334,8 +343,8 @@ FROM (
          CASE WHEN {n} >= 3 THEN json_extract_string(pj, '$.location.area[2]') ELSE '' END AS county,
          CASE WHEN {n} >= 2 THEN json_extract_string(pj, '$.location.area[1]') ELSE '' END AS state,
          {_s('$.category.tag')} AS category, {_s('$.category.label')} AS category_label,
-         CAST(CAST(CAST(json_extract(pj, '$.salary_min') AS DOUBLE) AS DECIMAL(12,2)) AS DOUBLE) AS salary_min,
-         CAST(CAST(CAST(json_extract(pj, '$.salary_max') AS DOUBLE) AS DECIMAL(12,2)) AS DOUBLE) AS salary_max,
+         CAST(TRY_CAST(CAST(json_extract(pj, '$.salary_min') AS DOUBLE) AS DECIMAL(24,6)) AS DOUBLE) AS salary_min,
+         CAST(TRY_CAST(CAST(json_extract(pj, '$.salary_max') AS DOUBLE) AS DECIMAL(24,6)) AS DOUBLE) AS salary_max,
          CASE WHEN coalesce({created}, '') <> ''
                AND try_cast(replace({created}, 'Z', '+00:00') AS TIMESTAMPTZ) IS NOT NULL
               THEN try_cast(left({created}, 10) AS DATE) END AS post_date,
@@ -390,7 +399,7 @@ def jsearch_raw_sql() -> str:
     k = "CAST(job_id AS BIGINT)"
     return f"""
 SELECT source, job_id, CAST(json_object(
-  'job_id', job_id, 'job_title', title, 'job_description', description, 'employer_name', company,
+  'job_id', job_id, 'job_title', CASE WHEN {k} % 31 <> 0 THEN title END, 'job_description', description, 'employer_name', company,
   'job_location', CASE WHEN {k} % 3 = 0 THEN concat_ws(', ', city, 'IL') ELSE city END,
   'job_city', city,
   'job_state', CASE WHEN {k} % 4 = 0 THEN '' WHEN {k} % 4 = 1 THEN state ELSE state_code END,
@@ -421,7 +430,7 @@ SELECT 'jsearch' AS source, job_id, {_s('$.job_title')} AS title, {_s('$.employe
        {seniority_v1_sql(_s('$.job_title'), _s('$.job_description'))} AS seniority,
        {remote_sql(_s('$.job_title'), _s('$.job_description'))} AS is_remote,
        CASE WHEN {raw_type} <> '' THEN lower(split_part({raw_type}, ' and ', 1)) ELSE 'full-time' END AS job_type
-FROM ({_pj('jraw')}) r WHERE pj IS NOT NULL"""
+FROM ({_pj('jraw')}) r WHERE pj IS NOT NULL AND json_type(pj, '$.job_title') IS DISTINCT FROM 'NULL'"""
 
 
 def _enrich_queries() -> dict[str, str]:
@@ -450,39 +459,48 @@ def _enrich_queries() -> dict[str, str]:
 # --- housing, classifiers, maintenance --------------------------------------------------------
 
 def housing_sql() -> str:
-    months = [("2001-05-31", 5), ("2001-06-30", 6), ("2001-07-31", 7)]
-    cols = ", ".join(f"round(avg(CASE WHEN year(l_shipdate) = 2001 AND month(l_shipdate) = {m} "
-                     f"THEN l_extendedprice END) / 30, 2) AS m{m}" for _, m in months)
-    return f"""
+    return """
 SELECT n_nationkey + 1 AS region_id, n_nationkey AS size_rank, lower(n_name) AS region_name,
-       CASE WHEN n_nationkey % 6 = 5 THEN 'country' ELSE 'msa' END AS region_type, r_name AS state_code, m5, m6, m7
-FROM nation JOIN region ON n_regionkey = r_regionkey
-LEFT JOIN (SELECT s_nationkey, {cols} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-           GROUP BY s_nationkey) x ON x.s_nationkey = n_nationkey"""
+       CASE WHEN n_nationkey % 6 = 5 THEN 'country' ELSE 'msa' END AS region_type, r_name AS state_code, n_nationkey AS nation
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
 
+MONTHLY_SQL = """
+SELECT s_nationkey AS nation, CAST(last_day(CAST(l_shipdate AS DATE)) AS VARCHAR) AS month, round(avg(l_extendedprice) / 30, 2) AS v
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_shipdate IS NOT NULL GROUP BY ALL"""
 
-HLATEST_SQL = """
+HLATEST_SQL = f"""
 SELECT CAST(region_id AS INTEGER) AS region_id, CAST(size_rank AS INTEGER) AS size_rank, region_name, state_code,
-       'zillow_zori' AS data_source, 'rent_index_latest' AS metric_type, m7 AS metric_value_latest,
-       '2001-07-31' AS date_recorded
-FROM h WHERE region_type = 'msa'"""
+       'zillow_zori' AS data_source, 'rent_index_latest' AS metric_type, m.v AS metric_value_latest,
+       (SELECT max(month) FROM ({MONTHLY_SQL}) x) AS date_recorded
+FROM h LEFT JOIN ({MONTHLY_SQL}) m ON m.nation = h.nation AND m.month = (SELECT max(month) FROM ({MONTHLY_SQL}) x) WHERE region_type = 'msa'"""
 
 
-def _hist_sql(first: str, last: str) -> str:
+def versions_sql() -> str:
+    """What every sighted job looked like on each day it was sighted (first event of the day)."""
     return f"""
-SELECT c.city, c.state_code AS state, d.run_date,
-       coalesce(l.n, 0) AS active_jobs, coalesce(f.n, 0) AS new_jobs,
-       CAST(coalesce((SELECT SUM(x.n) FROM lastc x WHERE x.city = c.city AND x.state_code = c.state_code
-                      AND x.day < d.run_date), 0) AS BIGINT) AS expired_jobs
-FROM (SELECT DISTINCT city, state_code FROM silver WHERE source = 'adzuna') c
-CROSS JOIN (SELECT CAST(t.d AS DATE) AS run_date
-            FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) t(d)) d
-LEFT JOIN lastc l ON l.city = c.city AND l.state_code = c.state_code AND l.day = d.run_date
-LEFT JOIN firstc f ON f.city = c.city AND f.state_code = c.state_code AND f.day = d.run_date"""
-
-
-LASTC = "SELECT city, state_code, last_seen AS day, COUNT(*) AS n FROM silver WHERE source = 'adzuna' GROUP BY ALL"
-FIRSTC = "SELECT city, state_code, first_seen AS day, COUNT(*) AS n FROM silver WHERE source = 'adzuna' GROUP BY ALL"
+SELECT *, {seniority_sql('title')} AS seniority, {remote_sql('title', 'description')} AS is_remote, {job_type_sql('description')} AS job_type FROM (
+  SELECT job_id, city, role AS state_code, run_date, min(run_date) OVER (PARTITION BY job_id) AS first_seen,
+         CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(12,2)) END AS salary_min,
+         CASE WHEN event_id % 7 <> 0 THEN CAST(CAST(value AS DECIMAL(12,2)) * 2 AS DECIMAL(12,2)) END AS salary_max,
+         {_case_mod('CAST(job_id AS BIGINT)', 9, A.TITLES)} AS title, {_case_mod('CAST(job_id AS BIGINT)', 7, A.DESCRIPTIONS)} AS description
+  FROM (SELECT *, row_number() OVER (PARTITION BY job_id, run_date ORDER BY ts, event_id) AS rn FROM e) x WHERE rn = 1) y"""
+
+
+# Day by day: the newest version of every job up to that day, then one gold row per city.
+STATE_SQL = """
+SELECT * FROM (SELECT d.day, v.*, row_number() OVER (PARTITION BY d.day, v.job_id ORDER BY v.run_date DESC) AS rn
+FROM (SELECT CAST(t.d AS DATE) AS day FROM generate_series((SELECT min(run_date) FROM v), (SELECT max(run_date) FROM v), INTERVAL 1 DAY) t(d)) d
+JOIN v ON v.run_date <= d.day) x WHERE rn = 1"""
+
+HIST_SQL = f"""
+SELECT city, state_code AS state, day AS run_date, COUNT(*) AS total_jobs, COUNT(*) FILTER (WHERE run_date = day) AS active_jobs,
+       COUNT(*) FILTER (WHERE first_seen = day) AS new_jobs, COUNT(*) FILTER (WHERE run_date < day) AS expired_jobs,
+       COUNT(salary_min) AS jobs_with_salary, {_avg('salary_min')} AS avg_salary_min, {_avg('salary_max')} AS avg_salary_max,
+       COUNT(*) FILTER (WHERE is_remote) AS remote_jobs, COUNT(*) FILTER (WHERE job_type = 'full-time') AS fulltime_jobs,
+       COUNT(*) FILTER (WHERE seniority = 'jr') AS junior_jobs, COUNT(*) FILTER (WHERE seniority = 'mid') AS mid_jobs,
+       COUNT(*) FILTER (WHERE seniority = 'sr') AS senior_jobs
+FROM st GROUP BY city, state_code, day"""
 
 
 def _yoe_sql(text: str) -> str:
@@ -508,11 +526,10 @@ def industry_sql() -> str:
 def _other_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["housing_latest"] = _with("SELECT * FROM hl", h=housing_sql(), hl=HLATEST_SQL)
-    q["housing_long"] = _with(" UNION ALL ".join(
-        f"SELECT CAST(region_id AS INTEGER) AS region_id, region_name, state_code, 'zillow_zori' AS data_source, "
-        f"'rent_index' AS metric_type, '{d}' AS date_recorded, m{m} AS metric_value FROM h "
-        f"WHERE region_type = 'msa' AND m{m} IS NOT NULL"
-        for d, m in (("2001-05-31", 5), ("2001-06-30", 6), ("2001-07-31", 7))), h=housing_sql())
+    q["housing_long"] = _with(
+        "SELECT CAST(region_id AS INTEGER) AS region_id, region_name, state_code, 'zillow_zori' AS data_source, "
+        "'rent_index' AS metric_type, m.month AS date_recorded, m.v AS metric_value FROM h JOIN m ON m.nation = h.nation "
+        "WHERE region_type = 'msa' AND m.v IS NOT NULL", h=housing_sql(), m=MONTHLY_SQL)
     q["city_mapping"] = _with(
         "SELECT DISTINCT j.city, j.state, j.state_code, hl.region_name, CAST(NULL AS VARCHAR) AS cbsa_code "
         "FROM silver j LEFT JOIN hl ON lower(j.city) = lower(hl.region_name) AND j.state_code = hl.state_code "
@@ -631,12 +648,20 @@ def _other_queries() -> dict[str, str]:
         f"m.active_jobs AS active_jobs_30d_ago, {chg_pct('a.active_jobs', 'm.active_jobs')} AS month_over_month_change "
         "FROM hist a LEFT JOIN hist w ON w.city = a.city AND w.state = a.state AND w.run_date = a.run_date - 7 "
         "LEFT JOIN hist m ON m.city = a.city AND m.state = a.state AND m.run_date = a.run_date - 30",
-        silver=silver_sql(), lastc=LASTC, firstc=FIRSTC, hist=_hist_sql("2001-06-02", RUN))
+        e=E_SQL, v=versions_sql(), st=STATE_SQL, hist=HIST_SQL)
+    q["city_history"] = _with("SELECT * FROM hist", e=E_SQL, v=versions_sql(), st=STATE_SQL, hist=HIST_SQL)
     q["city_trend"] = _with(
-        "SELECT h.city, h.state, h.run_date, s.total_jobs, h.active_jobs, h.new_jobs, s.avg_salary_min, "
-        "s.avg_salary_max, h.active_jobs - lag(h.active_jobs) OVER (PARTITION BY h.city, h.state ORDER BY h.run_date) "
-        "AS active_change FROM hist h JOIN stats s ON h.city = s.city AND h.state = s.state",
-        silver=silver_sql(), stats=stats_sql(), lastc=LASTC, firstc=FIRSTC, hist=_hist_sql("2001-07-03", RUN))
+        "SELECT * FROM (SELECT city, state, run_date, total_jobs, active_jobs, new_jobs, avg_salary_min, avg_salary_max, "
+        "active_jobs - lag(active_jobs) OVER (PARTITION BY city, state ORDER BY run_date) AS active_change FROM hist) h "
+        "QUALIFY row_number() OVER (PARTITION BY city, state ORDER BY run_date DESC) <= 30",
+        e=E_SQL, v=versions_sql(), st=STATE_SQL, hist=HIST_SQL)
+    q["filter_new"] = _with(
+        "SELECT job_id, event_id FROM e WHERE run_date = DATE '2024-01-15' AND job_id NOT IN "
+        "(SELECT job_id FROM e WHERE run_date = DATE '2024-01-15' AND hour(ts) < 12)", e=E_SQL)
+    q["second_source_pages"] = _with(
+        f"SELECT DATE '{RUN}' AS run_date, city, 'r' || CAST(CAST(job_id AS BIGINT) // 30000 AS VARCHAR) AS role, "
+        "CAST(1 + (CAST(job_id AS BIGINT) // 500) % 24 AS INTEGER) AS page, source, job_id, title FROM j "
+        f"WHERE source = 'jsearch' AND last_seen = DATE '{RUN}'", j=postings_sql())
     q["city_score_inputs"] = _with(
         "SELECT s.city, s.state, s.total_jobs, s.avg_salary_max, "
         "round(CAST(100 * s.remote_jobs AS DOUBLE) / NULLIF(s.total_jobs, 0), 2) AS remote_share, "
@@ -663,22 +688,26 @@ def _page_queries() -> dict[str, str]:
            "GROUP BY u.city, u.bucket")
     kept = (f"SELECT DATE '{RUN}' AS run_date, p.city, 'r' || CAST(p.bucket AS VARCHAR) AS role, p.page, p.job_id, "
             "c.cutoff, p.bucket FROM p JOIN cut c ON p.city = c.city AND p.bucket = c.bucket WHERE p.page < c.cutoff")
+    every = (f"SELECT DATE '{RUN}' AS run_date, city, 'r' || CAST(bucket AS VARCHAR) AS role, page, job_id, bucket, title, city AS c, salary_max FROM p "
+             "WHERE NOT (((bucket + ascii(right(city, 1))) % 3 = 0 AND page = 9) OR ((bucket + ascii(right(city, 1))) % 3 = 1 AND page = 5))")
     ctes = dict(j=postings_sql(), p=p, pulls=pulls, good=good, cut=cut, kept=kept)
+    every_ctes = dict(j=postings_sql(), p=p, pulls=pulls, every=every)
     return {
         "v1_envelope": _with(
             "SELECT 'adzuna' AS source, job_id, run_date AS fetched_at, page, "
-            "CAST(row_number() OVER (PARTITION BY city, bucket, page ORDER BY job_id) - 1 AS INTEGER) AS position "
-            "FROM kept", **ctes),
+            "CAST(row_number() OVER (PARTITION BY city, bucket, page ORDER BY job_id) - 1 AS INTEGER) AS position, "
+            "job_id AS payload_id, title AS payload_title, c AS payload_city, CAST(salary_max AS DOUBLE) AS payload_salary_max "
+            "FROM every", **every_ctes),
         "run_report": _with(
             f"SELECT (SELECT COUNT(*) FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}') AS raw_jobs_seen, "
-            "(SELECT COUNT(*) FROM kept) AS v1_rows_fetched, "
-            "(SELECT COUNT(*) FROM (SELECT DISTINCT city, bucket FROM kept) x) AS calls_recorded", **ctes),
+            "(SELECT COUNT(*) FROM every) AS v1_rows_fetched, "
+            "(SELECT COUNT(*) FROM (SELECT DISTINCT city, bucket FROM every) x) AS calls_recorded", **every_ctes),
         "seen_today": _with(f"SELECT job_id FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}'",
                             j=postings_sql()),
         "page_cutoff": _with("SELECT run_date, city, role, page, job_id FROM kept", **ctes),
         "page_pulls": _with(
-            "SELECT k.run_date, k.city, k.role, CAST(max(k.cutoff) - 1 AS INTEGER) AS pages_fetched, "
-            "max(u.api_count) AS api_count, max(u.api_mean_salary) AS api_mean_salary, COUNT(*) AS postings "
-            "FROM kept k JOIN pulls u ON k.city = u.city AND k.bucket = u.bucket GROUP BY k.run_date, k.city, k.role",
-            **ctes),
+            "SELECT k.run_date, k.city, k.role, CAST(max(k.page) AS INTEGER) AS pages_fetched, "
+            "max(CASE WHEN u.has_first THEN u.api_count END) AS api_count, max(CASE WHEN u.has_first THEN u.api_mean_salary END) AS api_mean_salary, "
+            "COUNT(*) AS postings FROM every k JOIN pulls u ON k.city = u.city AND k.bucket = u.bucket "
+            "GROUP BY k.run_date, k.city, k.role", **every_ctes),
     }

@@ -53,11 +53,11 @@ def q_top_cities_active(spark, sf_dir):
 
 
 def q_remote_share(spark, sf_dir):
-    return analysis.remote_share(gold.city_job_stats(silver(spark, sf_dir), RUN), RUN)
+    return analysis.remote_share(gold.city_counts(silver(spark, sf_dir), RUN), RUN)
 
 
 def q_seniority_distribution(spark, sf_dir):
-    return analysis.seniority_distribution(gold.city_job_stats(silver(spark, sf_dir), RUN), RUN)
+    return analysis.seniority_distribution(gold.city_counts(silver(spark, sf_dir), RUN), RUN)
 
 
 def q_salary_ranges(spark, sf_dir):
@@ -231,9 +231,9 @@ def housing_wide(spark, sf_dir):
         import uuid
 
         path = os.path.join(shared_dir(spark), f"zillow_wide-{uuid.uuid4().hex}")
-        adapter.housing_wide(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+        adapter.housing_wide(spark, sf_dir).write.option("header", True).csv(path)
         _LANDED_PATHS[key] = path
-    return housing.read_wide_csv(spark, path)
+    return housing.read_wide_csv(spark, path, infer=False)
 
 
 _LANDED_PATHS: dict = {}
@@ -351,7 +351,7 @@ def q_description_backfill(spark, sf_dir):
 
 def q_dq_report(spark, sf_dir):
     s = silver(spark, sf_dir)
-    stats = gold.city_job_stats(s, RUN)
+    stats = gold.city_counts(s, RUN)
     return maintenance.dq_report(
         {"silver.jobs_v2": (s, ["source", "job_id"], ["source", "job_id", "title", "first_seen", "last_seen"]),
          "gold.city_job_stats": (stats, ["city", "state", "run_date"],
@@ -363,23 +363,43 @@ def q_posting_trends(spark, sf_dir):
     return maintenance.posting_trends(silver(spark, sf_dir))
 
 
-HISTORY_FROM = "2001-06-02"
-TREND_FROM = "2001-07-03"
+def _history(spark, sf_dir):
+    """City history over every day of the sighting log."""
+    v = write_table(lambda: adapter.posting_versions(spark, sf_dir), "versions", (sf_dir,), spark)
+    first, last = v.agg(F.min("last_seen"), F.max("last_seen")).first()
+    return gold.city_history(v, first, last)
 
 
 def q_wow_change(spark, sf_dir):
-    h = gold.city_job_stats_history(silver(spark, sf_dir), HISTORY_FROM, RUN, with_totals=False)
-    h = h.select("city", "state", "run_date", "active_jobs")
+    h = _history(spark, sf_dir).select("city", "state", "run_date", "active_jobs")
     h = maintenance.period_change(h, "active_jobs", 7, "week_over_week_change")
     return maintenance.period_change(h, "active_jobs", 30, "month_over_month_change")
 
 
 def q_city_trend(spark, sf_dir):
-    return analysis.city_trend(gold.city_job_stats_history(silver(spark, sf_dir), TREND_FROM, RUN))
+    return analysis.city_trend(_history(spark, sf_dir))
+
+
+def q_city_history(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+def q_filter_new(spark, sf_dir):
+    e = adapter.sightings(spark, sf_dir)
+    day = e.where(F.col("run_date") == SPLIT_DAY)
+    stored = lifecycle.fold_sightings(e.where(F.col("run_date") <= SPLIT_DAY).where(F.hour("ts") < 12))
+    return lifecycle.filter_new(day.select("job_id", "event_id"), stored, "adzuna", SPLIT_DAY)
+
+
+def q_second_source_pages(spark, sf_dir):
+    from jobmart.sources import pages
+
+    recs = pages.page_records(adapter.landed_second_pages(postings(spark, sf_dir), RUN), "$.data", source="jsearch")
+    return recs.select("run_date", "city", "role", "page", "source", "job_id", F.get_json_object("payload", "$.job_title").alias("title"))
 
 
 def q_city_score_inputs(spark, sf_dir):
-    return maintenance.city_score_inputs(gold.city_job_stats(silver(spark, sf_dir), RUN), housing_latest(spark, sf_dir))
+    return maintenance.city_score_inputs(gold.city_counts(silver(spark, sf_dir), RUN), housing_latest(spark, sf_dir))
 
 
 def q_restamp_stale(spark, sf_dir):
@@ -410,7 +430,7 @@ def landed(spark, sf_dir):
 def q_page_cutoff(spark, sf_dir):
     from jobmart.sources import pages
 
-    return pages.page_records(landed(spark, sf_dir)).select("run_date", "city", "role", "page", "job_id")
+    return pages.page_records(landed(spark, sf_dir), max_pages=K.MAX_PAGES).select("run_date", "city", "role", "page", "job_id")
 
 
 def q_page_pulls(spark, sf_dir):
@@ -426,7 +446,12 @@ def q_seen_today(spark, sf_dir):
 def q_v1_envelope(spark, sf_dir):
     from jobmart.sources import pages
 
-    return pages.to_v1_rows(pages.page_records(landed(spark, sf_dir))).drop("payload")
+    rows = pages.to_v1_rows(pages.page_records(landed(spark, sf_dir)))
+    return rows.select("source", "job_id", "fetched_at", "page", "position",
+                       F.get_json_object("payload", "$.id").alias("payload_id"),
+                       F.get_json_object("payload", "$.title").alias("payload_title"),
+                       F.get_json_object("payload", "$.location.area[3]").alias("payload_city"),
+                       F.get_json_object("payload", "$.salary_max").cast("double").alias("payload_salary_max"))
 
 
 def q_run_report(spark, sf_dir):
@@ -501,6 +526,9 @@ def queries() -> dict[str, Query]:
         "posting_trends": q_posting_trends,
         "wow_change": q_wow_change,
         "city_trend": q_city_trend,
+        "city_history": q_city_history,
+        "filter_new": q_filter_new,
+        "second_source_pages": q_second_source_pages,
         "city_score_inputs": q_city_score_inputs,
         "restamp_stale": q_restamp_stale,
         "page_cutoff": q_page_cutoff,

@@ -18,17 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import constants as K
+from jobmart.functions import text as T
 from jobmart.sources.tables import checked_broadcast, table
 
-# FIXED VALUES: fixture title / description / company lists, indexed by key modulo length.
-TITLES = ("Data Analyst I", "Data Operations Analyst II", "Sr. Analyst", "Senior Analyst", "data lead",
-          "associate director", "Junior Data Scientist", "Analytics Manager", "Administrative Assistant")
+# Fixture title / description / company lists, indexed by key modulo length: one title per classifier branch.
+TITLES = ("Claims Examiner I", "Payroll Clerk II", "Sr. Surveyor", "Senior Geologist", "pricing lead",
+          "associate art director", "Junior Botanist", "Depot Manager", "Archive Assistant")
 DESCRIPTIONS = ("Fully remote role, 3-5 years experience", "At least 7 years required",
                 "Internal tools team, part time", "Minimum of 4 years. Contract position",
                 "Work from home, 2+ yrs", "", "3 to 5 years, bachelor degree")
 COMPANIES = ("Google LLC", "JPMorgan Chase", "Deloitte Consulting", "Pfizer", "Stripe", "City Hospital")
 STATE_NAMES = ("Illinois", "Michigan")  # by c_nationkey % 3; else the nation name
-HOUSING_MONTHS = ("2001-05-31", "2001-06-30", "2001-07-31")
 
 
 def _pick(key: Column, values, default: Column | None = None) -> Column:
@@ -98,8 +98,17 @@ def posting_payload(j: DataFrame) -> Column:
 
 # Defect kinds injected into the landed payloads, chosen by o_orderkey % DEFECT_MOD:
 # 0 malformed JSON, 1 JSON-null title, 2 JSON-null description, 3 area of length 2,
-# 4 area of length 3, 5 unparsable created, 6 JSON-null location, 7 absent title.
+# 4 area of length 3, 5 unparsable created, 6 JSON-null location, 7 absent title; then the
+# text replacements of TEXT_DEFECTS.
 DEFECT_MOD = 97
+# defect -> (pattern, replacement) on the record text: JSON-null leaves, wrong types, numeric
+# date, a salary with three decimals, a salary no table column can hold.
+TEXT_DEFECTS = {
+    8: ('"display_name":"[^"]*"', '"display_name":null'), 9: (r'"company":\{[^}]*\}', '"company":"Acme"'),
+    10: (r'"category":\{[^}]*\}', '"category":["it"]'), 11: (r'"location":\{.*$', '"location":"here"}'),
+    12: ('"created":"[^"]*"', '"created":20010731'), 13: ('"salary_max":[^,]*', '"salary_max":54321.987'),
+    14: ('"salary_max":[^,]*', '"salary_max":1e30'),
+}
 
 
 def _payload_struct(j: DataFrame, defect: Column) -> Column:
@@ -138,8 +147,10 @@ def raw_jobs(postings_df: DataFrame) -> DataFrame:
     j = j.withColumn("_js", F.to_json(F.col("_st"), {"ignoreNullFields": "false"}))
     js, d = F.col("_js"), F.col("_d")
     payload = (F.when(d == 0, F.substring(js, 1, 25))
-               .when(d == 7, F.regexp_replace(js, r'"title":"[^"]*",', ""))
-               .otherwise(js))
+               .when(d == 7, F.regexp_replace(js, r'"title":"[^"]*",', "")))
+    for n, (pattern, text) in TEXT_DEFECTS.items():
+        payload = payload.when(d == n, F.regexp_replace(js, pattern, text))
+    payload = payload.otherwise(js)
     return j.select("source", "job_id", "first_seen", "last_seen", "times_seen", payload.alias("payload"))
 
 
@@ -151,7 +162,7 @@ def jsearch_raw(postings_df: DataFrame) -> DataFrame:
     location = F.when(k % 3 == 0, F.concat_ws(", ", F.col("city"), F.lit("IL"))).otherwise(F.col("city"))
     rec = F.struct(
         F.col("job_id").alias("job_id"),
-        F.col("title").alias("job_title"),
+        F.when(k % 31 != 0, F.col("title")).alias("job_title"),  # JSON null for every 31st
         F.col("description").alias("job_description"),
         F.col("company").alias("employer_name"),
         location.alias("job_location"),
@@ -166,7 +177,8 @@ def jsearch_raw(postings_df: DataFrame) -> DataFrame:
         _pick(F.floor(k / 5), ("Full-time and Part-time", "Contract", "", "Internship", "Part-time"))
         .alias("job_employment_type"),
     )
-    return j.select("source", "job_id", F.col("last_seen").alias("fetched_at"), F.to_json(rec).alias("payload"))
+    return j.select("source", "job_id", F.col("last_seen").alias("fetched_at"),
+                    F.to_json(rec, {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,19 +197,41 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posting_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per job and day it was sighted (E), with attributes that change from day to day:
+    city, role and salary are those of the day's first event, title and text go by the job's key."""
+    e = sightings(spark, sf_dir)
+    day = e.groupBy("source", "job_id", "run_date").agg(F.min_by(F.struct("city", "role", "value", "event_id"), F.struct("ts", "event_id")).alias("f"))
+    first = e.groupBy("source", "job_id").agg(F.min("run_date").alias("first_seen"))
+    k = F.col("job_id").cast("bigint")
+    salary = F.when(F.col("f.event_id") % 7 != 0, F.col("f.value").cast("decimal(12,2)"))
+    title, text = _pick(k, TITLES), _pick(k, DESCRIPTIONS)
+    return day.join(first, ["source", "job_id"]).select(
+        "source", "job_id", F.col("f.city").alias("city"), F.col("f.role").alias("state_code"), "first_seen", F.col("run_date").alias("last_seen"),
+        salary.alias("salary_min"), (salary * 2).cast("decimal(12,2)").alias("salary_max"),
+        T.title_seniority(title).alias("seniority"), T.is_remote(title, text).alias("is_remote"), T.job_type_observed(text).alias("job_type"))
+
+
+def landed_second_pages(postings_df: DataFrame, run_date: str = K.FIXTURE_RUN_DATE) -> DataFrame:
+    """Second-source response pages ``{data: [...]}``: one per city and key range."""
+    j = postings_df.where((F.col("source") == "jsearch") & (F.col("last_seen") == F.lit(run_date).cast("date")))
+    k = F.col("job_id").cast("bigint")
+    j = j.select("city", F.concat(F.lit("r"), F.floor(k / PULL_KEYS_PER_ROLE).cast("string")).alias("role"),
+                 (F.floor(k / KEYS_PER_PAGE) % PAGES_PER_PULL + 1).cast("int").alias("page"),
+                 F.struct("job_id", F.col("title").alias("job_title")).alias("rec"))
+    return j.groupBy("city", "role", "page").agg(F.array_sort(F.collect_list("rec")).alias("data")).select(
+        F.lit(run_date).cast("date").alias("run_date"), "city", "role", "page", F.to_json(F.struct("data")).alias("body"))
+
+
 def housing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H: one wide housing row per nation with a YYYY-MM-DD column per month."""
     li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_extendedprice", "l_shipdate")
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    month_cols = []
-    for m in HOUSING_MONTHS:
-        y, mo = int(m[:4]), int(m[5:7])
-        hit = (F.year("l_shipdate") == y) & (F.month("l_shipdate") == mo)
-        month_cols.append(F.round(F.avg(F.when(hit, F.col("l_extendedprice"))) / 30, 2).alias(m))
-    # Pre-aggregate per supplier nation before touching the nation table.
-    per_nation = (li.where(F.year("l_shipdate") == 2001)
-                  .join(s, li.l_suppkey == s.s_suppkey)
-                  .groupBy("s_nationkey").agg(*month_cols))
+    # Pre-aggregate per supplier nation and month before touching the nation table.
+    month = F.date_format(F.last_day("l_shipdate"), "yyyy-MM-dd")
+    months = [r[0] for r in li.select(month.alias("m")).where("m is not null").distinct().orderBy("m").collect()]  # one a month
+    per_nation = (li.withColumn("_m", month).join(s, li.l_suppkey == s.s_suppkey)
+                  .groupBy("s_nationkey").pivot("_m", months).agg(F.round(F.avg("l_extendedprice") / 30, 2)))
     n = _nations(spark, sf_dir)
     return (n.join(per_nation, n.n_nationkey == per_nation.s_nationkey, "left")
             .select((F.col("n_nationkey") + 1).alias("RegionID"),
@@ -205,7 +239,7 @@ def housing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lower("n_name").alias("RegionName"),
                     F.when(F.col("n_nationkey") % 6 == 5, "country").otherwise("msa").alias("RegionType"),
                     F.col("r_name").alias("StateName"),
-                    *[F.col(f"`{m}`") for m in HOUSING_MONTHS]))
+                    *[F.col(f"`{m}`") for m in months]))
 
 
 def pull_runs(sightings_df: DataFrame) -> DataFrame:
