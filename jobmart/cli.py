@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from jobmart.plans import jobs
 from jobmart.session import get_spark
@@ -76,8 +77,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.data_quality(spark, a.root).show(50, truncate=False)
     elif a.cmd == "analyses":
         for name, df in jobs.analyses(spark, a.root, a.run_date).items():
-            print(name)
-            df.show(30, truncate=False)
+            path = os.path.join(a.root, f"analysis_{name}")
+            df.write.mode("overwrite").parquet(path)  # the whole result; the screen shows its head
+            print(f"{name}: {path}")
+            spark.read.parquet(path).show(30, truncate=False)
 
 
 if __name__ == "__main__":

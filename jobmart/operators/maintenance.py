@@ -53,15 +53,10 @@ def backfill_seniority(silver: DataFrame, new_value: Column, dry_run: bool = Tru
     changes = seniority_changes(silver, new_value)
     out = {"matrix": transition_matrix(changes), "sample": change_sample(changes, k),
            "n_changes": changes.where(F.col("changed"))}
-    if not dry_run:
-        upd = changes.where(F.col("changed")).select(*KEY, F.col("new_seniority").alias("seniority"))
-        new = apply_column_update(silver, upd, "seniority")
-        if "updated_at" in silver.columns:
-            hit = upd.select(*KEY, F.lit(True).alias("_chg"))
-            new = (new.join(hit, KEY, "left")
-                   .withColumn("updated_at", F.when(F.col("_chg"), F.current_timestamp()).otherwise(F.col("updated_at")))
-                   .drop("_chg"))
-        out["table"] = new
+    if not dry_run:  # the new value is a function of the row itself: one projection, no join
+        changed = ~F.col("seniority").eqNullSafe(new_value)
+        stamps = {"updated_at": F.when(changed, F.current_timestamp()).otherwise(F.col("updated_at"))} if "updated_at" in silver.columns else {}
+        out["table"] = silver.withColumns({**stamps, "seniority": new_value})
     return out
 
 
@@ -82,21 +77,20 @@ def description_backfill(silver: DataFrame, raw: DataFrame, source: str = "adzun
     JOIN-5 (inner join silver ⋈ bronze) + FLT-4 + JSN-4; returns (new silver,
     one-row report with the before/after counts of AGG-13 / DQ-4).
     """
-    need = silver.where((F.col("source") == source) & _missing(F.col("description"))).select(*KEY)
     v = raw.select(*KEY, F.try_parse_json("payload").alias("_v"))
     desc = F.when(F.col("_v").isNull(), F.lit("")).when(
         F.is_variant_null(F.expr("variant_get(_v, '$.description')")), F.lit(None).cast("string")).otherwise(
         F.coalesce(F.try_variant_get("_v", "$.description", "string"), F.lit("")))
-    fill = need.join(v, KEY, "inner").select(*KEY, desc.alias("description"))
-    new = apply_column_update(silver, fill, "description")
-    flags = (silver.where(F.col("source") == source)
-             .join(fill.select(*KEY, F.col("description").alias("_new"), F.lit(True).alias("_hit")), KEY, "left"))
-    after = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("description"))
-    report = flags.agg(
-        F.count_if(_missing(F.col("description"))).alias("jobs_needing_descriptions"),
-        F.count_if(F.col("_hit")).alias("updated"),
-        F.count_if(~_missing(after)).alias("jobs_with_descriptions"),
-        F.count_if(_missing(after)).alias("jobs_still_missing"))
+    j = silver.join(v.select(*KEY, desc.alias("_new"), F.lit(True).alias("_raw")), KEY, "left")
+    own = F.col("source") == source
+    hit = own & _missing(F.col("description")) & F.coalesce("_raw", F.lit(False))
+    after = F.when(hit, F.col("_new")).otherwise(F.col("description"))
+    stamps = {"updated_at": F.when(hit, F.current_timestamp()).otherwise(F.col("updated_at"))} if "updated_at" in silver.columns else {}
+    new = j.withColumns({**stamps, "_after": after}).withColumn("description", F.col("_after")).select(*silver.columns)
+    report = j.agg(
+        F.count_if(own & _missing(F.col("description"))).alias("jobs_needing_descriptions"), F.count_if(hit).alias("updated"),
+        F.count_if(own & ~_missing(after)).alias("jobs_with_descriptions"),
+        F.count_if(own & _missing(after)).alias("jobs_still_missing"))
     return new, report
 
 

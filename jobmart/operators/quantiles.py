@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobmart.sources.tables import write_table
+from jobmart.sources.tables import checked_broadcast, write_table
 
 ACCURACY = 10_000
 SUB_BUCKETS = 4096
@@ -88,7 +88,10 @@ def grouped_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) ->
     band = stacked.groupBy(*gk).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_v", [max(0.0, 0.5 - _BAND), min(1.0, 0.5 + _BAND)], ACCURACY).alias("_q"))
-    band = band.select(*_alias_keys(gk), "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    # One row per (group, metric), written once: it is broadcast behind a check of its size, so the
+    # rows themselves are tagged where they are read; beyond the check the join is planned by AQE.
+    band = checked_broadcast(write_table(
+        band.select(*_alias_keys(gk), "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), "median_band"))
 
     # 2. tier + sub-bucket per row, counted per distinct value
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")

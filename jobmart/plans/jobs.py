@@ -24,12 +24,12 @@ from __future__ import annotations
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobmart.operators import calls, gold, lifecycle, silver
 from jobmart.sources import pages
-from jobmart.sources.store import LogTable, VersionedTable
+from jobmart.sources.store import LogTable, VersionedTable, append_rows, read_rows
 from jobmart.sources.tables import write_table
 
 KEY = lifecycle.KEY
@@ -40,8 +40,10 @@ LOG_ORDER = ["batch_id", *PULL_ORDER]
 BRONZE_SCHEMA = "source string, job_id string, first_seen date, last_seen date, times_seen int, payload string"
 BRONZE_LOG_SCHEMA = ("source string, job_id string, run_date date, payload string, pulled_at timestamp, "
                      "city string, role string, page int, position int")
-CALLS_LOG_SCHEMA = ("run_date date, city string, role string, batch_id bigint, pages_fetched bigint, "
+CALLS_LOG_SCHEMA = ("run_date date, city string, role string, pages_fetched bigint, "
                     "api_count bigint, api_mean_salary double, jobs_retrieved bigint")
+PAGE_REJECT_SCHEMA = ("run_date date, city string, role string, page int, position int, payload string, "
+                      "reject_reason string")
 SILVER_ROW_SCHEMA = (
     "source string, job_id string, first_seen date, last_seen date, times_seen int, title string, description string, "
     "company string, location string, cbsa_code string, category string, category_label string, "
@@ -50,6 +52,9 @@ SILVER_ROW_SCHEMA = (
     "is_remote boolean, industry string, job_type string, yoe_min int, education string, "
     "processed_at timestamp, updated_at timestamp")
 SILVER_COLS = [c.split()[0] for c in SILVER_ROW_SCHEMA.split(", ")]
+# What the gold tables read of a silver row (is_active is evaluated for the run date).
+GOLD_COLS = ["source", "job_id", "city", "state_code", "first_seen", "last_seen", "salary_min", "salary_max",
+             "category_label", "seniority", "is_remote", "job_type"]
 SNAPSHOT_SCHEMA = (
     "city string, state string, active_jobs bigint, new_jobs_7d bigint, new_jobs_30d bigint, avg_salary double, "
     "job_growth_rate_7d double, job_growth_rate_30d double, zori_latest double, zori_date date, "
@@ -62,8 +67,8 @@ V1_BRONZE_SCHEMA = "job_id string, fetched_at date, source string, payload strin
 def _buckets(spark: SparkSession) -> tuple[str, int]:
     # Snapshots are bucketed by job_id while the keys are (source, job_id). job_id alone is
     # high-cardinality, so letting a job_id partitioning serve a (source, job_id) join is
-    # skew-free, and it keeps the snapshot side of every daily join in place.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    # skew-free, and it keeps the snapshot side of every daily join in place (a session
+    # setting of :func:`jobmart.session.get_spark`; without it the join still is right).
     return "job_id", int(spark.conf.get("jobmart.buckets", "16"))
 
 
@@ -104,8 +109,12 @@ def compact_bronze(spark: SparkSession, root: str) -> DataFrame | None:
     return bronze_snapshot(spark, root).write(bronze_current(spark, root), meta=str(last))
 
 
-def calls_log_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, os.path.join(root, "bronze_job_calls_log"), CALLS_LOG_SCHEMA)
+def calls_log_table(spark: SparkSession, root: str) -> LogTable:
+    return LogTable(spark, os.path.join(root, "bronze_job_calls_log"), CALLS_LOG_SCHEMA)
+
+
+def page_rejects(spark: SparkSession, root: str) -> LogTable:
+    return LogTable(spark, os.path.join(root, "bronze_page_rejects"), PAGE_REJECT_SCHEMA)
 
 
 def credited_pulls(batch: DataFrame, target: DataFrame) -> DataFrame:
@@ -122,14 +131,18 @@ def credited_pulls(batch: DataFrame, target: DataFrame) -> DataFrame:
 def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: int) -> dict:
     """PIP-1: landed pages -> bronze sightings log (SNK-4) + pull audit (SNK-6).
 
-    The write is the batch itself (one log partition), never the table. Replay-safe:
-    the audit rows (keyed by batch_id, merged with ``greatest``) are committed before
-    the log partition; the pre-state excludes this batch, and a replay after the
-    log write finds nothing new and keeps the audit.
+    Every good landed page is kept, in whichever batch it comes; records without an id
+    are set aside by name. The writes are the batch's own partitions (log, audit,
+    rejects), never a table. Replay-safe: the audit rows of the batch (merged with
+    ``greatest``) are written before the log partition; the pre-state excludes this
+    batch, and a replay after the log write finds nothing new and keeps the audit.
     """
     log = calls_log_table(spark, root)
     # Parsed once: the pre-state, the credits, the summary and the log all read this table.
-    recs = write_table(pages.page_records(landed), "landed_records")
+    every = write_table(pages.page_records(landed), "landed_records")
+    recs = every.where(F.col("job_id").isNotNull())
+    bad = every.where(F.col("job_id").isNull()).withColumn("reject_reason", F.lit("null_id"))
+    page_rejects(spark, root).write_batch(bad.select(*[c.split()[0] for c in PAGE_REJECT_SCHEMA.split(", ")]), batch_id)
     batch = recs.select(*KEY, "run_date", "payload", *PULL_ORDER)
     keys = batch.select(*KEY).distinct()
     target = bronze_current(spark, root, keys=keys, exclude_batch=batch_id)
@@ -138,28 +151,30 @@ def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: in
         F.max("pages_fetched").cast("bigint").alias("pages_fetched"), F.max("api_count").alias("api_count"),
         F.max("api_mean_salary").alias("api_mean_salary"))
     credit = write_table(credited_pulls(batch, target), "pull_credit")
-    audit = (summary.join(credit, ["run_date", "city", "role"])
-             .where(F.col("jobs_retrieved") > 0).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-    key = ["run_date", "city", "role", "batch_id"]
-    old = log.read()
+    audit = summary.join(credit, ["run_date", "city", "role"]).where(F.col("jobs_retrieved") > 0)
+    key = ["run_date", "city", "role"]
+    old = log.read().where(F.col("batch_id") == batch_id).drop("batch_id")  # a replay's earlier rows
     merged = (old.join(audit.select(*key, F.col("jobs_retrieved").alias("_new"), *[
         F.col(c).alias(f"_n_{c}") for c in ("pages_fetched", "api_count", "api_mean_salary")]), key, "full")
         .select(*key,
                 *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) for c in ("pages_fetched", "api_count", "api_mean_salary")],
                 F.greatest(F.coalesce("jobs_retrieved", F.lit(0)), F.coalesce("_new", F.lit(0))).alias("jobs_retrieved")))
-    log.write(merged)
+    log.write_batch(write_table(merged, "pull_audit"), batch_id)
     bronze_log(spark, root).write_batch(batch, batch_id)
     n_new = credit.agg(F.coalesce(F.sum("jobs_retrieved"), F.lit(0))).first()[0]
     return {"n_new": n_new}
 
 
 def job_calls(spark: SparkSession, root: str) -> DataFrame:
-    """bronze.job_calls as read: one row per pull, jobs_retrieved summed over batches."""
+    """bronze.job_calls as read: one row per pull, jobs_retrieved summed over batches.
+
+    A pull may come in several batches: the last page of any of them counts, and the
+    page-1 values are those of the newest batch that has page 1.
+    """
     log = calls_log_table(spark, root).read()
+    newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("batch_id"))).alias(c)
     return log.groupBy(*calls.CALL_KEY).agg(
-        F.max_by("pages_fetched", "batch_id").alias("pages_fetched"),
-        F.max_by("api_count", "batch_id").alias("api_count"),
-        F.max_by("api_mean_salary", "batch_id").alias("api_mean_salary"),
+        F.max("pages_fetched").alias("pages_fetched"), newest("api_count"), newest("api_mean_salary"),
         F.sum("jobs_retrieved").alias("jobs_retrieved"))
 
 
@@ -232,8 +247,11 @@ def enrich(spark: SparkSession, root: str, run_date) -> dict:
 # --- gold ----------------------------------------------------------------------------------
 
 def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
-    """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9)."""
-    s = silver_current(spark, root, run_date)
+    """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9), with the rent
+    of silver.housing_metrics where it is loaded (JOIN-13)."""
+    # Silver is folded once, with the columns gold reads; all that follows reads this table.
+    s = write_table(silver_current(spark, root, run_date).select(*GOLD_COLS, "is_active"), "gold_silver")
+    rent = housing_metrics(spark, root).read().where(F.col("metric_type") == RENT_METRIC)
     # All per-city counts of both tables in one scan of silver (small: one row per city).
     counts = write_table(gold.city_aggregates(s, run_date), "gold_city_aggregates")
     stats_path = os.path.join(root, "gold_city_job_stats")
@@ -241,7 +259,7 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     (gold.city_job_stats(s, run_date, counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").parquet(stats_path))
     snap_t = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA)
-    new = gold.latest_city_snapshot(s, run_date, counts=counts)
+    new = gold.latest_city_snapshot(s, run_date, rent, counts=counts)
     old = snap_t.read()
     nk = new.select(F.col("city").alias("_c"), F.col("state").alias("_s"))
     keep = old.join(nk, old.city.eqNullSafe(nk._c) & old.state.eqNullSafe(nk._s), "left_anti")  # vanished cities stay
@@ -249,18 +267,44 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     return {"stats": spark.read.parquet(stats_path), "snapshot": snap}
 
 
+def silver_versions(spark: SparkSession, root: str) -> DataFrame:
+    """One row per posting and day it was sighted, with its attributes of that day.
+
+    Sightings are the bronze log's; the attributes are those of the first enrichment on or after the
+    sighting (the same day's, where enrichment runs daily). Where a backfill has rewritten the current
+    row, it replaces the logged one of the same day. The window holds the days of one posting.
+    """
+    attrs = [c for c in GOLD_COLS if c not in (*KEY, "last_seen")]
+    row = F.struct(*attrs).alias("_r")
+    log = silver_log(spark, root).read().select(*KEY, F.col("last_seen").alias("_d"), row, F.lit(0).alias("_p"), "updated_at")
+    now = silver_current(spark, root).select(*KEY, F.col("last_seen").alias("_d"), row, F.lit(1).alias("_p"), "updated_at")
+    known = log.unionByName(now).groupBy(*KEY, "_d").agg(F.max_by("_r", F.struct("_p", "updated_at")).alias("_r"))
+    seen = bronze_log(spark, root).read().select(*KEY, F.col("run_date").alias("_d")).distinct()
+    both = (seen.withColumns({"_kind": F.lit(0), "_r": F.lit(None).cast(known.schema["_r"].dataType)})
+            .unionByName(known.withColumn("_kind", F.lit(1))))
+    w = Window.partitionBy(*KEY).orderBy("_d", "_kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    return (both.withColumn("_r", F.first("_r", ignorenulls=True).over(w)).where("_kind = 0 and _r is not null")
+            .select(*KEY, F.col("_d").alias("last_seen"), "_r.*"))
+
+
 def backfill_gold_history(spark: SparkSession, root: str, first_date, last_date) -> DataFrame:
-    """city_job_stats for every run date in a range, one pass over silver (per-day histograms
-    + running sums), written as run_date partitions; dynamic overwrite touches only those dates."""
-    s = silver_current(spark, root, last_date)
+    """city_job_stats for every run date in a range as each day stood, written as run_date
+    partitions; dynamic overwrite touches only those dates."""
     stats_path = os.path.join(root, "gold_city_job_stats")
-    hist = gold.city_job_stats_history(s, first_date, last_date)
+    hist = gold.city_history(silver_versions(spark, root), first_date, last_date, medians=True)
     hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(stats_path)
     return spark.read.parquet(stats_path)
 
 
 # --- housing -------------------------------------------------------------------------------
 
+RENT_METRIC = "rent_index_latest"
+
+
+def housing_metrics(spark: SparkSession, root: str) -> VersionedTable:
+    return VersionedTable(spark, os.path.join(root, "silver_housing_metrics"), HOUSING_SCHEMA)
+
+
 def ingest_housing(spark: SparkSession, datasets: dict[str, str], root: str) -> dict[str, DataFrame]:
     """SRC-5 / SNK-1: each wide CSV replaces its bronze table (schema taken from the file)."""
     from jobmart.operators import housing
@@ -278,7 +322,7 @@ def enrich_housing(spark: SparkSession, root: str, name: str, data_source: str,
     from jobmart.operators import housing
 
     wide = spark.read.parquet(os.path.join(root, f"bronze_{name}"))
-    t = VersionedTable(spark, os.path.join(root, "silver_housing_metrics"), HOUSING_SCHEMA)
+    t = housing_metrics(spark, root)
     return t.write(housing.replace_metrics(t.read(), housing.latest_metric(wide, data_source, metric_type)))
 
 
@@ -337,9 +381,30 @@ def ingest_v1(spark: SparkSession, landed: DataFrame, root: str, source: str,
               records_path: str = "$.results", max_pages: int | None = None) -> DataFrame:
     """v1 ingest (SRC-3 / PRJ-4 / SNK-3): page records -> bronze.<source>_jobs, insert-ignore
     on (job_id, fetched_at); a replay of the same pages adds nothing."""
-    from jobmart import constants as K
-
-    t = VersionedTable(spark, os.path.join(root, f"bronze_{source}_jobs"), V1_BRONZE_SCHEMA)
-    recs = pages.page_records(landed, records_path, max_pages or K.MAX_PAGES, source)
+    path = os.path.join(root, f"bronze_{source}_jobs")
+    old = read_rows(spark, path, V1_BRONZE_SCHEMA)
+    recs = pages.page_records(landed, records_path, max_pages, source).where(F.col("job_id").isNotNull())
     rows = pages.to_v1_rows(recs)
-    return t.write(lifecycle.insert_ignore(t.read(), rows, ["page", "position"]))
+    # only the partitions of the batch's days are looked at, only new rows are written
+    first = lifecycle.first_per_key(rows, lifecycle.V1_KEY, ["page", "position"], ["source", "payload"])
+    days = [r[0] for r in first.select("fetched_at").distinct().collect()]  # run dates of one batch
+    new = first.join(old.where(F.col("fetched_at").isin(days)).select(*lifecycle.V1_KEY), lifecycle.V1_KEY, "left_anti")
+    append_rows(spark, path, write_table(new.select(*[c.split()[0] for c in V1_BRONZE_SCHEMA.split(", ")]), "v1_new"), "fetched_at")
+    return read_rows(spark, path, V1_BRONZE_SCHEMA)
+
+
+SILVER_V1_SCHEMA = ("source string, job_id string, title string, company string, location string, city string, "
+                    "county string, state string, category string, description string, post_date string, url string, "
+                    "salary_min double, salary_max double, seniority string, is_remote boolean, job_type string")
+
+
+def enrich_v1(spark: SparkSession, root: str, source: str, run_date) -> DataFrame:
+    """PIP-4 / PIP-5: postings of bronze.<source>_jobs that silver.jobs_v1 lacks, enriched and appended."""
+    path = os.path.join(root, "silver_jobs_v1")
+    table = read_rows(spark, path, SILVER_V1_SCHEMA)
+    bronze = read_rows(spark, os.path.join(root, f"bronze_{source}_jobs"), V1_BRONZE_SCHEMA)
+    good, bad = silver.split_valid(write_table(silver.v1_enrichment_batch(bronze, table, source, run_date), "v1_work"))
+    LogTable(spark, os.path.join(root, "silver_v1_rejects"), "source string, job_id string, reject_reason string",
+             part_col="seq").write_batch(bad, time.time_ns())
+    good.select(*table.columns).write.mode("append").partitionBy("source").parquet(path)
+    return read_rows(spark, path, SILVER_V1_SCHEMA)

@@ -610,10 +610,15 @@ def _other_queries() -> dict[str, str]:
         "CASE WHEN length(title) > 40 THEN left(title, 37) || '...' ELSE title END AS title, "
         "coalesce(old_s, 'NULL') AS old_seniority, new_s AS new_seniority FROM chg "
         "WHERE old_s IS DISTINCT FROM new_s ORDER BY chg.job_id LIMIT 10", j=postings_sql(), chg=chg)
+    kept = "CAST(job_id AS BIGINT) % 3 = 0"
     q["description_backfill"] = _with(
-        "SELECT COUNT(*) AS jobs_needing_descriptions, COUNT(*) AS updated, "
-        "COUNT(*) FILTER (WHERE description <> '') AS jobs_with_descriptions, "
-        "COUNT(*) FILTER (WHERE description IS NULL OR description = '') AS jobs_still_missing "
+        f"SELECT COUNT(*) FILTER (WHERE NOT {kept} OR description IS NULL) AS jobs_needing_descriptions, "
+        f"COUNT(*) FILTER (WHERE NOT {kept} OR description IS NULL) AS updated, "
+        f"COUNT(*) FILTER (WHERE {kept} OR description <> '') AS jobs_with_descriptions, "
+        f"COUNT(*) FILTER (WHERE NOT {kept} AND coalesce(description, '') = '') AS jobs_still_missing "
+        "FROM enr WHERE reject_reason IS NULL", raw=raw_sql(), enr=enrich_sql("raw WHERE source = 'adzuna'"))
+    q["description_backfill_table"] = _with(
+        f"SELECT source, job_id, CASE WHEN {kept} THEN 'kept ' || description ELSE description END AS description "
         "FROM enr WHERE reject_reason IS NULL", raw=raw_sql(), enr=enrich_sql("raw WHERE source = 'adzuna'"))
     nn_s = ["source", "job_id", "title", "first_seen", "last_seen"]
     nn_g = ["city", "state", "run_date", "total_jobs", "active_jobs", "new_jobs", "expired_jobs"]

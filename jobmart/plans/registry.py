@@ -345,8 +345,17 @@ def q_seniority_backfill_sample(spark, sf_dir):
 def q_description_backfill(spark, sf_dir):
     raw = bronze(spark, sf_dir)
     good, _ = silver_ops.split_valid(silver_ops.enrich_first_source(raw.where(F.col("source") == "adzuna"), RUN))
-    no_desc = good.withColumn("description", F.lit(None).cast("string"))
-    return maintenance.description_backfill(no_desc, raw)[1]
+    return maintenance.description_backfill(_two_of_three_blank(good), raw)[1]
+
+
+def _two_of_three_blank(good):
+    return good.withColumn("description", F.when(F.col("job_id").cast("bigint") % 3 == 0, F.concat(F.lit("kept "), "description")))
+
+
+def q_description_backfill_table(spark, sf_dir):
+    raw = bronze(spark, sf_dir)
+    good, _ = silver_ops.split_valid(silver_ops.enrich_first_source(raw.where(F.col("source") == "adzuna"), RUN))
+    return maintenance.description_backfill(_two_of_three_blank(good), raw)[0].select("source", "job_id", "description")
 
 
 def q_dq_report(spark, sf_dir):
@@ -522,6 +531,7 @@ def queries() -> dict[str, Query]:
         "seniority_backfill_matrix": q_seniority_backfill_matrix,
         "seniority_backfill_sample": q_seniority_backfill_sample,
         "description_backfill": q_description_backfill,
+        "description_backfill_table": q_description_backfill_table,
         "dq_report": q_dq_report,
         "posting_trends": q_posting_trends,
         "wow_change": q_wow_change,

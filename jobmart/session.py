@@ -14,6 +14,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # lets a join on (source, job_id) use tables bucketed by job_id alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

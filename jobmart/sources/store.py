@@ -1,9 +1,9 @@
 """Versioned parquet tables: upserts without MERGE.
 
-Parquet has no MERGE/UPDATE, so every keyed upsert is read -> join -> write a
-*new* version directory -> flip a one-line pointer. The path being read is
-never overwritten, a crashed write leaves the previous version current, and
-readers always see a complete version.
+Parquet has no MERGE/UPDATE, so a keyed upsert is read -> join -> write a *new*
+version directory, then a new one-line commit directory that names it. Nothing is
+ever overwritten: readers take the highest commit, so a crash before the commit
+leaves the previous version current, and there is no moment without one.
 
 With ``bucket_by=(column, n)`` every version is written hash-bucketed and
 sorted by the key, and read back through a table declaring that bucket spec,
@@ -22,19 +22,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 
+def missing_path(e: AnalysisException) -> bool:
+    """Only a path that does not exist reads as "no data yet"; any other error is an error."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, bucket_by: tuple[str, int] | None = None):
         self.spark, self.root, self.schema, self.bucket_by = spark, root, schema, bucket_by
-        self._pointer = os.path.join(root, "_current")
+        self._commits = os.path.join(root, "commits")
 
     def _pointer_row(self) -> tuple[str, str] | None:
+        """(path, metadata) of the highest commit; every commit is one line in a directory of its own."""
+        from pyspark.sql import functions as F
+
         try:
-            row = self.spark.read.text(self._pointer).first()
-        except AnalysisException:
+            row = self.spark.read.text(os.path.join(self._commits, "c-*")).agg(F.max("value")).first()
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
             return None
-        if not row:
+        if not row or row[0] is None:
             return None
-        path, _, meta = row[0].partition("\t")
+        _, path, meta = row[0].split("\t")
         return path, meta
 
     def current(self) -> str | None:
@@ -77,8 +87,9 @@ class VersionedTable:
 
     def commit(self, path: str, meta: str = "") -> DataFrame:
         """Make a staged version current (with optional metadata, e.g. a log watermark)."""
-        line = f"{path}\t{meta}" if meta else path
-        self.spark.createDataFrame([(line,)], "p string").coalesce(1).write.mode("overwrite").text(self._pointer)
+        n = time.time_ns()
+        line = f"{n:020d}\t{path}\t{meta}"
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(os.path.join(self._commits, f"c-{n:020d}"))
         return self._load(path)
 
     def write(self, df: DataFrame, meta: str = "") -> DataFrame:
@@ -115,7 +126,9 @@ class LogTable:
 
         try:
             df = self.spark.read.schema(f"{self.schema}, {self.part_col} bigint").parquet(self.root)
-        except AnalysisException:
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
             return self.spark.createDataFrame([], f"{self.schema}, {self.part_col} bigint")
         if after is not None:
             df = df.where(F.col(self.part_col) > after)  # partition pruning
@@ -127,3 +140,17 @@ class LogTable:
         from pyspark.sql import functions as F
 
         return self.read().agg(F.max(self.part_col)).first()[0]
+
+
+def append_rows(spark: SparkSession, root: str, rows: DataFrame, part_col: str) -> None:
+    """Adds rows to a date-partitioned parquet table; earlier files stay as they are."""
+    rows.write.mode("append").partitionBy(part_col).parquet(root)
+
+
+def read_rows(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(root)
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
+        return spark.createDataFrame([], schema)

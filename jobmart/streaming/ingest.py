@@ -5,8 +5,8 @@ to drain whatever has landed and stop — the daily batch cadence of the
 original, with Spark's checkpointed file log deciding which files are new —
 and ``foreachBatch`` running the replay-safe :func:`jobmart.plans.jobs.ingest_pages`.
 
-A pull's pages must land together (one run writes one set of files); the
-prefix rule needs all pages of a pull in the same micro-batch.
+The pages of a pull may land in any number of micro-batches: every good page is
+ingested with the batch it comes in, and the audit adds the batches of a pull up.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoi
 
     ``layout``: ``"log"`` = JSON-lines page log, ``"files"`` = one raw response file
     per page with the pull keys in the path. ``max_files_per_trigger`` bounds each
-    micro-batch (a run's files should still land in one batch for the page prefix rule).
+    micro-batch; a pull may span several.
     """
     opts = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
     if layout == "files":

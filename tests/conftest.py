@@ -21,6 +21,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
          .config("spark.ui.enabled", "false")
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
