@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobmart.llm.common import staged
+
 BUCKET_SECONDS = 3600
 #: Headers that a 304 answer may update in the stored response.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "server", "set-cookie", "vary", "via", "warning")
@@ -94,6 +96,8 @@ def resolve(captures: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFr
     r = near.join(carried, (F.col("url_key") == F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left")
     r = r.select("record_id", "url_key", "date", "headers", F.when(F.col("_t").isNotNull() & F.col("url_key").isNotNull(), F.coalesce("_near", "_earlier")).alias("_to"))
     stored = c.where("_full").select(F.col("record_id").alias("_id"), F.col("headers").alias("_stored"), F.col("date").alias("refers_to_date")).where("_id is not null").dropDuplicates(["_id"])
+    # written first: many revisits may refer to one response, and only a join of two plain shuffles can be split there
+    stored = staged(stored, "responses")
     r = r.join(stored, F.col("_to") == F.col("_id"), "left")
     new, old = F.col("headers"), F.col("_stored")
     same = F.coalesce(_etag(new) == _etag(old), header(new, "last-modified") == header(old, "last-modified"), F.lit(False))
@@ -106,7 +110,9 @@ def resolve(captures: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFr
 
 def with_bodies(resolved: DataFrame, captures: DataFrame) -> DataFrame:
     """The resolved revisits as full responses: the body comes from the response referred to."""
-    bodies = captures.where("kind = 'response' and record_id is not null").select(F.col("record_id").alias("_id"), F.col("body")).dropDuplicates(["_id"])
+    bodies = captures.where("kind = 'response' and record_id is not null").select(F.col("record_id").alias("_id"), F.col("body"))
+    bodies = staged(bodies.dropDuplicates(["_id"]), "bodies")
+    resolved = staged(resolved, "resolved")
     return (resolved.join(bodies, (F.col("refers_to") == F.col("_id")) & (F.col("status") == "resolved"), "left").drop("_id"))
 
 
@@ -138,8 +144,6 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
 
 def revisits_report(pages: DataFrame) -> DataFrame:
     """Records of ``pages`` parsed, their revisits resolved and given their bodies, as comparable columns."""
-    from jobmart.llm.common import staged
-
     captures = staged(parse(records_of_pages(pages)), "captures")
     r = with_bodies(resolve(captures), captures)
     return r.select("record_id", "url_key", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("captured"), "status", "refers_to",
