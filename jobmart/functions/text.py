@@ -154,6 +154,10 @@ def _word(pattern: str) -> str:
     return r"(?i)\b(" + pattern + r")\b"
 
 
+def startup_company(company) -> Column:
+    return F.coalesce(_c(company), F.lit("")).rlike(_word(K.STARTUP_COMPANY_PATTERN))
+
+
 def industry(title, company, company_postings=None) -> Column:
     """Ordered industry rules; ``company_postings`` = per-company row count (startup rule)."""
     comp = F.coalesce(_c(company), F.lit(""))
@@ -163,7 +167,7 @@ def industry(title, company, company_postings=None) -> Column:
         if title_pat:
             cond = F.coalesce(_c(title), F.lit("")).rlike(_word(title_pat)) | cond
         out = F.when(cond, label) if out is None else out.when(cond, label)
-    startup = comp.rlike(_word(K.STARTUP_COMPANY_PATTERN))
+    startup = startup_company(company)
     if company_postings is not None:
         startup = startup & (_c(company_postings) < K.STARTUP_MAX_POSTINGS)
     return out.when(startup, "startup").otherwise("other")

@@ -31,11 +31,11 @@ def seniority_changes(silver: DataFrame, new_value: Column, current: str = "seni
 
 
 def transition_matrix(changes: DataFrame) -> DataFrame:
-    """AGG-14 / DQ-5: count per change type (only the tracked transitions, as reported)."""
+    """AGG-14 / DQ-5: count per tracked change type; all others count as ``other_changes``."""
     tracked = [f"{a} → {b}" for a in SENIORITY_LEVELS for b in SENIORITY_LEVELS if a != b]
     tracked += ["no_change", "null_to_value"]
-    return (changes.where(F.col("change_type").isin(tracked))
-            .groupBy("change_type").agg(F.count("*").alias("n_jobs")))
+    kind = F.when(F.col("change_type").isin(tracked), F.col("change_type")).otherwise("other_changes")
+    return changes.groupBy(kind.alias("change_type")).agg(F.count("*").alias("n_jobs"))
 
 
 def change_sample(changes: DataFrame, k: int = 10) -> DataFrame:

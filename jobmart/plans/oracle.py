@@ -603,7 +603,8 @@ def _other_queries() -> dict[str, str]:
            f"END AS old_s, {seniority_sql('title')} AS new_s FROM j")
     q["seniority_backfill_matrix"] = _with(
         "SELECT change_type, COUNT(*) AS n_jobs FROM (SELECT CASE WHEN old_s IS NULL THEN 'null_to_value' "
-        "WHEN old_s = new_s THEN 'no_change' ELSE old_s || ' → ' || new_s END AS change_type FROM chg) c "
+        "WHEN old_s = new_s THEN 'no_change' WHEN old_s IN ('jr', 'mid', 'sr') AND new_s IN ('jr', 'mid', 'sr') "
+        "THEN old_s || ' → ' || new_s ELSE 'other_changes' END AS change_type FROM chg) c "
         "GROUP BY change_type", j=postings_sql(), chg=chg)
     q["seniority_backfill_sample"] = _with(
         "SELECT CASE WHEN length(job_id) > 15 THEN left(job_id, 12) || '...' ELSE job_id END AS job_id, "

@@ -296,8 +296,11 @@ def q_classify_documents(spark, sf_dir):
 
 def q_industry(spark, sf_dir):
     j = postings(spark, sf_dir)
-    per_company = j.groupBy("company").agg(F.count("*").alias("company_postings"))
-    jj = j.join(per_company, "company", "left")  # AQE: broadcast if small at runtime, else skew-split
+    # Only companies the startup rule can name need their count; no other posting is shuffled.
+    named = F.coalesce(T.startup_company("company"), F.lit(False))
+    per_company = j.where(named).groupBy("company").agg(F.count("*").alias("company_postings"))
+    jj = (j.where(named).join(per_company, "company", "left")
+          .unionByName(j.where(~named).withColumn("company_postings", F.lit(None).cast("bigint"))))
     return jj.select("source", "job_id", T.industry("title", "company", "company_postings").alias("industry"))
 
 
