@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import staged
+from jobmart.sources.tables import checked_broadcast
 
 BUCKET_SECONDS = 3600
 #: Headers that a 304 answer may update in the stored response.
@@ -70,6 +71,13 @@ def merged(stored: Column, update: Column) -> Column:
     return F.array_sort(F.concat(F.filter(stored, lambda h: ~F.array_contains(names, h["name"])), fresh))
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """One row for each ``_id``. Only ids that occur again (in practice none) pass through an aggregate."""
+    again = checked_broadcast(rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_id").alias("_again")))
+    same = F.col("_id") == F.col("_again")
+    return rows.join(again, same, "left_anti").unionByName(rows.join(again, same, "left_semi").dropDuplicates(["_id"]))
+
+
 def _etag(headers: Column) -> Column:
     return F.regexp_replace(header(headers, "etag"), "^W/", "")
 
@@ -95,9 +103,9 @@ def resolve(captures: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFr
     near = c.withColumn("_near", F.max(F.when(full.isNotNull(), F.struct("_t", "record_id"))).over(inside)["record_id"]).where("_revisit")
     r = near.join(carried, (F.col("url_key") == F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left")
     r = r.select("record_id", "url_key", "date", "headers", F.when(F.col("_t").isNotNull() & F.col("url_key").isNotNull(), F.coalesce("_near", "_earlier")).alias("_to"))
-    stored = c.where("_full").select(F.col("record_id").alias("_id"), F.col("headers").alias("_stored"), F.col("date").alias("refers_to_date")).where("_id is not null").dropDuplicates(["_id"])
+    stored = c.where("_full").select(F.col("record_id").alias("_id"), F.col("headers").alias("_stored"), F.col("date").alias("refers_to_date")).where("_id is not null")
     # written first: many revisits may refer to one response, and only a join of two plain shuffles can be split there
-    stored = staged(stored, "responses")
+    stored = staged(_one_per_id(stored), "responses")
     r = r.join(stored, F.col("_to") == F.col("_id"), "left")
     new, old = F.col("headers"), F.col("_stored")
     same = F.coalesce(_etag(new) == _etag(old), header(new, "last-modified") == header(old, "last-modified"), F.lit(False))
@@ -111,8 +119,7 @@ def resolve(captures: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFr
 def with_bodies(resolved: DataFrame, captures: DataFrame) -> DataFrame:
     """The resolved revisits as full responses: the body comes from the response referred to."""
     bodies = captures.where("kind = 'response' and record_id is not null").select(F.col("record_id").alias("_id"), F.col("body"))
-    bodies = staged(bodies.dropDuplicates(["_id"]), "bodies")
-    resolved = staged(resolved, "resolved")
+    bodies = _one_per_id(bodies)
     return (resolved.join(bodies, (F.col("refers_to") == F.col("_id")) & (F.col("status") == "resolved"), "left").drop("_id"))
 
 
