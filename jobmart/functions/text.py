@@ -63,16 +63,19 @@ def salary_band(salary_min, salary_max) -> Column:
 # --- STR-14 / STR-3: years of experience ------------------------------------
 
 def yoe_match(text) -> Column:
-    """Group 1 (digits, as text) of the first YOE pattern that matches anywhere, else NULL."""
+    """Group 1 (digits, as text) of the first YOE pattern that matches anywhere, else NULL.
+
+    The third and fourth pattern contain the second, so they never decide and are not run.
+    """
     t = _c(text)
-    return F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in K.YOE_PATTERNS])
+    return F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in K.YOE_PATTERNS[:2]])
 
 
 def yoe_years(text, match=None) -> Column:
     """STR-14: minimum years as bigint (ranges give the lower bound; overflow -> NULL).
 
     ``match``: optional precomputed :func:`yoe_match` column (wide projections
-    then run the four regexes once per row)."""
+    then run the regexes once per row)."""
     return (_c(match) if match is not None else yoe_match(text)).try_cast("bigint")
 
 

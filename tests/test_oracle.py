@@ -6,9 +6,12 @@ import duckdb
 import pytest
 
 from conftest import SF_SMALL
-import __spark_entry__ as E
+from jobmart.plans.oracle import oracle_sql
+from jobmart.plans.registry import queries
 from tools.check_oracle import TABLES, rows_of
 
+QUERIES, ORACLE = queries(), oracle_sql()
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -21,10 +24,10 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    res = duck.execute(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    res = duck.execute(ORACLE[name])
     d_cols = [c[0] for c in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(d_cols, res.fetchall())
