@@ -19,11 +19,11 @@ def test_cutoff_rules(spark):
         (d, "C", "r", 1, "{broken"), (d, "C", "r", 2, _env([7])),   # corrupt first page
     ] + [(d, "D", "r", p, _env([100 + p])) for p in range(1, 23)]   # beyond the 20-page limit
     landed = spark.createDataFrame(rows, pages.LANDED_SCHEMA)
-    recs = pages.page_records(landed)
+    recs = pages.page_records(landed, max_pages=20)
     got = sorted((r.city, r.page, r.job_id) for r in recs.collect())
     exp = [("A", 1, "1"), ("A", 1, "2"), ("A", 2, "3"), ("B", 1, "5")] + [("D", p, str(100 + p)) for p in range(1, 21)]
     assert got == sorted(exp)
-    summ = {r.city: (r.pages_fetched, r.api_count, r.postings) for r in pages.pull_summary(landed).collect()}
+    summ = {r.city: (r.pages_fetched, r.api_count, r.postings) for r in pages.pull_summary(landed, max_pages=20).collect()}
     assert summ == {"A": (2, 99, 3), "B": (1, 99, 1), "D": (20, 99, 20)}
 
 
@@ -47,7 +47,7 @@ def test_raw_response_files(spark, tmp_root):
         with open(os.path.join(d, "response.json"), "w") as f:
             f.write(json.dumps(json.loads(body), indent=2))  # multi-line raw file
     landed = pages.read_landed_files(spark, tmp_root)
-    got = sorted((r.city, r.role, r.page, r.job_id) for r in pages.page_records(landed).collect())
+    got = sorted((r.city, r.role, r.page, r.job_id) for r in pages.page_records(landed, max_pages=20).collect())
     assert got == [("Chicago", "data analyst", 1, "1"), ("Chicago", "data analyst", 1, "2"),
                    ("Detroit", "data analyst", 1, "3")]
 
@@ -61,7 +61,7 @@ def test_pull_order_follows_pulled_at(spark):
     rows = [(d, "Zeta", "r", 1, _env([1]), dt.datetime(2024, 1, 1, 8)),    # ran first, sorts last by name
             (d, "Alpha", "r", 1, _env([1]), dt.datetime(2024, 1, 1, 9))]
     landed = spark.createDataFrame(rows, pages.LANDED_READ_SCHEMA)
-    batch = pages.page_records(landed).select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
+    batch = pages.page_records(landed, max_pages=20).select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
     credit = jobs.credited_pulls(batch, L.empty_target(spark)).collect()
     assert [(r.city, r.jobs_retrieved) for r in credit] == [("Zeta", 1)]
 
@@ -92,5 +92,5 @@ def test_prefix_rule_property(spark, pulls):
                 stopped = True
     if not rows:
         return
-    got = {(r.city, r.page) for r in pages.page_records(spark.createDataFrame(rows, pages.LANDED_SCHEMA)).collect()}
+    got = {(r.city, r.page) for r in pages.page_records(spark.createDataFrame(rows, pages.LANDED_SCHEMA), max_pages=20).collect()}
     assert got == expected
