@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import staged
 
-TREES, LEAVES, LEAST_LEAF, SAMPLE, SHARE, BLOCK, SEED = 10, 64, 32, 50_000, 0.9, 8192, 7
+TREES, LEAVES, LEAST_LEAF, SAMPLE, SHARE, BLOCK, SEED = 10, 64, 32, 50_000, 1.5, 8192, 7
 K = 20
 
 
