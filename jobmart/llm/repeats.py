@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from jobmart.llm.common import staged
 
 LENGTH, GRAM = 50, 20
-BUCKET_BYTES, DIRECTORY_BYTES = 4_000_000, 32_000_000
+BUCKET_BYTES, DIRECTORY_BYTES = 2_000_000, 32_000_000
 #: Strings handled at a time while anchors are chosen.
 STEP = 1 << 18
 HOT = 2000
