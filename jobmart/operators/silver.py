@@ -65,11 +65,16 @@ def _salary(path: str) -> Column:
     return _get(path, "double").try_cast(SALARY_TYPE)
 
 
-def _not(kind: str, path: str) -> Column:
-    """Present, not JSON null, and not of the given kind (``OBJECT`` / ``ARRAY`` / ``STRING``)."""
+def _not(kind: str, path: str, inner: str) -> Column:
+    """Present, not JSON null, and not of the given kind (``OBJECT`` / ``ARRAY``).
+
+    A value that has ``inner`` (a usual key, or the first element) is of the kind; only others are asked for
+    their schema, which costs far more than one look-up.
+    """
     top, _, rest = path.partition(".")
     v = _field(top) if not rest else F.try_variant_get(_field(top), "$." + rest, "variant")
-    return v.isNotNull() & ~F.is_variant_null(v) & ~F.schema_of_variant(v).startswith(kind)
+    return F.when(F.try_variant_get(v, inner, "variant").isNotNull(), F.lit(False)).otherwise(
+        v.isNotNull() & ~F.is_variant_null(v) & ~F.schema_of_variant(v).startswith(kind))
 
 
 def parse_payload(raw: DataFrame, top: str = FIRST_SOURCE_TOP) -> DataFrame:
@@ -107,13 +112,13 @@ def reject_reason() -> Column:
         (_is_json_null("description"), "null_description"),
         (F.coalesce(_type_of("description") != "STRING", F.lit(False)), "bad_description"),
         (_is_json_null("location"), "null_location"),
-        (_not("OBJECT", "location"), "bad_location"),
+        (_not("OBJECT", "location", "$.area"), "bad_location"),
         (_is_json_null("location.area"), "null_area"),
-        (_not("ARRAY", "location.area"), "bad_area"),
+        (_not("ARRAY", "location.area", "$[0]"), "bad_area"),
         (_is_json_null("company"), "null_company"),
-        (_not("OBJECT", "company"), "bad_company"),
+        (_not("OBJECT", "company", "$.display_name"), "bad_company"),
         (_is_json_null("category"), "null_category"),
-        (_not("OBJECT", "category"), "bad_category"),
+        (_not("OBJECT", "category", "$.label"), "bad_category"),
         (F.col("job_id").isNull(), "null_id"),
         *[(_get(s, "double").isNotNull() & _salary(s).isNull(), "salary_overflow") for s in ("salary_min", "salary_max")],
     ]
