@@ -3,11 +3,12 @@
 The standard library's parser is fed the page and its events are folded into lines, one per block, with
 the characters of text and the number of tags met while the line was open. The text-to-tag ratio per line is
 smoothed by a Gaussian, and lines above a threshold (a share of the ratios' standard deviation) form
-clusters. The best cluster - the one with the most text - selects the content region: the innermost
-article or main element around it or, where a page has neither, the innermost element holding the cluster. The
-region is returned whole, short paragraphs and headings included, without the parts that are never
-content (navigation, page headers and footers, asides, forms, notices, adverts, comments, scripts and styles,
-recognised by tag, role, class or id).
+clusters. Every cluster selects a content region: the innermost article or main element around it or, where
+there is neither, the innermost element holding the cluster. Lines of a cluster beside an article or main are
+regions of their own where their own ratio is above the threshold. Regions are returned whole and in page
+order, short paragraphs and headings included, without the parts that are never content (navigation, page
+headers and footers, asides, forms, notices, adverts, comments, scripts and styles, recognised by tag, role,
+class or id).
 
 Every page is one call on its own row: no shuffle, memory bounded by one page. Defined results: null or empty
 html, and pages without content, give an empty text; repeated rows are extracted each on its own; an
@@ -134,41 +135,71 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
     return [sum(k * values[min(max(i + j - reach, 0), n - 1)] for j, k in enumerate(kernel)) / total for i in range(n)]
 
 
+def _root(lines: list[tuple[str, int, tuple]], at: range, holders: set[int]) -> int | None:
+    """The innermost holder of most of these lines' text, or the innermost element around all of them."""
+    weight: dict[int, int] = {}
+    for i in at:
+        for n in set(lines[i][2]) & holders:
+            weight[n] = weight.get(n, 0) + len(lines[i][0])
+    total = sum(len(lines[i][0]) for i in at)
+    inside = [n for n, w in weight.items() if 2 * w >= total]
+    if inside:
+        return max(inside)
+    common = None
+    for i in at:
+        p = lines[i][2]
+        common = p if common is None else tuple(a for a, b in zip(common, p) if a == b)
+    if len(at) == 1 and common and len(common) > 1:
+        return common[-2]
+    return common[-1] if common else None
+
+
 def content(lines: list[tuple[str, int, tuple]], holders: set[int], sigma: float = SIGMA, share: float = SHARE) -> list[str]:
-    """The lines of the region that the best cluster selects."""
+    """The lines of the regions that the clusters select, in page order."""
     if not lines:
         return []
-    ratio = smoothed([len(text) / max(tags, 1) for text, tags, _ in lines], sigma)
+    own = [len(text) / max(tags, 1) for text, tags, _ in lines]
+    ratio = smoothed(own, sigma)
     mean = sum(ratio) / len(ratio)
     limit = share * math.sqrt(sum((x - mean) ** 2 for x in ratio) / len(ratio))
-    best, run, at = (0, 0, 0), 0, 0
+    clusters, at = [], None
     for i, x in enumerate([*ratio, -1.0]):
         if x >= limit:
-            if not run:
-                at = i
-            run += len(lines[i][0])
-        elif run:
-            best = max(best, (run, -at, i))
-            run = 0
-    chosen = range(-best[1], best[2]) if best[0] else range(len(lines))
-    # the innermost holder of most of the cluster's text, or the innermost element around all of it
-    weight: dict[int, int] = {}
-    for i in chosen:
-        for n in set(lines[i][2]) & holders:
-            weight[n] = weight.get(n, 0) + len(lines[i][0])
-    total = sum(len(lines[i][0]) for i in chosen)
-    inside = [n for n, w in weight.items() if 2 * w >= total]
-    if inside:
-        root = max(inside)
-    else:
-        common = None
-        for i in chosen:
-            p = lines[i][2]
-            common = p if common is None else tuple(a for a, b in zip(common, p) if a == b)
-        root = common[-1] if common else None
-        if len(chosen) == 1 and common and len(common) > 1:
-            root = common[-2]
-    return [text for text, _, path in lines if root is None or root in path]
+            at = i if at is None else at
+        elif at is not None:
+            clusters.append(range(at, i))
+            at = None
+    # the cluster with the most text, the first of equals, selects its region whole
+    best = max(clusters, key=lambda c: sum(len(lines[i][0]) for i in c))
+    first = _root(lines, best, holders)
+    if first is None:
+        return [text for text, _, _ in lines]
+    roots, single = {first}, set()
+    kept = lambda i: i in single or not roots.isdisjoint(lines[i][2])
+    # the other clusters, and what the best one holds besides, add theirs; an element around an article or main is not taken for lines beside it
+    around = {n for _, _, path in lines for k, h in enumerate(path) if h in holders for n in path[:k]}
+    for c in clusters:
+        i = c.start
+        while i < c.stop:
+            if kept(i):
+                i += 1
+                continue
+            a, holder = i, max(holders.intersection(lines[i][2]), default=0)
+            while i < c.stop and not kept(i) and max(holders.intersection(lines[i][2]), default=0) == holder:
+                i += 1
+            b = i
+            if (a, b) != (c.start, c.stop):
+                # beside another region smoothing reaches over the edge: the lines' own ratios decide
+                strong = [j for j in range(a, b) if own[j] >= limit]
+                if not strong:
+                    continue
+                a, b = strong[0], strong[-1] + 1
+            root = holder or _root(lines, range(a, b), holders)
+            if root is None or root in around and root not in holders:
+                single.update(range(a, b))
+            else:
+                roots.add(root)
+    return [text for i, (text, _, _) in enumerate(lines) if kept(i)]
 
 
 def main_text(html: str) -> str:

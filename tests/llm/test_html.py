@@ -26,6 +26,25 @@ def test_shapes(body, want):
     assert html.main_text(page(body)) == want
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=x{i}>Go {i}</a></li>" for i in range(30)) + "</ul>"
+LONG = [f"<p>{w} {PARAGRAPH} {PARAGRAPH}</p>" * 3 for w in ("One", "Two", "Three")]
+TEXT = ["\n\n".join([f"{w} {PARAGRAPH} {PARAGRAPH}"] * 3) for w in ("One", "Two", "Three")]
+
+
+def test_regions_far_apart_are_all_kept():
+    got = html.main_text(page(f"<div><h2>Short</h2>{LONG[0]}{LINKS}</div><div>{LINKS}{LONG[1]}</div><div>{LINKS}{LONG[2]}{LONG[2]}<p>End</p></div>"))
+    assert all(t in got for t in TEXT) and got.startswith("Short") and got.endswith("End")
+    assert got.index("One") < got.index("Two") < got.index("Three")
+
+
+def test_text_beside_an_article_is_kept():
+    assert html.main_text(page(f"<article>{LONG[0]}{LONG[0]}</article><div>{LONG[1]}<p>End</p></div>")) == f"{TEXT[0]}\n\n{TEXT[0]}\n\n{TEXT[1]}\n\nEnd"
+    far = html.main_text(page(f"<article>{LONG[0]}{LONG[0]}</article>{LINKS}{LONG[1]}"))
+    assert far.startswith(f"{TEXT[0]}\n\n{TEXT[0]}") and far.endswith(TEXT[1]) and "Go 15" not in far
+    two = html.main_text(page(f"<main><article>{LONG[0]}</article><article>{LONG[1]}{LONG[1]}</article></main>"))
+    assert two == f"{TEXT[0]}\n\n{TEXT[1]}\n\n{TEXT[1]}"
+
+
 def test_cut_pages_and_plain_text():
     assert html.main_text(f"<article><p>{PARAGRAPH}<p>cut &am") == f"{PARAGRAPH}\n\ncut &am"
     assert html.main_text("no markup at all") == "no markup at all"
