@@ -6,9 +6,11 @@ the longer one adds is the span of its last turn. Where the longer output does n
 shorter one, the template rewrites history: the turn is marked, and its span starts at the first change.
 
 Conversations are streamed, never collected: rows are hashed by conversation, sorted by turn inside the
-partition, and a task holds one window of turns. Prefixes of up to ``WINDOW`` turns are rendered whole; in
-longer conversations the prefix then starts ``CONTEXT`` turns back, so the work stays linear and memory
-bounded in a conversation of any length (a rewrite reaching further back than that is out of sight).
+partition. Every prefix is the whole conversation up to its turn, so a task holds the turns of one conversation
+and renders them once per turn. A template marked as ``additive`` renders turns one after the other, its output
+for a + b being its output for a followed by that for b; what precedes a turn then cannot matter, and
+after ``WINDOW`` turns the prefix restarts ``CONTEXT`` turns back: linear work and one window of memory in a
+conversation of any length, with the same results. Each restart checks the mark on the window's output.
 
 Defined results: null texts and roles are empty, rows order by turn, then role, then text (nulls first), so
 repeated turns are all kept; a null conv_id is a conversation of its own; an empty table gives none.
@@ -40,6 +42,13 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S) if "\\" in text else text
 
 
+def additive(template: Callable) -> Callable:
+    """Marks a template as concatenating its turns: template(a + b) == template(a) + template(b) for all a and b."""
+    template.additive = True
+    return template
+
+
+@additive
 def marked_turns(turns: list[tuple[str, str]]) -> str:
     """The default template: every turn between a role line and an end mark."""
     return "".join(f"### {escape_role(role)}:\n{escape(text)}\n</turn>\n" for role, text in turns)
@@ -58,23 +67,36 @@ def read_turn(span: str) -> tuple[str, str, int, int] | None:
     return unescape(m[1]), unescape(span[a:b]), a, b
 
 
+def _same(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    if b.startswith(a):
+        return len(a)
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
 class Prefixes:
     """Renders growing prefixes of one conversation and yields what each turn adds."""
 
     def __init__(self, template: Callable, window: int = WINDOW, context: int = CONTEXT):
         self.template, self.window, self.context = template, window, context
+        self.additive = getattr(template, "additive", False)
         self.turns, self.last = [], template([])
 
     def add(self, role: str, text: str) -> tuple[int, str]:
         """(how many characters of the previous output were taken back, what is new after the rest)."""
-        if len(self.turns) >= self.window:
-            self.turns = self.turns[-self.context:]
-            self.last = self.template(self.turns)
+        if self.additive and len(self.turns) >= self.window:
+            old, self.turns = self.turns[:-self.context], self.turns[-self.context:]
+            tail = self.template(self.turns)
+            if self.template(old) + tail != self.last:
+                raise ValueError("the template is marked as additive, but its output depends on other turns")
+            self.last = tail
         self.turns.append((role, text))
         now = self.template(self.turns)
-        same = len(self.last)
-        if not now.startswith(self.last):
-            same = next((i for i, (a, b) in enumerate(zip(self.last, now)) if a != b), min(len(now), len(self.last)))
+        same = _same(self.last, now)
         back, self.last = len(self.last) - same, now
         return back, now[same:]
 
@@ -104,7 +126,8 @@ def rendered(conversations: DataFrame, template: Callable = marked_turns) -> Dat
         size = 0
         for first, conv, turn, role, text in _conversations(batches):
             if first:
-                state, at, i = Prefixes(template), 0, 0
+                state, i = Prefixes(template), 0
+                at = len(state.last)
             back, new = state.add(role, text)
             at -= back
             rows.append((conv, turn, i, at, back, new))
@@ -142,7 +165,8 @@ def digests(conversations: DataFrame, template: Callable = marked_turns, reader:
                     close()
                 if len(done) >= 10_000:
                     yield flush()
-                state = {"conv": conv, "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0, "rewrites": 0, "prefixes": Prefixes(template)}
+                state = {"conv": conv, "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "rewrites": 0, "prefixes": Prefixes(template)}
+                state["chars"] = len(state["prefixes"].last)
             back, new = state["prefixes"].add(role, text)
             state["chars"] += len(new) - back
             state["rewrites"] += back > 0

@@ -1,7 +1,9 @@
 """Chat formatting: exact round trip, loss mask, history rewrites, long conversations."""
 
 import hashlib
+import os
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,5 +63,51 @@ def test_rewriting_template_is_detected(spark):
     assert [r.rewritten > 0 for r in out] == [False, False, True] and out[2].rewritten == len("long answer")
 
 
+def templates():
+    """Inside a function, so that they are sent to the tasks with their code."""
+    def numbered(turns):  # the output of a turn depends on its position
+        return "".join(f"{i} {r}: {t}\n" for i, (r, t) in enumerate(turns))
+
+    def counted(turns):  # every turn rewrites the first line
+        return f"{len(turns)} turns\n" + "".join(f"{r}: {t}\n" for r, t in turns)
+
+    def shortened(turns):  # leaves the oldest turns out from turn 201 on
+        return "".join(f"{r}: {t}\n" for r, t in turns[-200:])
+
+    return {"numbered": (numbered, 0), "counted": (counted, 300), "shortened": (shortened, 100)}
+
+
+@pytest.mark.parametrize("name", ["numbered", "counted", "shortened"])
+def test_long_conversations_are_rendered_as_true_prefixes(spark, name):
+    template, rewrites = templates()[name]
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(300)]
+    parts = sorted(chat.rendered(spark.createDataFrame([(9, i, r, t) for i, (r, t) in enumerate(turns)], SCHEMA), template).collect(), key=lambda r: r.position)
+    whole = template([])
+    for i, r in enumerate(parts):
+        now = template(turns[:i + 1])
+        same = len(os.path.commonprefix([whole, now]))
+        assert (r.start, r.rewritten, r.output) == (same, len(whole) - same, now[same:])
+        whole = now
+    assert sum(r.rewritten > 0 for r in parts) == rewrites
+
+
+def test_a_wrong_additive_mark_is_refused():
+    p = chat.Prefixes(chat.additive(templates()["numbered"][0]))
+    with pytest.raises(ValueError, match="additive"):
+        for i in range(40):
+            p.add("user", f"t{i}")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text("\\#:<\na"), st.text("\\#</turn>\n"))), st.lists(st.tuples(st.text("\\#:<\na"), st.text("\\#</turn>\n"))))
+def test_the_default_template_is_additive(a, b):
+    assert chat.marked_turns(a + b) == chat.marked_turns(a) + chat.marked_turns(b)
+
+
+@given(st.text("ab", max_size=12), st.text("ab", max_size=12))
+def test_common_prefix(a, b):
+    assert chat._same(a, b) == len(os.path.commonprefix([a, b]))
+
+
 def test_empty_table(spark):
     assert chat.digests(spark.createDataFrame([], SCHEMA)).count() == 0
