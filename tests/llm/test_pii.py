@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -66,6 +67,39 @@ def test_redaction_keeps_the_rest(spark, docs):
     assert pii.redacted(docs([])).count() == 0 and pii.detect(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("text, want", [
+    ("call 555-123-4567 555-987-6543 now", ["number 555-123-4567", "number 555-987-6543"]),
+    ("call 415 555 2671 415 555 2672 now", ["number 415 555 2671", "number 415 555 2672"]),
+    ("SSN 078-05-1120 219-09-9999 on file", ["number 078-05-1120", "number 219-09-9999"]),
+    ("room 12 555-123-4567 ok", ["number 555-123-4567"]),
+    ("call 555-123-4567. 2024 was good", ["number 555-123-4567"]),
+    ("from 10.0.0.1 555-123-4567 ok", ["ip 10.0.0.1", "number 555-123-4567"]),
+    ("call 555-123-4567 10.0.0.1 ok", ["number 555-123-4567", "ip 10.0.0.1"]),
+    ("paid 4465758382889437 4465758382889437 so", ["number 4465758382889437"] * 2),
+    ("IBAN ES9121000418450200051332 BBVA ok", ["iban ES9121000418450200051332"]),
+    ("IBAN DE89 3704 0044 0532 0130 00 BANK ok", ["iban DE89 3704 0044 0532 0130 00"]),
+    ("host 2001:db8::1 up", ["ipv6 2001:db8::1"]), ("addr fe80::1ff:fe23:4567:890a end", ["ipv6 fe80::1ff:fe23:4567:890a"]),
+    ("password=04dbebab91ab85687d33eeaaf9ac699e1188f962 ok", ["secret 04dbebab91ab85687d33eeaaf9ac699e1188f962"]),
+    ("use std::vector and Foo::bar on 2024-01-15 10:30 we", []), ("isbn 978-1-23-456789-0 1999", []), ("order 1234567 7654321", []),
+])
+def test_spans_beside_others(text, want):
+    assert [f"{k} {text[s:e]}" for s, e, k in pii.find([text], *pii.fitted())[0][1]] == want
+
+
+def test_proposals_overlap_each_other_and_no_base_span():
+    text = "10.0.0.1 555-123-4567 555-987-6543 a@b.example.com/" + "04dbebab91ab85687d33" * 2
+    base = pii.base_spans(text)
+    got = list(pii.proposals(text, base))
+    assert {(9, 21, "number"), (22, 34, "number"), (9, 34, "number")} <= set(got) and len(got) == len(set(got))
+    assert all(e <= a or s >= b for s, e, _ in got for a, b, _ in base)
+
+
+def test_many_digit_groups():
+    text = " ".join(str(i % 10) for i in range(4_000))
+    spans = pii.find([text], *pii.fitted())[0][1]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and sum(e - s for s, e, _ in spans) < len(text) / 20
+
+
 def test_overlapping_spans_become_one():
     assert pii.redact("abcdefgh", [(1, 4, "phone"), (3, 6, "card")]) == "a<PHONE>gh"
 
