@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 from jobmart.operators import gold
 from jobmart.operators.quantiles import grouped_median
 from jobmart.plans import registry
@@ -83,7 +83,7 @@ def test_grouped_median_fallback_path(spark, monkeypatch):
 
 def test_grouped_median_single_hot_group(spark):
     """All postings in one group (the hot-key case): exact medians of both salary columns."""
-    from conftest import SF_MID
+    from tests.paths import SF_MID
     from jobmart.operators.quantiles import grouped_medians
 
     j = registry.postings(spark, SF_MID).withColumn("city", F.lit("HOT"))

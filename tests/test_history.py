@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 from jobmart.operators import gold, lifecycle
 from jobmart.plans import jobs, registry
 from jobmart.sources import adapter, pages

@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 from jobmart.operators import lifecycle as L
 from jobmart.plans import jobs, registry
 from jobmart.sources import adapter, pages

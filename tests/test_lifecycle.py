@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 from jobmart.operators import lifecycle as L
 from jobmart.sources import adapter
 

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from tests.paths import SF_SMALL
 from jobmart.plans.oracle import oracle_sql
 from jobmart.plans.registry import queries
 from tools.check_oracle import TABLES, rows_of

@@ -4,7 +4,7 @@ filters and projections reach the parquet scan; the driver entry points work."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from tests.paths import SF_MID, SF_SMALL
 import __spark_entry__ as E
 from jobmart.operators import gold
 from jobmart.plans.oracle import oracle_sql
