@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobmart.llm import ann, chat, html, mixing, packing, pii, quality, repeats, simhash, warc
-from jobmart.llm.common import read
+from jobmart.llm import ann, centroids, chat, html, merkle, mixing, packing, pii, quality, repeats, simhash, warc
+from jobmart.llm.common import read, staged
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,5 +49,31 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read(spark, sf_dir, "embeddings"))
+    members = staged(found.members, "centroid-members")
+    total = F.sum(F.col("distance").cast("decimal(38,0)"))
+    # One row for each of the few clusters.
+    sums = {r["cluster"]: r["total"] for r in members.groupBy("cluster").agg(total.alias("total")).collect()}
+    rows = [(c, int(s), int(sum(sums.values())), centroids.centroid_digest(found.centroids[c])) for c, s in sums.items()]
+    clusters = spark.createDataFrame(rows, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return (members.join(F.broadcast(clusters), "cluster")
+            .select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda n: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    # As decimals: the largest long plus one has a value too.
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tree = merkle.manifest(docs, "lang", "doc_id", leaf(F.col("n_chars")), F.when(tampered, leaf(more)))
+    return tree.proofs.select(
+        F.col("key").cast("bigint").alias("doc_id"), "leaf", "subroot", F.lit(tree.root).cast("string").alias("root"),
+        F.sha2(F.concat_ws("", "siblings"), 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(tree.root)).alias("verified"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op5_repeated_passages, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction)}
+    return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op5_repeated_passages, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction,
+                                    op11_centroids, op12_merkle)}
