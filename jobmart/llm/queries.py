@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import ann, centroids, chat, html, merkle, mixing, packing, pii, quality, repeats, simhash, warc
+from jobmart.llm import ann, centroids, chat, html, merkle, mixing, packing, pii, quality, repeats, simhash, warc, zstd_quality
 from jobmart.llm.common import read, staged
 
 
@@ -74,6 +74,19 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded") == F.lit(tree.root)).alias("verified"))
 
 
+#: Scores from here on are predicted to be of label 1.
+GOOD_FROM = 0.3
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document without id belongs to no fold: its held_out is false."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = zstd_quality.learn(docs, read(spark, sf_dir, "labels", "doc_id", "quality"), ~held_out)
+    scored = zstd_quality.score(docs, model).drop("text")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_packing, op2_pii, op3_chat_formatting, op4_warc_revisits, op5_repeated_passages, op6_quality_rules, op7_mixing, op8_simhash, op9_nearest, op10_html_extraction,
-                                    op11_centroids, op12_merkle)}
+                                    op11_centroids, op12_merkle, op13_quality_classifier)}
