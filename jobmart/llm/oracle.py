@@ -76,5 +76,64 @@ SELECT record_id, url_key, replace(replace(stamp, 'T', ' '), 'Z', '') AS capture
 FROM s"""
 
 
+def _centroids(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Plain rounds: every vector against every centroid, every time."""
+    floor = "(s - ((s % n) + n) % n) // n"  # of the exact quotient, also below zero
+    dist = "CAST(list_sum(list_transform(list_zip(v, cv), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT)"
+    steps = "".join(f"""
+a{i} AS MATERIALIZED (SELECT rid, min({{'d': {dist}, 'c': c}}) AS m FROM e, c{i} GROUP BY rid),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(nv, cv) AS cv FROM c{i} LEFT JOIN (
+  SELECT c, list({floor} ORDER BY j) AS nv FROM (SELECT m.c AS c, j, sum(v[j]) AS s, count(*) AS n FROM e JOIN a{i} USING (rid), range(1, {dim + 1}) t(j) GROUP BY ALL) GROUP BY c) USING (c)),"""
+                    for i in range(rounds))
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v AS cv FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM e) ORDER BY h NULLS LAST, v LIMIT {k}),{steps}
+f AS (SELECT rid, min({{'d': {dist}, 'c': c}}) AS m FROM e, c{rounds} GROUP BY rid)
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(cv, ',')) AS centroid_sha256
+FROM f JOIN e USING (rid) JOIN c{rounds} ON c{rounds}.c = m.c"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295]::BIGINT[], {codes}), lambda a, b: {bits}), 4294967295)"
+
+
+def _merkle() -> str:
+    def leaf(n_chars: str) -> str:
+        cols = ["doc_id", "source", "lang", n_chars, "text"]
+        parts = [f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols]
+        return f"sha256({' || '.join(parts)})"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name} AS (SELECT grp, 0 AS lvl, pos, h, n FROM {leaves}
+  UNION ALL SELECT grp, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY grp, lvl, pos // 2, n)"""
+
+    tampered = f"{_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, lang AS grp, {leaf('n_chars')} AS h,
+    CASE WHEN {tampered} THEN {leaf('(CAST(n_chars AS HUGEINT) + 1)')} END AS changed FROM documents),
+l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM d),{tree("t", "l")},
+sr AS MATERIALIZED (SELECT grp AS name, h AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+tl AS (SELECT '' AS grp, pos, subroot AS h, n FROM sr),{tree("u", "tl")},
+w AS MATERIALIZED (
+  SELECT rid, a.lvl AS step, (l.pos >> a.lvl) % 2 = 1 AS is_right, s.h AS sibling FROM l JOIN (SELECT DISTINCT grp, lvl, n FROM t) a ON a.grp IS NOT DISTINCT FROM l.grp AND a.n > 1
+    LEFT JOIN t s ON s.grp IS NOT DISTINCT FROM l.grp AND s.lvl = a.lvl AND s.pos = xor(l.pos >> a.lvl, 1)
+  UNION ALL
+  SELECT rid, a.lvl + (SELECT max(lvl) FROM t x WHERE x.grp IS NOT DISTINCT FROM l.grp), (sr.pos >> a.lvl) % 2 = 1, s.h FROM l JOIN sr ON sr.name IS NOT DISTINCT FROM l.grp
+    JOIN (SELECT DISTINCT lvl, n FROM u) a ON a.n > 1 LEFT JOIN u s ON s.lvl = a.lvl AND s.pos = xor(sr.pos >> a.lvl, 1)),
+f AS (SELECT rid, 0 AS step, coalesce(changed, h) AS h FROM l
+  UNION ALL SELECT f.rid, f.step + 1, sha256(CASE WHEN is_right THEN coalesce(sibling, '') || f.h ELSE f.h || coalesce(sibling, '') END) FROM f JOIN w USING (rid, step)),
+e AS (SELECT rid, arg_max(h, step) AS folded_root FROM f GROUP BY rid),
+p AS (SELECT rid, string_agg(sibling, '' ORDER BY step) AS proof FROM w WHERE sibling IS NOT NULL GROUP BY rid)
+SELECT doc_id, l.h AS leaf, subroot, r.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = r.h AS verified
+FROM l JOIN sr ON sr.name IS NOT DISTINCT FROM l.grp JOIN e USING (rid) LEFT JOIN p USING (rid), (SELECT h FROM u WHERE n = 1) r"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_revisits": _warc(), "op6_quality_rules": _quality(), "op7_mixing": _mixing()}
+    return {"op4_warc_revisits": _warc(), "op6_quality_rules": _quality(), "op7_mixing": _mixing(),
+            "op11_centroids": _centroids(), "op12_merkle": _merkle()}
