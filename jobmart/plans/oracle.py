@@ -54,7 +54,7 @@ def postings_sql(run: str = RUN) -> str:
 SELECT
   CASE WHEN o_orderkey % 5 = 0 THEN 'jsearch' ELSE 'adzuna' END AS source,
   CAST(o_orderkey AS VARCHAR) AS job_id,
-  {_case_mod('o_orderkey', 9, A.TITLES)} AS title,
+  {_case_mod('o_orderkey', len(A.TITLES), A.TITLES)} AS title,
   {_case_mod('o_orderkey', 7, A.DESCRIPTIONS)} AS description,
   {_case_mod('o_custkey', 7, A.COMPANIES, 'c_name')} AS company,
   n_name AS city,
@@ -483,7 +483,7 @@ SELECT *, {seniority_sql('title')} AS seniority, {remote_sql('title', 'descripti
   SELECT job_id, city, role AS state_code, run_date, min(run_date) OVER (PARTITION BY job_id) AS first_seen,
          CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(12,2)) END AS salary_min,
          CASE WHEN event_id % 7 <> 0 THEN CAST(CAST(value AS DECIMAL(12,2)) * 2 AS DECIMAL(12,2)) END AS salary_max,
-         {_case_mod('CAST(job_id AS BIGINT)', 9, A.TITLES)} AS title, {_case_mod('CAST(job_id AS BIGINT)', 7, A.DESCRIPTIONS)} AS description
+         {_case_mod('CAST(job_id AS BIGINT)', len(A.TITLES), A.TITLES)} AS title, {_case_mod('CAST(job_id AS BIGINT)', 7, A.DESCRIPTIONS)} AS description
   FROM (SELECT *, row_number() OVER (PARTITION BY job_id, run_date ORDER BY ts, event_id) AS rn FROM e) x WHERE rn = 1) y"""
 
 

@@ -21,9 +21,24 @@ from jobmart import constants as K
 from jobmart.functions import text as T
 from jobmart.sources.tables import checked_broadcast, table
 
-# Fixture title / description / company lists, indexed by key modulo length: one title per classifier branch.
-TITLES = ("Claims Examiner I", "Payroll Clerk II", "Sr. Surveyor", "Senior Geologist", "pricing lead",
-          "associate art director", "Junior Botanist", "Depot Manager", "Archive Assistant")
+
+def keyword_titles(words: tuple[str, ...] = ("bridge", "inspector")) -> tuple[str, ...]:
+    """Fixture titles, made from the title classifier's keywords: one per keyword, and one without any.
+
+    Titles take turns in where the keyword stands (first, between the words, last, grown into a word) and in case.
+    """
+    tags = ("", *K.SENIOR_TITLE_TAGS, *K.MID_TITLE_TAGS, *K.JUNIOR_TITLE_TAGS)
+    cases = (str.title, str.lower, str.upper, str.capitalize, str.swapcase)
+    out = []
+    for i, tag in enumerate(tags):
+        place = i % 4
+        parts = [*words[:place], tag, *words[place:]] if place < 3 else [words[0], words[1] + tag]
+        out.append(cases[i % len(cases)](" ".join(p for p in parts if p)))
+    return tuple(out)
+
+
+# Fixture lists, indexed by key modulo length.
+TITLES = keyword_titles()
 DESCRIPTIONS = ("Fully remote role, 3-5 years experience", "At least 7 years required",
                 "Internal tools team, part time", "Minimum of 4 years. Contract position",
                 "Work from home, 2+ yrs", "", "3 to 5 years, bachelor degree")
