@@ -9,15 +9,17 @@ Semantics (one batch = the postings landed for ``run_date``):
 
 A multi-day batch is folded exactly as if the days were applied one after
 another, so backfills and replays are one join instead of a loop of joins.
-Every per-key reduction is an aggregate with partial (map-side) combine —
-``min_by`` / ``max_by`` over an ordering struct — so a job id carrying a third
-of all sightings is collapsed per task before the shuffle; no window holds a
-whole key.
+
+Winners before payloads: which arrival wins is decided on fixed-width columns alone (key, day, arrival number) by
+hash aggregates with a partial step, so a job id carrying a third of all sightings is collapsed per task before the
+shuffle and no payload is sorted or buffered; the winners' payloads are then fetched by one join. Keys are not null.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["source", "job_id"]
@@ -29,25 +31,55 @@ def empty_target(spark) -> DataFrame:
                                      "times_seen int, payload string")
 
 
-def _arrival(order: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+def _micros(col: str, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.unix_micros(col)
+    # A time without zone, counted without the session's zone.
+    minutes = F.unix_date(F.col(col).cast("date")).cast("bigint") * 1440 + F.hour(col) * 60 + F.minute(col)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), F.col(col)) * 1_000_000).cast("bigint")
+
+
+def arrival(df: DataFrame, order: list[str]) -> Column:
+    """The order columns as one value to compare.
+
+    (timestamp, bigint) becomes a number, which a hash aggregate can hold, and one column (not null) stays itself;
+    anything else becomes a struct, which makes the aggregate sort (its rows still are narrow). Nulls come first.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    kinds = [df.schema[c].dataType.typeName() for c in order]
+    if len(kinds) != 2 or kinds[0] not in ("timestamp", "timestamp_ntz") or kinds[1] != "long":
+        return F.struct(*[F.col(c) for c in order])
+    whole = lambda c, none: F.coalesce(c, F.lit(none)).cast("decimal(20,0)")
+    micros, number = whole(_micros(order[0], kinds[0]), -(2 ** 62)), whole(F.col(order[1]), -(2 ** 63))
+    return micros * F.lit(Decimal(2 ** 64)) + (number + F.lit(Decimal(2 ** 63)))
+
+
+def fetch(rows: DataFrame, winners: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """The winners with the other columns of their rows; of rows that agree in all of ``on``, one."""
+    first = F.row_number().over(Window.partitionBy(*on[:-1]).orderBy(on[-1]))
+    return winners.join(rows, on, how).withColumn("_n", first).where("_n = 1").drop("_n")
+
+
+def _per_key(batch: DataFrame, keys: list[str], order: list[str], cols: list[str], pick) -> DataFrame:
+    rows = batch.select(*keys, arrival(batch, order).alias("_a"), *[c for c in cols if c not in keys])
+    winners = rows.groupBy(*keys).agg(pick("_a").alias("_a"))
+    return fetch(rows, winners, [*keys, "_a"]).select(*keys, *[c for c in cols if c not in keys])
 
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    """WIN-4 / SNK-3 batch side: the earliest arrival per key (partial-aggregated)."""
-    rec = F.min_by(F.struct(*[F.col(c) for c in cols]), _arrival(order)).alias("_r")
-    return batch.groupBy(*keys).agg(rec).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    """WIN-4 / SNK-3 batch side: the earliest arrival per key."""
+    return _per_key(batch, keys, order, cols, F.min)
 
 
 def last_per_key(batch: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    rec = F.max_by(F.struct(*[F.col(c) for c in cols]), _arrival(order)).alias("_r")
-    return batch.groupBy(*keys).agg(rec).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    return _per_key(batch, keys, order, cols, F.max)
 
 
-def _day_records(batch: DataFrame, order: list[str], last_wins: bool) -> DataFrame:
-    """One row per (key, run_date): the winning payload of that day."""
-    pick = last_per_key if last_wins else first_per_key
-    return pick(batch, KEY + ["run_date"], order, ["payload"])
+def _day_winners(batch: DataFrame, order: list[str], last_wins: bool) -> tuple[DataFrame, DataFrame]:
+    """The batch with its arrival numbers, and one narrow row per (key, run_date): the winning arrival."""
+    rows = batch.select(*KEY, "run_date", arrival(batch, order).alias("_a"), "payload")
+    return rows, rows.groupBy(*KEY, "run_date").agg((F.max if last_wins else F.min)("_a").alias("_a"))
 
 
 def fold_sightings(sightings: DataFrame, order: list[str] = ("ts", "event_id"), last_wins: bool = False) -> DataFrame:
@@ -55,13 +87,15 @@ def fold_sightings(sightings: DataFrame, order: list[str] = ("ts", "event_id"),
 
     Equals applying :func:`upsert_sightings` day by day to an empty table.
     """
-    days = _day_records(sightings, list(order), last_wins)
-    return days.groupBy(*KEY).agg(
+    rows, days = _day_winners(sightings, list(order), last_wins)
+    table = days.groupBy(*KEY).agg(
         F.min("run_date").alias("first_seen"),
         F.max("run_date").alias("last_seen"),
         F.count("*").cast("int").alias("times_seen"),
-        F.max_by("payload", "run_date").alias("payload"),
-    ).select(*TARGET_COLS)
+        F.max_by("_a", "run_date").alias("_a"),
+    )
+    rows = rows.withColumnRenamed("run_date", "last_seen")
+    return fetch(rows, table, [*KEY, "last_seen", "_a"]).select(*TARGET_COLS)
 
 
 def upsert_sightings(target: DataFrame, batch: DataFrame, order: list[str] = ("ts", "event_id"),
@@ -76,31 +110,34 @@ def upsert_sightings(target: DataFrame, batch: DataFrame, order: list[str] = ("t
     last arrival of the key's latest batch day, even when that day is not newer
     (same-day re-pull), and the day counters still move only for newer days.
     """
-    days = _day_records(batch, list(order), refresh_payload)
+    rows, days = _day_winners(batch, list(order), refresh_payload)
     t_last = target.select(*KEY, F.col("last_seen").alias("_t_last"))
     # Only days newer than what the table holds count as sightings.
     d = days.join(t_last, KEY, "left")
     newer = F.col("_t_last").isNull() | (F.col("run_date") > F.col("_t_last"))
+    # The day whose winner gives the payload: the last newer one, or with refresh the last one.
+    day = F.col("run_date") if refresh_payload else F.when(newer, F.col("run_date"))
     per_key = d.groupBy(*KEY).agg(
         F.min(F.when(newer, F.col("run_date"))).alias("_b_first"),
         F.max(F.when(newer, F.col("run_date"))).alias("_b_last"),
         F.count_if(newer).cast("int").alias("_b_days"),
-        F.max_by(F.when(newer, F.col("payload")), F.when(newer, F.col("run_date"))).alias("_b_payload_new"),
-        F.max_by("payload", "run_date").alias("_b_payload_any"),
+        F.max(day).alias("run_date"),
+        F.max_by("_a", day).alias("_a"),
     )
-    m = target.join(per_key, KEY, "full")
-    advanced = F.col("_b_days") > 0
-    exists = F.col("first_seen").isNotNull()
-    payload_new = F.col("_b_payload_any") if refresh_payload else F.col("_b_payload_new")
+    won = fetch(rows, per_key.where(F.col("run_date").isNotNull()), [*KEY, "run_date", "_a"])
+    won = won.drop("run_date", "_a").withColumnRenamed("payload", "_b_payload")
+    m = target.join(won, KEY, "full")
+    advanced = F.coalesce(F.col("_b_days") > 0, F.lit(False))
+    fetched = F.col("_b_days").isNotNull()
     return m.select(
         *KEY,
         F.coalesce(F.col("first_seen"), F.col("_b_first")).alias("first_seen"),
         F.when(advanced, F.col("_b_last")).otherwise(F.col("last_seen")).alias("last_seen"),
         (F.coalesce(F.col("times_seen"), F.lit(0)) + F.coalesce(F.col("_b_days"), F.lit(0))).cast("int").alias("times_seen"),
-        F.when(advanced | (F.lit(refresh_payload) & F.col("_b_payload_any").isNotNull()), payload_new)
+        F.when(advanced | (fetched & F.col("_b_payload").isNotNull()), F.col("_b_payload"))
         .otherwise(F.col("payload")).alias("payload"),
-        F.coalesce(advanced, F.lit(False)).alias("changed"),
-    ).where(exists | advanced)
+        advanced.alias("changed"),
+    )
 
 
 def seen_on(target: DataFrame, source: str, run_date) -> DataFrame:

@@ -71,17 +71,28 @@ def _missing(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def missing_text(col: str) -> Column:
+    """FLT-4: null or empty."""
+    return F.coalesce(_missing(F.col(col)), F.lit(True))
+
+
+def payload_descriptions(raw: DataFrame) -> DataFrame:
+    """JSN-4: KEY and the description of each payload as ``value`` ('' for none, NULL for a JSON null)."""
+    v = raw.select(*KEY, F.try_parse_json("payload").alias("_v"))
+    value = F.when(F.col("_v").isNull(), F.lit("")).when(
+        F.is_variant_null(F.expr("variant_get(_v, '$.description')")), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.try_variant_get("_v", "$.description", "string"), F.lit("")))
+    return v.select(*KEY, value.alias("value"))
+
+
 def description_backfill(silver: DataFrame, raw: DataFrame, source: str = "adzuna") -> tuple[DataFrame, DataFrame]:
     """PIP-8: fill missing descriptions from the bronze payload.
 
     JOIN-5 (inner join silver ⋈ bronze) + FLT-4 + JSN-4; returns (new silver,
     one-row report with the before/after counts of AGG-13 / DQ-4).
     """
-    v = raw.select(*KEY, F.try_parse_json("payload").alias("_v"))
-    desc = F.when(F.col("_v").isNull(), F.lit("")).when(
-        F.is_variant_null(F.expr("variant_get(_v, '$.description')")), F.lit(None).cast("string")).otherwise(
-        F.coalesce(F.try_variant_get("_v", "$.description", "string"), F.lit("")))
-    j = silver.join(v.select(*KEY, desc.alias("_new"), F.lit(True).alias("_raw")), KEY, "left")
+    found = payload_descriptions(raw).select(*KEY, F.col("value").alias("_new"), F.lit(True).alias("_raw"))
+    j = silver.join(found, KEY, "left")
     own = F.col("source") == source
     hit = own & _missing(F.col("description")) & F.coalesce("_raw", F.lit(False))
     after = F.when(hit, F.col("_new")).otherwise(F.col("description"))

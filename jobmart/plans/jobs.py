@@ -7,22 +7,27 @@ a re-runnable function of (inputs, run_date).
 Bronze and silver are *log + snapshot* tables, so a day never rewrites them:
 
 * bronze: every ingest batch appends its page records to ``bronze_log`` (one
-  partition per batch, replay = overwrite of that partition only). The current
-  lifecycle table is ``upsert_sightings(snapshot, log after watermark)`` — the
+  partition per stream and batch, replay = overwrite of that partition only). The
+  current lifecycle table is ``upsert_sightings(snapshot, log after watermark)`` — the
   same exact fold the daily upsert performs — evaluated on read, or only for
   the keys a job touches;
-* silver: each enrichment appends the rows it (re)built to ``silver_log``;
-  current silver is the snapshot upserted with the newest row per key, and
-  ``is_active`` is evaluated for the requested run date on read (no daily
+* silver: each enrichment or backfill appends the rows it (re)built to ``silver_log``,
+  as a stream of its own; current silver is the snapshot upserted with the newest row
+  per key, and ``is_active`` is evaluated for the requested run date on read (no daily
   bulk flag rewrite);
 * ``compact_bronze`` / ``compact_silver`` fold the log into a new bucketed
   snapshot version now and then (the only full rewrite, amortised).
+
+A watermark names the last batch of every stream, and is always read before the table
+it belongs to: what lands in between is read again, never skipped.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,13 +40,14 @@ from jobmart.sources.tables import write_table
 KEY = lifecycle.KEY
 # Pulls run one after another: order by when they ran (if landed), then city and role.
 PULL_ORDER = ["pulled_at", "city", "role", "page", "position"]
-LOG_ORDER = ["batch_id", *PULL_ORDER]
+# The log numbers a batch's records in pull order; batches follow each other by when they were first ingested.
+LOG_ORDER = ["arrived_at", "arrival"]
 
 BRONZE_SCHEMA = "source string, job_id string, first_seen date, last_seen date, times_seen int, payload string"
 BRONZE_LOG_SCHEMA = ("source string, job_id string, run_date date, payload string, pulled_at timestamp, "
-                     "city string, role string, page int, position int")
-CALLS_LOG_SCHEMA = ("run_date date, city string, role string, pages_fetched bigint, "
-                    "api_count bigint, api_mean_salary double, jobs_retrieved bigint")
+                     "city string, role string, page int, position int, arrived_at timestamp, arrival bigint")
+CALLS_LOG_SCHEMA = ("run_date date, city string, role string, pages_fetched bigint, api_count bigint, "
+                    "api_mean_salary double, jobs_retrieved bigint, arrived_at timestamp")
 PAGE_REJECT_SCHEMA = ("run_date date, city string, role string, page int, position int, payload string, "
                       "reject_reason string")
 SILVER_ROW_SCHEMA = (
@@ -52,6 +58,9 @@ SILVER_ROW_SCHEMA = (
     "is_remote boolean, industry string, job_type string, yoe_min int, education string, "
     "processed_at timestamp, updated_at timestamp")
 SILVER_COLS = [c.split()[0] for c in SILVER_ROW_SCHEMA.split(", ")]
+# The columns that backfills correct.
+PATCHED = ["description", "seniority"]
+PATCH_SCHEMA = "source string, job_id string, column_name string, value string, base_at timestamp, made_at timestamp"
 # What the gold tables read of a silver row (is_active is evaluated for the run date).
 GOLD_COLS = ["source", "job_id", "city", "state_code", "first_seen", "last_seen", "salary_min", "salary_max",
              "category_label", "seniority", "is_remote", "job_type"]
@@ -72,41 +81,60 @@ def _buckets(spark: SparkSession) -> tuple[str, int]:
     return "job_id", int(spark.conf.get("jobmart.buckets", "16"))
 
 
-def _watermark(t: VersionedTable) -> int:
-    return int(t.meta() or -1)
+def _watermark(t: VersionedTable) -> dict[str, int]:
+    """The last batch of every stream that the current version covers."""
+    return json.loads(t.meta() or "{}")
+
+
+def _run_name(job: str) -> str:
+    """A stream of its own for one run of a job."""
+    return f"{job}-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
 
 
 # --- bronze --------------------------------------------------------------------------------
 
 def bronze_snapshot(spark: SparkSession, root: str) -> VersionedTable:
-    """The compacted lifecycle table, bucketed by job_id (``jobmart.buckets``; ~4096 for 100 TB)."""
-    return VersionedTable(spark, os.path.join(root, "bronze_snapshot"), BRONZE_SCHEMA, bucket_by=_buckets(spark))
+    """The compacted lifecycle table, bucketed by job_id (``jobmart.buckets``; ~4096 for 100 TB) and partitioned
+    by the month a posting was first seen."""
+    return VersionedTable(spark, os.path.join(root, "bronze_snapshot"), BRONZE_SCHEMA, bucket_by=_buckets(spark),
+                          partition=("first_month", "date_format(first_seen, 'yyyy-MM')"))
 
 
 def bronze_log(spark: SparkSession, root: str) -> LogTable:
     return LogTable(spark, os.path.join(root, "bronze_log"), BRONZE_LOG_SCHEMA)
 
 
+def only_months_of(base: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``keys``, read from the months those postings were first seen in and from no other.
+
+    The months come from a scan of the keys alone, the small columns of the table; one row a month comes to the
+    driver, and the scan of the payloads prunes all other partitions.
+    """
+    months = base.join(keys, KEY, "left_semi").select("first_month").distinct().collect()
+    return base.where(F.col("first_month").isin([r[0] for r in months])).join(keys, KEY, "left_semi")
+
+
 def bronze_current(spark: SparkSession, root: str, keys: DataFrame | None = None,
-                   exclude_batch: int | None = None) -> DataFrame:
+                   exclude: tuple[str, int] | None = None) -> DataFrame:
     """bronze.raw_jobs as of now: snapshot + the log after its watermark, folded exactly.
 
     ``keys`` restricts the work to some job keys (semi-joins on both sides), which is
     how a daily job reads the state of just the postings it touches.
     """
     snap = bronze_snapshot(spark, root)
-    base, log = snap.read(), bronze_log(spark, root).read(after=_watermark(snap), exclude=exclude_batch)
+    seen = _watermark(snap)  # before the version: one that is committed meanwhile only repeats log rows
+    base, log = snap.read(), bronze_log(spark, root).read(after=seen, exclude=exclude)
     if keys is not None:
-        base, log = base.join(keys, KEY, "left_semi"), log.join(keys, KEY, "left_semi")
+        base, log = only_months_of(base, keys), log.join(keys, KEY, "left_semi")
     return lifecycle.upsert_sightings(base, log, LOG_ORDER).drop("changed")
 
 
 def compact_bronze(spark: SparkSession, root: str) -> DataFrame | None:
-    """Fold the log into a new snapshot version (the watermark moves to the last batch)."""
-    last = bronze_log(spark, root).max_batch()
-    if last is None:
+    """Fold the log into a new snapshot version (the watermark moves to the streams' last batches)."""
+    ends = bronze_log(spark, root).ends()
+    if not ends:
         return None
-    return bronze_snapshot(spark, root).write(bronze_current(spark, root), meta=str(last))
+    return bronze_snapshot(spark, root).write(bronze_current(spark, root), meta=json.dumps(ends))
 
 
 def calls_log_table(spark: SparkSession, root: str) -> LogTable:
@@ -128,24 +156,35 @@ def credited_pulls(batch: DataFrame, target: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("jobs_retrieved")))
 
 
-def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: int) -> dict:
+def _numbered(batch: DataFrame) -> DataFrame:
+    """``arrival``: the position of a record in its batch, in pull order."""
+    return (batch.repartitionByRange(*PULL_ORDER).sortWithinPartitions(*PULL_ORDER, "payload")
+            .withColumn("arrival", F.monotonically_increasing_id()))
+
+
+def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: int, stream: str = "manual") -> dict:
     """PIP-1: landed pages -> bronze sightings log (SNK-4) + pull audit (SNK-6).
 
-    Every good landed page is kept, in whichever batch it comes; records without an id
-    are set aside by name. The writes are the batch's own partitions (log, audit,
-    rejects), never a table. Replay-safe: the audit rows of the batch (merged with
-    ``greatest``) are written before the log partition; the pre-state excludes this
-    batch, and a replay after the log write finds nothing new and keeps the audit.
+    A batch is known by its stream and its number there: two streams, or a stream that starts
+    over under a new name, never write the same partition. Every good landed page is kept, in
+    whichever batch it comes; records without an id are set aside by name. The writes are the
+    batch's own partitions (log, audit, rejects), never a table. Replay-safe: the audit rows of
+    the batch (merged with ``greatest``) are written before the log partition; the pre-state
+    excludes this batch, and a replay after the log write finds nothing new and keeps the audit.
     """
-    log = calls_log_table(spark, root)
+    log, blog = calls_log_table(spark, root), bronze_log(spark, root)
+    mine = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+    # A replay keeps the time of the first run: batches stay in the order in which they came.
+    first_run = blog.read().where(mine).agg(F.min(F.unix_micros("arrived_at"))).first()[0]
+    stamp = F.timestamp_micros(F.lit(first_run if first_run is not None else time.time_ns() // 1000))
     # Parsed once: the pre-state, the credits, the summary and the log all read this table.
     every = write_table(pages.page_records(landed), "landed_records")
     recs = every.where(F.col("job_id").isNotNull())
     bad = every.where(F.col("job_id").isNull()).withColumn("reject_reason", F.lit("null_id"))
-    page_rejects(spark, root).write_batch(bad.select(*[c.split()[0] for c in PAGE_REJECT_SCHEMA.split(", ")]), batch_id)
+    page_rejects(spark, root).write_batch(bad.select(*[c.split()[0] for c in PAGE_REJECT_SCHEMA.split(", ")]), stream, batch_id)
     batch = recs.select(*KEY, "run_date", "payload", *PULL_ORDER)
-    keys = batch.select(*KEY).distinct()
-    target = bronze_current(spark, root, keys=keys, exclude_batch=batch_id)
+    keys = write_table(batch.select(*KEY).distinct(), "batch_keys")
+    target = bronze_current(spark, root, keys=keys, exclude=(stream, batch_id))
 
     summary = recs.groupBy("run_date", "city", "role").agg(
         F.max("pages_fetched").cast("bigint").alias("pages_fetched"), F.max("api_count").alias("api_count"),
@@ -153,14 +192,15 @@ def ingest_pages(spark: SparkSession, landed: DataFrame, root: str, batch_id: in
     credit = write_table(credited_pulls(batch, target), "pull_credit")
     audit = summary.join(credit, ["run_date", "city", "role"]).where(F.col("jobs_retrieved") > 0)
     key = ["run_date", "city", "role"]
-    old = log.read().where(F.col("batch_id") == batch_id).drop("batch_id")  # a replay's earlier rows
+    old = log.read().where(mine).drop("stream", "batch_id", "arrived_at")  # a replay's earlier rows
     merged = (old.join(audit.select(*key, F.col("jobs_retrieved").alias("_new"), *[
         F.col(c).alias(f"_n_{c}") for c in ("pages_fetched", "api_count", "api_mean_salary")]), key, "full")
         .select(*key,
                 *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) for c in ("pages_fetched", "api_count", "api_mean_salary")],
-                F.greatest(F.coalesce("jobs_retrieved", F.lit(0)), F.coalesce("_new", F.lit(0))).alias("jobs_retrieved")))
-    log.write_batch(write_table(merged, "pull_audit"), batch_id)
-    bronze_log(spark, root).write_batch(batch, batch_id)
+                F.greatest(F.coalesce("jobs_retrieved", F.lit(0)), F.coalesce("_new", F.lit(0))).alias("jobs_retrieved"),
+                stamp.alias("arrived_at")))
+    log.write_batch(write_table(merged, "pull_audit"), stream, batch_id)
+    blog.write_batch(_numbered(batch).withColumn("arrived_at", stamp), stream, batch_id)
     n_new = credit.agg(F.coalesce(F.sum("jobs_retrieved"), F.lit(0))).first()[0]
     return {"n_new": n_new}
 
@@ -172,7 +212,7 @@ def job_calls(spark: SparkSession, root: str) -> DataFrame:
     page-1 values are those of the newest batch that has page 1.
     """
     log = calls_log_table(spark, root).read()
-    newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("batch_id"))).alias(c)
+    newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("arrived_at"))).alias(c)
     return log.groupBy(*calls.CALL_KEY).agg(
         F.max("pages_fetched").alias("pages_fetched"), newest("api_count"), newest("api_mean_salary"),
         F.sum("jobs_retrieved").alias("jobs_retrieved"))
@@ -185,34 +225,57 @@ def silver_snapshot(spark: SparkSession, root: str) -> VersionedTable:
 
 
 def silver_log(spark: SparkSession, root: str) -> LogTable:
-    return LogTable(spark, os.path.join(root, "silver_log"), SILVER_ROW_SCHEMA, part_col="seq")
+    return LogTable(spark, os.path.join(root, "silver_log"), SILVER_ROW_SCHEMA)
+
+
+def silver_patches(spark: SparkSession, root: str) -> LogTable:
+    """Corrections of single columns; ``base_at`` is the ``updated_at`` of the row that a correction was made from."""
+    return LogTable(spark, os.path.join(root, "silver_patches"), PATCH_SCHEMA)
 
 
-def silver_current(spark: SparkSession, root: str, run_date=None) -> DataFrame:
-    """silver.jobs_v2 as of now: the snapshot upserted with the newest logged row per key.
+def _newest_rows(log: DataFrame) -> DataFrame:
+    """The newest logged row per key (by last_seen, then updated_at), with the first time the key was processed."""
+    log = log.withColumns({"_seen": F.col("last_seen").cast("timestamp"), "_at": F.unix_micros("updated_at")})
+    rows = log.select(*SILVER_COLS, lifecycle.arrival(log, ["_seen", "_at"]).alias("_a"))
+    winners = rows.groupBy(*KEY).agg(F.min("processed_at").alias("_first"), F.max("_a").alias("_a"))
+    return (lifecycle.fetch(rows, winners, [*KEY, "_a"]).withColumn("processed_at", F.col("_first"))
+            .select(*SILVER_COLS))
 
-    With ``run_date``, ``is_active`` is evaluated for that date (SNK-11 on read).
+
+def _patched(rows: DataFrame, patches: DataFrame) -> DataFrame:
+    """Each column's newest correction, unless the row was enriched again after the one that it was made from."""
+    aggs = [F.max_by(F.struct("value", "base_at", "made_at"), F.when(F.col("column_name") == c, F.col("made_at"))).alias(f"_p_{c}") for c in PATCHED]
+    j = rows.join(patches.groupBy(*KEY).agg(*aggs), KEY, "left")
+    applies = {c: F.coalesce(F.col(f"_p_{c}.base_at") >= F.col("updated_at"), F.lit(False)) for c in PATCHED}
+    made = [F.when(applies[c], F.col(f"_p_{c}.made_at")) for c in PATCHED]
+    new = {c: F.when(applies[c], F.col(f"_p_{c}.value")).otherwise(F.col(c)) for c in PATCHED}
+    return j.withColumns({**new, "updated_at": F.greatest("updated_at", *made)}).select(*rows.columns)
+
+
+def silver_current(spark: SparkSession, root: str, run_date=None, keys: DataFrame | None = None) -> DataFrame:
+    """silver.jobs_v2 as of now: the snapshot upserted with the newest logged row per key, then corrected.
+
+    With ``run_date``, ``is_active`` is evaluated for that date (SNK-11 on read). ``keys`` restricts the
+    work to some job keys, below the fold.
     """
     snap = silver_snapshot(spark, root)
-    log = silver_log(spark, root).read(after=_watermark(snap)).drop("seq")
-    rest = [c for c in SILVER_COLS if c not in KEY and c != "processed_at"]
-    # newest row per key (by last_seen, then updated_at) and the first time the key was processed
-    newest = log.groupBy(*KEY).agg(
-        F.max_by(F.struct(*rest), F.struct("last_seen", "updated_at")).alias("_r"),
-        F.min("processed_at").alias("processed_at")).select(*KEY, "_r.*", "processed_at")
-    cur = silver.upsert_silver(snap.read(), newest.select(*SILVER_COLS), keep=("processed_at",))
+    seen = _watermark(snap)
+    log, patches = silver_log(spark, root).read(after=seen), silver_patches(spark, root).read(after=seen)
+    base = snap.read()
+    if keys is not None:
+        base, log, patches = (t.join(keys, KEY, "left_semi") for t in (base, log, patches))
+    cur = _patched(silver.upsert_silver(base, _newest_rows(log), keep=("processed_at",)), patches)
     return silver.mark_active(cur, run_date) if run_date is not None else cur
 
 
-def compact_silver(spark: SparkSession, root: str, table: DataFrame | None = None) -> DataFrame:
-    """Fold the silver log (or write a rebuilt table, e.g. after a backfill) as a new snapshot."""
-    last = silver_log(spark, root).max_batch()
-    cur = table if table is not None else silver_current(spark, root)
-    return silver_snapshot(spark, root).write(cur.select(*SILVER_COLS), meta=str(last if last is not None else -1))
+def compact_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Fold the silver log and the corrections into a new snapshot."""
+    ends = {**_watermark(silver_snapshot(spark, root)), **silver_log(spark, root).ends(), **silver_patches(spark, root).ends()}
+    return silver_snapshot(spark, root).write(silver_current(spark, root).select(*SILVER_COLS), meta=json.dumps(ends))
 
 
 def _enriched_marker(spark: SparkSession, root: str) -> VersionedTable:
-    """The last bronze batch an enrichment has covered (kept as version metadata)."""
+    """The last bronze batch of every stream that an enrichment has covered (kept as version metadata)."""
     return VersionedTable(spark, os.path.join(root, "silver_enriched_upto"), "batch_id bigint")
 
 
@@ -220,30 +283,33 @@ def enrich(spark: SparkSession, root: str, run_date) -> dict:
     """PIP-2: bronze -> silver (work set, enrich, quarantine; rows appended to the silver log).
 
     Only postings that appeared in the bronze log since the last enrichment can be
-    new or advanced, so the folds and joins run for those keys alone. Rejected rows
+    new or advanced, so the folds and joins run for those keys alone: of bronze, the months
+    those postings were first seen in; of silver, the keys and days. Rejected rows
     are retried when they are seen again (the result is the same: enrichment is
     deterministic).
     """
     marker, blog = _enriched_marker(spark, root), bronze_log(spark, root)
-    last = blog.max_batch()
-    if last is None:
+    ends = blog.ends()
+    if not ends:
         return {"silver": silver_current(spark, root, run_date)}
-    keys = blog.read(after=int(marker.meta() or -1)).select(*KEY).distinct()
+    keys = write_table(blog.read(after=_watermark(marker)).select(*KEY).distinct(), "enrich_keys")
     raw = bronze_current(spark, root, keys=keys)
-    current = silver_current(spark, root).join(keys, KEY, "left_semi")
+    current = silver_current(spark, root, keys=keys).select(*KEY, "last_seen")
     # The day's work set, parsed and classified once; silver and the rejects both read it.
     enriched = write_table(silver.enrich_first_source(silver.work_set(raw, current), run_date), "enriched_work")
     good, bad = silver.split_valid(enriched)
-    seq = time.time_ns()
+    run = _run_name("enrich")
     now = F.current_timestamp()  # SNK-14: processed_at kept from the first run (on read), updated_at moves
-    silver_log(spark, root).write_batch(good.withColumns({"processed_at": now, "updated_at": now})
-                                        .select(*SILVER_COLS), seq)
-    LogTable(spark, os.path.join(root, "silver_rejects"), "source string, job_id string, reject_reason string",
-             part_col="seq").write_batch(bad, seq)
-    marker.write(spark.createDataFrame([], "batch_id bigint"), meta=str(last))  # after the log: a crash re-runs
+    silver_log(spark, root).write_batch(good.withColumns({"processed_at": now, "updated_at": now}).select(*SILVER_COLS), run)
+    silver_rejects(spark, root).write_batch(bad, run)
+    marker.write(spark.createDataFrame([], "batch_id bigint"), meta=json.dumps(ends))  # after the log: a crash re-runs
     return {"silver": silver_current(spark, root, run_date)}
 
 
+def silver_rejects(spark: SparkSession, root: str, name: str = "silver_rejects") -> LogTable:
+    return LogTable(spark, os.path.join(root, name), "source string, job_id string, reject_reason string")
+
+
 # --- gold ----------------------------------------------------------------------------------
 
 def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
@@ -328,24 +394,47 @@ def enrich_housing(spark: SparkSession, root: str, name: str, data_source: str,
 
 # --- maintenance ---------------------------------------------------------------------------
 
+def _patch(spark: SparkSession, root: str, column: str, values: DataFrame) -> None:
+    """Appends corrections (KEY, value, base_at); no earlier file is touched."""
+    rows = values.select(*KEY, F.lit(column).alias("column_name"), F.col("value").cast("string").alias("value"), "base_at",
+                         F.current_timestamp().alias("made_at"))
+    silver_patches(spark, root).write_batch(rows, _run_name(f"backfill-{column}"))
+
+
 def backfill_descriptions(spark: SparkSession, root: str) -> DataFrame:
-    """PIP-8 as a job: fill missing silver descriptions from bronze; returns the report row."""
+    """PIP-8 as a job: missing silver descriptions come from bronze, as corrections; returns the report row.
+
+    Bronze is read for the postings without a description only. An enrichment that runs meanwhile loses
+    nothing: silver is not rewritten, and a row it renews is newer than the correction.
+    """
     from jobmart.operators import maintenance
 
-    new, report = maintenance.description_backfill(silver_current(spark, root), bronze_current(spark, root))
-    report = spark.createDataFrame(report.collect(), report.schema)  # one row, taken before the rewrite
-    compact_silver(spark, root, new)
-    return report
+    own = silver_current(spark, root).where(F.col("source") == "adzuna")
+    lacks = maintenance.missing_text("description")
+    counts = own.agg(F.count_if(lacks).alias("lacking"), F.count_if(~lacks).alias("having")).first()
+    missing = write_table(own.where(lacks).select(*KEY, F.col("updated_at").alias("base_at")), "missing_descriptions")
+    found = maintenance.payload_descriptions(bronze_current(spark, root, keys=missing.select(*KEY)))
+    values = write_table(missing.join(found, KEY), "description_values")
+    _patch(spark, root, "description", values)
+    done = values.agg(F.count("*").alias("n"), F.count_if(~maintenance.missing_text("value")).alias("filled")).first()
+    return spark.createDataFrame([(counts["lacking"], done["n"], counts["having"] + done["filled"], counts["lacking"] - done["filled"])],
+                                 "jobs_needing_descriptions long, updated long, jobs_with_descriptions long, jobs_still_missing long")
 
 
 def backfill_seniority(spark: SparkSession, root: str, dry_run: bool = True) -> dict:
-    """PIP-7 as a job: matrix + sample always; the silver rewrite only when not a dry run."""
+    """PIP-7 as a job: matrix + sample always; the corrections of the changed rows only when not a dry run."""
     from jobmart.functions import text as T
     from jobmart.operators import maintenance
 
-    out = maintenance.backfill_seniority(silver_current(spark, root), T.title_seniority("title"), dry_run=dry_run)
+    cur = silver_current(spark, root)
+    out = maintenance.backfill_seniority(cur, T.title_seniority("title"))
     if not dry_run:
-        out["table"] = compact_silver(spark, root, out["table"])
+        # One reading of silver decides what the report says and what is corrected.
+        rows = write_table(cur.select(*KEY, "title", "seniority", "updated_at"), "seniority_rows")
+        out = maintenance.backfill_seniority(rows, T.title_seniority("title"))
+        changed = out["n_changes"].select(*KEY, F.col("new_seniority").alias("value"))
+        _patch(spark, root, "seniority", changed.join(rows.select(*KEY, F.col("updated_at").alias("base_at")), KEY))
+        out["table"] = silver_current(spark, root)
     return out
 
 
@@ -404,7 +493,6 @@ def enrich_v1(spark: SparkSession, root: str, source: str, run_date) -> DataFram
     table = read_rows(spark, path, SILVER_V1_SCHEMA)
     bronze = read_rows(spark, os.path.join(root, f"bronze_{source}_jobs"), V1_BRONZE_SCHEMA)
     good, bad = silver.split_valid(write_table(silver.v1_enrichment_batch(bronze, table, source, run_date), "v1_work"))
-    LogTable(spark, os.path.join(root, "silver_v1_rejects"), "source string, job_id string, reject_reason string",
-             part_col="seq").write_batch(bad, time.time_ns())
+    silver_rejects(spark, root, "silver_v1_rejects").write_batch(bad, _run_name("enrich_v1"))
     good.select(*table.columns).write.mode("append").partitionBy("source").parquet(path)
     return read_rows(spark, path, SILVER_V1_SCHEMA)

@@ -8,7 +8,9 @@ leaves the previous version current, and there is no moment without one.
 With ``bucket_by=(column, n)`` every version is written hash-bucketed and
 sorted by the key, and read back through a table declaring that bucket spec,
 so the daily keyed join reads the big table in place (``Bucketed: true``, no
-Exchange on its side) and only the small batch is shuffled.
+Exchange on its side) and only the small batch is shuffled. With
+``partition=(column, expression)`` a version also is partitioned by that column,
+so a reader that knows which of its values it needs reads no other files.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
@@ -28,14 +31,13 @@ def missing_path(e: AnalysisException) -> bool:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, schema: str, bucket_by: tuple[str, int] | None = None):
-        self.spark, self.root, self.schema, self.bucket_by = spark, root, schema, bucket_by
+    def __init__(self, spark: SparkSession, root: str, schema: str, bucket_by: tuple[str, int] | None = None,
+                 partition: tuple[str, str] | None = None):
+        self.spark, self.root, self.schema, self.bucket_by, self.partition = spark, root, schema, bucket_by, partition
         self._commits = os.path.join(root, "commits")
 
     def _pointer_row(self) -> tuple[str, str] | None:
         """(path, metadata) of the highest commit; every commit is one line in a directory of its own."""
-        from pyspark.sql import functions as F
-
         try:
             row = self.spark.read.text(os.path.join(self._commits, "c-*")).agg(F.max("value")).first()
         except AnalysisException as e:
@@ -63,14 +65,18 @@ class VersionedTable:
         name = "jobmart_v_" + hashlib.sha1(path.encode()).hexdigest()[:16]
         if not self.spark.catalog.tableExists(name):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (`{col}`) "
+            by = f"PARTITIONED BY (`{self.partition[0]}`) " if self.partition else ""
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet {by}CLUSTERED BY (`{col}`) "
                            f"SORTED BY (`{col}`) INTO {n} BUCKETS LOCATION '{path}'")
+            if self.partition:
+                self.spark.catalog.recoverPartitions(name)
         return self.spark.table(name)
 
     def read(self) -> DataFrame:
         path = self.current()
         if path is None:
-            return self.spark.createDataFrame([], self.schema)
+            empty = self.spark.createDataFrame([], self.schema)
+            return empty.withColumn(self.partition[0], F.expr(self.partition[1])) if self.partition else empty
         return self._load(path)
 
     def stage(self, df: DataFrame) -> str:
@@ -79,7 +85,8 @@ class VersionedTable:
         if self.bucket_by:
             col, n = self.bucket_by
             tmp = "jobmart_stage_" + uuid.uuid4().hex[:12]
-            df.write.bucketBy(n, col).sortBy(col).format("parquet").option("path", path).saveAsTable(tmp)
+            out = df.withColumn(self.partition[0], F.expr(self.partition[1])).write.partitionBy(self.partition[0]) if self.partition else df.write
+            out.bucketBy(n, col).sortBy(col).format("parquet").option("path", path).saveAsTable(tmp)
             self.spark.sql(f"DROP TABLE {tmp}")  # external table: only the catalog entry goes
         else:
             df.write.parquet(path)
@@ -105,41 +112,45 @@ class VersionedTable:
 
 
 class LogTable:
-    """Append-only parquet log, one directory partition per batch (``batch_id``).
+    """Append-only parquet log, one partition per batch: who wrote it (``stream``) and its number there (``batch_id``).
 
-    Writing a batch replaces only that batch's partition (dynamic partition
-    overwrite), so a replayed batch is idempotent and the write costs the size
-    of the batch, never the size of the table.
+    A stream numbers its own batches one after another; no two streams share a name, so none can overwrite another's
+    rows. Writing a batch replaces only that batch's partition (dynamic partition overwrite): a replayed batch is
+    idempotent, and the write costs the size of the batch. What a reader has covered is the last batch of every
+    stream (``ends``), so a stream that turns up later, with low numbers, is still read.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, part_col: str = "batch_id"):
-        self.spark, self.root, self.schema, self.part_col = spark, root, schema, part_col
-
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
+    def __init__(self, spark: SparkSession, root: str, schema: str):
+        self.spark, self.root, self.schema = spark, root, f"{schema}, stream string, batch_id bigint"
 
-        (df.withColumn(self.part_col, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.root))
-
-    def read(self, after: int | None = None, exclude: int | None = None) -> DataFrame:
-        from pyspark.sql import functions as F
+    def write_batch(self, df: DataFrame, stream: str, batch_id: int = 0) -> None:
+        (df.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch_id").parquet(self.root))
 
+    def read(self, after: dict[str, int] | None = None, exclude: tuple[str, int] | None = None) -> DataFrame:
+        """The log beyond ``after`` (partition pruning on both columns), without the batch ``exclude``."""
         try:
-            df = self.spark.read.schema(f"{self.schema}, {self.part_col} bigint").parquet(self.root)
+            df = self.spark.read.schema(self.schema).parquet(self.root)
         except AnalysisException as e:
             if not missing_path(e):
                 raise
-            return self.spark.createDataFrame([], f"{self.schema}, {self.part_col} bigint")
-        if after is not None:
-            df = df.where(F.col(self.part_col) > after)  # partition pruning
+            return self.spark.createDataFrame([], self.schema)
+        if after:
+            # One condition for each last number, not for each stream: most streams of a log have a single batch.
+            by_end: dict[int, list[str]] = {}
+            for stream, end in after.items():
+                by_end.setdefault(end, []).append(stream)
+            unread = ~F.col("stream").isin(list(after))
+            for end, streams in by_end.items():
+                unread = unread | (F.col("stream").isin(streams) & (F.col("batch_id") > end))
+            df = df.where(unread)
         if exclude is not None:
-            df = df.where(F.col(self.part_col) != exclude)
+            df = df.where((F.col("stream") != exclude[0]) | (F.col("batch_id") != exclude[1]))
         return df
 
-    def max_batch(self) -> int | None:
-        from pyspark.sql import functions as F
-
-        return self.read().agg(F.max(self.part_col)).first()[0]
+    def ends(self) -> dict[str, int]:
+        """The last batch of every stream; one row for each stream comes to the driver."""
+        return {r[0]: r[1] for r in self.read().groupBy("stream").agg(F.max("batch_id")).collect()}
 
 
 def append_rows(spark: SparkSession, root: str, rows: DataFrame, part_col: str) -> None:

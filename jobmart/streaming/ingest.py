@@ -7,10 +7,16 @@ and ``foreachBatch`` running the replay-safe :func:`jobmart.plans.jobs.ingest_pa
 
 The pages of a pull may land in any number of micro-batches: every good page is
 ingested with the batch it comes in, and the audit adds the batches of a pull up.
+
+A checkpoint numbers its micro-batches from 0, so their rows are kept under the id
+that Spark gives the checkpoint's query: a second checkpoint on the same tables, or a
+new one after the old was deleted, writes partitions of its own. Pages that it brings
+again are folded away like any repeated sighting.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +25,11 @@ from jobmart.plans import jobs
 from jobmart.sources.pages import LANDED_READ_SCHEMA, stream_landed_files
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: the same after a restart, new in a new checkpoint."""
+    return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
+
+
 def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | None = None,
                       available_now: bool = True, max_files_per_trigger: int | None = None,
                       layout: str = "log"):
@@ -41,7 +52,7 @@ def start_page_ingest(spark: SparkSession, landing_dir: str, root: str, checkpoi
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            jobs.ingest_pages(spark, batch, root, batch_id)
+            jobs.ingest_pages(spark, batch, root, batch_id, query_id(spark, checkpoint))
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -42,14 +42,14 @@ def test_stream_ingest_enrich_gold(spark, tmp_root):
     assert total_new == bronze.agg(F.sum("times_seen")).first()[0]
 
     # A later re-pull of the last day (a new batch) finds nothing new and adds no audit counts.
-    last_batch = jobs.bronze_log(spark, root).max_batch()
+    (stream, last_batch), = jobs.bronze_log(spark, root).ends().items()
     last = pages.read_landed(spark, os.path.join(landing, f"day={DAYS[-1]}"))
-    out = jobs.ingest_pages(spark, last, root, batch_id=last_batch + 1)
+    out = jobs.ingest_pages(spark, last, root, last_batch + 1, stream)
     assert out["n_new"] == 0
     assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == total_new
     # Replaying the stream's own last batch (same id, same files) is idempotent.
     if last_batch == 0:
-        jobs.ingest_pages(spark, pages.read_landed(spark, os.path.join(landing, "*")), root, batch_id=0)
+        jobs.ingest_pages(spark, pages.read_landed(spark, os.path.join(landing, "*")), root, 0, stream)
         assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == total_new
         assert sorted(map(tuple, jobs.bronze_current(spark, root).collect())) == sorted(map(tuple, bronze.collect()))
 
@@ -174,6 +174,20 @@ def test_daily_enrichment_needs_no_shuffle(spark, tmp_root):
     assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") >= 2
 
 
+def test_a_days_keys_are_read_from_their_months_only(spark, tmp_root):
+    root = os.path.join(tmp_root, "store")
+    raw = registry.bronze(spark, SF_SMALL)
+    jobs.bronze_snapshot(spark, root).write(raw)
+    snap = jobs.bronze_snapshot(spark, root).read()
+    assert snap.select("first_month").distinct().count() > 24
+    wanted = raw.where("date_format(first_seen, 'yyyy-MM') = '2001-06'").select("source", "job_id")
+    some = spark.createDataFrame(wanted.collect())
+    cut = jobs.only_months_of(snap, some)
+    assert len(cut.inputFiles()) < len(snap.inputFiles()) / 12 and all("first_month=2001-06" in f for f in cut.inputFiles())
+    assert sorted(map(tuple, jobs.bronze_current(spark, root, keys=some).collect())) == \
+        sorted(map(tuple, raw.join(some, ["source", "job_id"], "left_semi").select(*L.TARGET_COLS).collect()))
+
+
 def test_cli_daily_flow(spark, tmp_root):
     from jobmart import cli
 
@@ -233,7 +247,7 @@ def test_stream_in_several_micro_batches(spark, tmp_root):
     q = start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "ckpt"),
                           max_files_per_trigger=1)
     q.awaitTermination(600)
-    assert jobs.bronze_log(spark, root).max_batch() == len(DAYS) - 1  # three micro-batches
+    assert list(jobs.bronze_log(spark, root).ends().values()) == [len(DAYS) - 1]  # three micro-batches
     recs = pages.page_records(pages.read_landed(spark, os.path.join(landing, "*")))
     batch = recs.select("source", "job_id", "run_date", "payload", *jobs.PULL_ORDER)
     exp = L.upsert_sightings(L.empty_target(spark), batch, jobs.PULL_ORDER).drop("changed")
@@ -245,7 +259,7 @@ def test_stream_in_several_micro_batches(spark, tmp_root):
     before = sorted(map(tuple, got.collect()))
     start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "ckpt"),
                       max_files_per_trigger=1).awaitTermination(300)
-    assert jobs.bronze_log(spark, root).max_batch() == len(DAYS) - 1
+    assert list(jobs.bronze_log(spark, root).ends().values()) == [len(DAYS) - 1]
     assert sorted(map(tuple, jobs.bronze_current(spark, root).collect())) == before
 
 
@@ -279,3 +293,115 @@ def test_enrich_rerun_after_crash_before_marker(spark, tmp_root):
     marker.write(spark.createDataFrame([], "batch_id bigint"), meta=before_meta)  # roll the marker back
     s2 = sorted(map(tuple, jobs.enrich(spark, root, DAYS[-1])["silver"].select(*cols).collect()))
     assert s1 == s2 and len(s1) > 0
+
+
+def _pull(tmp_root, name, jobs_seen, day="2024-01-02", city="Chicago"):
+    """One landed page file (JSON lines) of the page log."""
+    import json
+
+    path = os.path.join(tmp_root, name)
+    os.makedirs(path)
+    body = json.dumps({"count": len(jobs_seen), "mean": 1.0, "results": [{"id": j, "title": "x"} for j in jobs_seen]})
+    with open(os.path.join(path, "page.json"), "w") as f:
+        f.write(json.dumps({"run_date": day, "city": city, "role": "r", "page": 1, "body": body}) + "\n")
+    return path
+
+
+def _sightings(spark, root):
+    return sorted((r.job_id, str(r.first_seen), str(r.last_seen), r.times_seen) for r in jobs.bronze_current(spark, root).collect())
+
+
+def test_two_checkpoints_on_one_root_lose_nothing(spark, tmp_root):
+    """Both streams number their batches from 0; neither overwrites the other's rows, before or after a compaction."""
+    root = os.path.join(tmp_root, "store")
+    first = _pull(tmp_root, "land1", ["1", "2"])
+    second = _pull(tmp_root, "land2", ["3"], city="Detroit")
+    start_page_ingest(spark, first, root, os.path.join(tmp_root, "c1")).awaitTermination(300)
+    jobs.compact_bronze(spark, root)  # the second stream's batch 0 comes after a watermark with a batch 0
+    start_page_ingest(spark, second, root, os.path.join(tmp_root, "c2")).awaitTermination(300)
+    day = "2024-01-02"
+    assert _sightings(spark, root) == [(j, day, day, 1) for j in "123"]
+    assert sorted(jobs.bronze_log(spark, root).ends().values()) == [0, 0]
+    assert jobs.job_calls(spark, root).agg(F.sum("jobs_retrieved")).first()[0] == 3
+    jobs.compact_bronze(spark, root)
+    assert _sightings(spark, root) == [(j, day, day, 1) for j in "123"]
+    # An enrichment covers both streams.
+    assert sorted(r.job_id for r in jobs.enrich(spark, root, day)["silver"].collect()) == ["1", "2", "3"]
+
+
+def test_deleted_checkpoint_loses_and_repeats_nothing(spark, tmp_root):
+    """A new checkpoint reads all pages again: same bronze, same audit, and later pages still come in."""
+    root, landing = os.path.join(tmp_root, "store"), os.path.join(tmp_root, "all")
+    _pull(landing, "d1", ["1", "2"])
+    _pull(landing, "d2", ["2", "3"], day="2024-01-03")
+    start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "c1"), max_files_per_trigger=1).awaitTermination(300)
+    before, audit = _sightings(spark, root), sorted(map(tuple, jobs.job_calls(spark, root).collect()))
+    assert before == [("1", "2024-01-02", "2024-01-02", 1), ("2", "2024-01-02", "2024-01-03", 2), ("3", "2024-01-03", "2024-01-03", 1)]
+    jobs.compact_bronze(spark, root)
+    start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "c2")).awaitTermination(300)
+    assert _sightings(spark, root) == before and sorted(map(tuple, jobs.job_calls(spark, root).collect())) == audit
+    _pull(landing, "d3", ["4"], day="2024-01-04")
+    start_page_ingest(spark, os.path.join(landing, "*"), root, os.path.join(tmp_root, "c2")).awaitTermination(300)
+    assert _sightings(spark, root) == [*before, ("4", "2024-01-04", "2024-01-04", 1)]
+
+
+def _files(path):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_backfills_are_appended_and_keep_concurrent_enrichments(spark, tmp_root, monkeypatch):
+    """An enrichment that ends while a backfill runs survives it; earlier files stay as they were."""
+    root, day, next_day = os.path.join(tmp_root, "store"), "2024-01-02", "2024-01-03"
+
+    def bring(ids, d, batch, text=None):
+        import json
+
+        recs = [{"id": i, "title": "Senior x", **({"description": text} if text else {})} for i in ids]
+        landed = spark.createDataFrame([(dt.date.fromisoformat(d), "Chicago", "r", 1, json.dumps({"count": 1, "mean": 1.0, "results": recs}))], pages.LANDED_SCHEMA)
+        jobs.ingest_pages(spark, landed, root, batch)
+        jobs.enrich(spark, root, d)
+
+    bring(["1", "2"], day, 0)
+    # Rows as an older enrichment left them: no description, another grade.
+    old = jobs.silver_current(spark, root).withColumn("seniority", F.lit("jr"))
+    jobs.silver_log(spark, root).write_batch(old.withColumn("updated_at", F.current_timestamp()).select(*jobs.SILVER_COLS), "older")
+    files = _files(root)
+    real = jobs._patch
+
+    def slow(spark_, root_, column, values):
+        bring(["3", "2"], next_day, 1, "fresh text")  # ends between the backfill's reading and its writing
+        real(spark_, root_, column, values)
+
+    monkeypatch.setattr(jobs, "_patch", slow)
+    jobs.backfill_seniority(spark, root, dry_run=False)
+    monkeypatch.setattr(jobs, "_patch", real)
+    got = {r.job_id: r for r in jobs.silver_current(spark, root).collect()}
+    assert sorted(got) == ["1", "2", "3"]
+    assert got["1"].seniority == "sr" and str(got["2"].last_seen) == next_day and got["2"].description == "fresh text"
+    assert got["3"].seniority == "sr"
+    assert files.items() <= _files(root).items()
+    # Corrections outlive a compaction, and a second backfill finds nothing to do.
+    rows = sorted(map(tuple, jobs.silver_current(spark, root).collect()))
+    jobs.compact_silver(spark, root)
+    assert sorted(map(tuple, jobs.silver_current(spark, root).collect())) == rows
+    assert jobs.backfill_seniority(spark, root)["n_changes"].count() == 0
+
+
+def test_description_corrections_and_their_report(spark, tmp_root):
+    import json
+
+    root, day = os.path.join(tmp_root, "store"), "2024-01-02"
+    recs = [{"id": "1", "title": "x", "description": "one"}, {"id": "2", "title": "x"}, {"id": "3", "title": "x", "description": "three"}]
+    landed = spark.createDataFrame([(dt.date.fromisoformat(day), "Chicago", "r", 1, json.dumps({"count": 3, "mean": 1.0, "results": recs}))], pages.LANDED_SCHEMA)
+    jobs.ingest_pages(spark, landed, root, 0)
+    jobs.enrich(spark, root, day)
+    blank = jobs.silver_current(spark, root).withColumn("description", F.when(F.col("job_id") == "3", F.col("description")))
+    jobs.silver_log(spark, root).write_batch(blank.withColumn("updated_at", F.current_timestamp()).select(*jobs.SILVER_COLS), "older")
+    before = {r.job_id: r.updated_at for r in jobs.silver_current(spark, root).collect()}
+    assert tuple(jobs.backfill_descriptions(spark, root).first()) == (2, 2, 2, 1)
+    got = {r.job_id: (r.description, r.updated_at) for r in jobs.silver_current(spark, root).collect()}
+    assert {j: d for j, (d, _) in got.items()} == {"1": "one", "2": "", "3": "three"}
+    assert got["1"][1] > before["1"] and got["3"][1] == before["3"]
+    # Two corrections of one row, of different columns, both hold.
+    jobs.backfill_seniority(spark, root, dry_run=False)
+    assert jobs.silver_current(spark, root).where("job_id = '1'").first().description == "one"
