@@ -5,7 +5,7 @@ Prints ONE JSON line:
 
 Each query runs to completion through the ``noop`` sink (the full plan
 executes, nothing is collected to the driver). Landing the adapter tables
-(postings, bronze, housing CSV, page log) is timed once as ``setup_sec``.
+(postings, bronze, the previous day's silver, second source, housing CSV, page log) is timed once as ``setup_sec``.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ def main() -> None:
     registry.bronze(spark, sf_dir).count()
     registry.housing_wide(spark, sf_dir).count()
     registry.landed(spark, sf_dir).count()
+    registry.silver_prev(spark, sf_dir).count()
+    registry.second_source_bronze(spark, sf_dir).count()
     setup = time.time() - t0
     times: dict[str, float | None] = {}
     failed: dict[str, str] = {}

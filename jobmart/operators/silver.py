@@ -1,7 +1,9 @@
 """Silver: typed, classified postings from the landed JSON payloads.
 
-The payload is parsed once into a ``VARIANT`` (``try_parse_json``), which keeps
-the three cases the original code treats differently apart:
+Parsing has two tiers. Every payload is parsed once with the record's types (``from_json``); a record whose typed
+parse holds all texts, none of which might have been another kind of value, needs nothing else. Only a record that
+leaves a doubt is parsed again, into a ``VARIANT`` (``try_parse_json``), which keeps the cases apart that the
+original code treats differently:
 
 * key absent      -> default (``''``, ``{}``, ``[]``);
 * key = JSON null -> NULL for a leaf; the row is rejected where the value is worked on (a text to
@@ -27,6 +29,11 @@ _S = "_s"
 FIRST_SOURCE_TOP = ("struct<title variant, description variant, company variant, category variant, "
                     "location variant, created variant, redirect_url variant, salary_min variant, "
                     "salary_max variant>")
+# The same record with its types; ``_corrupt`` is filled where a value does not fit its type.
+FIRST_SOURCE_TYPED = ("title string, description string, company struct<display_name: string>, "
+                      "category struct<tag: string, label: string>, location struct<display_name: string, "
+                      "area: array<string>, latitude: double, longitude: double>, created string, "
+                      "redirect_url string, salary_min double, salary_max double, _corrupt string")
 SECOND_SOURCE_TOP = ("struct<job_id variant, job_title variant, job_description variant, employer_name variant, "
                      "job_location variant, job_city variant, job_state variant, employer_company_type variant, "
                      "job_apply_link variant, job_min_salary variant, job_max_salary variant, "
@@ -128,32 +135,91 @@ def reject_reason() -> Column:
     return out
 
 
-def enrich_first_source(raw: DataFrame, run_date) -> DataFrame:
+_JSON_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def _surely_text(c: Column) -> Column:
+    """Not null, and unlike what a typed parse makes of a number, a boolean, an object or a list."""
+    first = F.substring(c, 1, 1)
+    number = first.isin(*"-0123456789") & c.rlike(_JSON_NUMBER)
+    return F.coalesce(~(first.isin("{", "[") | c.isin("true", "false") | number), F.lit(False))
+
+
+def _typed(path: str) -> Column:
+    return F.col(f"_t.{path}")
+
+
+def no_doubt() -> Column:
+    """Whether the typed parse alone settles a record: every text is there and a text, nothing was misfit."""
+    texts = ["title", "description", "company.display_name", "location.display_name", "category.tag", "category.label",
+             "redirect_url", "created"]
+    out = F.col("_t").isNotNull() & _typed("_corrupt").isNull() & F.coalesce(F.endswith("payload", F.lit("}")), F.lit(False))
+    for path in texts:
+        out = out & _surely_text(_typed(path))
+    return out & F.coalesce(F.forall(_typed("location.area"), _surely_text), F.lit(False))
+
+
+def _checked_fields() -> dict[str, Column]:
+    """The fields of a record in doubt, from its variants."""
+    return {
+        "reject_reason": reject_reason(),
+        "title": _text("title"), "description": _text("description"),
+        "company": _text("company.display_name"), "location": _text("location.display_name"),
+        "_area": F.coalesce(_get("location.area", "array<string>"), F.array().cast("array<string>")),
+        "category": _text("category.tag"), "category_label": _text("category.label"),
+        "salary_min": _salary("salary_min"), "salary_max": _salary("salary_max"),
+        "_created": F.when(_type_of("created") == "STRING", _get("created")),  # a number is no date
+        "url": _text("redirect_url"),
+        "latitude": _get("location.latitude", "double"), "longitude": _get("location.longitude", "double"),
+    }
+
+
+def _typed_fields() -> dict[str, Column]:
+    """The same fields of a record without doubt."""
+    salary = {s: _typed(s).try_cast(SALARY_TYPE) for s in ("salary_min", "salary_max")}
+    reason = F.when(F.col("job_id").isNull(), "null_id")
+    for name, value in salary.items():
+        reason = reason.when(_typed(name).isNotNull() & value.isNull(), "salary_overflow")
+    return {
+        "reject_reason": reason,
+        "title": _typed("title"), "description": _typed("description"),
+        "company": _typed("company.display_name"), "location": _typed("location.display_name"),
+        "_area": _typed("location.area"),
+        "category": _typed("category.tag"), "category_label": _typed("category.label"), **salary,
+        "_created": _typed("created"), "url": _typed("redirect_url"),
+        "latitude": _typed("location.latitude"), "longitude": _typed("location.longitude"),
+    }
+
+
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``value`` as a column that later filters and projections do not evaluate again (see :func:`parse_payload`)."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def payload_fields(raw: DataFrame, typed: bool = True) -> DataFrame:
+    """PRJ-1, JSN-1, FLT-7: the raw columns and the record's fields. ``typed=False`` takes every record by its
+    variants; the rows are the same."""
+    checked = F.struct(*[c.alias(n) for n, c in _checked_fields().items()])
+    if not typed:
+        return _once(parse_payload(raw), checked, "_f").select(*raw.columns, "_f.*")
+    parse = F.from_json("payload", FIRST_SOURCE_TYPED, {"columnNameOfCorruptRecord": "_corrupt"})
+    t = _once(raw, parse, "_t").withColumn("_sure", no_doubt())
+    variants = F.when(~F.col("_sure"), F.try_variant_get(F.try_parse_json(F.col("payload")), "$", FIRST_SOURCE_TOP))
+    fields = F.struct(*[c.alias(n) for n, c in _typed_fields().items()])
+    return _once(_once(t, variants, _S), F.when(F.col("_sure"), fields).otherwise(checked), "_f").select(*raw.columns, "_f.*")
+
+
+def enrich_first_source(raw: DataFrame, run_date, typed: bool = True) -> DataFrame:
     """PRJ-1 (+ JSN-1, ARR-1, DAT-1, JOIN-12, STR-1/5/6): bronze rows -> silver columns.
 
     Returns all rows with a ``reject_reason`` column (NULL for good rows).
     """
     d = F.lit(str(run_date)).cast("date")
-    v = parse_payload(raw)
-    # 1) pull the fields out of the variant once (one projection over the scan) ...
-    fields = v.select(
-        *KEY, "first_seen", "last_seen", "times_seen",
-        reject_reason().alias("reject_reason"),
-        _text("title").alias("title"),
-        _text("description").alias("description"),
-        _text("company.display_name").alias("company"),
-        _text("location.display_name").alias("location"),
-        F.coalesce(_get("location.area", "array<string>"), F.array().cast("array<string>")).alias("_area"),
-        F.lit(None).cast("string").alias("cbsa_code"),
-        _text("category.tag").alias("category"),
-        _text("category.label").alias("category_label"),
-        _salary("salary_min").alias("salary_min"),
-        _salary("salary_max").alias("salary_max"),
-        F.when(_type_of("created") == "STRING", _get("created")).alias("_created"),  # a number is no date
-        _text("redirect_url").alias("url"),
-        _get("location.latitude", "double").alias("latitude"),
-        _get("location.longitude", "double").alias("longitude"),
-    )
+    # 1) pull the fields out of the record once ...
+    fields = payload_fields(raw, typed).select(
+        *KEY, "first_seen", "last_seen", "times_seen", "reject_reason", "title", "description", "company", "location",
+        "_area", F.lit(None).cast("string").alias("cbsa_code"), "category", "category_label", "salary_min", "salary_max",
+        "_created", "url", "latitude", "longitude")
     # 2) ... then derive from plain columns.
     area, n = F.col("_area"), F.size("_area")
     state_full = F.when(n >= 2, F.get(area, 1)).otherwise(F.lit(""))

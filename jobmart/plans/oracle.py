@@ -569,9 +569,6 @@ def _other_queries() -> dict[str, str]:
         f"TRY_CAST({_yoe_sql('lower(description)')} AS BIGINT) AS yoe_min, {yband('lower(description)')} AS yoe_band, "
         f"{remote_sql('title', 'description')} AS is_remote, {job_type_sql('description')} AS job_type, "
         f"{jt_doc} AS job_type_documented FROM j", j=postings_sql())
-    q["classify_documents"] = (
-        f"SELECT doc_id, {seniority_sql('text')} AS seniority, {remote_sql('text', 'NULL')} AS is_remote, "
-        f"TRY_CAST({_yoe_sql('lower(text)')} AS BIGINT) AS yoe_min, {job_type_sql('text')} AS job_type FROM documents")
     q["industry"] = _with(
         f"SELECT source, job_id, {industry_sql()} AS industry FROM (SELECT j.*, c.company_postings FROM j "
         "LEFT JOIN (SELECT company, COUNT(*) AS company_postings FROM j GROUP BY company) c "
@@ -584,6 +581,13 @@ def _other_queries() -> dict[str, str]:
            f"WHEN regexp_matches({d}, '\\b(phd|ph\\.d|doctorate)') THEN 'phd' END")
     q["industry_hints"] = _with(f"SELECT source, job_id, {hint} AS industry_hint, {edu} AS education FROM j",
                                 j=postings_sql())
+    low = "lower(title)"
+    q["classify_documents"] = _with(
+        f"SELECT doc_id, {seniority_sql('title')} AS seniority, coalesce({title_kw}, {yband(low)}, 'mid') AS seniority_documented, "
+        f"{seniority_v1_sql('title', 'NULL')} AS seniority_v1, {remote_sql('title', 'NULL')} AS is_remote, "
+        f"TRY_CAST({_yoe_sql(low)} AS BIGINT) AS yoe_min, {yband(low)} AS yoe_band, {job_type_sql('title')} AS job_type, "
+        f"{jt_doc} AS job_type_documented, {industry_sql()} AS industry, {hint} AS industry_hint, {edu} AS education FROM d",
+        d="SELECT doc_id, text AS title, text AS description, text AS company, source AS category_label, 0 AS company_postings FROM documents")
     codes = ", ".join(_q(v) for v in K.US_STATES.values())
     lower_map = "CASE lower(trim(state_input)) " + " ".join(
         f"WHEN {_q(k.lower())} THEN {_q(v)}" for k, v in K.US_STATES.items()) + " END"

@@ -27,9 +27,11 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Downstream jobs read it like the stored silver table they read in
     production: the scan prunes columns, and the fixture's join/CASE projection
-    is not fused into (and recomputed by) every classifier plan.
+    is not fused into (and recomputed by) every classifier plan. It is written in
+    as many files as the session has shuffle partitions, so that all cores read it.
     """
-    return write_table(lambda: adapter.postings(spark, sf_dir, RUN), "postings", (sf_dir, RUN), spark)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return write_table(lambda: adapter.postings(spark, sf_dir, RUN).repartition(files, "job_id"), "postings", (sf_dir, RUN), spark)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,18 +178,26 @@ def q_enrich_rejects(spark, sf_dir):
     return silver_ops.split_valid(silver_ops.enrich_first_source(raw, RUN))[1]
 
 
-def _silver_prev(spark, sf_dir):
-    raw_prev = adapter.raw_jobs_as_of(bronze(spark, sf_dir), PREV_DAY).where(F.col("source") == "adzuna")
-    return silver_ops.split_valid(silver_ops.enrich_first_source(raw_prev, PREV_DAY))[0]
+def silver_prev(spark, sf_dir):
+    """Silver as it stood the day before, landed once like the stored table it stands for."""
+    def build():
+        raw_prev = adapter.raw_jobs_as_of(bronze(spark, sf_dir), PREV_DAY).where(F.col("source") == "adzuna")
+        return silver_ops.split_valid(silver_ops.enrich_first_source(raw_prev, PREV_DAY))[0]
+    return write_table(build, "silver_prev", (sf_dir, PREV_DAY), spark)
+
+
+def second_source_bronze(spark, sf_dir):
+    """The second source's landed records, written once."""
+    return write_table(lambda: adapter.jsearch_raw(postings(spark, sf_dir)), "jsearch_raw", (sf_dir, RUN), spark)
 
 
 def q_incremental_work_set(spark, sf_dir):
-    ws = silver_ops.work_set(bronze(spark, sf_dir), _silver_prev(spark, sf_dir))
+    ws = silver_ops.work_set(bronze(spark, sf_dir), silver_prev(spark, sf_dir))
     return ws.select("source", "job_id", "first_seen", "last_seen", "times_seen")
 
 
 def q_silver_upsert(spark, sf_dir):
-    new, _ = silver_ops.enrich_run(bronze(spark, sf_dir), _silver_prev(spark, sf_dir), RUN)
+    new, _ = silver_ops.enrich_run(bronze(spark, sf_dir), silver_prev(spark, sf_dir), RUN)
     return _silver_out(new)
 
 
@@ -201,7 +211,7 @@ def _v1_first(spark, sf_dir):
 
 
 def _v1_second(spark, sf_dir):
-    return silver_ops.split_valid(silver_ops.enrich_second_source(adapter.jsearch_raw(postings(spark, sf_dir)), RUN))[0] \
+    return silver_ops.split_valid(silver_ops.enrich_second_source(second_source_bronze(spark, sf_dir), RUN))[0] \
         .select(*V1_OUT)
 
 
@@ -287,11 +297,20 @@ def q_classify_postings(spark, sf_dir):
 def q_classify_documents(spark, sf_dir):
     from jobmart.sources.tables import table
 
-    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    # What several classifiers read is computed once: the lower-cased text and the years of experience in it.
+    d = d.withColumn("_low", F.lower(F.coalesce("text", F.lit("")))).withColumn("_yoe", T.yoe_match("_low"))
     return d.select("doc_id", T.title_seniority("text").alias("seniority"),
+                    T.categorize_role_documented("text", "text", F.lit(None), F.lit(None), "_yoe").alias("seniority_documented"),
+                    T.seniority_v1("text", F.lit(None), "_yoe").alias("seniority_v1"),
                     T.is_remote("text", F.lit(None)).alias("is_remote"),
-                    T.yoe_years(F.lower("text")).alias("yoe_min"),
-                    T.job_type_observed("text").alias("job_type"))
+                    T.yoe_years(None, "_yoe").alias("yoe_min"),
+                    T.yoe_band(None, "_yoe").alias("yoe_band"),
+                    T.job_type_observed("text").alias("job_type"),
+                    T.job_type_documented("text", "text").alias("job_type_documented"),
+                    T.industry("text", "text").alias("industry"),
+                    T.industry_hint("text", F.lit(None), "source").alias("industry_hint"),
+                    T.education("text").alias("education"))
 
 
 def q_industry(spark, sf_dir):
