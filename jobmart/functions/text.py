@@ -8,6 +8,7 @@ the industry rules are word-bounded regexes.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -25,6 +26,17 @@ def any_substring(text: Column, words) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
 
 
+def stems(pattern: str) -> list[str]:
+    """What a text must contain for an alternation of words to match: every word, without an optional last letter."""
+    return [re.sub(r"\\(.)", r"\1", re.sub(r"\\?.\?$", "", word)) for word in pattern.split("|")]
+
+
+def matches(text: Column, lowered: Column, pattern: str, words) -> Column:
+    """``text`` matches the pattern. Only a text that contains one of ``words``, which every match does, runs the
+    regular expression; a substring search costs a small part of one."""
+    return any_substring(lowered, words) & text.rlike(pattern)
+
+
 def joined_lower(title, description) -> Column:
     """lower(title || ' ' || description), NULL parts read as ''."""
     return F.lower(F.concat_ws(" ", F.coalesce(_c(title), F.lit("")), F.coalesce(_c(description), F.lit(""))))
@@ -65,10 +77,12 @@ def salary_band(salary_min, salary_max) -> Column:
 def yoe_match(text) -> Column:
     """Group 1 (digits, as text) of the first YOE pattern that matches anywhere, else NULL.
 
-    The third and fourth pattern contain the second, so they never decide and are not run.
+    The third and fourth pattern contain the second, so they never decide and are not run; the others only where
+    the text has the start of one of their units.
     """
     t = _c(text)
-    return F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in K.YOE_PATTERNS[:2]])
+    found = F.coalesce(*[F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in K.YOE_PATTERNS[:2]])
+    return F.when(any_substring(t, ("year", "yr", "yo")), found)
 
 
 def yoe_years(text, match=None) -> Column:
@@ -108,7 +122,7 @@ def seniority_v1(title, description, yoe=None) -> Column:
     txt = joined_lower(title, description)
     t = F.lower(_c(title))
     lvl = F.regexp_replace(F.substring_index(t, "level", -1), r"^\s+|\s+$", "")
-    level = F.when(t.rlike(K.V1_LEVEL_PATTERN),
+    level = F.when(matches(t, t, K.V1_LEVEL_PATTERN, ("level",)),
                    F.when(lvl.isin("i", "1"), "jr").when(lvl.isin("ii", "2"), "mid").otherwise("sr"))
     return F.coalesce(
         _years_band(txt, 5, yoe),
@@ -157,18 +171,23 @@ def _word(pattern: str) -> str:
     return r"(?i)\b(" + pattern + r")\b"
 
 
+def _named(text, pattern: str) -> Column:
+    """One of the pattern's words stands in the text, in any case."""
+    t = F.coalesce(_c(text), F.lit(""))
+    return matches(t, F.lower(t), _word(pattern), stems(pattern))
+
+
 def startup_company(company) -> Column:
-    return F.coalesce(_c(company), F.lit("")).rlike(_word(K.STARTUP_COMPANY_PATTERN))
+    return _named(company, K.STARTUP_COMPANY_PATTERN)
 
 
 def industry(title, company, company_postings=None) -> Column:
     """Ordered industry rules; ``company_postings`` = per-company row count (startup rule)."""
-    comp = F.coalesce(_c(company), F.lit(""))
     out = None
     for label, title_pat, company_pat in K.INDUSTRY_RULES:
-        cond = comp.rlike(_word(company_pat))
+        cond = _named(company, company_pat)
         if title_pat:
-            cond = F.coalesce(_c(title), F.lit("")).rlike(_word(title_pat)) | cond
+            cond = _named(title, title_pat) | cond
         out = F.when(cond, label) if out is None else out.when(cond, label)
     startup = startup_company(company)
     if company_postings is not None:
@@ -188,9 +207,12 @@ def industry_hint(title, description, category) -> Column:
 
 def education(description) -> Column:
     d = F.lower(F.coalesce(_c(description), F.lit("")))
-    return (F.when(d.rlike(r"\b(bachelor|ba/bs|bs/ba|b\.s\.|b\.a\.)"), "bachelor's")
-            .when(d.rlike(r"\b(master|ms/|m\.s\.|mba)"), "master's")
-            .when(d.rlike(r"\b(phd|ph\.d|doctorate)"), "phd"))
+    out = None
+    for label, words in (("bachelor's", r"bachelor|ba/bs|bs/ba|b\.s\.|b\.a\."), ("master's", r"master|ms/|m\.s\.|mba"),
+                         ("phd", r"phd|ph\.d|doctorate")):
+        cond = matches(d, d, rf"\b({words})", stems(words))
+        out = F.when(cond, label) if out is None else out.when(cond, label)
+    return out
 
 
 # --- STR-10 / STR-9 / STR-11: states and locations ---------------------------------

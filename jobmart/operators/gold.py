@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from jobmart import constants as K
 from jobmart.functions import text as T
-from jobmart.operators.quantiles import grouped_medians
+from jobmart.operators.quantiles import grouped_medians, running_medians
 from jobmart.sources.tables import checked_broadcast
 
 CITY_KEYS = ["city", "state_code"]
@@ -196,7 +196,7 @@ def city_history(versions: DataFrame, first_date, last_date, medians: bool = Fal
     it then had. A version stands from its day until the posting's next one, so each adds its counts and sums
     to its city on one day and takes them back on another; a running sum over the days of a city (one row per
     day) gives the state. Active are the versions of the day, new those whose first sighting it is.
-    ``medians`` also ranks the salaries standing on each day (work: postings x days of the range).
+    ``medians`` adds the median salaries of each day, searched in the counts of each salary's changes.
     """
     v = versions.where(F.col("source") == "adzuna")
     nxt = F.lead("last_seen").over(Window.partitionBy("source", "job_id").orderBy("last_seen"))
@@ -223,10 +223,8 @@ def city_history(versions: DataFrame, first_date, last_date, medians: bool = Fal
         "avg_salary_min": F.try_divide(F.col("_min_sum").cast("double"), F.col("jobs_with_salary")),
         "avg_salary_max": F.try_divide(F.col("_max_sum").cast("double"), F.col("_max_n"))})
     if medians:
-        until = F.least(F.coalesce(F.date_sub("_until", 1), last), last)
-        stands = v.where((F.col("last_seen") <= last) & (F.coalesce("_until", F.date_add(last, 1)) > first)).select(
-            *CITY_KEYS, "salary_min", "salary_max", F.explode(F.sequence(F.greatest("last_seen", first), until)).alias("run_date"))
-        meds = grouped_medians(stands, [*CITY_KEYS, "run_date"], {"median_salary_min": "salary_min", "median_salary_max": "salary_max"})
+        meds = running_medians(v.withColumn("_from", F.col("last_seen")), CITY_KEYS,
+                               {"median_salary_min": "salary_min", "median_salary_max": "salary_max"}, first, last)
         out = _null_safe_join(out, meds, [*CITY_KEYS, "run_date"])
     cols = ["total_jobs", "active_jobs", "new_jobs", "expired_jobs", "jobs_with_salary", "avg_salary_min", "avg_salary_max",
             *(["median_salary_min", "median_salary_max"] if medians else []), "remote_jobs", "fulltime_jobs", "junior_jobs", "mid_jobs", "senior_jobs"]

@@ -21,10 +21,12 @@ small follow-up steps:
    the largest window is one sub-bucket (≈ 6·n / (accuracy · SUB_BUCKETS)
    distinct values), not the group.
 
-A group whose middle ranks fall outside its band (possible only for tiny
-groups, where the sketch and the band coincide) is recomputed over all of its
-distinct values — cheap exactly because such groups are tiny — and only when
-the small per-group result shows that such a group exists.
+A group whose middle ranks fall outside its band is searched from its whole range (:func:`_searched`): every pass
+cuts the span that holds the rank into ``SUB_BUCKETS`` slots, counts them in one aggregate and goes on in the slot of
+the rank, until a span is one value. No window ever holds more than a group's slots, whatever the group's size.
+
+:func:`running_medians` does the same for a multiset that changes from day to day: counts of slots and days take the
+place of counts of slots, so its work follows the changes and the days, not the members of each day.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from jobmart.sources.tables import checked_broadcast, write_table
 
 ACCURACY = 10_000
 SUB_BUCKETS = 4096
+# Slots a level in which the running medians count: a row for each slot, day and group.
+DAY_SLOTS = 256
 _BAND = 3.0 / ACCURACY
 
 
@@ -51,18 +55,83 @@ def _middle_ranks():
     return F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
 
 
-def _exact_small(rows: DataFrame, gk: list[str]) -> DataFrame:
-    """Fallback for tiny groups: rank all distinct values of the group."""
-    counts = rows.groupBy(*gk, "_v").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts.withColumn("_end", F.sum("_c").over(w))
-              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk)))
-              .withColumn("_start", F.col("_end") - F.col("_c")))
-    r1, r2 = _middle_ranks()
-    agg = ranked.groupBy(*gk).agg(
-        F.max(F.when((F.col("_start") <= r1) & (r1 < F.col("_end")), F.col("_v"))).alias("_v1"),
-        F.max(F.when((F.col("_start") <= r2) & (r2 < F.col("_end")), F.col("_v"))).alias("_v2"))
-    return agg.select(*gk, (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("_med"))
+def _slot(n: int):
+    """The slot of ``_v`` among ``n`` equal parts of [_lo, _hi]; never decreasing in the value, 0 for _lo, n - 1 for _hi."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    far = hi - lo == float("inf")  # halves, where the span itself is beyond a double
+    share = F.when(far, (v / 2 - lo / 2) / (hi / 2 - lo / 2)).otherwise((v - lo) / (hi - lo))
+    return F.least(F.floor(share * n), F.lit(n - 1)).cast("int")
+
+
+def _searched(rows: DataFrame, gk: list[str]) -> DataFrame:
+    """Exact medians by search: one pass over the rows a level, one written row per group between them."""
+    spans = rows.groupBy(*gk).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    spans = write_table(spans.withColumn("_r", F.floor((F.col("_n") - 1) / 2)).select(*_alias_keys(gk), "_n", "_r", "_lo", "_hi"), "median_spans")
+    names = [c for c in spans.columns if c.startswith("_b")]
+    while not spans.where("_lo < _hi").isEmpty():
+        open_spans = checked_broadcast(spans.where("_lo < _hi"))
+        inside = rows.join(open_spans, _on(gk)).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        slots = inside.groupBy(*names, "_n", "_r", _slot(SUB_BUCKETS).alias("_s")).agg(F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        w = Window.partitionBy(*names).orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = slots.withColumn("_start", F.sum("_c").over(w) - F.col("_c"))
+        at = at.where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_start") + F.col("_c")))
+        deeper = at.select(*names, "_n", (F.col("_r") - F.col("_start")).alias("_r"), "_lo", "_hi")
+        spans = write_table(deeper.unionByName(spans.where("_lo = _hi")), "median_spans")
+    # The upper middle is the same value, or the next one above it.
+    lower = F.col("_lo")
+    both = rows.join(checked_broadcast(spans), _on(gk)).groupBy(*gk, "_n", "_lo").agg(
+        F.count_if(F.col("_v") <= lower).alias("_le"), F.min(F.when(F.col("_v") > lower, F.col("_v"))).alias("_next"))
+    upper = F.when(F.col("_le") > F.ceil((F.col("_n") - 1) / 2), lower).otherwise(F.col("_next"))
+    return both.select(*gk, (lower + (upper - lower) * 0.5).alias("_med"))
+
+
+def running_medians(members: DataFrame, keys: list[str], columns: dict[str, str], first, last) -> DataFrame:
+    """The exact medians of each group on every day from ``first`` to ``last`` (dates as columns).
+
+    ``members``: rows with ``_from`` (the day a row joins its group) and ``_until`` (the day it leaves, NULL: never).
+    Returns keys, ``run_date`` and a column for each of ``columns``, for the days on which a group has a value.
+    """
+    g = F.struct(*keys).alias("_g")  # one key that is never null
+    rows = members.where((F.col("_from") <= last) & (F.col("_until").isNull() | (F.col("_until") > first)))
+    come = F.struct(F.greatest("_from", first).alias("day"), F.lit(1).cast("bigint").alias("d"))
+    leave = F.when(F.col("_until") <= last, F.struct(F.col("_until").alias("day"), F.lit(-1).cast("bigint").alias("d")))
+    moves = rows.select(g, *columns.values(), F.explode(F.filter(F.array(come, leave), lambda x: x.isNotNull())).alias("_x"))
+    values = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns.values())])
+    moves = moves.select("_g", F.explode(values).alias("_mv"), F.col("_x.day").alias("_day"), F.col("_x.d").alias("_d"))
+    moves = moves.select("_g", "_mv._m", "_mv._v", "_day", "_d").where(F.col("_v").isNotNull())
+    # How often each value comes and goes on a day.
+    moves = write_table(moves.groupBy("_g", "_m", "_v", "_day").agg(F.sum("_d").alias("_d")), "median_moves")
+
+    def standing(changes: DataFrame, by: list[str]) -> DataFrame:
+        """The sum of the changes so far, for every day of the range: a row stands until the next change."""
+        w = Window.partitionBy(*by).orderBy("_day")
+        so_far = changes.withColumns({"_c": F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                                      "_next": F.coalesce(F.lead("_day").over(w), F.date_add(last, 1))})
+        return so_far.where("_c > 0").select(*by, "_c", F.explode(F.sequence(F.col("_day"), F.date_sub("_next", 1))).alias("_day"))
+
+    sizes = standing(moves.groupBy("_g", "_m", "_day").agg(F.sum("_d").alias("_d")), ["_g", "_m"])
+    spans = moves.groupBy("_g", "_m").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    asks = sizes.join(spans, ["_g", "_m"]).select("_g", "_m", "_day", F.posexplode(F.array(
+        F.floor((F.col("_c") - 1) / 2), F.ceil((F.col("_c") - 1) / 2))).alias("_w", "_r"), "_lo", "_hi")
+    asks = write_table(asks, "median_asks")
+    span = ["_g", "_m", "_lo", "_hi"]
+    while not asks.where("_lo < _hi").isEmpty():
+        looked = asks.where("_lo < _hi").select(*span).distinct()
+        inside = moves.join(looked, ["_g", "_m"]).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        cells = write_table(inside.groupBy(*span, _slot(DAY_SLOTS).alias("_s"), "_day").agg(
+            F.sum("_d").alias("_d"), F.min("_v").alias("_slo"), F.max("_v").alias("_shi")), "median_cells")
+        bounds = cells.groupBy(*span, "_s").agg(F.min("_slo").alias("_slo"), F.max("_shi").alias("_shi"))
+        counts = standing(cells.select(*span, "_s", "_day", "_d"), [*span, "_s"])
+        w = Window.partitionBy("_g", "_m", "_w", "_day").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = asks.where("_lo < _hi").join(counts, [*span, "_day"]).withColumn("_start", F.sum("_c").over(w) - F.col("_c"))
+        at = at.where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_start") + F.col("_c"))).join(bounds, [*span, "_s"])
+        deeper = at.select("_g", "_m", "_day", "_w", (F.col("_r") - F.col("_start")).alias("_r"), F.col("_slo").alias("_lo"), F.col("_shi").alias("_hi"))
+        asks = write_table(deeper.unionByName(asks.where("_lo = _hi").select(*deeper.columns)), "median_asks")
+    v1, v2 = (F.max(F.when(F.col("_w") == i, F.col("_lo"))) for i in (0, 1))
+    found = asks.groupBy("_g", "_m", "_day").agg(v1.alias("_v1"), v2.alias("_v2"))
+    median = F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5
+    return found.groupBy("_g", "_day").agg(*[F.max(F.when(F.col("_m") == i, median)).alias(name) for i, name in enumerate(columns)]).select(
+        "_g.*", F.col("_day").alias("run_date"), *columns)
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -138,6 +207,6 @@ def grouped_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) ->
 
     bad = targets.where(~F.col("_ok")).select(*_alias_keys(gk))
     if not bad.isEmpty():
-        result = result.unionByName(_exact_small(stacked.join(bad, _on(gk), "left_semi"), gk))
+        result = result.unionByName(_searched(stacked.join(bad, _on(gk), "left_semi"), gk))
     return result.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_m") == i, F.col("_med"))).alias(name) for i, name in enumerate(metrics)])

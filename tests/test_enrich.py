@@ -99,3 +99,35 @@ def test_post_date_matches_fromisoformat(spark):
     got = [r[0] for r in spark.createDataFrame([(c,) for c in cases], "c string")
            .select(S.post_date(S.F.col("c"))).collect()]
     assert got == [py(c) for c in cases]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+LEAF = st.one_of(st.none(), st.just("__absent__"), st.booleans(), st.integers(-9, 99), st.floats(-1e3, 1e3), st.just([]), st.just({}),
+                 st.sampled_from(["", "7", "-1.5", "1e5", "true", "null", "{x", "[y]", "-", "3-5 years", "2001-07-30T10:00:00Z", "20010730", "Sr. {lead}", "é"]))
+ODD = st.fixed_dictionaries({}, optional={
+    "title": LEAF, "description": LEAF, "created": LEAF, "redirect_url": LEAF, "salary_min": LEAF, "salary_max": st.one_of(LEAF, st.just(1e30), st.just(5.125)),
+    "company": st.one_of(LEAF, st.fixed_dictionaries({}, optional={"display_name": LEAF})),
+    "category": st.one_of(LEAF, st.fixed_dictionaries({}, optional={"tag": LEAF, "label": LEAF})),
+    "location": st.one_of(LEAF, st.fixed_dictionaries({}, optional={
+        "display_name": LEAF, "latitude": LEAF, "area": st.one_of(LEAF, st.lists(st.one_of(st.none(), st.integers(0, 5), st.sampled_from(["US", "Illinois", "5", "Cook"])), max_size=5))}))})
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(ODD, min_size=1, max_size=40), st.sampled_from(["", "}", " ", "{", "x"]))
+def test_typed_parse_equals_the_variant_checks(spark, odd, tail):
+    """Whatever stands in a record, the fast tier gives the rows that the checks of every record would give."""
+    payloads = [_rec(**o) for o in odd] + [_rec()[:-1], _rec() + tail, "", "null", "[]", "5", None]
+    raw = _raw(spark, payloads)
+    rows = [sorted(map(str, S.enrich_first_source(raw, RUN, typed=t).collect())) for t in (True, False)]
+    assert rows[0] == rows[1]
+
+
+def test_usual_records_leave_no_doubt(spark):
+    import pyspark.sql.functions as F
+
+    raw = _raw(spark, [_rec(redirect_url="https://x"), _rec(redirect_url="https://x", description="3-5 years"), _rec()])
+    parse = F.from_json("payload", S.FIRST_SOURCE_TYPED, {"columnNameOfCorruptRecord": "_corrupt"})
+    sure = {r.job_id: r.sure for r in S._once(raw, parse, "_t").select("job_id", S.no_doubt().alias("sure")).collect()}
+    assert sure == {"0": True, "1": True, "2": False}  # the last one has no URL: absent or null?

@@ -81,6 +81,28 @@ def test_grouped_median_fallback_path(spark, monkeypatch):
         assert abs(got[f"g{g}"] - float(np.median(vals))) < 1e-9
 
 
+def test_hot_group_that_misses_its_band_is_searched(spark, monkeypatch):
+    """A group with most rows, a band that misses and values many orders of magnitude apart: exact, and no
+    window holds more than a group's slots."""
+    from jobmart.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "_BAND", 0.0)
+    rng = np.random.default_rng(5)
+    hot = [float(x) for x in rng.normal(0, 1, 4000) * 10.0 ** rng.integers(-9, 9, 4000)] + [0.0, 5e-324]
+    few = [[1.0], [1.0, 2.0], [3.0] * 9, [-1.7e308, 1.7e308], [2.0, 2.0, 2.0, 7.0]]
+    groups = {"hot": hot, **{f"g{i}": v for i, v in enumerate(few)}}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "_b0 string, _v double")
+    got = {r["_b0"]: r["_med"] for r in quantiles._searched(df.withColumnRenamed("_b0", "k"), ["k"]).withColumnRenamed("k", "_b0").collect()}
+
+    def middle(vs):
+        a, b = sorted(vs)[(len(vs) - 1) // 2], sorted(vs)[len(vs) // 2]
+        return a + (b - a) * 0.5
+
+    assert {k: m for k, m in got.items() if k != "g3"} == {k: middle(vs) for k, vs in groups.items() if k != "g3"}
+    assert {r.k: r.m for r in quantiles.grouped_median(df.withColumnRenamed("_b0", "k"), ["k"], "_v", "m").collect()}["hot"] == middle(hot)
+
+
 def test_grouped_median_single_hot_group(spark):
     """All postings in one group (the hot-key case): exact medians of both salary columns."""
     from tests.paths import SF_MID

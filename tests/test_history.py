@@ -102,6 +102,32 @@ def test_plain_counts_write_nothing_while_planned(spark, monkeypatch):
         registry.queries()[name](spark, SF_SMALL)
 
 
+def test_running_medians_equal_each_days_median(spark, monkeypatch):
+    """Members that come and go, a hot and a null group, equal values and a wide spread, against plain sorting."""
+    import datetime as dt
+
+    from jobmart.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "DAY_SLOTS", 32)  # several levels
+    r, d0, days = random.Random(3), dt.date(2024, 1, 1), 12
+    rows = []
+    for _ in range(600):
+        start = r.randint(-4, days + 2)
+        rows.append((r.choice(["x", None, "hot", "hot", "hot"]), r.choice([None, float(r.randint(0, 9)), r.gauss(0, 1) * 10.0 ** r.randint(-2, 2)]),
+                     d0 + dt.timedelta(start), r.choice([None, d0 + dt.timedelta(start + r.randint(1, 9))])))
+    df = spark.createDataFrame(rows, "city string, v double, _from date, _until date").withColumn("w", F.col("v") * 2)
+    got = {(x.city, x.run_date): (x.m, x.m2) for x in quantiles.running_medians(
+        df, ["city"], {"m": "v", "m2": "w"}, F.lit(d0), F.lit(d0 + dt.timedelta(days))).collect()}
+    want = {}
+    for day in (d0 + dt.timedelta(k) for k in range(days + 1)):
+        for city in ("x", None, "hot"):
+            vs = sorted(v for c, v, a, b in rows if c == city and v is not None and a <= day and (b is None or b > day))
+            if vs:
+                a, b = vs[(len(vs) - 1) // 2], vs[len(vs) // 2]
+                want[city, day] = (a + (b - a) * 0.5, 2 * a + (2 * b - 2 * a) * 0.5)
+    assert got == want
+
+
 def test_median_with_a_hot_city(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 50).cast("string"))).alias("city"),
                                       F.lit("S").alias("state_code"), ((F.col("id") * 7919) % 10_007).cast("double").alias("v"))
