@@ -174,12 +174,21 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, trees: int = TREES,
         def best(q_ids, q):
             own, x = np.concatenate(ids), np.concatenate(rows)
             rough = q @ x.T
-            top = np.argpartition(-rough, min(2 * k, len(own) - 1), axis=1)[:, :2 * k + 1] if len(own) > 2 * k + 1 else np.tile(np.arange(len(own)), (len(q), 1))
-            # the same sum for a pair wherever it is met: not a block product, whose order of adding depends on its shape
-            score = (q[:, None, :] * x[top]).sum(axis=2)
-            kept = np.lexsort((own[top], -score), axis=1)[:, :k + 1]
-            score, top = np.take_along_axis(score, kept, 1), np.take_along_axis(top, kept, 1)
-            return np.repeat(q_ids, top.shape[1]), own[top].ravel(), score.ravel()
+            if len(own) > k + 1:
+                # every member that rounding leaves a chance, ties of the last place included
+                last = -np.partition(-rough, k, axis=1)[:, k]
+                room = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+                at, member = np.nonzero(rough >= (last - room)[:, None])
+            else:
+                at, member = (a.ravel() for a in np.indices(rough.shape))
+            score = np.empty(len(at))
+            for i in range(0, len(at), 65_536):
+                # the same sum for a pair wherever it is met: not a block product, whose order of adding depends on its shape
+                score[i:i + 65_536] = (q[at[i:i + 65_536]] * x[member[i:i + 65_536]]).sum(axis=1)
+            order = np.lexsort((own[member], -score, at))
+            at, member, score = at[order], member[order], score[order]
+            kept = np.arange(len(at)) - np.searchsorted(at, at) <= k
+            return q_ids[at[kept]], own[member[kept]], score[kept]
 
         for b in batches:
             if not b.num_rows:

@@ -53,3 +53,22 @@ def test_few_and_none(spark):
     one = spark.createDataFrame([(0, [1.0, 2.0], 0, 1), (1, [2.0, 1.0], 0, 1)], SCHEMA)
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(one).collect()] == [(0, 1, 1, 4.0)]
     assert ann.search(one.where("vec_id = 0")).count() == 0 and ann.search(one.where("false")).count() == 0
+
+
+def test_tied_scores_keep_the_smaller_ids(spark):
+    """Vectors of zeros and ones: most scores tie. With every leaf opened, ids equal brute force."""
+    r = np.random.default_rng(2)
+    rows = np.unique(r.integers(0, 2, (3000, 12)), axis=0)
+    rows = rows[rows.any(axis=1)]
+    v = {int(i): x.astype(float) for i, x in zip(r.permutation(len(rows)), rows)}
+    df = spark.createDataFrame([(i, x.tolist(), 0, 1) for i, x in v.items()], SCHEMA)
+    got = {}
+    for x in sorted(ann.search(df, share=20.0, block=500).collect(), key=lambda x: (x.query_id, x.rank)):
+        got.setdefault(x.query_id, []).append((x.vec_id, x.score))
+    assert got == brute(v)
+    one_hot = {i: np.eye(40)[i % 40] * (1 + i // 40) for i in range(400)}
+    df = spark.createDataFrame([(i, x.tolist(), 0, 1) for i, x in one_hot.items()], SCHEMA)
+    lists = {}
+    for x in sorted(ann.search(df, share=20.0, block=50).collect(), key=lambda x: (x.query_id, x.rank)):
+        lists.setdefault(x.query_id, []).append((x.vec_id, x.score))
+    assert lists == brute(one_hot)
