@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -51,6 +52,27 @@ def test_cut_pages_and_plain_text():
     assert len(html.main_text("<article><p>" + "word " * 100_000)) == 499_999
 
 
+@pytest.mark.parametrize("name", ["market-share", "related-work", "social-history", "promo", "notice", "share menu-plan", "headerless"])
+def test_classes_that_only_look_like_furniture_stay(name):
+    page = f'<nav>menu</nav><article><h1>Title</h1><p>{PARAGRAPH}</p><p class="{name}">Kept words. {PARAGRAPH}</p><div id="{name}"><p>And these.</p></div></article>'
+    assert html.main_text(page) == f"Title\n\n{PARAGRAPH}\n\nKept words. {PARAGRAPH}\n\nAnd these."
+
+
+@pytest.mark.parametrize("part", ['<div class="share-buttons"><a href="x">Tell others</a> now</div>', '<div class="related"><a>One</a><a>Two</a></div>', '<div class="ad">Buy this</div>',
+                                  '<section class="comments"><p>I do not agree with a word of it.</p></section>', '<ul class="post-navigation related-posts"><li><a>Next</a></ul>',
+                                  '<div class="notice"><div class="promo"><a>All of it linked</a></div></div>'])
+def test_furniture_inside_an_article_goes(part):
+    assert html.main_text(f"<article><h1>Title</h1><p>{PARAGRAPH}</p>{part}<p>{PARAGRAPH}</p></article>") == f"Title\n\n{PARAGRAPH}\n\n{PARAGRAPH}"
+
+
+def test_deep_pages_take_linear_time():
+    n = 100_000
+    for page, text in (("<div>x " * n, "\n\n".join(["x"] * n)), ("<div>" * n + "text" + "</span>" * n, "text"), ("<article>x " * n, "\n\n".join(["x"] * n))):
+        began = time.process_time()
+        assert html.main_text(page) == text
+        assert time.process_time() - began < 30
+
+
 def test_smoothing_keeps_constants():
     assert html.smoothed([3.0] * 7) == pytest.approx([3.0] * 7)
 
