@@ -39,7 +39,8 @@ TRAIN_ROWS, SEED, PRECISION = 6000, 11, 0.99
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: One attempt per run of digits: where the run's start fails, so does every later start in it.
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -93,7 +94,7 @@ GENERATORS = {
     "secret": re.compile(r"[A-Za-z0-9_+/=-]{20,}"),
     "iban": re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
     "ipv6": re.compile(r"(?=[0-9A-Fa-f:]{0,34}::)(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"),
-    "mail_words": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+(?: ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,})+"),
+    "mail_words": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+(?: ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,})+"),
 }
 KINDS = tuple(GENERATORS)
 _NEED = {"iban": re.compile(r"[A-Z]{2}[0-9]{2}"), "ipv6": re.compile(r"[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]"), "mail_words": re.compile(r"[\[( ]dot[\]) ]")}

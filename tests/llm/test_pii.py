@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -104,6 +105,19 @@ def test_overlapping_spans_become_one():
     assert pii.redact("abcdefgh", [(1, 4, "phone"), (3, 6, "card")]) == "a<PHONE>gh"
 
 
+@pytest.mark.parametrize("text", ["9" * 1_000_000, "x" * 1_000_000 + " dot com", "1." * 500_000, "x at y dot " * 50_000, "a" * 999_999 + "@"])
+def test_long_runs_take_linear_time(text):
+    model = pii.fitted()
+    began = time.process_time()
+    pii.find([text], *model)
+    assert time.process_time() - began < 30
+
+
+def test_addresses_beside_digits():
+    kinds = lambda t: [t[s:e] for s, e, k in pii.base_spans(t) if k == "ip"]
+    assert kinds("1.2.3.4.5.6.7.8 x9.8.7.6 999.1.1.1 1.1.1.1.") == ["1.2.3.4", "5.6.7.8", "9.8.7.6", "1.1.1.1"]
+
+
 def test_long_text(spark, docs):
     text = "x" * 300_000 + " a@b.example.com " + "9" * 50_000
     assert pii.detect(docs([(1, text, "s")])).collect()[0].n_email == 1
