@@ -32,8 +32,15 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("landing")
     s.add_argument("--layout", choices=["log", "files"], default="log",
                    help="log: JSON-lines page log; files: one raw response file per page, keys in the path")
-    for name in ("enrich", "gold", "analyses"):
-        sub.add_parser(name).add_argument("--run-date", required=True)
+    for name in ("enrich", "gold", "analyses", "city-tables"):
+        s = sub.add_parser(name)
+        s.add_argument("--run-date", required=True)
+        if name in ("gold", "city-tables"):
+            s.add_argument("--strip-state-suffix", action="store_true", help='the housing files name metros like "Chicago, IL"')
+    s = sub.add_parser("import-calls")
+    s.add_argument("name", help="the import's own name; importing it again replaces its rows")
+    s.add_argument("path", help="an earlier call log: parquet, or CSV with a header")
+    s.add_argument("--per-pull", action="store_true", help="one row per pull, the latest of several stays (default: one row per page)")
     s = sub.add_parser("ingest-housing")
     s.add_argument("datasets", nargs="+", help="name=path.csv")
     s = sub.add_parser("enrich-housing")
@@ -57,7 +64,12 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "enrich":
         jobs.enrich(spark, a.root, a.run_date)
     elif a.cmd == "gold":
-        jobs.refresh_gold(spark, a.root, a.run_date)
+        jobs.refresh_gold(spark, a.root, a.run_date, a.strip_state_suffix)
+    elif a.cmd == "city-tables":
+        jobs.refresh_city_tables(spark, a.root, a.run_date, a.strip_state_suffix)
+    elif a.cmd == "import-calls":
+        log = spark.read.csv(a.path, header=True) if a.path.endswith(".csv") else spark.read.parquet(a.path)
+        jobs.import_calls(spark, a.root, log.withColumn("run_date", log["run_date"].cast("date")), a.name, not a.per_pull)
     elif a.cmd == "ingest-housing":
         jobs.ingest_housing(spark, dict(x.split("=", 1) for x in a.datasets), a.root)
     elif a.cmd == "enrich-housing":

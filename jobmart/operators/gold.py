@@ -139,12 +139,13 @@ def top_categories(silver: DataFrame, k: int = K.TOP_CATEGORIES) -> DataFrame:
 
 
 def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame | None = None,
-                         counts: DataFrame | None = None) -> DataFrame:
+                         counts: DataFrame | None = None, strip_state_suffix: bool = False) -> DataFrame:
     """AGG-6..8: current state per (city, state) with 7/30-day growth and top categories.
 
     With ``housing_latest`` (``housing.latest_metric``) the declared rent columns
     ``zori_latest``, ``zori_date`` and ``salary_to_rent_ratio`` are filled (JOIN-13).
-    ``counts``: precomputed :func:`city_aggregates` (shared with the stats).
+    ``counts``: precomputed :func:`city_aggregates` (shared with the stats). ``strip_state_suffix``: regions are
+    named "Chicago, IL".
     """
     d = _date(run_date)
     if counts is None:
@@ -157,7 +158,7 @@ def latest_city_snapshot(silver: DataFrame, run_date, housing_latest: DataFrame
     if housing_latest is not None:
         from jobmart.operators.housing import rent_lookup
 
-        rent = checked_broadcast(rent_lookup(housing_latest).select(
+        rent = checked_broadcast(rent_lookup(housing_latest, strip_state_suffix).select(
             "_rk", "_rs", F.col("metric_value_latest").cast("double").alias("zori_latest"),
             F.col("date_recorded").cast("date").alias("zori_date")))
         out = (out.join(rent, (T.norm_key("city") == rent._rk) & (F.col("state_code") == rent._rs), "left")

@@ -356,6 +356,8 @@ def enrich_second_source(raw: DataFrame, run_date) -> DataFrame:
     return v.select(
         F.lit("jsearch").alias("source"), "job_id",
         F.when(F.col(_S).isNull(), F.lit("malformed_json")).when(_is_json_null("job_title"), F.lit("null_title"))
+        .when(F.coalesce(_type_of("job_title") != "STRING", F.lit(False)), F.lit("bad_title"))
+        .when(F.coalesce(~_is_json_null("job_description") & (_type_of("job_description") != "STRING"), F.lit(False)), F.lit("bad_description"))
         .when(F.col("job_id").isNull(), F.lit("null_id")).alias("reject_reason"),
         title.alias("title"),
         _text("employer_name").alias("company"),

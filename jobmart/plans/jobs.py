@@ -312,9 +312,10 @@ def silver_rejects(spark: SparkSession, root: str, name: str = "silver_rejects")
 
 # --- gold ----------------------------------------------------------------------------------
 
-def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
+def refresh_gold(spark: SparkSession, root: str, run_date, strip_state_suffix: bool = False) -> dict:
     """PIP-3: city_job_stats partition for run_date (SNK-8) + snapshot upsert (SNK-9), with the rent
-    of silver.housing_metrics where it is loaded (JOIN-13)."""
+    of silver.housing_metrics where it is loaded (JOIN-13). ``strip_state_suffix``: the housing files
+    write metros as "Chicago, IL"."""
     # Silver is folded once, with the columns gold reads; all that follows reads this table.
     s = write_table(silver_current(spark, root, run_date).select(*GOLD_COLS, "is_active"), "gold_silver")
     rent = housing_metrics(spark, root).read().where(F.col("metric_type") == RENT_METRIC)
@@ -325,7 +326,7 @@ def refresh_gold(spark: SparkSession, root: str, run_date) -> dict:
     (gold.city_job_stats(s, run_date, counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").parquet(stats_path))
     snap_t = VersionedTable(spark, os.path.join(root, "gold_latest_city_snapshot"), SNAPSHOT_SCHEMA)
-    new = gold.latest_city_snapshot(s, run_date, rent, counts=counts)
+    new = gold.latest_city_snapshot(s, run_date, rent, counts=counts, strip_state_suffix=strip_state_suffix)
     old = snap_t.read()
     nk = new.select(F.col("city").alias("_c"), F.col("state").alias("_s"))
     keep = old.join(nk, old.city.eqNullSafe(nk._c) & old.state.eqNullSafe(nk._s), "left_anti")  # vanished cities stay
@@ -372,13 +373,14 @@ def housing_metrics(spark: SparkSession, root: str) -> VersionedTable:
 
 
 def ingest_housing(spark: SparkSession, datasets: dict[str, str], root: str) -> dict[str, DataFrame]:
-    """SRC-5 / SNK-1: each wide CSV replaces its bronze table (schema taken from the file)."""
+    """SRC-5 / SNK-1: each wide CSV replaces its bronze table (columns taken from the file's header)."""
     from jobmart.operators import housing
 
     out = {}
     for name, path in datasets.items():
         dest = os.path.join(root, f"bronze_{name}")
-        housing.read_wide_csv(spark, path).write.mode("overwrite").parquet(dest)
+        # Texts, as they stand in the file: the columns are cast where they are used, so the file is read once.
+        housing.read_wide_csv(spark, path, infer=False).write.mode("overwrite").parquet(dest)
         out[name] = spark.read.parquet(dest)
     return out
 
@@ -392,8 +394,35 @@ def enrich_housing(spark: SparkSession, root: str, name: str, data_source: str,
     return t.write(housing.replace_metrics(t.read(), housing.latest_metric(wide, data_source, metric_type)))
 
 
+def refresh_city_tables(spark: SparkSession, root: str, run_date, strip_state_suffix: bool = False) -> dict[str, DataFrame]:
+    """JOIN-6 and AGG-18 as stored tables: the cities' housing regions, and postings per day, city and source."""
+    from jobmart.operators import housing, maintenance
+
+    s = silver_current(spark, root, run_date)
+    mapping = housing.city_mapping(s, housing_metrics(spark, root).read(), strip_state_suffix)
+    tables = {"gold_city_mapping": mapping, "gold_posting_trends": maintenance.posting_trends(s)}
+    return {name: VersionedTable(spark, os.path.join(root, name), "city string").write(df) for name, df in tables.items()}
+
+
 # --- maintenance ---------------------------------------------------------------------------
 
+def import_calls(spark: SparkSession, root: str, log: DataFrame, name: str, per_page: bool = True) -> DataFrame:
+    """PIP-9 / PIP-10: an earlier call log into the pull audit, one row per pull.
+
+    ``log``: run_date, city, role, api_count, api_mean_salary, pulled_at, jobs_retrieved; with ``per_page`` a row for
+    each page (consolidated, AGG-11), else with pages_fetched and possibly several rows for a pull, of which the
+    latest stays (WIN-2). ``name`` is the import's own: importing it again replaces its rows, nothing is counted twice.
+    """
+    order = ["pulled_at", *[c for c in ("event_id",) if c in log.columns]]
+    rows = calls.consolidate(log) if per_page else calls.keep_latest(log, order)
+    cols = [c.split()[0] for c in CALLS_LOG_SCHEMA.split(", ")]
+    typed = {"api_count": F.col("api_count").cast("bigint"), "api_mean_salary": F.col("api_mean_salary").cast("double"),
+             "pages_fetched": F.col("pages_fetched").cast("bigint"), "jobs_retrieved": F.col("jobs_retrieved").cast("bigint"),
+             "arrived_at": F.col("pulled_at").cast("timestamp")}
+    calls_log_table(spark, root).write_batch(rows.withColumns(typed).select(*cols), f"import-{name}")
+    return job_calls(spark, root)
+
+
 def _patch(spark: SparkSession, root: str, column: str, values: DataFrame) -> None:
     """Appends corrections (KEY, value, base_at); no earlier file is touched."""
     rows = values.select(*KEY, F.lit(column).alias("column_name"), F.col("value").cast("string").alias("value"), "base_at",

@@ -248,6 +248,13 @@ def _sighting_queries() -> dict[str, str]:
         "SELECT city, role, run_date, COUNT(*) AS pages_fetched, max(api_count) AS api_count, "
         "max(api_mean_salary) AS api_mean_salary, min(pulled_at) AS pulled_at, max(jobs_retrieved) AS jobs_retrieved "
         "FROM log GROUP BY city, role, run_date", e=E_SQL, log=PAGE_LOG_SQL)
+    q["stored_calls"] = _with(
+        "SELECT run_date, city, role, COUNT(*) AS pages_fetched, max(api_count) AS api_count, max(api_mean_salary) AS api_mean_salary, "
+        "CAST(max(jobs_retrieved) AS BIGINT) AS jobs_retrieved FROM log GROUP BY run_date, city, role", e=E_SQL, log=PAGE_LOG_SQL)
+    q["stored_calls_latest"] = _with(
+        "SELECT run_date, city, role, CAST(1 AS BIGINT) AS pages_fetched, api_count, api_mean_salary, CAST(jobs_retrieved AS BIGINT) AS jobs_retrieved FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY run_date, city, role ORDER BY pulled_at DESC, event_id DESC) AS rn FROM log) x WHERE rn = 1",
+        e=E_SQL, log=PAGE_LOG_SQL)
     q["job_calls_duplicates"] = _with(
         "SELECT * FROM log WHERE (run_date, city, role) IN (SELECT (run_date, city, role) FROM log "
         "GROUP BY run_date, city, role HAVING COUNT(*) > 1)", e=E_SQL, log=PAGE_LOG_SQL)
@@ -708,6 +715,9 @@ def _page_queries() -> dict[str, str]:
             "CAST(row_number() OVER (PARTITION BY city, bucket, page ORDER BY job_id) - 1 AS INTEGER) AS position, "
             "job_id AS payload_id, title AS payload_title, c AS payload_city, CAST(salary_max AS DOUBLE) AS payload_salary_max "
             "FROM every", **every_ctes),
+        "stored_bronze": _with(
+            "SELECT DISTINCT 'adzuna' AS source, job_id, run_date AS first_seen, run_date AS last_seen, CAST(1 AS INTEGER) AS times_seen FROM every",
+            **every_ctes),
         "run_report": _with(
             f"SELECT (SELECT COUNT(*) FROM j WHERE source = 'adzuna' AND last_seen = DATE '{RUN}') AS raw_jobs_seen, "
             "(SELECT COUNT(*) FROM every) AS v1_rows_fetched, "

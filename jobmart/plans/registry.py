@@ -493,6 +493,46 @@ def q_run_report(spark, sf_dir):
                                   recs.select("run_date", "city", "role").distinct(), RUN)
 
 
+# --- stored outcomes of the jobs -----------------------------------------------------------------
+
+def _scratch_root(spark) -> str:
+    import os
+    import uuid
+
+    from jobmart.session import shared_dir
+
+    return os.path.join(shared_dir(spark), f"store-{uuid.uuid4().hex}")
+
+
+def q_stored_bronze(spark, sf_dir):
+    """PIP-1 / STM-1 / SNK-4: bronze as two streams leave it, each with a batch 0, one of them folded into a snapshot."""
+    from jobmart.plans import jobs
+
+    root, pages_ = _scratch_root(spark), landed(spark, sf_dir)
+    first = F.crc32(F.concat("city", "role")) % 2 == 0
+    jobs.ingest_pages(spark, pages_.where(first), root, 0, "a")
+    jobs.compact_bronze(spark, root)
+    jobs.ingest_pages(spark, pages_.where(~first), root, 0, "b")
+    return jobs.bronze_current(spark, root).select("source", "job_id", "first_seen", "last_seen", "times_seen")
+
+
+def q_stored_calls(spark, sf_dir):
+    """PIP-9 / SNK-6: the pull audit after an earlier page log was imported, twice."""
+    from jobmart.plans import jobs
+
+    root, log = _scratch_root(spark), adapter.page_log(spark, sf_dir)
+    jobs.import_calls(spark, root, log, "pages")
+    return jobs.import_calls(spark, root, log, "pages")
+
+
+def q_stored_calls_latest(spark, sf_dir):
+    """PIP-10: the pull audit after a log with several rows for a pull was imported; the latest stays."""
+    from jobmart.plans import jobs
+
+    log = adapter.page_log(spark, sf_dir).withColumn("pages_fetched", F.lit(1))
+    return jobs.import_calls(spark, _scratch_root(spark), log, "pulls", per_page=False)
+
+
 # SURVEY §7.3 names for single classifier families (projections of the operators above).
 SUBSETS = {
     "classify_titles": ("classify_postings", ["source", "job_id", "seniority", "seniority_documented", "seniority_v1"]),
@@ -568,6 +608,9 @@ def queries() -> dict[str, Query]:
         "seen_today": q_seen_today,
         "v1_envelope": q_v1_envelope,
         "run_report": q_run_report,
+        "stored_bronze": q_stored_bronze,
+        "stored_calls": q_stored_calls,
+        "stored_calls_latest": q_stored_calls_latest,
         **{name: _subset(base, cols) for name, (base, cols) in SUBSETS.items()},
     }
 

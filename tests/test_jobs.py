@@ -405,3 +405,43 @@ def test_description_corrections_and_their_report(spark, tmp_root):
     # Two corrections of one row, of different columns, both hold.
     jobs.backfill_seniority(spark, root, dry_run=False)
     assert jobs.silver_current(spark, root).where("job_id = '1'").first().description == "one"
+
+
+def test_city_tables_call_import_and_suffixed_metros(spark, tmp_root):
+    from jobmart import cli
+
+    landing, root, csv = (os.path.join(tmp_root, x) for x in ("landing", "store", "csv"))
+    _landing_for(spark, DAYS[-1]).write.json(landing)
+    cli.main(["--root", root, "ingest-pages", landing])
+    cli.main(["--root", root, "enrich", "--run-date", DAYS[-1]])
+    wide = adapter.housing_wide(spark, SF_SMALL)
+    # The landed states are full names without a code, so the rows join on the empty code.
+    wide.withColumns({"RegionName": F.concat("RegionName", F.lit(", XX")), "StateName": F.lit("IL")}).write.option("header", True).csv(csv)
+    cli.main(["--root", root, "ingest-housing", f"{jobs.RENT_METRIC}={csv}"])
+    stored = spark.read.parquet(os.path.join(root, f"bronze_{jobs.RENT_METRIC}"))
+    assert {t for _, t in stored.dtypes} == {"string"}  # read once, cast where used
+    cli.main(["--root", root, "enrich-housing", jobs.RENT_METRIC])
+    plain = jobs.refresh_gold(spark, root, DAYS[-1])["snapshot"].where("zori_latest is not null").count()
+    cut = jobs.refresh_gold(spark, root, DAYS[-1], strip_state_suffix=True)["snapshot"].where("zori_latest is not null").count()
+    assert plain == 0 < cut
+    cli.main(["--root", root, "city-tables", "--run-date", DAYS[-1], "--strip-state-suffix"])
+    out = jobs.refresh_city_tables(spark, root, DAYS[-1], strip_state_suffix=True)
+    assert out["gold_city_mapping"].where("region_name is not null").count() > 0 and out["gold_posting_trends"].count() > 0
+    log = os.path.join(tmp_root, "calls.parquet")
+    adapter.page_log(spark, SF_SMALL).write.parquet(log)
+    before = jobs.job_calls(spark, root).count()
+    for _ in range(2):
+        cli.main(["--root", root, "import-calls", "old", log])
+    calls = jobs.job_calls(spark, root)
+    assert calls.count() == before + adapter.page_log(spark, SF_SMALL).select("run_date", "city", "role").distinct().count()
+
+
+def test_second_source_rejects_by_type(spark):
+    import json
+
+    from jobmart.operators import silver as S
+
+    recs = [{"job_title": "Cook", "job_description": "x"}, {"job_title": 5}, {"job_title": "Cook", "job_description": {"a": 1}}, {"job_title": None}, {"job_title": "Cook", "job_description": None}, {}]
+    raw = spark.createDataFrame([("jsearch", str(i), json.dumps(r)) for i, r in enumerate(recs)], "source string, job_id string, payload string")
+    got = {r.job_id: r.reject_reason for r in S.enrich_second_source(raw, "2024-01-01").collect()}
+    assert got == {"0": None, "1": "bad_title", "2": "bad_description", "3": "null_title", "4": None, "5": None}
