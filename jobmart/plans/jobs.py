@@ -244,12 +244,17 @@ def _newest_rows(log: DataFrame) -> DataFrame:
 
 def _patched(rows: DataFrame, patches: DataFrame) -> DataFrame:
     """Each column's newest correction, unless the row was enriched again after the one that it was made from."""
-    aggs = [F.max_by(F.struct("value", "base_at", "made_at"), F.when(F.col("column_name") == c, F.col("made_at"))).alias(f"_p_{c}") for c in PATCHED]
-    j = rows.join(patches.groupBy(*KEY).agg(*aggs), KEY, "left")
-    applies = {c: F.coalesce(F.col(f"_p_{c}.base_at") >= F.col("updated_at"), F.lit(False)) for c in PATCHED}
-    made = [F.when(applies[c], F.col(f"_p_{c}.made_at")) for c in PATCHED]
-    new = {c: F.when(applies[c], F.col(f"_p_{c}.value")).otherwise(F.col(c)) for c in PATCHED}
-    return j.withColumns({**new, "updated_at": F.greatest("updated_at", *made)}).select(*rows.columns)
+    each = [*KEY, "column_name"]
+    newest = lifecycle.last_per_key(patches, each, ["made_at"], ["value", "base_at", "made_at"])
+    out = rows.withColumn("_own", F.col("updated_at"))
+    for c in PATCHED:
+        p = newest.where(F.col("column_name") == c).select(*KEY, F.col("value").alias("_v"), F.col("base_at").alias("_b"), F.col("made_at").alias("_m"))
+        # The time a row was enriched decides, not that of another column's correction.
+        applies = F.coalesce(F.col("_b") >= F.col("_own"), F.lit(False))
+        out = out.join(p, KEY, "left").withColumns({
+            c: F.when(applies, F.col("_v")).otherwise(F.col(c)),
+            "updated_at": F.greatest("updated_at", F.when(applies, F.col("_m")))}).drop("_v", "_b", "_m")
+    return out.select(*rows.columns)
 
 
 def silver_current(spark: SparkSession, root: str, run_date=None, keys: DataFrame | None = None) -> DataFrame:
