@@ -50,7 +50,7 @@ def test_run_gives_pieces(spark):
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_sql_form(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     cur = con.execute(oracle.oracle_sql()[name])
     names = [d[0] for d in cur.description]
