@@ -131,3 +131,33 @@ def test_usual_records_leave_no_doubt(spark):
     parse = F.from_json("payload", S.FIRST_SOURCE_TYPED, {"columnNameOfCorruptRecord": "_corrupt"})
     sure = {r.job_id: r.sure for r in S._once(raw, parse, "_t").select("job_id", S.no_doubt().alias("sure")).collect()}
     assert sure == {"0": True, "1": True, "2": False}  # the last one has no URL: absent or null?
+
+
+def test_every_generated_method_is_short_enough_to_be_compiled(spark, capsys):
+    """The JVM interprets methods above 8,000 bytes of bytecode, row by row, however often they run."""
+    import re
+
+    raw = _raw(spark, [_rec()])
+    for typed in (True, False):
+        rows = S.enrich_first_source(raw, RUN, typed=typed)
+        for df in (rows, *S.split_valid(rows)):
+            df.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert sizes and max(sizes) < 8000, sizes
+
+
+def test_work_set_rows_and_columns(spark):
+    """Each bronze row that is new or seen again, once for each older silver row of its key; other sources stay out."""
+    d = dt.date
+    raw = spark.createDataFrame(
+        [("adzuna", "new", 1, d(2001, 8, 1), "p1"), ("adzuna", "again", 2, d(2001, 8, 1), "p2"), ("adzuna", "same", 3, d(2001, 7, 1), "p3"),
+         ("adzuna", None, 4, d(2001, 7, 1), "p4"), ("jsearch", "other", 5, d(2001, 8, 1), "p5"), ("adzuna", "unseen", 6, None, "p6")],
+        "source string, job_id string, times_seen int, last_seen date, payload string")
+    silver = spark.createDataFrame(
+        [("adzuna", "again", d(2001, 7, 1)), ("adzuna", "again", d(2001, 7, 2)), ("adzuna", "same", d(2001, 7, 1)), ("adzuna", None, d(2001, 7, 1)),
+         ("jsearch", "new", d(2001, 8, 1)), ("adzuna", "unseen", d(2001, 7, 1))], "source string, job_id string, last_seen date")
+    out = S.work_set(raw.select("times_seen", "job_id", "source", "last_seen", "payload"), silver)
+    assert out.columns == ["source", "job_id", "times_seen", "last_seen", "payload"]
+    assert sorted(r.payload for r in out.collect()) == ["p1", "p2", "p2", "p4"]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "[job_id" in plan.split("Join", 1)[1]  # sorted by what tells rows apart
